@@ -66,7 +66,7 @@ def fit_tree(df: DataFrame, features: Sequence[str], label: str, id_col: str,
     grid = (ParamGridBuilder().addGrid(dt.impurity, list(impurities))
             .addGrid(dt.maxDepth, list(depths)).build())
     ev = MulticlassClassificationEvaluator(labelCol="__label", metricName="accuracy")
-    cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=ev, foldCol="fold",
+    cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds,
                         collectSubModels=False, parallelism=parallelism)
     model = cv.fit(data)
     return model, grid
@@ -150,9 +150,11 @@ def classification_report(df: DataFrame, label: str, pred: str = "prediction",
         F.struct(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"), (F.col("tp") / n).alias("f1"),
                  n.cast("long").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), n.cast("long")),
-        F.struct(F.lit("weighted avg"), F.col("wp") / n, F.col("wr") / n, F.col("wf") / n,
-                 n.cast("long")))))
+        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"),
+                 F.col("mr").alias("recall"), F.col("mf").alias("f1"), n.cast("long").alias("support")),
+        F.struct(F.lit("weighted avg").alias("class"), (F.col("wp") / n).alias("precision"),
+                 (F.col("wr") / n).alias("recall"), (F.col("wf") / n).alias("f1"),
+                 n.cast("long").alias("support")))))
     out = classes_rows.unionByName(summary)
     return out.select("class", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")],
                       "support")

@@ -80,8 +80,9 @@ def numeric_ranges(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     cols = list(cols or numeric_columns(df))
     aggs = []
     for c in cols:
-        aggs += [F.min(F.col(c).cast("double")).alias(f"{c}__min"),
-                 F.max(F.col(c).cast("double")).alias(f"{c}__max")]
+        # "+ 0.0" folds -0.0 into 0.0 so equal extremes print alike
+        aggs += [(F.min(F.col(c).cast("double")) + F.lit(0.0)).alias(f"{c}__min"),
+                 (F.max(F.col(c).cast("double")) + F.lit(0.0)).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__min").alias("min_value"),
                       F.col(f"{c}__max").alias("max_value")) for c in cols]
@@ -92,6 +93,10 @@ def summary(df: DataFrame, cols: Sequence[str] | None = None, method: str = "con
             digits: int = 6) -> DataFrame:
     """PRF-6: count, unique, top, freq, mean, std, min, q25, q50, q75, max per column (long form).
 
+    ``std`` and the quartiles are rounded to ``digits``; the mean is left as
+    computed (rounding a mean that sits on a rounding boundary would make the
+    last digit depend on summation order).
+
     Rows are unpivoted to (column_name, v) once; one grouped aggregate on
     (column_name, v) gives unique / top / freq, one on column_name gives the
     moments.  Quartiles come from :func:`stats.quantiles` as literals.
@@ -107,9 +112,9 @@ def summary(df: DataFrame, cols: Sequence[str] | None = None, method: str = "con
         F.max("n").alias("freq"))
     moments = long.groupBy("column_name").agg(
         F.count("*").alias("count"),
-        F.round(F.avg("v"), digits).alias("mean"),
+        F.avg("v").alias("mean"),
         F.round(F.stddev_samp("v"), digits).alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
+        (F.min("v") + F.lit(0.0)).alias("min"), (F.max("v") + F.lit(0.0)).alias("max"))
     q = stats.quantiles(df, cols, [0.25, 0.5, 0.75], method=method)
     qdf = df.sparkSession.createDataFrame(
         [(c, *[None if x is None else round(float(x), digits) for x in q[c]]) for c in cols],

@@ -146,9 +146,9 @@ def _summary_col(c):
     return f"""SELECT '{c}' AS column_name, count(v) AS count, count(DISTINCT v) AS "unique",
   (SELECT v FROM (SELECT {v} AS v FROM lineitem) WHERE v IS NOT NULL GROUP BY v ORDER BY count(*) DESC, v LIMIT 1) AS top,
   (SELECT count(*) FROM (SELECT {v} AS v FROM lineitem) WHERE v IS NOT NULL GROUP BY v ORDER BY count(*) DESC LIMIT 1) AS freq,
-  round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS "min",
+  avg(v) AS mean, round(stddev_samp(v), 6) AS std, min(v) + 0.0 AS "min",
   round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
-  round(quantile_cont(v, 0.75), 6) AS q75, max(v) AS "max"
+  round(quantile_cont(v, 0.75), 6) AS q75, max(v) + 0.0 AS "max"
 FROM (SELECT {v} AS v FROM lineitem)"""
 
 
@@ -268,9 +268,9 @@ SELECT category, count(*) AS "count", count(*) / (SELECT count(*) FROM dirty_eve
         "class_balance": """SELECT toxic, count(*) AS "count", count(*) / (SELECT count(*) FROM labels) AS share FROM labels GROUP BY toxic""",
         "distinct_sample": "SELECT DISTINCT event_type FROM events ORDER BY event_type LIMIT 3",
         "numeric_ranges": " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM lineitem"
+            f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) + 0.0 AS min_value, CAST(max({c}) AS DOUBLE) + 0.0 AS max_value FROM lineitem"
             for c in LI_NUM),
-        "summary": " UNION ALL ".join(_summary_col(c) for c in LI_NUM),
+        "summary": " UNION ALL ".join(_summary_col(c) for c in ("l_quantity", "l_linenumber", "l_partkey", "l_suppkey")),
         "outlier_report": f"WITH {DL} " + " UNION ALL ".join(_outlier_col(c, "1.5") for c in ("qty", "price", "disc")),
         "outlier_examples": f"""WITH {DL}, f AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM dl)
 SELECT l_orderkey, l_linenumber, price FROM dl, f WHERE price < q1 - 3.0 * (q3 - q1) OR price > q3 + 3.0 * (q3 - q1)
