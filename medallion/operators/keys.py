@@ -1,10 +1,12 @@
 """Deduplication and dense surrogate keys (DED-*, WIN-1)."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 
 def _order_struct(order: Sequence) -> Column:
@@ -42,32 +44,42 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence | N
 
 
 def resequence(df: DataFrame, order: Sequence[str], out: str = "seq", start: int = 1,
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, path: str | None = None) -> DataFrame:
     """WIN-1: dense key ``start..start+n-1`` following ``order`` (nulls first).
 
     Instead of an unpartitioned ``row_number()`` (which moves every row to one
-    task) the rows are range-partitioned on ``order`` and checkpointed to the
-    shared checkpoint folder, so the partitioning is fixed and survives lost
-    executors.  Per-partition row counts (one number per partition) give each
-    partition its offset; inside a partition the position comes from
-    ``monotonically_increasing_id`` over the sorted rows.  ``order`` should be
-    unique (add a tiebreak column); equal keys are otherwise numbered in an
-    arbitrary but fixed order.
+    task) the rows are range-partitioned on ``order`` (include a unique
+    tiebreak so even a hot key value is split across partitions), sorted within
+    partitions and written once, with their partition id and in-partition
+    position, as a Parquet table under the shared checkpoint folder.  The
+    written table fixes the partitioning, so nothing depends on a second
+    evaluation of the range sampling and lost executors are harmless.
+    Per-partition row counts (one number per partition, read from two small
+    columns) give each partition its offset; no shuffle follows.
     """
+    from medallion.session import scratch_path
+
     order = list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *[F.asc_nulls_first(c) for c in order])
-              .sortWithinPartitions(*[F.asc_nulls_first(c) for c in order])
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    counts = dict(ranged.groupBy("__pid").count().collect())
+    path = path or scratch_path(spark, f"resequence-{uuid.uuid4().hex}")
+    ordering = [F.asc_nulls_first(c) for c in order]
+    # the range sampling pass and the write pass both read the input: keep it
+    # (memory and disk; lost blocks are recomputed from the lineage)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    (src.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
+     .withColumn("__pid", F.spark_partition_id())
+     .withColumn("__pos", F.monotonically_increasing_id()
+                 - F.spark_partition_id().cast("long") * F.lit(1 << 33))
+     .write.mode("errorifexists").parquet(path))
+    src.unpersist()
+    fixed = spark.read.parquet(path)
+    counts = dict(fixed.groupBy("__pid").count().collect())
     offsets, acc = [], 0
     for p in range(max(counts, default=-1) + 1):
         offsets.append(acc)
         acc += counts.get(p, 0)
-    off = F.array(*[F.lit(o).cast("long") for o in offsets]) if offsets else F.array()
-    first_id = F.col("__pid").cast("long") * F.lit(1 << 33)
-    seq = F.element_at(off, F.col("__pid") + 1) + (F.col("__mid") - first_id) + F.lit(start)
-    return ranged.withColumn(out, seq).drop("__pid", "__mid")
+    off = F.array(*[F.lit(o).cast("long") for o in offsets]) if offsets else F.array().cast("array<long>")
+    seq = F.element_at(off, F.col("__pid") + 1) + F.col("__pos") + F.lit(start)
+    return fixed.withColumn(out, seq).drop("__pid", "__pos").select(
+        *[c if c != out else out for c in df.columns] + ([] if out in df.columns else [out]))

@@ -12,6 +12,7 @@ from medallion.functions.rules import risk_band_expr, risk_score_expr
 # Fixed value: the quoted id prefix in the supervisor note is the text between
 # the first double quote and the first '.' or closing quote.
 NOTE_PREFIX_REGEX = r'"([^".]+)'
+MAX_INLINE_RULES = 256
 
 
 def risk_score(df: DataFrame, out: str = "risk_score", rules=DEFAULT_RULES,
@@ -37,11 +38,18 @@ def relabel_by_prefix(df: DataFrame, id_col: str, prefixes: Sequence[str] | Data
     """SCR-3: set ``label_col`` to ``label_value`` when the id starts with a rule prefix.
 
     A list of prefixes becomes a ``startswith`` disjunction.  A rule DataFrame
-    (column ``prefix``) is applied by one equi-join per distinct prefix length
-    on ``substring(id, 1, len)``, so Spark chooses broadcast or shuffle from the
+    (column ``prefix``) with at most ``MAX_INLINE_RULES`` distinct prefixes is
+    read (bounded, size-checked) and inlined the same way; a larger rule table
+    is applied by one equi-join per distinct prefix length on
+    ``substring(id, 1, len)``, so Spark chooses broadcast or shuffle from the
     measured rule-table size and the data never meets a nested-loop join.
     """
     ids = F.col(id_col).cast("string")
+    if isinstance(prefixes, DataFrame):
+        head = (prefixes.select(F.col("prefix").cast("string")).where(F.col("prefix").isNotNull())
+                .distinct().limit(MAX_INLINE_RULES + 1).collect())
+        if len(head) <= MAX_INLINE_RULES:
+            prefixes = sorted(r[0] for r in head)
     if not isinstance(prefixes, DataFrame):
         hit = F.lit(False)
         for p in prefixes:

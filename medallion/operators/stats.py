@@ -91,8 +91,13 @@ def _kth_smallest(df: DataFrame, col: str, k: int, exact_limit: int, buckets: in
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               method: str = "cont", exact_limit: int = EXACT_LIMIT,
-              accuracy: int = 10_000, buckets: int = BUCKETS) -> dict[str, list]:
-    """Quantiles of each column -> ``{col: [q(p) for p in probs]}`` (None if empty)."""
+              accuracy: int = 10_000, buckets: int = BUCKETS,
+              max_rows: int | None = None) -> dict[str, list]:
+    """Quantiles of each column -> ``{col: [q(p) for p in probs]}`` (None if empty).
+
+    ``max_rows``: a known upper bound of the row count; when it is within
+    ``exact_limit`` the counting pass is skipped.
+    """
     cols, probs = list(cols), list(probs)
     if method == "approx":
         row = df.agg(*[
@@ -102,7 +107,10 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in cols}
     if method not in ("cont", "disc"):
         raise ValueError(f"unknown quantile method {method!r}")
-    n = counts(df, cols)
+    if max_rows is not None and max_rows <= exact_limit:
+        n = {c: max_rows for c in cols}
+    else:
+        n = counts(df, cols)
     small = [c for c in cols if n[c] <= exact_limit]
     out: dict[str, list] = {}
     if small:
@@ -123,9 +131,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 out[c] = list(row[c]) if row[c] is not None else [None] * len(probs)
             else:
                 out[c] = [row[f"{c}__{i}"] for i in range(len(probs))]
-    for c in cols:
-        if c in out:
-            continue
+    for c in [c for c in cols if c not in out]:
         cnt = n[c]
         cache: dict[int, float] = {}
 

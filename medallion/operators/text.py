@@ -82,9 +82,27 @@ def parse_logs(df: DataFrame, value_col: str = "value", fields=LOG_FIELDS,
     return df.select(*keep, *[_field(v, rx, kind).alias(name) for name, rx, kind in fields])
 
 
+def _rows_where(df: DataFrame, cond) -> DataFrame:
+    """Keep rows where ``cond`` holds, evaluated together with the projection.
+
+    A plain ``where`` on parsed columns is pushed below the parsing projection,
+    so every regex it references would run twice (once in the filter, once in
+    the projection).  ``inline`` of a one-element (or empty) array keeps the
+    row selection inside the same projection: each expression runs once.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    keep = F.when(F.coalesce(cond, F.lit(False)), F.array(row)).otherwise(F.array().cast(
+        f"array<{row_type(df)}>"))
+    return df.select(F.inline(keep))
+
+
+def row_type(df: DataFrame) -> str:
+    return df.schema.simpleString()
+
+
 def split_unparsed(df: DataFrame, mandatory: Sequence[str] = MANDATORY_FIELDS) -> tuple[DataFrame, DataFrame]:
-    """STR-8: (parsed rows, rows missing a mandatory field)."""
+    """STR-8: (parsed rows, rows missing a mandatory field), each parse evaluated once."""
     ok = F.lit(True)
     for c in mandatory:
         ok = ok & F.col(c).isNotNull()
-    return df.where(ok), df.where(~ok)
+    return _rows_where(df, ok), _rows_where(df, ~ok)

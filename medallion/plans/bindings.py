@@ -31,7 +31,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return readers.read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def dirty_events(spark, sf_dir) -> DataFrame:

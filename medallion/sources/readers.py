@@ -60,6 +60,25 @@ def corrupt_report(df: DataFrame, corrupt_col: str = CORRUPT) -> DataFrame:
             .orderBy("source_file"))
 
 
+def read_parquet(spark: SparkSession, path: str | Sequence[str],
+                 min_partitions: int | None = None) -> DataFrame:
+    """Parquet scan with a parallelism guard.
+
+    A file holding a single row group is read by one task, so CPU-heavy row
+    work (regex parsing, coercion) would run on one core.  When the scan yields
+    fewer partitions than ``min_partitions`` (default: the cluster's default
+    parallelism), the rows are spread once by a round-robin repartition.  Big
+    inputs have many splits and are left untouched (the check only plans the
+    scan, it runs no job).
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    df = spark.read.parquet(*paths)
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
+
+
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """SRC-4: one row per text line (column ``value``)."""
     return spark.read.text(path)
