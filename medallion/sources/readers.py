@@ -13,26 +13,31 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = CSV_SCHEMA,
-             header: bool = True, corrupt_col: str = CORRUPT, sep: str = ",") -> DataFrame:
+             header: bool = True, corrupt_col: str = CORRUPT, sep: str = ",",
+             source_file: str | None = "source_file") -> DataFrame:
     """SRC-1: permissive CSV scan; malformed rows keep their text in ``corrupt_col``.
 
-    The corrupt column must be part of ``schema`` for Spark to fill it.
+    The corrupt column must be part of ``schema`` for Spark to fill it; the
+    input file path is attached as ``source_file``.
     """
     if corrupt_col and corrupt_col not in schema.fieldNames():
         schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType(), True)])
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
-            .csv(path))
+    df = (spark.read.schema(schema).option("header", header).option("sep", sep)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
+          .csv(path))
+    return with_source_file(df, source_file) if source_file else df
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = JSON_SCHEMA,
-              multi_line: bool = True, corrupt_col: str = CORRUPT) -> DataFrame:
+              multi_line: bool = True, corrupt_col: str = CORRUPT,
+              source_file: str | None = "source_file") -> DataFrame:
     """SRC-2: multi-line JSON documents (arrays of objects are exploded by Spark)."""
     if corrupt_col and corrupt_col not in schema.fieldNames():
         schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType(), True)])
-    return (spark.read.schema(schema).option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
-            .json(path))
+    df = (spark.read.schema(schema).option("multiLine", multi_line)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
+          .json(path))
+    return with_source_file(df, source_file) if source_file else df
 
 
 def with_source_file(df: DataFrame, out: str = "source_file") -> DataFrame:
@@ -40,21 +45,22 @@ def with_source_file(df: DataFrame, out: str = "source_file") -> DataFrame:
     return df.withColumn(out, F.col("_metadata.file_path"))
 
 
-def split_corrupt(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
+def split_corrupt(df: DataFrame, corrupt_col: str = CORRUPT,
+                  source_file: str = "source_file") -> tuple[DataFrame, DataFrame]:
     """SRC-3: (good rows, bad rows with their file) from a permissive scan.
 
-    Spark refuses queries that touch only the corrupt column of a raw scan, so
-    the input should be cached or the bad side should also project data columns.
+    Spark refuses queries on a raw file scan that reference only the corrupt
+    column; persist the scan (or write it) before counting the bad side alone.
     """
-    tagged = with_source_file(df)
-    bad = tagged.where(F.col(corrupt_col).isNotNull())
-    good = tagged.where(F.col(corrupt_col).isNull()).drop(corrupt_col, "source_file")
+    bad = df.where(F.col(corrupt_col).isNotNull())
+    good = df.where(F.col(corrupt_col).isNull()).drop(corrupt_col, source_file)
     return good, bad
 
 
-def corrupt_report(df: DataFrame, corrupt_col: str = CORRUPT) -> DataFrame:
-    """SRC-3: per input file, rows read and rows unreadable."""
-    return (with_source_file(df).groupBy("source_file")
+def corrupt_report(df: DataFrame, corrupt_col: str = CORRUPT,
+                   source_file: str = "source_file") -> DataFrame:
+    """SRC-3: per input file, rows read and rows unreadable (persist the scan first)."""
+    return (df.groupBy(source_file)
             .agg(F.count("*").alias("rows"),
                  F.count_if(F.col(corrupt_col).isNotNull()).alias("corrupt_rows"))
             .orderBy("source_file"))
