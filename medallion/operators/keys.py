@@ -37,6 +37,10 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence | N
     if order is None:
         return df.dropDuplicates(keys)
     others = [c for c in df.columns if c not in keys]
+    if len(others) == 1 and list(order) == others:
+        # the survivor's only other column is the order itself: a hash-aggregated min/max
+        agg = F.min if keep == "first" else F.max
+        return df.groupBy(*keys).agg(agg(others[0]).alias(others[0])).select(*df.columns)
     row = F.struct(*[F.col(c) for c in others])
     pick = F.min_by if keep == "first" else F.max_by
     agg = df.groupBy(*keys).agg(pick(row, _order_struct(order)).alias("__row"))

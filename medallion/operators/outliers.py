@@ -128,9 +128,6 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], factors: float | Mapping[str,
             if lo is not None:
                 cond = cond & inside(c, lo, hi)
         return src.where(cond)
-    # every step only removes rows: one count bounds all later steps
-    if method != "approx" and "max_rows" not in kw:
-        kw["max_rows"] = src.count()
     cur = src
     for c in cols:
         _, _, lo, hi = fence_values(cur, [c], factors, method, **kw)[c]

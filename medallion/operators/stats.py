@@ -7,9 +7,11 @@ probabilities), which then enter later plans as literals.
   (bounded sketch per task).
 * ``method="cont"`` (linear interpolation, = pandas / DuckDB ``quantile_cont``)
   and ``method="disc"`` (element at rank ``ceil(p*n)``, = ``percentile_disc``):
-  when a column holds at most ``exact_limit`` values, Spark's exact
-  ``percentile`` aggregate is used (its buffer is a value->count map, bounded by
-  the limit).  Above the limit the k-th values are found by iterative histogram
+  one pass counts the values per column; for columns with at most
+  ``exact_limit`` values the needed ranks come exactly from one
+  ``percentile_approx`` pass whose accuracy (10 n) keeps the rank error below
+  0.1 (primitive sketch buffers, several times faster than the boxed map of the
+  exact ``percentile`` aggregate).  Above the limit the k-th values are found by iterative histogram
   refinement: each round buckets the remaining candidate range by approximate
   split points, counts per bucket (a distributed aggregate of at most
   ``buckets`` rows) and narrows to the bucket holding the wanted rank, until the
@@ -89,15 +91,26 @@ def _kth_smallest(df: DataFrame, col: str, k: int, exact_limit: int, buckets: in
         lo, hi = new_lo, new_hi
 
 
+def _ranks(p: float, n: int, method: str) -> list[int]:
+    if method == "disc":
+        return [disc_rank(p, n)]
+    h = p * (n - 1)
+    return [math.floor(h), math.ceil(h)]
+
+
+def _combine(p: float, n: int, method: str, kth) -> float:
+    if method == "disc":
+        return kth[disc_rank(p, n)]
+    h = p * (n - 1)
+    lo, hi = math.floor(h), math.ceil(h)
+    a, b = kth[lo], kth[hi]
+    return a if lo == hi else a + (h - lo) * (b - a)
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               method: str = "cont", exact_limit: int = EXACT_LIMIT,
-              accuracy: int = 10_000, buckets: int = BUCKETS,
-              max_rows: int | None = None) -> dict[str, list]:
-    """Quantiles of each column -> ``{col: [q(p) for p in probs]}`` (None if empty).
-
-    ``max_rows``: a known upper bound of the row count; when it is within
-    ``exact_limit`` the counting pass is skipped.
-    """
+              accuracy: int = 10_000, buckets: int = BUCKETS) -> dict[str, list]:
+    """Quantiles of each column -> ``{col: [q(p) for p in probs]}`` (None if empty)."""
     cols, probs = list(cols), list(probs)
     if method == "approx":
         row = df.agg(*[
@@ -107,50 +120,30 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in cols}
     if method not in ("cont", "disc"):
         raise ValueError(f"unknown quantile method {method!r}")
-    if max_rows is not None and max_rows <= exact_limit:
-        n = {c: max_rows for c in cols}
-    else:
-        n = counts(df, cols)
+    n = counts(df, cols)
     small = [c for c in cols if n[c] <= exact_limit]
     out: dict[str, list] = {}
     if small:
-        aggs = []
-        for c in small:
-            x = F.when(_valid(c), F.col(c).cast("double"))
-            if method == "cont":
-                aggs.append(F.percentile(x, F.array(*[F.lit(float(p)) for p in probs])).alias(c))
-            else:
-                for i, p in enumerate(probs):
-                    aggs.append(F.expr(
-                        f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY "
-                        f"CASE WHEN isnan(CAST(`{c}` AS DOUBLE)) THEN NULL "
-                        f"ELSE CAST(`{c}` AS DOUBLE) END)").alias(f"{c}__{i}"))
-        row = df.agg(*aggs).first()
+        # Exact ranks from Spark's quantile sketch: with accuracy >= 10 n its rank
+        # error stays below 0.1, so asking for the mid-rank probability
+        # (k + 0.5) / n returns exactly the k-th smallest value.
+        need = {c: sorted({k for p in probs for k in _ranks(p, n[c], method)}) for c in small if n[c]}
+        acc = min(2**31 - 1, 10 * max([n[c] for c in small] + [1]))
+        aggs = [F.percentile_approx(F.when(_valid(c), F.col(c).cast("double")),
+                                    F.array(*[F.lit((k + 0.5) / n[c]) for k in need[c]]), acc).alias(c)
+                for c in need]
+        row = df.agg(*aggs).first() if aggs else None
         for c in small:
-            if method == "cont":
-                out[c] = list(row[c]) if row[c] is not None else [None] * len(probs)
-            else:
-                out[c] = [row[f"{c}__{i}"] for i in range(len(probs))]
+            if not n[c]:
+                out[c] = [None] * len(probs)
+                continue
+            kth = dict(zip(need[c], row[c]))
+            out[c] = [_combine(p, n[c], method, kth) for p in probs]
     for c in [c for c in cols if c not in out]:
         cnt = n[c]
-        cache: dict[int, float] = {}
-
-        def kth(k, c=c, cache=cache):
-            if k not in cache:
-                cache[k] = _kth_smallest(df, c, k, exact_limit, buckets)
-            return cache[k]
-
-        vals = []
-        for p in probs:
-            if method == "disc":
-                vals.append(kth(disc_rank(p, cnt)))
-            else:
-                h = p * (cnt - 1)
-                lo_k, hi_k = math.floor(h), math.ceil(h)
-                a = kth(lo_k)
-                b = kth(hi_k) if hi_k != lo_k else a
-                vals.append(a + (h - lo_k) * (b - a))
-        out[c] = vals
+        kth = {k: _kth_smallest(df, c, k, exact_limit, buckets)
+               for k in sorted({k for p in probs for k in _ranks(p, cnt, method)})}
+        out[c] = [_combine(p, cnt, method, kth) for p in probs]
     return out
 
 

@@ -30,12 +30,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return readers.read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table; ``spread`` before CPU-heavy text work (see ``read_parquet``)."""
+    return readers.read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread=spread)
 
 
 def dirty_events(spark, sf_dir) -> DataFrame:
-    return with_dirt(table(spark, sf_dir, "events"), EVENT_DIRT)
+    return with_dirt(table(spark, sf_dir, "events", spread=True), EVENT_DIRT)
 
 
 def coerced_events(spark, sf_dir) -> DataFrame:
@@ -49,7 +50,7 @@ def coerced_events(spark, sf_dir) -> DataFrame:
 
 
 def event_log_lines(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").select(F.expr(EVENT_LOG_LINE).alias("value"))
+    return table(spark, sf_dir, "events", spread=True).select(F.expr(EVENT_LOG_LINE).alias("value"))
 
 
 def dirty_lineitem(spark, sf_dir) -> DataFrame:
@@ -66,7 +67,7 @@ def dirty_lineitem(spark, sf_dir) -> DataFrame:
 @query
 def clean_csv_flow(spark, sf_dir):
     """Flagship: bronze CSV (rendered from events) -> silver through the full CSV flow."""
-    raw = with_dirt(table(spark, sf_dir, "events"), EVENT_CSV, keep=())
+    raw = with_dirt(table(spark, sf_dir, "events", spread=True), EVENT_CSV, keep=())
     return flows.clean_csv(raw)
 
 
