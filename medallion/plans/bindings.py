@@ -17,9 +17,10 @@ from medallion.functions import coerce as fx
 from medallion.operators import (cleaning, encode, impute, keys, model, outliers, profile,
                                  rules, snapshots, text, unify)
 from medallion.plans import flows
-from medallion.plans.dirt import EVENT_CSV, EVENT_DIRT, EVENT_LOG_LINE, SUPERVISOR_NOTE, with_dirt
+from medallion.plans.dirt import (EVENT_CSV, EVENT_DIRT, EVENT_JSON, EVENT_JSON_NULL_CARDHOLDER,
+                                  EVENT_LOG_LINE, SUPERVISOR_NOTE, with_dirt)
 from medallion.session import scratch_path
-from medallion.sources import readers
+from medallion.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -71,6 +72,52 @@ def clean_csv_flow(spark, sf_dir):
     return flows.clean_csv(raw)
 
 
+@query
+def bronze_csv_flow(spark, sf_dir):
+    """SNK-1 -> SRC-1/SRC-3 -> CSV flow: the bronze CSV is written as files and read back
+    permissively (declared schema, corrupt-row column, source file), then cleaned."""
+    raw = with_dirt(table(spark, sf_dir, "events", spread=True), EVENT_CSV, keep=())
+    path = scratch_path(spark, f"bronze-csv-{uuid.uuid4().hex}")
+    sinks.write_csv(raw, path)
+    good, _bad = readers.split_corrupt(readers.read_csv(spark, path))
+    return flows.clean_csv(good)
+
+
+def event_json_docs(spark, sf_dir) -> DataFrame:
+    """Nested transaction documents rendered from ``events``."""
+    e = table(spark, sf_dir, "events", spread=True)
+    x = {k: F.expr(v) for k, v in EVENT_JSON.items()}
+    cardholder = F.when(~F.expr(EVENT_JSON_NULL_CARDHOLDER),
+                        F.struct(x["age"].alias("age"), x["country"].alias("country")))
+    return e.select(
+        x["transaction_id"].alias("transaction_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        x["transaction_hour"].alias("transaction_hour"), x["amount"].alias("amount"),
+        x["merchant_category"].alias("merchant_category"), cardholder.alias("cardholder"),
+        F.struct(x["device_type"].alias("device_type"), x["operating_system"].alias("operating_system"),
+                 x["device_trust_score"].alias("device_trust_score")).alias("device"),
+        F.struct(x["velocity_last_24h"].alias("velocity_last_24h"),
+                 x["ip_risk_score"].alias("ip_risk_score")).alias("network_features"),
+        F.struct(x["city"].alias("city"), x["country"].alias("country"),
+                 x["is_foreign_transaction"].alias("is_foreign_transaction"),
+                 x["location_mismatch"].alias("location_mismatch")).alias("location"),
+        F.struct(x["method"].alias("method"), x["failed_attempts"].alias("failed_attempts"))
+        .alias("authentication"),
+        F.struct(x["is_fraud"].alias("is_fraud")).alias("labels"),
+        x["schema_version"].cast("double").alias("schema_version"))
+
+
+@query
+def bronze_json_flow(spark, sf_dir):
+    """SRC-2/SRC-3 -> JSON flow: nested documents written as JSON files, read back with
+    the declared nested schema (corrupt-row capture), flattened and cleaned."""
+    path = scratch_path(spark, f"bronze-json-{uuid.uuid4().hex}")
+    event_json_docs(spark, sf_dir).write.json(path)
+    good, _bad = readers.split_corrupt(readers.read_json(spark, path, multi_line=False))
+    out = flows.clean_json(good)
+    return out.withColumn("amount", F.round("amount", 6))
+
+
 @query
 def clean_logs_flow(spark, sf_dir):
     """Log lines -> parse -> score -> relabel by the note's rule -> flag -> dedupe."""

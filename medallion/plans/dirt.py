@@ -93,3 +93,34 @@ def with_dirt(df: DataFrame, rules: dict[str, str], keep=("event_id",)) -> DataF
 
 def sql_select(rules: dict[str, str], keep=("event_id",)) -> str:
     return ", ".join([*keep, *[f"{sql} AS {name}" for name, sql in rules.items()]])
+
+
+# Leaves of the nested transaction JSON rendered from ``events``
+# (all text except the fraud label and schema_version).  ``cardholder`` is a
+# null struct when ``event_id % 31 = 0``; the timestamp is rendered per dialect.
+EVENT_JSON_NULL_CARDHOLDER = "event_id % 31 = 0"
+EVENT_JSON = {
+    "transaction_id": "CASE WHEN event_id % 29 = 0 THEN NULL ELSE "
+                      "CASE WHEN event_id % 3 = 0 THEN 'TX-2024-4' ELSE 'TX-2024-0' END "
+                      "|| printf('%07d', event_id) END",
+    "transaction_hour": "CASE event_id % 23 WHEN 1 THEN '24' WHEN 2 THEN '-1' "
+                        "ELSE CAST(hour(ts) AS STRING) END",
+    "amount": "CASE event_id % 17 WHEN 1 THEN 'abc' WHEN 2 THEN NULL WHEN 3 THEN '' "
+              "ELSE CAST(value AS STRING) END",
+    "merchant_category": "CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_type END",
+    "age": "CASE WHEN event_id % 41 = 0 THEN '2168.55' ELSE CAST(18 + user_id % 60 AS STRING) END",
+    "country": "CASE WHEN event_id % 4 = 0 THEN 'US' ELSE 'AR' END",
+    "device_type": "CASE WHEN user_id % 3 = 0 THEN 'mobile' ELSE 'desktop' END",
+    "operating_system": "CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END",
+    "device_trust_score": "CASE WHEN event_id % 37 = 0 THEN 'n/a' ELSE CAST(user_id % 101 AS STRING) END",
+    "velocity_last_24h": "CAST(event_id % 12 AS STRING) || '.5'",
+    "ip_risk_score": "'0.' || lpad(CAST(event_id % 100 AS STRING), 2, '0')",
+    "city": "'C' || CAST(user_id % 10 AS STRING)",
+    "is_foreign_transaction": "CASE event_id % 5 WHEN 0 THEN 'true' WHEN 1 THEN '1.0' WHEN 2 THEN 'no' "
+                              "ELSE 'false' END",
+    "location_mismatch": "CASE event_id % 7 WHEN 0 THEN '1' WHEN 1 THEN NULL WHEN 2 THEN 'yes' ELSE '0' END",
+    "method": "CASE event_id % 3 WHEN 0 THEN 'pin' WHEN 1 THEN 'biometric' ELSE '2fa' END",
+    "failed_attempts": "CAST(event_id % 4 AS STRING)",
+    "is_fraud": "event_type = 'error'",
+    "schema_version": "CASE WHEN event_id % 50 = 0 THEN 2.0 END",
+}

@@ -62,7 +62,7 @@ def clean_csv(raw: DataFrame, median_method: str = "cont", iqr_sequential: bool
 def clean_json(raw: DataFrame, amount_policy: str = "mean", required: Sequence[str] = JSON_REQUIRED,
                fraud_prefix: str = FRAUD_PREFIX) -> DataFrame:
     """JSON bronze -> silver (20 flat typed columns incl. ``id_flag``)."""
-    df = raw.drop("_corrupt_record") if "_corrupt_record" in raw.columns else raw
+    df = raw.drop(*[c for c in ("_corrupt_record", "source_file") if c in raw.columns])
     df = cleaning.drop_empty_rows(df)
     spec = {k: v for k, v in JSON_FLATTEN.items() if k != "schema_version"}
     df = cleaning.flatten(df, spec)

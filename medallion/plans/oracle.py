@@ -7,7 +7,7 @@ DuckDB's boolean cast is narrower: explicit ``CASE``).
 """
 from __future__ import annotations
 
-from medallion.plans.dirt import EVENT_CSV, EVENT_DIRT, sql_select
+from medallion.plans.dirt import EVENT_CSV, EVENT_DIRT, EVENT_JSON, EVENT_JSON_NULL_CARDHOLDER, sql_select
 
 NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -114,6 +114,34 @@ SELECT CAST(transaction_id AS INTEGER) AS transaction_id, amount,
 FROM c11 WHERE transaction_hour BETWEEN 0 AND 23"""
 
 
+def json_flow_sql() -> str:
+    x = EVENT_JSON
+    nc = EVENT_JSON_NULL_CARDHOLDER
+
+    def i(e):
+        return f"CAST(trunc({num(e)}) AS INTEGER)"
+    return f"""WITH j AS (SELECT {x['transaction_id']} AS transaction_id,
+  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, {num(x['amount'])} AS amount,
+  {i(x['transaction_hour'])} AS transaction_hour, {x['merchant_category']} AS merchant_category,
+  CASE WHEN {nc} THEN NULL ELSE {i(x['age'])} END AS cardholder_age,
+  CASE WHEN {nc} THEN NULL ELSE {x['country']} END AS cardholder_country,
+  {x['device_type']} AS device_type, {x['operating_system']} AS device_os,
+  {num(x['device_trust_score'])} AS device_trust_score, {num(x['velocity_last_24h'])} AS velocity_last_24h,
+  {num(x['ip_risk_score'])} AS ip_risk_score, {x['city']} AS city, {x['country']} AS country,
+  {boolset(x['is_foreign_transaction'])} AS is_foreign_transaction,
+  {boolset(x['location_mismatch'])} AS location_mismatch, {x['method']} AS auth_method,
+  {i(x['failed_attempts'])} AS failed_attempts, {x['is_fraud']} AS is_fraud FROM events),
+f AS (SELECT * FROM j WHERE transaction_id IS NOT NULL),
+g AS (SELECT * REPLACE (coalesce(amount, (SELECT avg(amount) FROM f)) AS amount) FROM f)
+SELECT * REPLACE (round(amount, 6) AS amount,
+  CASE WHEN starts_with(transaction_id, 'TX-2024-4') THEN true ELSE is_fraud END AS is_fraud),
+  CAST(starts_with(transaction_id, 'TX-2024-4') AS INTEGER) AS id_flag
+FROM g WHERE amount IS NOT NULL AND transaction_hour IS NOT NULL AND merchant_category IS NOT NULL
+  AND cardholder_age IS NOT NULL AND is_foreign_transaction IS NOT NULL AND location_mismatch IS NOT NULL
+  AND transaction_hour BETWEEN 0 AND 23 AND cardholder_age BETWEEN 0 AND 120
+  AND device_trust_score BETWEEN 0 AND 100 AND velocity_last_24h BETWEEN 0 AND 10"""
+
+
 def logs_flow_sql() -> str:
     return f"""WITH p AS ({PARSED})
 SELECT transaction_id, amount, transaction_hour, merchant_category, is_foreign_transaction, location_mismatch,
@@ -225,6 +253,8 @@ def oracle_sql() -> dict[str, str]:
     cat_lower = f"lower({norm_cat('raw_cat')})"
     q: dict[str, str] = {
         "clean_csv_flow": csv_flow_sql(),
+        "bronze_csv_flow": csv_flow_sql(),
+        "bronze_json_flow": json_flow_sql(),
         "clean_logs_flow": logs_flow_sql(),
         "gold_union": gold_union_sql(),
         "coerce_numeric": WITH_CE + "SELECT event_id, value_num FROM coerced_events",
