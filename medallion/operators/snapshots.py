@@ -79,9 +79,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            check_source: bool = True) -> DataFrame:
     """MRG-1: matched keys take the whole source row, unmatched source rows are inserted.
 
-    One full outer join on the keys.  Source columns missing in the target are
-    an error; a null in the source overwrites (update-all semantics).  Null
-    keys never match.
+    Update-all semantics: every target row whose key matches becomes the
+    source row (a null in the source overwrites); target rows without a match
+    stay; source rows without a match are inserted.  Null keys never match.
+    Source keys must be unique (checked).
+
+    Built from joins that Spark's adaptive execution can split when one key
+    holds a large share of the target (a single full outer join cannot be
+    split): kept = target anti-joined to the source keys; updated = target keys
+    inner-joined to the source; inserted = source anti-joined to the distinct
+    target keys (pre-aggregated map-side, so a hot key arrives as one row).
     """
     keys = list(keys)
     if check_source:
@@ -89,32 +96,48 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     missing = [c for c in target.columns if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
-    others = [c for c in target.columns if c not in keys]
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns], F.lit(True).alias("__t"))
-    s = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(f"s__{c}") for c in target.columns],
-                      F.lit(True).alias("__s"))
-    cond = None
-    for k in keys:
-        e = F.col(f"t__{k}") == F.col(f"s__{k}")
-        cond = e if cond is None else cond & e
-    j = t.join(s, cond, "full_outer")
-    from_src = F.col("__s").isNotNull()
-    return j.select(*[F.when(from_src, F.col(f"s__{c}")).otherwise(F.col(f"t__{c}")).alias(c)
-                      for c in target.columns])
+    cols = target.columns
+    src = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in cols])
+    src_keys = src.select(*keys).where(_all_not_null(keys))
+    tgt_keys = target.select(*keys).where(_all_not_null(keys))
+    kept = target.join(src_keys, keys, "left_anti")
+    updated = tgt_keys.join(src, keys, "inner").select(*cols)
+    inserted = src.join(tgt_keys.distinct(), keys, "left_anti")
+    return kept.unionByName(updated).unionByName(inserted)
+
+
+def _all_not_null(cols: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
 
 
 def diff_versions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """VER-4: keys added, removed or changed between two versions (null-safe compare)."""
+    """VER-4: keys added, removed or changed between two versions.
+
+    One aggregate over the tagged union of both versions, grouped by key: per
+    side the row count and an order-independent sum of 64-bit row hashes
+    (``xxhash64`` of the non-key columns, summed as an exact decimal).  A key
+    is ``added`` / ``removed`` when one side has no rows, ``changed`` when the
+    counts or hash sums differ.  No join and no row pairs: a key holding many
+    rows is reduced map-side.  (Equal hash sums of different row sets would go
+    unreported; with 64-bit hashes this is negligible.)
+    """
     keys = list(keys)
     others = [c for c in old.columns if c not in keys]
-    o = old.select(*keys, F.struct(*others).alias("__o"), F.lit(True).alias("__in_o"))
-    n = new.select(*keys, F.struct(*[c for c in others if c in new.columns]).alias("__n"),
-                   F.lit(True).alias("__in_n"))
-    j = o.join(n, keys, "full_outer")
-    change = (F.when(F.col("__in_o").isNull(), F.lit("added"))
-              .when(F.col("__in_n").isNull(), F.lit("removed"))
-              .when(~F.col("__o").eqNullSafe(F.col("__n")), F.lit("changed")))
-    return j.select(*keys, change.alias("change")).where(F.col("change").isNotNull())
+    def tag(df, side):
+        h = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
+        return df.select(*keys, F.lit(side).alias("__side"), h.cast("decimal(38,0)").alias("__h"))
+    u = tag(old, "o").unionByName(tag(new.select(*old.columns), "n"))
+    is_o, is_n = F.col("__side") == "o", F.col("__side") == "n"
+    g = u.groupBy(*keys).agg(
+        F.count_if(is_o).alias("__no"), F.count_if(is_n).alias("__nn"),
+        F.sum(F.when(is_o, F.col("__h"))).alias("__ho"), F.sum(F.when(is_n, F.col("__h"))).alias("__hn"))
+    change = (F.when(F.col("__no") == 0, F.lit("added"))
+              .when(F.col("__nn") == 0, F.lit("removed"))
+              .when((F.col("__no") != F.col("__nn")) | (F.col("__ho") != F.col("__hn")), F.lit("changed")))
+    return g.select(*keys, change.alias("change")).where(F.col("change").isNotNull())
 
 
 class VersionedTable:
