@@ -7,7 +7,9 @@ probabilities), which then enter later plans as literals.
   (bounded sketch per task).
 * ``method="cont"`` (linear interpolation, = pandas / DuckDB ``quantile_cont``)
   and ``method="disc"`` (element at rank ``ceil(p*n)``, = ``percentile_disc``):
-  one pass counts the values per column; for columns with at most
+  one pass counts the values (and estimates distinct values) per column.
+  Low-cardinality columns (at most ``HIST_LIMIT`` distinct values) are answered
+  exactly from a value histogram.  For other columns with at most
   ``exact_limit`` values the needed ranks come exactly from one
   ``percentile_approx`` pass whose accuracy (10 n) keeps the rank error below
   0.1 (primitive sketch buffers, several times faster than the boxed map of the
@@ -26,11 +28,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 EXACT_LIMIT = 5_000_000
 BUCKETS = 128
+# columns with at most this many (approximately counted) distinct values take
+# the histogram route; the histogram of one column is at most ~1.1x this size
+HIST_LIMIT = 50_000
 
 
 def _valid(c: str):
@@ -43,6 +48,39 @@ def counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     return {c: int(row[c]) for c in cols}
 
 
+def counts_and_cardinality(df: DataFrame, cols: Sequence[str]) -> tuple[dict[str, int], dict[str, int]]:
+    """Valid-value count and approximate distinct count per column, one aggregate."""
+    aggs = []
+    for c in cols:
+        aggs += [F.count_if(_valid(c)).alias(f"{c}__n"),
+                 F.approx_count_distinct(F.when(_valid(c), F.col(c).cast("double")), 0.05).alias(f"{c}__d")]
+    row = df.agg(*aggs).first()
+    return ({c: int(row[f"{c}__n"]) for c in cols}, {c: int(row[f"{c}__d"]) for c in cols})
+
+
+def _histogram_ranks(df: DataFrame, need: dict[str, list[int]]) -> dict[str, dict[int, float]]:
+    """k-th smallest values of low-cardinality columns from a value histogram.
+
+    Values are counted per (column, value) (map-side combined), a running count
+    per column is taken over the bounded histogram, and one aggregate returns
+    only the requested ranks: the smallest value whose running count exceeds k.
+    """
+    cols = list(need)
+    long = (df.select(*[F.when(_valid(c), F.col(c).cast("double")).alias(c) for c in cols])
+            .unpivot([], cols, "__c", "__v").where(F.col("__v").isNotNull()))
+    hist = long.groupBy("__c", "__v").agg(F.count("*").alias("__n"))
+    w = Window.partitionBy("__c").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = hist.withColumn("__cum", F.sum("__n").over(w))
+    pairs = [(c, k) for c in cols for k in need[c]]
+    aggs = [F.min(F.when((F.col("__c") == F.lit(c)) & (F.col("__cum") > F.lit(k)), F.col("__v"))).alias(f"r{i}")
+            for i, (c, k) in enumerate(pairs)]
+    row = cum.agg(*aggs).first()
+    out: dict[str, dict[int, float]] = {c: {} for c in cols}
+    for i, (c, k) in enumerate(pairs):
+        out[c][k] = row[f"r{i}"]
+    return out
+
+
 def disc_rank(p: float, n: int) -> int:
     """0-based rank of ``percentile_disc(p)`` among ``n`` sorted values."""
     return max(0, math.ceil(p * n) - 1)
@@ -109,7 +147,8 @@ def _combine(p: float, n: int, method: str, kth) -> float:
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               method: str = "cont", exact_limit: int = EXACT_LIMIT,
-              accuracy: int = 10_000, buckets: int = BUCKETS) -> dict[str, list]:
+              accuracy: int = 10_000, buckets: int = BUCKETS,
+              hist_limit: int = HIST_LIMIT) -> dict[str, list]:
     """Quantiles of each column -> ``{col: [q(p) for p in probs]}`` (None if empty)."""
     cols, probs = list(cols), list(probs)
     if method == "approx":
@@ -120,9 +159,15 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in cols}
     if method not in ("cont", "disc"):
         raise ValueError(f"unknown quantile method {method!r}")
-    n = counts(df, cols)
-    small = [c for c in cols if n[c] <= exact_limit]
-    out: dict[str, list] = {}
+    n, distinct = counts_and_cardinality(df, cols)
+    out: dict[str, list] = {c: [None] * len(probs) for c in cols if not n[c]}
+    low = [c for c in cols if c not in out and distinct[c] <= hist_limit]
+    if low:
+        need = {c: sorted({k for p in probs for k in _ranks(p, n[c], method)}) for c in low}
+        kth = _histogram_ranks(df, need)
+        for c in low:
+            out[c] = [_combine(p, n[c], method, kth[c]) for p in probs]
+    small = [c for c in cols if c not in out and n[c] <= exact_limit]
     if small:
         # Exact ranks from Spark's quantile sketch: with accuracy >= 10 n its rank
         # error stays below 0.1, so asking for the mid-rank probability

@@ -19,9 +19,10 @@ def test_small_and_distributed_paths_agree(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(4)
     ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
     for method in ("cont", "disc"):
-        a = stats.quantiles(df, ["v"], ps, method)["v"]
-        b = stats.quantiles(df, ["v"], ps, method, exact_limit=100, buckets=8)["v"]
-        assert a == b
+        hist = stats.quantiles(df, ["v"], ps, method)["v"]
+        sketch = stats.quantiles(df, ["v"], ps, method, hist_limit=0)["v"]
+        select = stats.quantiles(df, ["v"], ps, method, hist_limit=0, exact_limit=100, buckets=8)["v"]
+        assert hist == sketch == select
     assert stats.quantiles(df, ["v"], ps, "disc")["v"] == [_disc(vals, p) for p in ps]
     assert np.allclose(stats.quantiles(df, ["v"], ps, "cont")["v"], np.quantile(vals, ps))
 
@@ -31,11 +32,12 @@ def test_nan_and_null_are_missing(spark):
     assert stats.median(df, ["v"])["v"] == 2.0
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=60), st.floats(0, 1))
 def test_disc_matches_definition(spark, xs, p):
     df = spark.createDataFrame([(float(x),) for x in xs], "v double")
-    got = stats.quantiles(df, ["v"], [p], "disc", exact_limit=5, buckets=4)["v"][0]
-    assert got == _disc([float(x) for x in xs], p)
-    cont = stats.quantiles(df, ["v"], [p], "cont", exact_limit=5, buckets=4)["v"][0]
-    assert math.isclose(cont, float(np.quantile(xs, p)), rel_tol=1e-9, abs_tol=1e-9)
+    for kw in ({}, {"hist_limit": 0}, {"hist_limit": 0, "exact_limit": 5, "buckets": 4}):
+        got = stats.quantiles(df, ["v"], [p], "disc", **kw)["v"][0]
+        assert got == _disc([float(x) for x in xs], p)
+        cont = stats.quantiles(df, ["v"], [p], "cont", **kw)["v"][0]
+        assert math.isclose(cont, float(np.quantile(xs, p)), rel_tol=1e-9, abs_tol=1e-9)
