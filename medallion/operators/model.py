@@ -57,7 +57,7 @@ def split_report(df: DataFrame, label: str, split: str = "split", digits: int =
 
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, id_col: str,
              impurities: Sequence[str] = ("gini", "entropy"), depths: Sequence[int] = range(1, 7),
-             folds: int = 5, seed: int = 42, max_bins: int = 32, parallelism: int = 2):
+             folds: int = 5, seed: int = 42, max_bins: int = 32, parallelism: int = 4):
     """MOD-3/4: decision tree with a grid over impurity x depth, k-fold CV on accuracy."""
     data = fold_column(assemble(df, features), id_col, folds, seed)
     data = data.withColumn("__label", F.col(label).cast("double"))
