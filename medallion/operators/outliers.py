@@ -110,9 +110,8 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], factors: float | Mapping[str,
     Null values fail the closed-range test unless ``keep_nulls``.
 
     The fences become literals, so the returned plan is a single fused filter
-    over the input; with ``persist`` the input is kept (memory and disk) while
-    the k dependent statistics passes run, then released when the caller
-    unpersists or the session ends.
+    over the input.  With ``persist`` the input is kept (memory and disk) only
+    while the dependent statistics passes run, and released before returning.
     """
     def inside(c, lo, hi):
         v = F.col(c)
@@ -120,17 +119,22 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], factors: float | Mapping[str,
         return (v.isNull() | test) if keep_nulls else F.coalesce(test, F.lit(False))
 
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
-    if not sequential:
-        fv = fence_values(src, cols, factors, method, **kw)
-        cond = F.lit(True)
-        for c in cols:
-            _, _, lo, hi = fv[c]
-            if lo is not None:
-                cond = cond & inside(c, lo, hi)
-        return src.where(cond)
-    cur = src
-    for c in cols:
-        _, _, lo, hi = fence_values(cur, [c], factors, method, **kw)[c]
+    try:
+        if not sequential:
+            fv = fence_values(src, cols, factors, method, **kw)
+            bounds = [(c, fv[c][2], fv[c][3]) for c in cols]
+        else:
+            bounds, cur = [], src
+            for c in cols:
+                _, _, lo, hi = fence_values(cur, [c], factors, method, **kw)[c]
+                bounds.append((c, lo, hi))
+                if lo is not None:
+                    cur = cur.where(inside(c, lo, hi))
+    finally:
+        if persist:
+            src.unpersist()
+    cond = F.lit(True)
+    for c, lo, hi in bounds:
         if lo is not None:
-            cur = cur.where(inside(c, lo, hi))
-    return cur
+            cond = cond & inside(c, lo, hi)
+    return df.where(cond)

@@ -72,6 +72,20 @@ def clean_csv_flow(spark, sf_dir):
     return flows.clean_csv(raw)
 
 
+@query
+def csv_stage_audit(spark, sf_dir):
+    """PRF-10 / OUT-4: rows kept and removed by each stage of the CSV flow.
+
+    The flow runs once (its result is materialised with the no-op sink); the
+    per-stage counts come from ``observe`` marks, not from extra scans.
+    """
+    audit = profile.StageAudit()
+    raw = with_dirt(table(spark, sf_dir, "events", spread=True), EVENT_CSV, keep=())
+    flows.clean_csv(raw, audit=audit).write.format("noop").mode("overwrite").save()
+    rows = [(i, name, int(n), int(removed)) for i, (name, n, removed) in enumerate(audit.report())]
+    return spark.createDataFrame(rows, "stage_no int, stage string, rows long, removed long")
+
+
 @query
 def bronze_csv_flow(spark, sf_dir):
     """SNK-1 -> SRC-1/SRC-3 -> CSV flow: the bronze CSV is written as files and read back

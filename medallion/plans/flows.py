@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from medallion.functions import coerce as fx
 from medallion.operators import cleaning, impute, keys, outliers, rules, text, unify
+from medallion.operators.profile import StageAudit
 from medallion.sources.schemas import GOLD_SCHEMA, JSON_FLATTEN
 
 # Column groups and parameters of the CSV cleaning.
@@ -37,24 +38,31 @@ SOURCE_PRIORITY = {"csv": 1, "json": 2, "logs": 3}
 
 
 def clean_csv(raw: DataFrame, median_method: str = "cont", iqr_sequential: bool = True,
-              dedupe_first: bool = True) -> DataFrame:
-    """CSV bronze -> silver (typed, cleaned, resequenced transaction ids)."""
-    df = raw.drop("_corrupt_record") if "_corrupt_record" in raw.columns else raw
+              dedupe_first: bool = True, audit: StageAudit | None = None) -> DataFrame:
+    """CSV bronze -> silver (typed, cleaned, resequenced transaction ids).
+
+    With ``audit`` each row-removing stage is marked with ``observe``; the
+    counts arrive with the jobs the flow runs anyway (PRF-10 / OUT-4).
+    """
+    mark = audit.mark if audit is not None else (lambda d, _name: d)
+    df = raw.drop(*[c for c in ("_corrupt_record", "source_file") if c in raw.columns])
+    df = mark(df, "read")
     df = cleaning.coerce_numeric(df, [c for c in CSV_NUMERIC if c in df.columns])
-    df = cleaning.keep_integral(df, "transaction_id")
+    df = mark(cleaning.keep_integral(df, "transaction_id"), "integral_id")
     if dedupe_first:
         # dedupe ignoring the id; the smallest id of each duplicate group survives
-        df = keys.dedupe(df, [c for c in df.columns if c != "transaction_id"],
-                         order=["transaction_id"])
+        df = mark(keys.dedupe(df, [c for c in df.columns if c != "transaction_id"],
+                              order=["transaction_id"]), "dedupe")
     df = keys.resequence(df, ["transaction_id"], out="transaction_id")
     for flag in CSV_FLAGS:
         df = cleaning.clean_flag(df, flag)
+    df = mark(df, "flags")
     df = impute.fill_median(df, list(CSV_MEDIAN_FILL), method=median_method)
-    df = outliers.iqr_filter(df, list(IQR_ORDER), IQR_FACTORS, sequential=iqr_sequential,
-                             method=median_method)
+    df = mark(outliers.iqr_filter(df, list(IQR_ORDER), IQR_FACTORS, sequential=iqr_sequential,
+                                  method=median_method), "iqr")
     df = text.normalize_category(df, "merchant_category", "title", CATEGORY_SENTINELS)
     df = impute.fill_mode(df, ["merchant_category", "transaction_hour"])
-    df = cleaning.keep_between(df, {"transaction_hour": (0, 23)})
+    df = mark(cleaning.keep_between(df, {"transaction_hour": (0, 23)}), "hour_range")
     return df.withColumns({c: F.col(c).cast("int") for c in
                            ("transaction_hour", "cardholder_age", "transaction_id")})
 

@@ -142,6 +142,18 @@ FROM g WHERE amount IS NOT NULL AND transaction_hour IS NOT NULL AND merchant_ca
   AND device_trust_score BETWEEN 0 AND 100 AND velocity_last_24h BETWEEN 0 AND 10"""
 
 
+def csv_stage_audit_sql() -> str:
+    body = csv_flow_sql()
+    head, final = body.rsplit("\nSELECT CAST(transaction_id AS INTEGER)", 1)
+    stages = [("read", "raw"), ("integral_id", "c1"), ("dedupe", "c2"), ("flags", "c4"), ("iqr", "c9"),
+              ("hour_range", "out")]
+    counts = " UNION ALL ".join(f"SELECT {i} AS stage_no, '{name}' AS stage, count(*) AS n FROM {t}"
+                                for i, (name, t) in enumerate(stages))
+    return (f"{head},\nout AS (SELECT CAST(transaction_id AS INTEGER){final}),\nst AS ({counts})\n"
+            "SELECT stage_no, stage, n AS rows, CAST(coalesce(lag(n) OVER (ORDER BY stage_no) - n, 0) AS BIGINT) "
+            "AS removed FROM st")
+
+
 def logs_flow_sql() -> str:
     return f"""WITH p AS ({PARSED})
 SELECT transaction_id, amount, transaction_hour, merchant_category, is_foreign_transaction, location_mismatch,
@@ -255,6 +267,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_csv_flow": csv_flow_sql(),
         "bronze_csv_flow": csv_flow_sql(),
         "bronze_json_flow": json_flow_sql(),
+        "csv_stage_audit": csv_stage_audit_sql(),
         "clean_logs_flow": logs_flow_sql(),
         "gold_union": gold_union_sql(),
         "coerce_numeric": WITH_CE + "SELECT event_id, value_num FROM coerced_events",
