@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 from medallion.operators import stats
 from medallion.operators.encode import assemble
 
+MAX_CLASSES = 1000
+
+
+def distinct_values(df: DataFrame, col, limit: int = MAX_CLASSES) -> list:
+    """The distinct values of a class column, refusing more than ``limit``."""
+    c = F.col(col) if isinstance(col, str) else col
+    vals = [r[0] for r in df.select(c.alias("__v")).distinct().limit(limit + 1).collect()]
+    if len(vals) > limit:
+        raise ValueError(f"more than {limit} distinct classes")
+    return vals
+
 
 def hash_unit(id_col: str, seed: int) -> Column:
     """Deterministic 32-bit hash of ``id:seed`` as a bigint (md5 prefix).
@@ -32,7 +43,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: floa
     no label (however large) is gathered into one task.
     """
     h = df.withColumn("__h", hash_unit(id_col, seed))
-    labels = [r[0] for r in h.select(label).distinct().collect()]
+    labels = distinct_values(h, label)
     thresholds = {}
     for lv in labels:
         part = h.where(F.col(label).eqNullSafe(F.lit(lv)))
@@ -105,9 +116,8 @@ def confusion_matrix(df: DataFrame, label: str, pred: str = "prediction",
     classifier); the grid itself is one grouped count per class pair.
     """
     if classes is None:
-        classes = sorted({r[0] for r in df.select(F.col(label).cast("int")).distinct().collect()}
-                         | {r[0] for r in df.select(F.col(pred).cast("int")).distinct().collect()}
-                         - {None})
+        classes = sorted(({*distinct_values(df, F.col(label).cast("int")),
+                           *distinct_values(df, F.col(pred).cast("int"))}) - {None})
     a, p = F.col(label).cast("int"), F.col(pred).cast("int")
     aggs = [F.count_if((a == F.lit(x)) & (p == F.lit(y))).alias(f"c_{i}_{j}")
             for i, x in enumerate(classes) for j, y in enumerate(classes)]
