@@ -53,8 +53,9 @@ def as_bool_cast(c) -> Column:
 
 
 def as_timestamp(c) -> Column:
-    """Text to timestamp, bad text -> null."""
-    return F.try_to_timestamp(_c(c).cast("string"))
+    """Text to a wall-clock timestamp (``timestamp_ntz``, read in the session time zone);
+    bad text -> null."""
+    return F.try_to_timestamp(_c(c).cast("string")).cast("timestamp_ntz")
 
 
 def bool_threshold(c, threshold: float = 0.5) -> Column:

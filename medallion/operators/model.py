@@ -100,12 +100,17 @@ def predict(model, df: DataFrame, features: Sequence[str], out: str = "predictio
 
 
 def prediction_counts(df: DataFrame, label: str, pred: str = "prediction") -> DataFrame:
-    """MOD-6: rows per class, actual vs predicted (one aggregate per side, joined on class)."""
-    a = df.groupBy(F.col(label).cast("double").alias("class")).agg(F.count("*").alias("actual"))
-    p = df.groupBy(F.col(pred).cast("double").alias("class")).agg(F.count("*").alias("predicted"))
-    return (a.join(p, "class", "full_outer")
-            .select("class", F.coalesce("actual", F.lit(0)).alias("actual"),
-                    F.coalesce("predicted", F.lit(0)).alias("predicted")).orderBy("class"))
+    """MOD-6: rows per class, actual vs predicted, in one grouped pass.
+
+    Each row is emitted twice by a generator (once tagged as its actual class,
+    once as its predicted class) and one grouped count gives both columns.
+    """
+    tagged = df.select(F.inline(F.array(
+        F.struct(F.col(label).cast("double").alias("class"), F.lit(1).alias("a"), F.lit(0).alias("p")),
+        F.struct(F.col(pred).cast("double").alias("class"), F.lit(0).alias("a"), F.lit(1).alias("p")))))
+    return (tagged.groupBy("class").agg(F.sum("a").cast("long").alias("actual"),
+                                       F.sum("p").cast("long").alias("predicted"))
+            .orderBy("class"))
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str = "prediction",
@@ -131,43 +136,44 @@ def classification_report(df: DataFrame, label: str, pred: str = "prediction",
                           classes: Sequence | None = None, digits: int = 6) -> DataFrame:
     """MOD-8: precision, recall, f1, support per class, then accuracy, macro and weighted avg.
 
-    One aggregate over the data; the report rows are derived from its counts
-    (0 when a divisor is 0).
+    One pass over the data (conditional counts per class); the report rows are
+    arithmetic on that single row (0 when a divisor is 0).
     """
-    cm = confusion_matrix(df, label, pred, classes)
-    a, p = F.col("actual"), F.col("predicted")
-    per = cm.groupBy(a.alias("c")).agg(F.sum(F.when(a == p, F.col("n"))).alias("tp"),
-                                       F.sum("n").alias("support"))
-    predicted = cm.groupBy(p.alias("c")).agg(F.sum("n").alias("pred_n"))
-    per = per.join(predicted, "c", "full_outer").select(
-        "c", F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("support", F.lit(0)).alias("support"),
-        F.coalesce("pred_n", F.lit(0)).alias("pred_n"))
-    prec = F.when(F.col("pred_n") > 0, F.col("tp") / F.col("pred_n")).otherwise(F.lit(0.0))
-    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
-    per = per.withColumn("precision", prec).withColumn("recall", rec).withColumn(
-        "f1", F.when(F.col("precision") + F.col("recall") > 0,
-                     2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
-        .otherwise(F.lit(0.0)))
-    classes_rows = per.select(F.col("c").cast("string").alias("class"), "precision", "recall", "f1",
-                              F.col("support").cast("long").alias("support"))
-    tot = per.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),
-                  F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-                  F.sum(F.col("precision") * F.col("support")).alias("wp"),
-                  F.sum(F.col("recall") * F.col("support")).alias("wr"),
-                  F.sum(F.col("f1") * F.col("support")).alias("wf"))
-    n = F.col("n")
-    summary = tot.select(F.inline(F.array(
-        F.struct(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-                 F.lit(None).cast("double").alias("recall"), (F.col("tp") / n).alias("f1"),
-                 n.cast("long").alias("support")),
-        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"),
-                 F.col("mr").alias("recall"), F.col("mf").alias("f1"), n.cast("long").alias("support")),
-        F.struct(F.lit("weighted avg").alias("class"), (F.col("wp") / n).alias("precision"),
-                 (F.col("wr") / n).alias("recall"), (F.col("wf") / n).alias("f1"),
-                 n.cast("long").alias("support")))))
-    out = classes_rows.unionByName(summary)
-    return out.select("class", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")],
-                      "support")
+    if classes is None:
+        classes = sorted(({*distinct_values(df, F.col(label).cast("int")),
+                           *distinct_values(df, F.col(pred).cast("int"))}) - {None})
+    a, p = F.col(label).cast("int"), F.col(pred).cast("int")
+    aggs = []
+    for i, c in enumerate(classes):
+        aggs += [F.count_if((a == F.lit(c)) & (p == F.lit(c))).alias(f"tp{i}"),
+                 F.count_if(a == F.lit(c)).alias(f"sup{i}"),
+                 F.count_if(p == F.lit(c)).alias(f"pr{i}")]
+    counts = df.agg(*aggs)
+
+    def ratio(x, y):
+        return F.when(y > 0, x / y).otherwise(F.lit(0.0))
+
+    prec = [ratio(F.col(f"tp{i}"), F.col(f"pr{i}")) for i in range(len(classes))]
+    rec = [ratio(F.col(f"tp{i}"), F.col(f"sup{i}")) for i in range(len(classes))]
+    f1 = [F.when(pr + rc > 0, 2 * pr * rc / (pr + rc)).otherwise(F.lit(0.0)) for pr, rc in zip(prec, rec)]
+    sup = [F.col(f"sup{i}") for i in range(len(classes))]
+    n = sum(sup[1:], sup[0])
+    tp = sum([F.col(f"tp{i}") for i in range(1, len(classes))], F.col("tp0"))
+    k = float(len(classes))
+
+    def row(name, pr_, rc_, f_, s_):
+        return F.struct(F.lit(name).alias("class"), F.round(pr_, digits).alias("precision"),
+                        F.round(rc_, digits).alias("recall"), F.round(f_, digits).alias("f1"),
+                        s_.cast("long").alias("support"))
+
+    def weighted(xs):
+        return sum([x * s_ for x, s_ in zip(xs[1:], sup[1:])], xs[0] * sup[0]) / n
+
+    rows = [row(str(c), prec[i], rec[i], f1[i], sup[i]) for i, c in enumerate(classes)]
+    rows += [row("accuracy", F.lit(None).cast("double"), F.lit(None).cast("double"), tp / n, n),
+             row("macro avg", sum(prec[1:], prec[0]) / k, sum(rec[1:], rec[0]) / k, sum(f1[1:], f1[0]) / k, n),
+             row("weighted avg", weighted(prec), weighted(rec), weighted(f1), n)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def feature_importances(spark, model, names: Sequence[str], k: int = 10) -> DataFrame:

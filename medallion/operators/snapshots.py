@@ -151,12 +151,16 @@ class VersionedTable:
     def _history_path(self) -> str:
         return f"{self.path}/_history"
 
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
     def history(self) -> DataFrame:
         """VER-1: version, ts, operation, rows_written, segments, params (newest first)."""
-        try:
-            h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self._history_path())
-        except Exception:  # noqa: BLE001 - no table yet
+        if not self._exists(self._history_path()):
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self._history_path())
         return h.orderBy(F.desc("version"))
 
     def _entry(self, version: int | None = None):
