@@ -124,6 +124,10 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], factors: float | Mapping[str,
             fv = fence_values(src, cols, factors, method, **kw)
             bounds = [(c, fv[c][2], fv[c][3]) for c in cols]
         else:
+            # filtering never raises a column's distinct count: one estimate on
+            # the input routes every later step
+            if method != "approx" and "cardinality" not in kw:
+                kw["cardinality"] = stats.counts_and_cardinality(src, cols)[1]
             bounds, cur = [], src
             for c in cols:
                 _, _, lo, hi = fence_values(cur, [c], factors, method, **kw)[c]

@@ -58,34 +58,58 @@ def counts_and_cardinality(df: DataFrame, cols: Sequence[str]) -> tuple[dict[str
     return ({c: int(row[f"{c}__n"]) for c in cols}, {c: int(row[f"{c}__d"]) for c in cols})
 
 
-def _histogram_ranks(df: DataFrame, need: dict[str, list[int]]) -> dict[str, dict[int, float]]:
-    """k-th smallest values of low-cardinality columns from a value histogram.
+def disc_rank(p: float, n: int) -> int:
+    """0-based rank of ``percentile_disc(p)`` among ``n`` sorted values."""
+    return max(0, math.ceil(p * n) - 1)
+
 
-    Values are counted per (column, value) (map-side combined), a running count
-    per column is taken over the bounded histogram, and one aggregate returns
-    only the requested ranks: the smallest value whose running count exceeds k.
+def _histogram_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                         method: str) -> dict[str, list]:
+    """Exact quantiles of low-cardinality columns from a value histogram, in one job chain.
+
+    Values are counted per (column, value) (map-side combined); over the bounded
+    histogram a window gives each value its running count and the column total;
+    one grouped aggregate then picks, per wanted rank k, the smallest value whose
+    running count exceeds k, and interpolates (``cont``).  Only one row per
+    column reaches the driver.
     """
-    cols = list(need)
+    cols = list(cols)
     long = (df.select(*[F.when(_valid(c), F.col(c).cast("double")).alias(c) for c in cols])
             .unpivot([], cols, "__c", "__v").where(F.col("__v").isNotNull()))
     hist = long.groupBy("__c", "__v").agg(F.count("*").alias("__n"))
-    w = Window.partitionBy("__c").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("__cum", F.sum("__n").over(w))
-    pairs = [(c, k) for c in cols for k in need[c]]
-    aggs = [F.min(F.when((F.col("__c") == F.lit(c)) & (F.col("__cum") > F.lit(k)), F.col("__v"))).alias(f"r{i}")
-            for i, (c, k) in enumerate(pairs)]
-    row = cum.agg(*aggs).first()
-    out: dict[str, dict[int, float]] = {c: {} for c in cols}
-    for i, (c, k) in enumerate(pairs):
-        out[c][k] = row[f"r{i}"]
+    upto = Window.partitionBy("__c").orderBy("__v").rowsBetween(Window.unboundedPreceding,
+                                                                Window.currentRow)
+    cum = (hist.withColumn("__cum", F.sum("__n").over(upto))
+           .withColumn("__tot", F.sum("__n").over(Window.partitionBy("__c"))))
+    tot = F.col("__tot").cast("double")
+    aggs = [F.max("__tot").alias("n")]
+    for i, p in enumerate(probs):
+        if method == "disc":
+            k = F.greatest(F.ceil(F.lit(float(p)) * tot) - 1, F.lit(0))
+            aggs.append(F.min(F.when(F.col("__cum") > k, F.col("__v"))).alias(f"lo{i}"))
+        else:
+            h = F.lit(float(p)) * (tot - F.lit(1.0))
+            aggs += [F.min(F.when(F.col("__cum") > F.floor(h), F.col("__v"))).alias(f"lo{i}"),
+                     F.min(F.when(F.col("__cum") > F.ceil(h), F.col("__v"))).alias(f"hi{i}")]
+    rows = {r["__c"]: r for r in cum.groupBy("__c").agg(*aggs).collect()}
+    out = {}
+    for c in cols:
+        r = rows.get(c)
+        if r is None:
+            out[c] = [None] * len(probs)
+            continue
+        vals = []
+        for i, p in enumerate(probs):
+            if method == "disc":
+                vals.append(r[f"lo{i}"])
+            else:
+                h = p * (r["n"] - 1)
+                lo, a, b = math.floor(h), r[f"lo{i}"], r[f"hi{i}"]
+                vals.append(a if math.ceil(h) == lo else a + (h - lo) * (b - a))
+        out[c] = vals
     return out
 
 
-def disc_rank(p: float, n: int) -> int:
-    """0-based rank of ``percentile_disc(p)`` among ``n`` sorted values."""
-    return max(0, math.ceil(p * n) - 1)
-
-
 def _kth_smallest(df: DataFrame, col: str, k: int, exact_limit: int, buckets: int):
     """k-th smallest (0-based) non-null value of ``col`` by histogram refinement."""
     v = F.col(col).cast("double")
@@ -148,8 +172,14 @@ def _combine(p: float, n: int, method: str, kth) -> float:
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               method: str = "cont", exact_limit: int = EXACT_LIMIT,
               accuracy: int = 10_000, buckets: int = BUCKETS,
-              hist_limit: int = HIST_LIMIT) -> dict[str, list]:
-    """Quantiles of each column -> ``{col: [q(p) for p in probs]}`` (None if empty)."""
+              hist_limit: int = HIST_LIMIT,
+              cardinality: dict[str, int] | None = None) -> dict[str, list]:
+    """Quantiles of each column -> ``{col: [q(p) for p in probs]}`` (None if empty).
+
+    ``cardinality``: known upper bounds of the distinct counts (e.g. measured on
+    a superset of the rows); columns within ``hist_limit`` then go straight to
+    the histogram route without a counting pass.
+    """
     cols, probs = list(cols), list(probs)
     if method == "approx":
         row = df.agg(*[
@@ -159,15 +189,20 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in cols}
     if method not in ("cont", "disc"):
         raise ValueError(f"unknown quantile method {method!r}")
-    n, distinct = counts_and_cardinality(df, cols)
-    out: dict[str, list] = {c: [None] * len(probs) for c in cols if not n[c]}
-    low = [c for c in cols if c not in out and distinct[c] <= hist_limit]
+    out: dict[str, list] = {}
+    known = cardinality or {}
+    pre = [c for c in cols if c in known and known[c] <= hist_limit]
+    if pre:
+        out.update(_histogram_quantiles(df, pre, probs, method))
+    rest = [c for c in cols if c not in out]
+    if not rest:
+        return out
+    n, distinct = counts_and_cardinality(df, rest)
+    out.update({c: [None] * len(probs) for c in rest if not n[c]})
+    low = [c for c in rest if c not in out and distinct[c] <= hist_limit]
     if low:
-        need = {c: sorted({k for p in probs for k in _ranks(p, n[c], method)}) for c in low}
-        kth = _histogram_ranks(df, need)
-        for c in low:
-            out[c] = [_combine(p, n[c], method, kth[c]) for p in probs]
-    small = [c for c in cols if c not in out and n[c] <= exact_limit]
+        out.update(_histogram_quantiles(df, low, probs, method))
+    small = [c for c in rest if c not in out and n[c] <= exact_limit]
     if small:
         # Exact ranks from Spark's quantile sketch: with accuracy >= 10 n its rank
         # error stays below 0.1, so asking for the mid-rank probability
@@ -184,7 +219,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 continue
             kth = dict(zip(need[c], row[c]))
             out[c] = [_combine(p, n[c], method, kth) for p in probs]
-    for c in [c for c in cols if c not in out]:
+    for c in [c for c in rest if c not in out]:
         cnt = n[c]
         kth = {k: _kth_smallest(df, c, k, exact_limit, buckets)
                for k in sorted({k for p in probs for k in _ranks(p, cnt, method)})}
