@@ -149,6 +149,15 @@ def gold_union(spark, sf_dir):
         "transaction_id", F.col("transaction_id").cast("string")), logs=clean_logs_flow(spark, sf_dir))
 
 
+@query
+def gold_latest(spark, sf_dir):
+    """Gold as the warehouse view: CSV + JSON + log silvers conformed, unified and
+    merged to one row per transaction id, highest source priority winning (UNI-1/2)."""
+    csv = clean_csv_flow(spark, sf_dir).withColumn("transaction_id", F.col("transaction_id").cast("string"))
+    js = flows.clean_json(event_json_docs(spark, sf_dir))
+    return flows.build_gold(csv=csv, json=js, logs=clean_logs_flow(spark, sf_dir), latest=True)
+
+
 # ----------------------------------------------------------------- coercion
 @query
 def coerce_numeric(spark, sf_dir):

@@ -174,6 +174,23 @@ SELECT transaction_id, amount, transaction_hour, merchant_category,
   velocity_last_24h, cardholder_age, CAST(is_fraud AS INTEGER), id_flag, 'logs', 3 FROM logs"""
 
 
+def gold_latest_sql() -> str:
+    return f"""WITH csv AS ({csv_flow_sql()}), js AS ({json_flow_sql()}), logs AS ({logs_flow_sql()}),
+u AS (SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, amount, transaction_hour, merchant_category,
+  foreign_transaction, location_mismatch, device_trust_score, velocity_last_24h, cardholder_age, is_fraud,
+  0 AS id_flag, 'csv' AS source, 1 AS priority FROM csv
+UNION ALL
+SELECT transaction_id, amount, transaction_hour, merchant_category, CAST(is_foreign_transaction AS INTEGER),
+  CAST(location_mismatch AS INTEGER), device_trust_score, velocity_last_24h, cardholder_age,
+  CAST(is_fraud AS INTEGER), id_flag, 'json', 2 FROM js
+UNION ALL
+SELECT transaction_id, amount, transaction_hour, merchant_category, CAST(is_foreign_transaction AS INTEGER),
+  CAST(location_mismatch AS INTEGER), CAST(device_trust_score AS DOUBLE), velocity_last_24h, cardholder_age,
+  CAST(is_fraud AS INTEGER), id_flag, 'logs', 3 FROM logs)
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY priority DESC) AS rn
+  FROM u) WHERE rn = 1"""
+
+
 def _quart(table, col, f, disc=False):
     q = "quantile_disc" if disc else "quantile_cont"
     return (f"SELECT '{col}' AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr, "
@@ -270,6 +287,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_stage_audit": csv_stage_audit_sql(),
         "clean_logs_flow": logs_flow_sql(),
         "gold_union": gold_union_sql(),
+        "gold_latest": gold_latest_sql(),
         "coerce_numeric": WITH_CE + "SELECT event_id, value_num FROM coerced_events",
         "coerce_int": f"WITH {DE} SELECT event_id, CAST(trunc({num('raw_hour')}) AS INTEGER) AS hour_int FROM dirty_events",
         "coerce_bool": f"WITH {DE} SELECT event_id, {boolset('raw_flag')} AS flag_set, {boolcast('raw_flag')} AS flag_cast FROM dirty_events",
