@@ -67,16 +67,23 @@ def _histogram_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
                          method: str) -> dict[str, list]:
     """Exact quantiles of low-cardinality columns from a value histogram, in one job chain.
 
-    Values are counted per (column, value) (map-side combined); over the bounded
-    histogram a window gives each value its running count and the column total;
-    one grouped aggregate then picks, per wanted rank k, the smallest value whose
-    running count exceeds k, and interpolates (``cont``).  Only one row per
-    column reaches the driver.
+    Values are counted per (column, value) (map-side combined).  ``cont``: one
+    grouped ``percentile(value, p, frequency)`` over the bounded histogram.
+    ``disc``: a window over the histogram gives running counts and totals, and
+    one grouped aggregate picks, per wanted rank k, the smallest value whose
+    running count exceeds k.  Only one row per column reaches the driver.
     """
     cols = list(cols)
     long = (df.select(*[F.when(_valid(c), F.col(c).cast("double")).alias(c) for c in cols])
             .unpivot([], cols, "__c", "__v").where(F.col("__v").isNotNull()))
     hist = long.groupBy("__c", "__v").agg(F.count("*").alias("__n"))
+    if method == "cont":
+        # exact interpolated quantiles straight from (value, frequency) pairs; the
+        # aggregation buffer holds at most the bounded histogram of one column
+        q = hist.groupBy("__c").agg(F.percentile(
+            "__v", F.array(*[F.lit(float(p)) for p in probs]), F.col("__n")).alias("q"))
+        got = {r["__c"]: list(r["q"]) for r in q.collect()}
+        return {c: got.get(c, [None] * len(probs)) for c in cols}
     upto = Window.partitionBy("__c").orderBy("__v").rowsBetween(Window.unboundedPreceding,
                                                                 Window.currentRow)
     cum = (hist.withColumn("__cum", F.sum("__n").over(upto))
