@@ -43,14 +43,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local runs, tests) a scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only a local-mode
+    session (tests, single-machine runs) without it gets a scratch folder; on a
+    cluster a machine-local folder would not be shared, so an unset setting is
+    an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = path.get() if path.isDefined() else None
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="medallion-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

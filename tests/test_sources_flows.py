@@ -102,3 +102,15 @@ def test_load_typed_sorted(spark, tmp_dir):
     assert bad.count() == 1
     assert [r.id for r in spark.read.parquet(tmp_dir + "/t").orderBy("id").collect()] == [1, 3]
     assert sinks.Layers("/x").path("gold", "t") == "/x/gold/t"
+
+
+def test_json_fixtures_without_mismatch_are_all_dropped(spark, tmp_dir):
+    """The shipped fixture documents carry no location_mismatch: the 6-column null rule drops them."""
+    docs = [_doc(i, f"TX-2024-0000000{i}") for i in range(1, 5)]
+    for d in docs:
+        del d["location"]["location_mismatch"]
+    _write(os.path.join(tmp_dir, "fx.json"), json.dumps(docs, indent=2))
+    raw = readers.read_json(spark, os.path.join(tmp_dir, "fx.json"))
+    assert raw.count() == 4
+    assert flows.clean_json(raw).count() == 0
+    assert flows.clean_json(raw, required=("amount",)).count() == 4
