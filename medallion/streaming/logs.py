@@ -4,9 +4,11 @@ The log operators are stateless per line (parse, score, relabel, flag), so the
 batch flow runs unchanged on ``readStream.text``.  Exact duplicate lines are
 dropped with ``dropDuplicatesWithinWatermark`` keyed by the whole parsed row;
 the watermark runs on the input file's modification time, which bounds the
-deduplication state.  Output goes through ``foreachBatch`` to an append-only
-Parquet folder (or any sink the caller passes), with the query checkpoint in
-the shared checkpoint folder so a restarted query resumes where it stopped.
+deduplication state.  Output goes through ``foreachBatch``: each micro-batch
+is written to its own ``epoch=N`` folder in overwrite mode, so a batch that is
+replayed after a failure replaces its earlier partial output instead of
+duplicating it (idempotent sink).  The query checkpoint belongs in the shared
+checkpoint folder, so a restarted query resumes where it stopped.
 """
 from __future__ import annotations
 
@@ -43,11 +45,11 @@ def clean_log_stream(lines: DataFrame, prefixes: Sequence[str] = (FRAUD_PREFIX,)
 def start_log_ingest(spark: SparkSession, source: str, target: str, checkpoint: str,
                      sink: Callable[[DataFrame, int], None] | None = None,
                      trigger_once: bool = False, **kw) -> StreamingQuery:
-    """Run the streaming flow; each micro-batch is appended to ``target`` as Parquet."""
+    """Run the streaming flow; micro-batch N is written (overwrite) to ``target/epoch=N``."""
     out = clean_log_stream(log_stream(spark, source), **kw)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.drop("file_time").write.mode("append").parquet(target)
+        batch.drop("file_time").write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
 
     w = out.writeStream.foreachBatch(sink or write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w

@@ -52,3 +52,23 @@ def test_stage_audit_counts_without_extra_scan(spark):
 def test_schema_report(spark):
     df = spark.createDataFrame([(1, "a")], "i int, s string")
     assert [tuple(r) for r in profile.schema_report(df).collect()] == [(0, "i", "int", True), (1, "s", "string", True)]
+
+
+def test_preview_sample_and_examples(spark):
+    from medallion.operators import outliers
+    df = spark.createDataFrame([(i, float(i), "b" if i % 2 else "a") for i in range(10)], "i int, v double, s string")
+    assert profile.preview(df, 3, ["i"]).columns == ["i"] and profile.preview(df, 3).count() == 3
+    assert [r.s for r in profile.distinct_sample(df, "s", 5).collect()] == ["a", "b"]
+    assert [r.v for r in outliers.outlier_examples(df, "v", 1.0, 7.0, 2).collect()] == [9.0, 8.0]
+    assert [tuple(r) for r in profile.class_balance(df, "s").collect()] == [("a", 5, 0.5), ("b", 5, 0.5)]
+
+
+def test_read_table_and_count_prefix(spark):
+    from medallion.operators import cleaning
+    from medallion.sources import readers
+    df = spark.createDataFrame([("TX-2024-41",), ("TX-2024-01",), (None,)], "id string")
+    df.createOrReplaceTempView("tx_view")
+    assert readers.read_table(spark, "tx_view").count() == 3
+    ints = spark.createDataFrame([(4,)], "id long")
+    got = {r.source: r.n_rows for r in cleaning.count_prefix({"a": df, "b": ints}, "id", "TX-2024-4").collect()}
+    assert got == {"a": 1, "b": 0}
