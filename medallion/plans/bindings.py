@@ -492,6 +492,16 @@ def relabel_by_prefix(spark, sf_dir):
     return d.select("transaction_id", "is_fraud")
 
 
+@query
+def relabel_rule_table(spark, sf_dir):
+    """SCR-3 with a rule table too large to inline (1,000 prefixes derived from ``orders``):
+    applied as an equi-join on the id prefix, never as a nested-loop match."""
+    rule_tab = table(spark, sf_dir, "orders").select(
+        F.format_string("TX-2024-0%05d", F.col("o_orderkey") % 1000).alias("prefix"))
+    d = rules.relabel_by_prefix(_parsed_events(spark, sf_dir), "transaction_id", rule_tab, "is_fraud", True)
+    return d.select("transaction_id", "is_fraud")
+
+
 @query
 def prefix_flag(spark, sf_dir):
     return rules.prefix_flag(dirty_events(spark, sf_dir), "tx_id", "TX-2024-4").select("tx_id", "id_flag")

@@ -372,6 +372,10 @@ SELECT event_id, coalesce(c.cat, (SELECT cat FROM m)) AS cat FROM c""",
 SELECT transaction_id, risk_score, CASE WHEN risk_score >= 0.65 THEN 'high' WHEN risk_score >= 0.35 THEN 'medium' ELSE 'low' END AS risk_band FROM s""",
         "relabel_by_prefix": f"""WITH p AS ({PARSED}) SELECT transaction_id,
   CASE WHEN starts_with(transaction_id, 'TX-2024-4') THEN true ELSE is_fraud END AS is_fraud FROM p""",
+        "relabel_rule_table": f"""WITH p AS ({PARSED}),
+r AS (SELECT DISTINCT printf('TX-2024-0%05d', o_orderkey % 1000) AS prefix FROM orders)
+SELECT transaction_id, CASE WHEN substr(transaction_id, 1, 14) IN (SELECT prefix FROM r) THEN true
+  ELSE is_fraud END AS is_fraud FROM p""",
         "prefix_flag": f"WITH {DE} SELECT tx_id, CAST(coalesce(starts_with(tx_id, 'TX-2024-4'), false) AS INTEGER) AS id_flag FROM dirty_events",
         "dedupe_rows": "SELECT DISTINCT text, lang, source FROM documents",
         "dedupe_by_key": """SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM (SELECT *, row_number() OVER
