@@ -50,3 +50,14 @@ def test_rebalance_rate(spark):
     out = model.rebalance(df, "y", "id", 0.15)
     c = dict(out.groupBy("y").count().collect())
     assert c[1] == 200 and abs(c[1] / (c[0] + c[1]) - 0.15) < 0.03
+
+
+def test_model_frame_and_numeric_index(spark):
+    df = spark.createDataFrame([("1.5", True, 3, "x"), ("abc", False, 4, "y"), ("2", None, 5, "z")],
+                               "a string, b boolean, h int, id string")
+    mf = encode.model_frame(df, drop=["id"]).collect()
+    assert [tuple(r) for r in mf] == [(1.5, 1.0, 3.0)]
+    hours = spark.createDataFrame([(23,), (7,), (7,), (None,)], "h int")
+    assert [r.h_idx for r in encode.index_category(hours, "h").collect()] == [1.0, 0.0, 0.0, 2.0]
+    v = encode.assemble(spark.createDataFrame([(1.0, 2.0)], "x double, y double"), ["x", "y"]).first()
+    assert list(v.features) == [1.0, 2.0]
