@@ -13,7 +13,8 @@ probabilities), which then enter later plans as literals.
   ``exact_limit`` values the needed ranks come exactly from one
   ``percentile_approx`` pass whose accuracy (10 n) keeps the rank error below
   0.1 (primitive sketch buffers, several times faster than the boxed map of the
-  exact ``percentile`` aggregate).  Above the limit the k-th values are found by iterative histogram
+  exact ``percentile`` aggregate).  Above the limit the k-th values (all wanted
+  ranks of a column together) are found by iterative histogram
   refinement: each round buckets the remaining candidate range by approximate
   split points, counts per bucket (a distributed aggregate of at most
   ``buckets`` rows) and narrows to the bucket holding the wanted rank, until the
@@ -117,47 +118,76 @@ def _histogram_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
     return out
 
 
-def _kth_smallest(df: DataFrame, col: str, k: int, exact_limit: int, buckets: int):
-    """k-th smallest (0-based) non-null value of ``col`` by histogram refinement."""
+def _kth_smallest_many(df: DataFrame, col: str, ks: Sequence[int], exact_limit: int,
+                       buckets: int) -> dict[int, float]:
+    """k-th smallest (0-based) non-null values of ``col`` for several ranks at once.
+
+    Histogram refinement, all pending ranks per round: every row is tagged with
+    the ranks whose candidate range ``[lo, hi)`` contains it; one grouped
+    ``percentile_approx`` pass gives each rank its bucket edges, one grouped
+    count gives each rank its bucket sizes (at most ``buckets`` rows per rank
+    reach the driver).  A rank is done when its bucket holds a single value
+    (a hot value ends the search at once) or at most ``exact_limit`` rows,
+    where an ordered offset picks the value.
+    """
     v = F.col(col).cast("double")
     base = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    lo, hi = None, None  # candidate range lo <= v < hi (None = unbounded)
-    while True:
+    state = {k: [None, None, k] for k in set(ks)}  # rank -> [lo, hi, k within range]
+    out: dict[int, float] = {}
+    probs = [i / buckets for i in range(1, buckets)]
+
+    def in_range(lo, hi):
         cond = F.lit(True)
         if lo is not None:
             cond = cond & (F.col("v") >= F.lit(lo))
         if hi is not None:
             cond = cond & (F.col("v") < F.lit(hi))
-        cand = base.where(cond)
-        probs = [i / buckets for i in range(1, buckets)]
-        edges = sorted(set(cand.approxQuantile("v", probs, 1.0 / (4 * buckets))))
-        bucket = F.lit(len(edges))
-        for i in range(len(edges) - 1, -1, -1):
-            bucket = F.when(F.col("v") < F.lit(edges[i]), F.lit(i)).otherwise(bucket)
-        hist = (cand.groupBy(bucket.alias("b"))
-                .agg(F.count("*").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                .orderBy("b").collect())
-        seen = 0
-        for row in hist:
-            if seen + row["n"] > k:
-                break
-            seen += row["n"]
-        else:
-            raise ValueError("rank outside the data")
-        k -= seen
-        if row["mn"] == row["mx"]:
-            return row["mn"]
-        b = row["b"]
-        new_lo = edges[b - 1] if b > 0 else lo
-        new_hi = edges[b] if b < len(edges) else hi
-        if row["n"] <= exact_limit or (new_lo, new_hi) == (lo, hi):
-            sub = cand
-            if new_lo is not None:
-                sub = sub.where(F.col("v") >= F.lit(new_lo))
-            if new_hi is not None:
-                sub = sub.where(F.col("v") < F.lit(new_hi))
-            return sub.orderBy("v").offset(k).limit(1).first()["v"]
-        lo, hi = new_lo, new_hi
+        return cond
+
+    while state:
+        pending = sorted(state)
+        tags = F.array_compact(F.array(*[F.when(in_range(*state[r][:2]), F.lit(r)) for r in pending]))
+        cand = base.select("v", F.explode(tags).alias("__r"))
+        edge_rows = (cand.groupBy("__r")
+                     .agg(F.percentile_approx("v", F.array(*[F.lit(p) for p in probs]), 4 * buckets)
+                          .alias("e")).collect())
+        edges = {r["__r"]: sorted(set(r["e"] or [])) for r in edge_rows}
+        bucket = F.lit(0)
+        for r in pending:
+            e = edges.get(r, [])
+            b = F.lit(len(e))
+            for i in range(len(e) - 1, -1, -1):
+                b = F.when(F.col("v") < F.lit(e[i]), F.lit(i)).otherwise(b)
+            bucket = F.when(F.col("__r") == F.lit(r), b).otherwise(bucket)
+        hist: dict[int, list] = {}
+        for row in (cand.groupBy("__r", bucket.alias("b"))
+                    .agg(F.count("*").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+                    .collect()):
+            hist.setdefault(row["__r"], []).append(row)
+        for r in pending:
+            lo, hi, k = state[r]
+            seen, row = 0, None
+            for row in sorted(hist.get(r, []), key=lambda x: x["b"]):
+                if seen + row["n"] > k:
+                    break
+                seen += row["n"]
+            else:
+                raise ValueError("rank outside the data")
+            k -= seen
+            e = edges.get(r, [])
+            b = row["b"]
+            new_lo = e[b - 1] if b > 0 else lo
+            new_hi = e[b] if b < len(e) else hi
+            if row["mn"] == row["mx"]:
+                out[r] = row["mn"]
+            elif row["n"] <= exact_limit or (new_lo, new_hi) == (lo, hi):
+                out[r] = (base.where(in_range(new_lo, new_hi)).orderBy("v")
+                          .offset(k).limit(1).first()["v"])
+            else:
+                state[r] = [new_lo, new_hi, k]
+                continue
+            del state[r]
+    return {k: out[k] for k in ks}
 
 
 def _ranks(p: float, n: int, method: str) -> list[int]:
@@ -228,8 +258,8 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             out[c] = [_combine(p, n[c], method, kth) for p in probs]
     for c in [c for c in rest if c not in out]:
         cnt = n[c]
-        kth = {k: _kth_smallest(df, c, k, exact_limit, buckets)
-               for k in sorted({k for p in probs for k in _ranks(p, cnt, method)})}
+        kth = _kth_smallest_many(df, c, sorted({k for p in probs for k in _ranks(p, cnt, method)}),
+                                 exact_limit, buckets)
         out[c] = [_combine(p, cnt, method, kth) for p in probs]
     return out
 
