@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 
-def _order_struct(order: Sequence) -> Column:
+def _order_struct(order: Sequence, keep: str) -> Column:
+    """Ordering key for min_by/max_by where null order values never win."""
     parts = []
     for i, o in enumerate(order):
         c = F.col(o) if isinstance(o, str) else o
-        parts.append(c.alias(f"o{i}"))
+        flag = c.isNull() if keep == "first" else c.isNotNull()
+        parts += [flag.alias(f"n{i}"), c.alias(f"o{i}")]
     return F.struct(*parts)
 
 
@@ -25,9 +27,10 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence | N
       key out of the comparison; one arbitrary row of each group survives);
     * keys without order: one arbitrary row per key (``dropDuplicates``);
     * keys with order: the row with the smallest (``keep="first"``) or largest
-      order survives, deterministically, via ``min_by``/``max_by`` of the whole
-      row; the aggregate combines map-side, so a hot key is reduced per task
-      before the shuffle.
+      order survives via ``min_by``/``max_by`` of the whole row (null order
+      values never win; make the order unique within a key, e.g. with a
+      tiebreak column, for a deterministic survivor); the aggregate combines
+      map-side, so a hot key is reduced per task before the shuffle.
     """
     if keys is None:
         if ignore:
@@ -43,7 +46,7 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence | N
         return df.groupBy(*keys).agg(agg(others[0]).alias(others[0])).select(*df.columns)
     row = F.struct(*[F.col(c) for c in others])
     pick = F.min_by if keep == "first" else F.max_by
-    agg = df.groupBy(*keys).agg(pick(row, _order_struct(order)).alias("__row"))
+    agg = df.groupBy(*keys).agg(pick(row, _order_struct(order, keep)).alias("__row"))
     return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
 
 

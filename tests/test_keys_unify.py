@@ -57,3 +57,10 @@ def test_unify_latest_unique(spark, rows):
     for r in out:
         best = max((p, i) for i, (k, p) in enumerate(rows) if str(k) == r.id)
         assert (r.priority, r.t) == best
+
+
+def test_dedupe_null_order_never_wins(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 3, 3), ("b", None, 4)], "k string, o int, v int")
+    first = {r.k: r.v for r in keys.dedupe(df, ["k"], order=["o"]).collect()}
+    last = {r.k: r.v for r in keys.dedupe(df, ["k"], order=["o"], keep="last").collect()}
+    assert first == {"a": 3, "b": 4} and last == {"a": 2, "b": 4}
