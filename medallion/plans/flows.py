@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.functions import coerce as fx
 from medallion.operators import cleaning, impute, keys, outliers, rules, text, unify
 from medallion.operators.profile import StageAudit
 from medallion.sources.schemas import GOLD_SCHEMA, JSON_FLATTEN

@@ -1,7 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from medallion.plans import flows
 from medallion.sources import readers, sinks
