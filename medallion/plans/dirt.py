@@ -95,6 +95,9 @@ def sql_select(rules: dict[str, str], keep=("event_id",)) -> str:
     return ", ".join([*keep, *[f"{sql} AS {name}" for name, sql in rules.items()]])
 
 
+# Fixed value: document lines cut short (unreadable JSON) by key rule.
+EVENT_JSON_TRUNCATED = "event_id % 997 = 0"
+
 # Leaves of the nested transaction JSON rendered from ``events``
 # (all text except the fraud label and schema_version).  ``cardholder`` is a
 # null struct when ``event_id % 31 = 0``; the timestamp is rendered per dialect.

@@ -7,7 +7,8 @@ DuckDB's boolean cast is narrower: explicit ``CASE``).
 """
 from __future__ import annotations
 
-from medallion.plans.dirt import EVENT_CSV, EVENT_DIRT, EVENT_JSON, EVENT_JSON_NULL_CARDHOLDER, sql_select
+from medallion.plans.dirt import (EVENT_CSV, EVENT_DIRT, EVENT_JSON, EVENT_JSON_NULL_CARDHOLDER,
+                                  EVENT_JSON_TRUNCATED, sql_select)
 
 NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -114,8 +115,9 @@ SELECT CAST(transaction_id AS INTEGER) AS transaction_id, amount,
 FROM c11 WHERE transaction_hour BETWEEN 0 AND 23"""
 
 
-def json_flow_sql() -> str:
+def json_flow_sql(unreadable_dropped: bool = False) -> str:
     x = EVENT_JSON
+    readable = f"WHERE NOT ({EVENT_JSON_TRUNCATED})" if unreadable_dropped else ""
     nc = EVENT_JSON_NULL_CARDHOLDER
 
     def i(e):
@@ -130,7 +132,7 @@ def json_flow_sql() -> str:
   {num(x['ip_risk_score'])} AS ip_risk_score, {x['city']} AS city, {x['country']} AS country,
   {boolset(x['is_foreign_transaction'])} AS is_foreign_transaction,
   {boolset(x['location_mismatch'])} AS location_mismatch, {x['method']} AS auth_method,
-  {i(x['failed_attempts'])} AS failed_attempts, {x['is_fraud']} AS is_fraud FROM events),
+  {i(x['failed_attempts'])} AS failed_attempts, {x['is_fraud']} AS is_fraud FROM events {readable}),
 f AS (SELECT * FROM j WHERE transaction_id IS NOT NULL),
 g AS (SELECT * REPLACE (coalesce(amount, (SELECT avg(amount) FROM f)) AS amount) FROM f)
 SELECT * REPLACE (round(amount, 6) AS amount,
@@ -283,7 +285,7 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {
         "clean_csv_flow": csv_flow_sql(),
         "bronze_csv_flow": csv_flow_sql(),
-        "bronze_json_flow": json_flow_sql(),
+        "bronze_json_flow": json_flow_sql(unreadable_dropped=True),
         "csv_stage_audit": csv_stage_audit_sql(),
         "clean_logs_flow": logs_flow_sql(),
         "gold_union": gold_union_sql(),
