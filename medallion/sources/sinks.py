@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.cleaning import conform, split_conformed
@@ -28,17 +29,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int
 
 def load_typed(df: DataFrame, path: str, schema: T.StructType, order_by: Sequence[str],
                partitions: int | None = None, mode: str = "overwrite",
-               quarantine_path: str | None = None) -> DataFrame:
+               quarantine_path: str | None = None, tiebreak: bool = True) -> DataFrame:
     """SNK-5: conform to ``schema``, range-partition and sort by ``order_by``, write Parquet.
 
     Rows that violate the schema go to ``quarantine_path`` (when given) instead
     of the table.  Sorted files give tight min/max statistics, so later
-    filters on the order key skip files.  Returns the quarantined rows.
+    filters on the order key skip files.  With ``tiebreak`` a row hash extends
+    the range and sort keys, so one order-key value holding a large share of
+    the rows is spread over several partitions instead of one write task.
+    Returns the quarantined rows.
     """
     conformed = conform(df, schema)
     good, bad = split_conformed(conformed)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (good.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    keys = [F.col(c) for c in order_by]
+    if tiebreak:
+        keys.append(F.xxhash64(*[F.col(c) for c in good.columns]))
+    (good.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
      .write.mode(mode).parquet(path))
     if quarantine_path:
         bad.write.mode(mode).parquet(quarantine_path)

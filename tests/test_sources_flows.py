@@ -130,3 +130,15 @@ def test_spread_guard_is_a_no_op_on_split_inputs(spark, tmp_dir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert "RoundRobinPartitioning" in plan(readers.read_parquet(spark, one, spread=True, min_partitions=4))
     assert "RoundRobinPartitioning" not in plan(readers.read_parquet(spark, one))
+
+
+def test_load_typed_splits_a_hot_key(spark, tmp_dir):
+    from pyspark.sql import types as T
+    df = spark.range(3000).selectExpr("CAST(CASE WHEN id < 1000 THEN 7 ELSE id END AS STRING) AS k",
+                                     "CAST(id AS STRING) AS v")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    sinks.load_typed(df, tmp_dir + "/hot", schema, ["k"], partitions=6)
+    from pyspark.sql import functions as F
+    per_file = spark.read.parquet(tmp_dir + "/hot").groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) >= 4 and max(r["count"] for r in per_file) < 1000
+    assert spark.read.parquet(tmp_dir + "/hot").count() == 3000
