@@ -51,7 +51,8 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence | N
 
 
 def resequence(df: DataFrame, order: Sequence[str], out: str = "seq", start: int = 1,
-               partitions: int | None = None, path: str | None = None) -> DataFrame:
+               partitions: int | None = None, path: str | None = None,
+               tiebreak: bool = True) -> DataFrame:
     """WIN-1: dense key ``start..start+n-1`` following ``order`` (nulls first).
 
     Instead of an unpartitioned ``row_number()`` (which moves every row to one
@@ -62,7 +63,10 @@ def resequence(df: DataFrame, order: Sequence[str], out: str = "seq", start: int
     written table fixes the partitioning, so nothing depends on a second
     evaluation of the range sampling and lost executors are harmless.
     Per-partition row counts (one number per partition, read from two small
-    columns) give each partition its offset; no shuffle follows.
+    columns) give each partition its offset; no shuffle follows.  With
+    ``tiebreak`` a row hash extends the order, so rows with equal keys are
+    numbered in a fixed order and a hot key value is split across partitions
+    (rows that tie on the hash as well are identical).
     """
     from medallion.session import scratch_path
 
@@ -71,6 +75,8 @@ def resequence(df: DataFrame, order: Sequence[str], out: str = "seq", start: int
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or scratch_path(spark, f"resequence-{uuid.uuid4().hex}")
     ordering = [F.asc_nulls_first(c) for c in order]
+    if tiebreak:
+        ordering.append(F.asc(F.xxhash64(*[F.col(c) for c in df.columns])))
     # the range sampling pass and the write pass both read the input: keep it
     # (memory and disk; lost blocks are recomputed from the lineage)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -64,3 +64,12 @@ def test_dedupe_null_order_never_wins(spark):
     first = {r.k: r.v for r in keys.dedupe(df, ["k"], order=["o"]).collect()}
     last = {r.k: r.v for r in keys.dedupe(df, ["k"], order=["o"], keep="last").collect()}
     assert first == {"a": 3, "b": 4} and last == {"a": 2, "b": 4}
+
+
+def test_resequence_hot_key_spreads_and_is_repeatable(spark):
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("v"))
+    a = keys.resequence(df, ["k"], "seq", partitions=6)
+    b = keys.resequence(df, ["k"], "seq", partitions=6)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert sorted(r.seq for r in a.collect()) == list(range(1, 3001))
