@@ -31,14 +31,18 @@ def log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None
 
 
 def clean_log_stream(lines: DataFrame, prefixes: Sequence[str] = (FRAUD_PREFIX,),
-                     watermark: str = "1 hour") -> DataFrame:
-    """Parse -> score -> relabel -> flag -> drop duplicates within the watermark."""
+                     watermark: str = "1 hour", dedupe_on: Sequence[str] | None = None) -> DataFrame:
+    """Parse -> score -> relabel -> flag -> drop duplicates within the watermark.
+
+    Duplicates are exact rows by default; ``dedupe_on`` (e.g. the transaction id)
+    keeps the first row per key instead (DED-2 on a stream).
+    """
     df = text.parse_logs(lines, keep=["file_time"])
     df = df.where(F.col("transaction_id").isNotNull() & F.col("amount").isNotNull())
     df = rules.risk_score(df, "ip_risk_score")
     df = rules.relabel_by_prefix(df, "transaction_id", list(prefixes), "is_fraud", True)
     df = rules.prefix_flag(df, "transaction_id", FRAUD_PREFIX, "id_flag")
-    cols = [c for c in df.columns if c != "file_time"]
+    cols = list(dedupe_on) if dedupe_on else [c for c in df.columns if c != "file_time"]
     return df.withWatermark("file_time", watermark).dropDuplicatesWithinWatermark(cols)
 
 

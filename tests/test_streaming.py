@@ -21,3 +21,14 @@ def test_stream_ingest_dedupes_and_resumes(spark, tmp_dir):
     q = start_log_ingest(spark, src, dst, ck, trigger_once=True)
     q.awaitTermination(120)
     assert spark.read.parquet(dst).count() == 3
+
+
+def test_stream_dedupe_by_key(spark, tmp_dir):
+    src, dst, ck = (os.path.join(tmp_dir, x) for x in ("src", "dst", "ck"))
+    os.makedirs(src)
+    other = LINE.format(n=1).replace("User=42", "User=43")   # same id, different row
+    with open(os.path.join(src, "a.log"), "w") as f:
+        f.write("\n".join([LINE.format(n=1), other, LINE.format(n=2)]) + "\n")
+    q = start_log_ingest(spark, src, dst, ck, trigger_once=True, dedupe_on=["transaction_id"])
+    q.awaitTermination(120)
+    assert spark.read.parquet(dst).count() == 2
