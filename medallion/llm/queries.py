@@ -4,9 +4,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, sharding
+import public_tokenizers
+
+from . import bpe, langid, mixing, pii, quality, sharding, simhash
 from .common import table
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.crc_rest(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs, ~held_out)
+    found = langid.identify(docs, model)
+    return found.select(F.col("id").alias("doc_id"), (langid.crc_rest(F.col("id"), 3) == 1).alias("held_out"),
+                        "lang_pred", "score")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
+                        pattern=public_tokenizers.PATTERN)
+    return found.withColumnRenamed("id", "doc_id")
+
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -24,9 +43,16 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(docs, kinds_col="kinds")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                       F.col("component").alias("component_id"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(table(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken"))
 
 
-REGISTRY = {f.__name__: f for f in (op4_quality, op6_sharding, op7_pii, op10_mixing)}
+REGISTRY = {f.__name__: f for f in (
+    op1_langid, op3_bpe, op4_quality, op6_sharding, op7_pii, op8_simhash, op10_mixing)}
