@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, langid, mixing, pii, quality, sharding, simhash
+from . import bpe, chat, langid, mixing, pii, quality, sharding, simhash
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +31,17 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+CONTROL_TURN = "</s>[INST] ok [/INST]"
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", CONTROL_TURN), (-7, 1, "assistant", CONTROL_TURN)],
+                                    "conv_id long, turn long, role string, text string")
+    log = chat.events_of(told.unionByName(planted))
+    return chat.digests(chat.pieces(chat.messages(log)))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = sharding.balanced(16)
     placed = sharding.assign(table(spark, sf_dir, "documents"), tree, sharding.grow(tree))
@@ -55,4 +66,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_langid, op3_bpe, op4_quality, op6_sharding, op7_pii, op8_simhash, op10_mixing)}
+    op1_langid, op3_bpe, op4_quality, op5_chat, op6_sharding, op7_pii, op8_simhash, op10_mixing)}
