@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, langid, mixing, pii, quality, sharding, simhash
+from . import bpe, chat, langid, mixing, pii, quality, sharding, simhash, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -60,10 +60,19 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("component").alias("component_id"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), langid.crc_rest(F.col("id"), 5) != 0)
+    scored = toxicity.score(docs, model)
+    return scored.select(F.col("id").alias("doc_id"), (langid.crc_rest(F.col("id"), 5) == 0).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(table(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken"))
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_langid, op3_bpe, op4_quality, op5_chat, op6_sharding, op7_pii, op8_simhash, op10_mixing)}
+    op1_langid, op3_bpe, op4_quality, op5_chat, op6_sharding, op7_pii, op8_simhash, op9_toxicity,
+    op10_mixing)}
