@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +66,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables under the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors (once per application).
+
+    Python functions that run in tasks are found there by import; a cluster
+    needs no installed copy.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_medallion_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="medallion-src-"), "medallion-src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in sorted(os.walk(here)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("medallion", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    sc._medallion_shipped = True
