@@ -37,6 +37,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 #: The pattern that :func:`split_words` follows (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LONG = 64
@@ -331,7 +333,7 @@ def _mapped(docs: DataFrame, vocab_path: str, columns: list, text_col: str, fiel
                 kept = [b.column(i).slice(at, len(texts)) for i in range(k)]
                 yield pa.RecordBatch.from_arrays([*kept, *make(codec, texts)], names=names)
 
-    return src.mapInArrow(run, ", ".join([*head, fields]))
+    return map_arrow(src, run, ", ".join([*head, fields]))
 
 
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -359,3 +361,15 @@ def digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col:
                 pa.array([hashlib.sha256(d).hexdigest() for d in decoded])]
     return _mapped(docs, vocab_path, [F.col(f"`{id_col}`").alias("id")], text_col,
                    "n_tokens long, ids_sha256 string, decoded_sha256 string", pattern, make)
+
+
+def tokenized(docs: DataFrame, vocab_path: str, columns: list[str], text_col: str = "text",
+              pattern: str = PATTERN) -> DataFrame:
+    """``columns`` of every row with n_tokens, ids and the digest of the decoded bytes."""
+    def make(codec: Codec, texts: list[str]) -> list[pa.Array]:
+        encoded = codec.encode(texts)
+        ids = [np.frombuffer(e, dtype="<u4").astype(np.int32) for e in encoded]
+        return [pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+                pa.array([hashlib.sha256(d).hexdigest() for d in codec.decode(encoded)])]
+    return _mapped(docs, vocab_path, [F.col(f"`{c}`") for c in columns], text_col,
+                   "n_tokens long, ids array<int>, decoded_sha256 string", pattern, make)

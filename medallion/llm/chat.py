@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import map_arrow, scratch
 
 CONTROL = ["[INST]", "[/INST]", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[MSG]", "[ROLE]", "[/MSG]"]
 _ESCAPE = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
@@ -197,7 +197,7 @@ def messages(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
             .sortWithinPartitions("conv_id", "seg", F.col("seq").desc_nulls_first(), F.col("msg").desc_nulls_first(),
                                   rank.desc(), F.col("role").desc(), F.col("text").desc())
             .select("conv_id", "seg", "msg", "kind", "role", "text"))
-    parts = scratch(back.mapInArrow(lambda b: _batches(fold_back(_rows(b)), _PARTS, 7), PART_SCHEMA), "chat-parts")
+    parts = scratch(map_arrow(back, lambda b: _batches(fold_back(_rows(b)), _PARTS, 7), PART_SCHEMA), "chat-parts")
     segs = log.groupBy("conv_id", "seg").agg(
         F.min(F.when(F.col("kind").isin("edit", "regenerate"), F.col("msg"))).alias("cut"))
     later = Window.partitionBy("conv_id").orderBy(F.col("seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -213,7 +213,7 @@ def messages(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
         torn = (alive.join(loose, on, "left_semi").repartition("conv_id", "msg")
                 .sortWithinPartitions("conv_id", "msg", "seg", "ord"))
         whole = alive.join(loose, on, "left_anti").unionByName(
-            torn.mapInArrow(lambda b: _batches(_joined(_rows(b)), _PARTS, 7), PART_SCHEMA))
+            map_arrow(torn, lambda b: _batches(_joined(_rows(b)), _PARTS, 7), PART_SCHEMA))
     return whole.where("started").select("conv_id", "seg", "ord", "msg", "role", "text")
 
 
@@ -225,7 +225,7 @@ def pieces(final: DataFrame) -> DataFrame:
                 yield conv, seg, ord_, role, *render(role, text)
         return _batches(rendered(), _PIECES, 4)
 
-    return final.select("conv_id", "seg", "ord", "role", "text").mapInArrow(run, PIECE_SCHEMA)
+    return map_arrow(final.select("conv_id", "seg", "ord", "role", "text"), run, PIECE_SCHEMA)
 
 
 def digests(rendered: DataFrame) -> DataFrame:
@@ -265,4 +265,4 @@ def digests(rendered: DataFrame) -> DataFrame:
 
     in_order = (rendered.repartition("conv_id").sortWithinPartitions("conv_id", "seg", "ord")
                 .select("conv_id", "piece", "loss_start", "loss_end"))
-    return in_order.mapInArrow(run, schema)
+    return map_arrow(in_order, run, schema)

@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.session import ensure_checkpoint_dir
+from medallion.session import ensure_checkpoint_dir, ship_package
 
 #: ASCII white space that separates words: space and U+0009..U+000D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -33,6 +33,18 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package's source on the executors."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def map_pandas(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInPandas`` with this package's source on the executors."""
+    ship_package(df.sparkSession)
+    return df.mapInPandas(run, schema)
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Delete a table that :func:`scratch` wrote and that nothing reads any more."""
     path = getattr(df, "_scratch_path", None)

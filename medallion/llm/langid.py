@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import map_arrow, map_pandas
+
 UNDECIDED = "und"
 WINDOW = 128
 EMBED = 8
@@ -171,7 +173,7 @@ def sample_windows(docs: DataFrame, learn: Column, text_col: str = "text", lang_
             yield pd.DataFrame(out, columns=["lang", "h", "w"])
 
     first = Window.partitionBy("lang").orderBy("h", "w")
-    return (share.mapInPandas(run, "lang string, h long, w binary").withColumn("k", F.row_number().over(first))
+    return (map_pandas(share, run, "lang string, h long, w binary").withColumn("k", F.row_number().over(first))
             .where(F.col("k") <= per_lang).select("lang", "h", "w").toPandas()
             .sort_values(["lang", "h", "w"], ignore_index=True)[["lang", "w"]])
 
@@ -238,7 +240,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     t = F.col(f"`{text_col}`")
     src = docs.select(F.col(f"`{id_col}`").alias("id"), t.cast("binary").alias("t"), t.rlike(r"\p{L}").alias("letter"))
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(_predictor(model, ["id"]), f"id {kind}, lang_pred string, score double")
+    return map_arrow(src, _predictor(model, ["id"]), f"id {kind}, lang_pred string, score double")
 
 
 def identified(docs: DataFrame, model: Model | None, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -253,7 +255,7 @@ def identified(docs: DataFrame, model: Model | None, min_score: float = 0.5, tex
     src = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)],
                       t.cast("binary").alias("t"), t.rlike(r"\p{L}").alias("letter"))
     schema = ", ".join(f"{i} {docs.schema[k].dataType.simpleString()}" for k, i in enumerate(inner))
-    out = src.mapInArrow(_predictor(model, inner), f"{schema}, lang_pred string, score double")
+    out = map_arrow(src, _predictor(model, inner), f"{schema}, lang_pred string, score double")
     out = out.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= min_score))
     return out.select(*[F.col(i).alias(c) for c, i in zip(names, inner)])
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, langid, mixing, pii, quality, sharding, simhash, toxicity
+from . import bpe, chat, hnsw, langid, mixing, pii, quality, sharding, simhash, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,12 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return near.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+                       F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
                         pattern=public_tokenizers.PATTERN)
@@ -74,5 +80,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_langid, op3_bpe, op4_quality, op5_chat, op6_sharding, op7_pii, op8_simhash, op9_toxicity,
+    op1_langid, op2_embedding_dedup, op3_bpe, op4_quality, op5_chat, op6_sharding, op7_pii, op8_simhash, op9_toxicity,
     op10_mixing)}

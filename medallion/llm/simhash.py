@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, scratch, small_side
+from .common import drop_scratch, map_arrow, map_pandas, scratch, small_side
 from .components import components
 
 SHINGLE = 3
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))],
                                              names=["id", "th", "fp"])
 
-    return src.mapInArrow(run, f"id {kind}, th long, fp long")
+    return map_arrow(src, run, f"id {kind}, th long, fp long")
 
 
 # ---- bit-sliced comparison -------------------------------------------------------------------
@@ -210,7 +210,7 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK)
         if rest is not None:
             yield from _compare(rest, radius)
 
-    return (cells.select("n", "key", "i", "j", "part", "fp").mapInPandas(run, "a long, b long"))
+    return map_pandas(cells.select("n", "key", "i", "j", "part", "fp"), run, "a long, b long")
 
 
 def lanes_within(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import map_arrow, scratch
 
 PER_LABEL = 3000
 MIN_TEXTS = 6       # toxic texts that a learned pattern needs
@@ -204,7 +204,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     pos, neg = total.get(True, 0), total.get(False, 0)
     if not pos or not neg:
         return Lexicon(dict(SEED_INSULTS), {})
-    forms = (sample.mapInArrow(run, "form string, toxic long, n long").groupBy("form")
+    forms = (map_arrow(sample, run, "form string, toxic long, n long").groupBy("form")
              .agg(F.sum(F.col("toxic") * F.col("n")).alias("a"), F.sum((1 - F.col("toxic")) * F.col("n")).alias("b"))
              .withColumn("w", F.log((F.col("a") + 0.5) / (pos + 1.0)) - F.log((F.col("b") + 0.5) / (neg + 1.0)))
              .where((F.col("a") >= MIN_TEXTS) & (F.col("w") >= MIN_WEIGHT)))
@@ -222,7 +222,7 @@ def _feature_rows(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
         for b in batches:
             x = [reader.features(t).tolist() for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1)], names=["x", "toxic"])
-    return texts.select("text", "toxic").mapInArrow(run, "x array<double>, toxic int")
+    return map_arrow(texts.select("text", "toxic"), run, "x array<double>, toxic int")
 
 
 def _logistic(z: np.ndarray) -> np.ndarray:
@@ -270,4 +270,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             s = _logistic(x @ model.weights + model.offset)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["id", "score"])
 
-    return src.mapInArrow(run, f"id {kind}, score double")
+    return map_arrow(src, run, f"id {kind}, score double")
