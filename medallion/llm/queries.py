@@ -34,7 +34,9 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept")
 
 
 CONTROL_TURN = "</s>[INST] ok [/INST]"
