@@ -1,0 +1,273 @@
+"""Mixing, sharding, quality rules and pseudonyms."""
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from medallion.llm import mixing, oracles, pii, quality, queries, sharding
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def rows_of(df, columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.select(*columns).collect()), key=str)
+
+
+def oracle(sql, tables=("documents", "embeddings", "conversations")):
+    c = duckdb.connect()
+    for t in tables:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    q = c.sql(sql)
+    return list(q.columns), sorted(q.fetchall(), key=str)
+
+
+@pytest.mark.parametrize("name", sorted(oracles.SQL))
+def test_oracle_parity(spark, name):
+    columns, want = oracle(oracles.SQL[name])
+    assert rows_of(queries.REGISTRY[name](spark, SF), columns) == want
+
+
+@pytest.mark.parametrize("name", ["op4_quality", "op6_sharding", "op7_pii", "op10_mixing"])
+def test_native_plans_have_no_python(spark, name):
+    plan = queries.REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# ---- mixing ----
+
+def _water(sizes, weights=(1, 2, 3), cap=3):
+    """Targets by resharing the excess again and again."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, open_, out = float(sum(sizes.values())), set(names), {}
+    while open_:
+        total = sum(w[s] for s in open_)
+        full = [s for s in open_ if left * w[s] / total > cap * sizes[s]]
+        if not full:
+            out.update({s: left * w[s] / total for s in open_})
+            break
+        for s in full:
+            out[s] = float(cap * sizes[s])
+            open_.discard(s)
+        left -= sum(out[s] for s in full)
+    return out
+
+
+def test_mix_edge_rows(edge_docs, no_docs):
+    out = mixing.mix(edge_docs).collect()
+    assert len(out) == 13
+    assert all(r["taken"] % r["size"] == 0 and r["taken"] <= 3 * r["size"] if r["size"] else r["taken"] == 0 for r in out)
+    sizes = defaultdict(int)
+    for r in out:
+        sizes[r["source"]] += r["size"]
+    want = _water(sizes)
+    assert {r["source"]: r["target"] for r in out} == pytest.approx(want)
+    assert mixing.mix(no_docs).count() == 0
+
+
+def test_mix_meets_targets_with_hot_source(spark):
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.expr("concat('s', if(id % 3 = 0, 0, id % 7))").alias("source"),
+        F.expr("repeat('w ', cast(1 + id % 40 as int))").alias("text"))
+    out = mixing.mix(docs).groupBy("source").agg(
+        F.first("target").alias("target"), F.sum("taken").alias("taken"), F.first("source_size").alias("n")).collect()
+    for r in out:
+        assert abs(r["taken"] - r["target"]) <= 40, r
+    again = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken")).collect()
+    assert {r["source"]: r["taken"] for r in again} == {r["source"]: r["taken"] for r in out}
+
+
+def test_mix_thresholds_are_nested(spark):
+    rows = spark.range(3000).select(F.lit("s").alias("source"), F.expr("1 + id % 9").alias("size"),
+                                    F.substring(F.md5(F.col("id").cast("string")), 1, 15).alias("h"))
+    total = rows.agg(F.sum("size")).first()[0]
+    taken = []
+    for share in (0.0, 0.1, 0.5, 0.9):
+        plan = spark.createDataFrame([("s", total, total * share)], "source string, source_size long, target double")
+        s = mixing.thresholds(rows, plan).withColumnRenamed("source", "_s")
+        got = rows.join(s, F.col("_s") == F.col("source")).withColumn("c", mixing._copies()).where("c > 0")
+        taken.append({r["h"] for r in got.collect()})
+        assert abs((got.agg(F.sum("size")).first()[0] or 0) - total * share) <= 9
+    assert taken[0] <= taken[1] <= taken[2] <= taken[3]
+
+
+def test_mix_tie_group_is_not_split(spark):
+    docs = spark.createDataFrame([(1, "a b", "x")] * 5 + [(2, "a b", "y")] * 5, "doc_id long, text string, source string")
+    per = {r["source"]: r for r in mixing.mix(docs).groupBy("source").agg(F.collect_set("copies").alias("c")).collect()}
+    assert all(len(r["c"]) == 1 for r in per.values())
+
+
+def test_resample_repeats_rows_and_keeps_columns(edge_docs):
+    out = mixing.resample(edge_docs)
+    assert out.columns == edge_docs.columns
+    want = Counter()
+    for r in mixing.mix(edge_docs).collect():
+        want[(r["id"], r["source"])] += r["copies"]
+    got = Counter((r["doc_id"], r["source"]) for r in out.collect())
+    assert got == +want
+
+
+# ---- sharding ----
+
+def test_shards_move_only_into_the_new_one(spark):
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    tree = sharding.balanced(16)
+    out = sharding.assign(docs, tree, sharding.grow(tree))
+    moved = out.where("shard <> grown_shard").groupBy("grown_shard").count().collect()
+    assert [r["grown_shard"] for r in moved] == [16] and 700 < moved[0]["count"] < 1700
+    n = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert len(n) == 16 and min(n) > 1000 and max(n) < 1500
+
+
+def test_weights_move_rows_only_in_their_subtree(spark):
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    tree = sharding.balanced(16)
+    heavy = [x._replace(weight=2.0) if x.shard == 5 else x for x in tree]
+    out = sharding.assign(docs, tree, heavy).where("shard <> grown_shard")
+    # inside the other rack of the region and the other region nothing changes places
+    assert out.where("grown_shard > 7").count() == 0
+    assert out.where("shard < 4 and grown_shard < 4").count() == 0
+    share = sharding.assign(docs, heavy).where("shard = 5").count() / 20000
+    assert abs(share - 2 / 17) < 0.01
+
+
+def test_manifest_edge_rows(edge_docs, no_docs):
+    tree = sharding.balanced(3, per_rack=2, racks_per_region=1)
+    out = sharding.manifest(sharding.assign(edge_docs, tree, sharding.grow(tree)), cell_hex=1, chunk=1).collect()
+    assert len(out) == 13
+    texts = Counter()
+    for r in edge_docs.collect():
+        t = (r["text"] or "").encode()
+        texts[(r["doc_id"], len(t) + 1, zlib.crc32(t))] += 1
+    assert Counter((r["id"], r["size"], r["text_crc32"]) for r in out) == texts
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sharding.manifest(sharding.assign(no_docs, tree)).count() == 0
+
+
+def test_write_shards(spark, edge_docs, tmp_dir):
+    sharding.write_shards(edge_docs.drop("shard"), f"{tmp_dir}/out", sharding.balanced(4))
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 13
+
+
+# ---- quality rules ----
+
+def _counts(text):
+    t = text or ""
+    w = WORD.findall(t)
+    grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    n = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if n[g] > 1 for k in range(3)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_counts_against_brute_force(edge_docs, no_docs):
+    out = quality.judge(edge_docs).collect()
+    assert len(out) == 13
+    got = Counter((r["id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in out)
+    assert got == Counter((r["doc_id"], *_counts(r["text"])) for r in edge_docs.collect())
+    for r in out:
+        assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
+        assert not (r["base_failed"] and r["kept"])
+    assert quality.judge(no_docs).count() == 0
+
+
+def test_fences_follow_the_group(spark):
+    """The same symbols are ordinary in one source and stand out in another."""
+    rows = []
+    for i in range(120):
+        rows.append((i, " ".join(f"w{i}x{j}" for j in range(60)) + (" #" * 4 if i % 2 else " #" * 3), "en", "code"))
+        rows.append((1000 + i, " ".join(f"w{i}y{j}" for j in range(60)), "en", "prose"))
+    body = " ".join(f"z{j}" for j in range(200))
+    rows += [(5000, body + " #" * 30, "en", "code"), (6000, body + " #" * 30, "en", "prose")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r["id"]: r for r in quality.judge(docs).collect()}
+    assert out[5000]["max_symbol_ratio"] > out[6000]["max_symbol_ratio"]
+    assert not out[6000]["kept"] and all(out[i]["kept"] for i in range(120)) and all(out[1000 + i]["kept"] for i in range(120))
+
+
+def test_sketches_merge(edge_docs):
+    f = quality.features(edge_docs)
+    whole = rows_of(quality.sketch(f), ["lang", "source", "metric", "bucket", "n"])
+    parts = quality.sketch(f.where("n_words > 8")).unionByName(quality.sketch(f.where("n_words <= 8")))
+    merged = parts.groupBy("lang", "source", "metric", "bucket").agg(F.sum("n").alias("n"))
+    assert rows_of(merged, ["lang", "source", "metric", "bucket", "n"]) == whole
+
+
+# ---- pseudonyms ----
+
+def _feistel(symbols, bases, kind, key):
+    s, n = list(symbols), len(symbols)
+    half = n // 2
+    for r in range(pii.ROUNDS):
+        low, high = (0, half) if r % 2 == 0 else (half, n)
+        other = s[half:] if r % 2 == 0 else s[:half]
+        text = ",".join([key, kind, str(n), str(r), ",".join(map(str, other))])
+        d = "".join(hashlib.sha512(f"{text},{c}".encode()).hexdigest() for c in range(max(high - low - 1, 0) // 16 + 1))
+        for i in range(low, high):
+            s[i] = (s[i] + int(d[(i - low) * 8:(i - low) * 8 + 8], 16)) % bases[i]
+    return s
+
+
+def _luhn(d):
+    return sum((x * 2 - 9 * (x > 4)) if i % 2 else x for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
+
+
+def test_pseudonyms_against_brute_force(spark):
+    values = ["4111111111111111", "4111 1111 1111 1111", "4111111111111112", "97.51.17.173", "300.1.1.1", "+1 (974) 555-3436",
+              "und.34@mail7.example.com", "1987-02-28", "1987-02-30", "31/12/1999", "123-45-6789", "GB82WEST12345698765432",
+              "GB83WEST12345698765432", "04dbebab91ab85687d33eeaaf9ac699e1188f962"]
+    docs = spark.createDataFrame([(i, f"see {v} now") for i, v in enumerate(values)], "doc_id long, text string")
+    out = [r["text"][4:-4] for r in pii.pseudonymize(docs, key="k").orderBy("doc_id").collect()]
+    new = dict(zip(values, out))
+    for same in ("4111111111111112", "300.1.1.1", "1987-02-30", "GB83WEST12345698765432"):
+        assert new[same] == same
+    for v in set(values) - {"4111111111111112", "300.1.1.1", "1987-02-30", "GB83WEST12345698765432"}:
+        assert new[v] != v
+        shape = lambda x: re.sub("[a-z]", "a", re.sub("[0-9]", "9", x))
+        if "." not in v.replace(".34@", "@") and not re.fullmatch("[0-9a-f]{40}", v):
+            assert shape(new[v])[-4:] == shape(v)[-4:] and len(new[v]) == len(v)
+    payload = _feistel(list(map(int, "411111111111111")), [10] * 15, "card", "k")
+    assert new["4111111111111111"][:15] == "".join(map(str, payload)) and _luhn(new["4111111111111111"])
+    assert new["4111 1111 1111 1111"].replace(" ", "") == new["4111111111111111"]
+    assert new["97.51.17.173"] == ".".join(map(str, _feistel([97, 51, 17, 173], [256] * 4, "ip", "k")))
+    import datetime as dt
+    day = (dt.date(1987, 2, 28) - dt.date(1600, 1, 1)).days
+    a, b = _feistel([day // 773, day % 773], [189, 773], "date", "k")
+    assert new["1987-02-28"] == str(dt.date(1600, 1, 1) + dt.timedelta(a * 773 + b))
+    iban = new["GB82WEST12345698765432"]
+    moved = iban[4:] + iban[:4]
+    assert int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
+
+
+def test_feistel_is_a_permutation(spark):
+    out = spark.range(256 * 4).select(pii.feistel(
+        F.array((F.col("id") / 32).cast("int"), (F.col("id") % 32).cast("int")), F.array(F.lit(32), F.lit(32)),
+        F.lit("t"), "k").alias("v"))
+    got = [tuple(r["v"]) for r in out.collect()]
+    assert sorted(got) == [(a, b) for a in range(32) for b in range(32)]
+
+
+def test_pseudonyms_edge_rows(edge_docs, no_docs):
+    out = pii.pseudonymize(edge_docs, kinds_col="size")
+    assert set(out.columns) == set(edge_docs.columns)
+    assert rows_of(out, ["doc_id", "text"]) == rows_of(edge_docs, ["doc_id", "text"])
+    assert all(r["size"] == [] for r in out.collect())
+    assert pii.pseudonymize(no_docs).count() == 0
+
+
+def test_equal_values_stay_linked(spark):
+    docs = spark.createDataFrame([(1, "a 97.51.17.173, x@y.org"), (2, "(97.51.17.173) X@Y.org 97.51.17.173"), (3, None)],
+                                 "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in pii.pseudonymize(docs).collect()}
+    ip = out[1].split()[1].rstrip(",")
+    assert out[2].count(ip) == 2 and out[3] is None and "97.51" not in out[2]
+    assert out[1].split()[2].lower() == out[2].split()[1].lower()
