@@ -68,9 +68,10 @@ def outlier_report(df: DataFrame, cols: Sequence[str], factor=1.5, method: str =
 
 
 def outlier_examples(df: DataFrame, col: str, lo: float, hi: float, n: int = 10) -> DataFrame:
-    """PRF-9: the largest offending values first (a top-k report)."""
+    """PRF-9: the largest offending values first (a top-k report; ties by the other columns)."""
     v = F.col(col)
-    return df.where((v < lo) | (v > hi)).orderBy(F.desc(col)).limit(n)
+    ties = [F.asc_nulls_first(c) for c in df.columns if c != col]
+    return df.where((v < lo) | (v > hi)).orderBy(F.desc(col), *ties).limit(n)
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], factor: float = 1.5, method: str = "cont",
@@ -79,8 +80,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], factor: float = 1.5, method: s
     q = stats.quantiles(df, cols, [0.25, 0.5, 0.75], method=method, **kw)
     aggs, meta = [], []
     for i, c in enumerate(cols):
-        q1, med, q3 = q[c]
-        lo, hi = q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+        q1, med, q3 = q[c]  # None for a column without values: all its figures are null
+        lo, hi = (None, None) if q1 is None else (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
         v = F.col(c).cast("double")
         aggs += [F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}"),
                  F.min(F.when(v >= F.lit(lo), v)).alias(f"wl{i}"),
@@ -110,24 +111,21 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], factors: float | Mapping[str,
     Null values fail the closed-range test unless ``keep_nulls``.
 
     The fences become literals, so the returned plan is a single fused filter
-    over the input.  With ``persist`` the input is kept (memory and disk) only
-    while the dependent statistics passes run, and released before returning.
+    over the input.  With ``persist`` the fenced columns are kept (memory and disk)
+    only while the dependent statistics passes run, and released before returning.
     """
     def inside(c, lo, hi):
         v = F.col(c)
         test = (v >= F.lit(lo)) & (v <= F.lit(hi))
         return (v.isNull() | test) if keep_nulls else F.coalesce(test, F.lit(False))
 
-    src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
+    narrow = df.select(*[F.col(c) for c in dict.fromkeys(cols)])
+    src = narrow.persist(StorageLevel.MEMORY_AND_DISK) if persist else narrow
     try:
         if not sequential:
             fv = fence_values(src, cols, factors, method, **kw)
             bounds = [(c, fv[c][2], fv[c][3]) for c in cols]
         else:
-            # filtering never raises a column's distinct count: one estimate on
-            # the input routes every later step
-            if method != "approx" and "cardinality" not in kw:
-                kw["cardinality"] = stats.counts_and_cardinality(src, cols)[1]
             bounds, cur = [], src
             for c in cols:
                 _, _, lo, hi = fence_values(cur, [c], factors, method, **kw)[c]

@@ -6,21 +6,18 @@ probabilities), which then enter later plans as literals.
 * ``method="approx"``: one ``percentile_approx`` aggregate for all columns
   (bounded sketch per task).
 * ``method="cont"`` (linear interpolation, = pandas / DuckDB ``quantile_cont``)
-  and ``method="disc"`` (element at rank ``ceil(p*n)``, = ``percentile_disc``):
-  one pass counts the values (and estimates distinct values) per column.
-  Low-cardinality columns (at most ``HIST_LIMIT`` distinct values) are answered
-  exactly from a value histogram.  For other columns with at most
-  ``exact_limit`` values the needed ranks come exactly from one
-  ``percentile_approx`` pass whose accuracy (10 n) keeps the rank error below
-  0.1 (primitive sketch buffers, several times faster than the boxed map of the
-  exact ``percentile`` aggregate).  Above the limit the k-th values (all wanted
-  ranks of a column together) are found by iterative histogram
-  refinement: each round buckets the remaining candidate range by approximate
-  split points, counts per bucket (a distributed aggregate of at most
-  ``buckets`` rows) and narrows to the bucket holding the wanted rank, until the
-  bucket holds one distinct value or at most ``exact_limit`` rows, where an
-  ordered offset picks the value.  Memory per task stays bounded and a hot value
-  (one value holding a third of the rows) ends the search at once.
+  and ``method="disc"`` (element at rank ``ceil(p*n)``, = ``percentile_disc``)
+  are exact, by one algorithm for every size and distribution.  Each wanted rank
+  has an open interval of values that holds it.  A round takes a sketch of the
+  values inside the intervals and reads from it, for each rank, three edges: the
+  value near the rank and one on either side beyond the sketch's rank error.  A
+  second pass counts the values below, equal to and above every edge.  A rank
+  that falls on an edge is found, however many rows hold that value; otherwise
+  its interval shrinks to that between two edges, a few ``1 / accuracy`` of the
+  rows.  An interval with at most ``accuracy / 4`` rows is answered by the sketch
+  itself, whose rank error is then below one half.  Both passes are single wide
+  aggregates over the narrow columns: no sort, no shuffle of rows, and one
+  bounded sketch per rank and task.
 
 NaN is treated as missing (policy: NaN -> null at ingestion).
 """
@@ -29,167 +26,28 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EXACT_LIMIT = 5_000_000
-BUCKETS = 128
-# columns with at most this many (approximately counted) distinct values take
-# the histogram route; the histogram of one column is at most ~1.1x this size
-HIST_LIMIT = 50_000
+ACCURACY = 10_000
 
 
-def _valid(c: str):
-    col = F.col(c).cast("double")
-    return col.isNotNull() & ~F.isnan(col)
+def _value(c: str) -> Column:
+    """The column as double; null where it is missing or NaN."""
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    row = df.agg(*[F.count_if(_valid(c)).alias(c) for c in cols]).first()
+    row = df.agg(*[F.count(_value(c)).alias(c) for c in cols]).first()
     return {c: int(row[c]) for c in cols}
 
 
-def counts_and_cardinality(df: DataFrame, cols: Sequence[str]) -> tuple[dict[str, int], dict[str, int]]:
-    """Valid-value count and approximate distinct count per column, one aggregate."""
-    aggs = []
-    for c in cols:
-        aggs += [F.count_if(_valid(c)).alias(f"{c}__n"),
-                 F.approx_count_distinct(F.when(_valid(c), F.col(c).cast("double")), 0.05).alias(f"{c}__d")]
-    row = df.agg(*aggs).first()
-    return ({c: int(row[f"{c}__n"]) for c in cols}, {c: int(row[f"{c}__d"]) for c in cols})
-
-
 def disc_rank(p: float, n: int) -> int:
     """0-based rank of ``percentile_disc(p)`` among ``n`` sorted values."""
     return max(0, math.ceil(p * n) - 1)
 
 
-def _histogram_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                         method: str) -> dict[str, list]:
-    """Exact quantiles of low-cardinality columns from a value histogram, in one job chain.
-
-    Values are counted per (column, value) (map-side combined).  ``cont``: one
-    grouped ``percentile(value, p, frequency)`` over the bounded histogram.
-    ``disc``: a window over the histogram gives running counts and totals, and
-    one grouped aggregate picks, per wanted rank k, the smallest value whose
-    running count exceeds k.  Only one row per column reaches the driver.
-    """
-    cols = list(cols)
-    long = (df.select(*[F.when(_valid(c), F.col(c).cast("double")).alias(c) for c in cols])
-            .unpivot([], cols, "__c", "__v").where(F.col("__v").isNotNull()))
-    hist = long.groupBy("__c", "__v").agg(F.count("*").alias("__n"))
-    if method == "cont":
-        # exact interpolated quantiles straight from (value, frequency) pairs; the
-        # aggregation buffer holds at most the bounded histogram of one column
-        q = hist.groupBy("__c").agg(F.percentile(
-            "__v", F.array(*[F.lit(float(p)) for p in probs]), F.col("__n")).alias("q"))
-        got = {r["__c"]: list(r["q"]) for r in q.collect()}
-        return {c: got.get(c, [None] * len(probs)) for c in cols}
-    upto = Window.partitionBy("__c").orderBy("__v").rowsBetween(Window.unboundedPreceding,
-                                                                Window.currentRow)
-    cum = (hist.withColumn("__cum", F.sum("__n").over(upto))
-           .withColumn("__tot", F.sum("__n").over(Window.partitionBy("__c"))))
-    tot = F.col("__tot").cast("double")
-    aggs = [F.max("__tot").alias("n")]
-    for i, p in enumerate(probs):
-        if method == "disc":
-            k = F.greatest(F.ceil(F.lit(float(p)) * tot) - 1, F.lit(0))
-            aggs.append(F.min(F.when(F.col("__cum") > k, F.col("__v"))).alias(f"lo{i}"))
-        else:
-            h = F.lit(float(p)) * (tot - F.lit(1.0))
-            aggs += [F.min(F.when(F.col("__cum") > F.floor(h), F.col("__v"))).alias(f"lo{i}"),
-                     F.min(F.when(F.col("__cum") > F.ceil(h), F.col("__v"))).alias(f"hi{i}")]
-    rows = {r["__c"]: r for r in cum.groupBy("__c").agg(*aggs).collect()}
-    out = {}
-    for c in cols:
-        r = rows.get(c)
-        if r is None:
-            out[c] = [None] * len(probs)
-            continue
-        vals = []
-        for i, p in enumerate(probs):
-            if method == "disc":
-                vals.append(r[f"lo{i}"])
-            else:
-                h = p * (r["n"] - 1)
-                lo, a, b = math.floor(h), r[f"lo{i}"], r[f"hi{i}"]
-                vals.append(a if math.ceil(h) == lo else a + (h - lo) * (b - a))
-        out[c] = vals
-    return out
-
-
-def _kth_smallest_many(df: DataFrame, col: str, ks: Sequence[int], exact_limit: int,
-                       buckets: int) -> dict[int, float]:
-    """k-th smallest (0-based) non-null values of ``col`` for several ranks at once.
-
-    Histogram refinement, all pending ranks per round: every row is tagged with
-    the ranks whose candidate range ``[lo, hi)`` contains it; one grouped
-    ``percentile_approx`` pass gives each rank its bucket edges, one grouped
-    count gives each rank its bucket sizes (at most ``buckets`` rows per rank
-    reach the driver).  A rank is done when its bucket holds a single value
-    (a hot value ends the search at once) or at most ``exact_limit`` rows,
-    where an ordered offset picks the value.
-    """
-    v = F.col(col).cast("double")
-    base = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    state = {k: [None, None, k] for k in set(ks)}  # rank -> [lo, hi, k within range]
-    out: dict[int, float] = {}
-    probs = [i / buckets for i in range(1, buckets)]
-
-    def in_range(lo, hi):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("v") >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col("v") < F.lit(hi))
-        return cond
-
-    while state:
-        pending = sorted(state)
-        tags = F.array_compact(F.array(*[F.when(in_range(*state[r][:2]), F.lit(r)) for r in pending]))
-        cand = base.select("v", F.explode(tags).alias("__r"))
-        edge_rows = (cand.groupBy("__r")
-                     .agg(F.percentile_approx("v", F.array(*[F.lit(p) for p in probs]), 4 * buckets)
-                          .alias("e")).collect())
-        edges = {r["__r"]: sorted(set(r["e"] or [])) for r in edge_rows}
-        bucket = F.lit(0)
-        for r in pending:
-            e = edges.get(r, [])
-            b = F.lit(len(e))
-            for i in range(len(e) - 1, -1, -1):
-                b = F.when(F.col("v") < F.lit(e[i]), F.lit(i)).otherwise(b)
-            bucket = F.when(F.col("__r") == F.lit(r), b).otherwise(bucket)
-        hist: dict[int, list] = {}
-        for row in (cand.groupBy("__r", bucket.alias("b"))
-                    .agg(F.count("*").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                    .collect()):
-            hist.setdefault(row["__r"], []).append(row)
-        for r in pending:
-            lo, hi, k = state[r]
-            seen, row = 0, None
-            for row in sorted(hist.get(r, []), key=lambda x: x["b"]):
-                if seen + row["n"] > k:
-                    break
-                seen += row["n"]
-            else:
-                raise ValueError("rank outside the data")
-            k -= seen
-            e = edges.get(r, [])
-            b = row["b"]
-            new_lo = e[b - 1] if b > 0 else lo
-            new_hi = e[b] if b < len(e) else hi
-            if row["mn"] == row["mx"]:
-                out[r] = row["mn"]
-            elif row["n"] <= exact_limit or (new_lo, new_hi) == (lo, hi):
-                out[r] = (base.where(in_range(new_lo, new_hi)).orderBy("v")
-                          .offset(k).limit(1).first()["v"])
-            else:
-                state[r] = [new_lo, new_hi, k]
-                continue
-            del state[r]
-    return {k: out[k] for k in ks}
-
-
 def _ranks(p: float, n: int, method: str) -> list[int]:
     if method == "disc":
         return [disc_rank(p, n)]
@@ -206,62 +64,128 @@ def _combine(p: float, n: int, method: str, kth) -> float:
     return a if lo == hi else a + (h - lo) * (b - a)
 
 
+class _Interval:
+    """Values of a column strictly between ``lo`` and ``hi``: ``size`` rows, ``below`` rows under them."""
+
+    def __init__(self, col: str, lo, hi, below: int, size: int | None):
+        self.col, self.lo, self.hi, self.below, self.size = col, lo, hi, below, size
+
+    def inside(self) -> Column:
+        v = F.col(f"`{self.col}`")
+        cond = v.isNotNull()
+        if self.lo is not None:
+            cond = cond & (v > F.lit(self.lo))
+        if self.hi is not None:
+            cond = cond & (v < F.lit(self.hi))
+        return cond
+
+
+def _sketched(base: DataFrame, asked: list[tuple[_Interval, list[float]]], accuracy: int, count: Sequence[str] = ()):
+    """The sketch's values at the asked probabilities of each interval, and row counts of ``count``."""
+    aggs = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(count)]
+    some = F.lit(False)
+    for i, (iv, probs) in enumerate(asked):
+        inside = iv.inside()
+        some = some | inside
+        aggs.append(F.percentile_approx(F.when(inside, F.col(f"`{iv.col}`")),
+                                        F.array(*[F.lit(p) for p in probs]), accuracy).alias(f"q{i}"))
+    row = (base if count else base.where(some)).agg(*aggs).first()
+    return [row[f"q{i}"] for i in range(len(asked))], {c: int(row[f"n{i}"]) for i, c in enumerate(count)}
+
+
+def _counted(base: DataFrame, edges: list[tuple[_Interval, list[float]]]) -> list[list[tuple[int, int]]]:
+    """(rows of the interval below an edge, rows equal to it) for every edge."""
+    aggs, some = [], F.lit(False)
+    for i, (iv, es) in enumerate(edges):
+        inside, v = iv.inside(), F.col(f"`{iv.col}`")
+        some = some | inside
+        for j, e in enumerate(es):
+            aggs += [F.count_if(inside & (v < F.lit(e))).alias(f"b{i}_{j}"),
+                     F.count_if(v == F.lit(e)).alias(f"e{i}_{j}")]
+    row = base.where(some).agg(*aggs).first()
+    return [[(int(row[f"b{i}_{j}"]), int(row[f"e{i}_{j}"])) for j in range(len(es))] for i, (_, es) in enumerate(edges)]
+
+
+def _edges_around(at: float, accuracy: int) -> list[float]:
+    """Probabilities of the three edges for a rank at this share of an interval."""
+    slack = 2.0 / accuracy
+    return [max(0.0, at - slack), min(1.0, max(0.0, at)), min(1.0, at + slack)]
+
+
+def _select(df: DataFrame, cols: list[str], probs: list[float], method: str, accuracy: int) -> dict[str, list]:
+    base = df.select(*[_value(c).alias(c) for c in cols])
+    whole = {c: _Interval(c, None, None, 0, None) for c in cols}
+    first = [p for at in probs for p in _edges_around(at, accuracy)]
+    sketched, n = _sketched(base, [(whole[c], first) for c in cols], accuracy, cols)
+    kth: dict[tuple[str, int], float] = {}
+    wanted: dict[tuple[str, int], _Interval] = {}
+    edges: list[tuple[_Interval, list[float]]] = []
+    for c, q in zip(cols, sketched):
+        whole[c].size = n[c]
+        if n[c]:
+            edges.append((whole[c], sorted(set(q))))
+            for p in probs:
+                wanted.update({(c, k): whole[c] for k in _ranks(p, n[c], method)})
+    while wanted:
+        # count around the edges and narrow every rank's interval
+        found = {id(iv): (iv, es, got) for (iv, es), got in zip(edges, _counted(base, edges))}
+        fresh: dict[tuple, _Interval] = {}
+        for (c, k), iv in list(wanted.items()):
+            _, es, got = found[id(iv)]
+            lo, below, hi, upto = iv.lo, iv.below, iv.hi, iv.below + iv.size
+            for e, (b, same) in zip(es, got):
+                if k < iv.below + b:
+                    hi, upto = e, iv.below + b
+                    break
+                if k < iv.below + b + same:
+                    kth[(c, k)] = e
+                    break
+                lo, below = e, iv.below + b + same
+            if (c, k) in kth:
+                del wanted[(c, k)]
+            else:
+                wanted[(c, k)] = fresh.setdefault((c, lo, hi), _Interval(c, lo, hi, below, upto - below))
+        if not wanted:
+            break
+        # sketch the intervals that are left; small ones are answered by it
+        of: dict[int, tuple[_Interval, list[tuple[str, int]]]] = {}
+        for key, iv in wanted.items():
+            of.setdefault(id(iv), (iv, []))[1].append(key)
+        asked = []
+        for iv, keys in of.values():
+            shares = [(k - iv.below + 0.5) / iv.size for _, k in keys]
+            small = 4 * iv.size <= accuracy
+            asked.append((iv, shares if small else [p for s in shares for p in _edges_around(s, accuracy)]))
+        values, _ = _sketched(base, asked, accuracy)
+        edges = []
+        for (iv, keys), q in zip(of.values(), values):
+            if 4 * iv.size <= accuracy:
+                for key, v in zip(keys, q):
+                    kth[key] = v
+                    del wanted[key]
+            else:
+                edges.append((iv, sorted(set(q))))
+    out = {}
+    for c in cols:
+        own = {k: v for (x, k), v in kth.items() if x == c}
+        out[c] = [_combine(p, n[c], method, own) for p in probs] if n[c] else [None] * len(probs)
+    return out
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              method: str = "cont", exact_limit: int = EXACT_LIMIT,
-              accuracy: int = 10_000, buckets: int = BUCKETS,
-              hist_limit: int = HIST_LIMIT,
-              cardinality: dict[str, int] | None = None) -> dict[str, list]:
+              method: str = "cont", accuracy: int = ACCURACY) -> dict[str, list]:
     """Quantiles of each column -> ``{col: [q(p) for p in probs]}`` (None if empty).
 
-    ``cardinality``: known upper bounds of the distinct counts (e.g. measured on
-    a superset of the rows); columns within ``hist_limit`` then go straight to
-    the histogram route without a counting pass.
+    ``accuracy``: sketch size; it sets the number of passes of the exact methods, not their results.
     """
-    cols, probs = list(cols), list(probs)
+    cols, probs = list(dict.fromkeys(cols)), [float(p) for p in probs]
     if method == "approx":
-        row = df.agg(*[
-            F.percentile_approx(F.when(_valid(c), F.col(c).cast("double")),
-                                F.array(*[F.lit(float(p)) for p in probs]), accuracy).alias(c)
-            for c in cols]).first()
+        row = df.agg(*[F.percentile_approx(_value(c), F.array(*[F.lit(p) for p in probs]), accuracy).alias(c)
+                       for c in cols]).first()
         return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in cols}
     if method not in ("cont", "disc"):
         raise ValueError(f"unknown quantile method {method!r}")
-    out: dict[str, list] = {}
-    known = cardinality or {}
-    pre = [c for c in cols if c in known and known[c] <= hist_limit]
-    if pre:
-        out.update(_histogram_quantiles(df, pre, probs, method))
-    rest = [c for c in cols if c not in out]
-    if not rest:
-        return out
-    n, distinct = counts_and_cardinality(df, rest)
-    out.update({c: [None] * len(probs) for c in rest if not n[c]})
-    low = [c for c in rest if c not in out and distinct[c] <= hist_limit]
-    if low:
-        out.update(_histogram_quantiles(df, low, probs, method))
-    small = [c for c in rest if c not in out and n[c] <= exact_limit]
-    if small:
-        # Exact ranks from Spark's quantile sketch: with accuracy >= 10 n its rank
-        # error stays below 0.1, so asking for the mid-rank probability
-        # (k + 0.5) / n returns exactly the k-th smallest value.
-        need = {c: sorted({k for p in probs for k in _ranks(p, n[c], method)}) for c in small if n[c]}
-        acc = min(2**31 - 1, 10 * max([n[c] for c in small] + [1]))
-        aggs = [F.percentile_approx(F.when(_valid(c), F.col(c).cast("double")),
-                                    F.array(*[F.lit((k + 0.5) / n[c]) for k in need[c]]), acc).alias(c)
-                for c in need]
-        row = df.agg(*aggs).first() if aggs else None
-        for c in small:
-            if not n[c]:
-                out[c] = [None] * len(probs)
-                continue
-            kth = dict(zip(need[c], row[c]))
-            out[c] = [_combine(p, n[c], method, kth) for p in probs]
-    for c in [c for c in rest if c not in out]:
-        cnt = n[c]
-        kth = _kth_smallest_many(df, c, sorted({k for p in probs for k in _ranks(p, cnt, method)}),
-                                 exact_limit, buckets)
-        out[c] = [_combine(p, cnt, method, kth) for p in probs]
-    return out
+    return _select(df, cols, probs, method, accuracy) if cols and probs else {c: [] for c in cols}
 
 
 def median(df: DataFrame, cols: Sequence[str], method: str = "cont", **kw) -> dict[str, float]:
