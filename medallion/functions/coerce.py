@@ -39,6 +39,17 @@ def as_int(c, strict: bool = True) -> Column:
     return as_double(c, strict).try_cast("int")
 
 
+def as_long(c, truncate: bool = False) -> Column:
+    """Text (or number) to bigint without a detour through double, so every long keeps its digits.
+
+    A value with a fraction is null, or loses it with ``truncate``.
+    """
+    txt = F.trim(_c(c).cast("string"))
+    dec = txt.try_cast("decimal(38,10)")
+    whole = dec if truncate else F.when(dec == F.floor(dec), dec)
+    return F.when(txt.rlike(NUMERIC_TEXT), F.coalesce(txt.try_cast("bigint"), whole.try_cast("bigint")))
+
+
 def as_bool_set(c, true_set: Iterable[str] = TRUE_SET,
                 false_set: Iterable[str] = FALSE_SET) -> Column:
     """Boolean from a set of accepted spellings; anything else -> null."""

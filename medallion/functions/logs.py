@@ -24,5 +24,8 @@ LOG_FIELDS = (
     ("failed_attempts", r"FailedAttempts=(\d+)", "int"),
 )
 
+# Values of fields that a line may leave out.
+LOG_DEFAULTS = {"failed_attempts": 0}
+
 # Fields without which a line counts as unparsed.
 MANDATORY_FIELDS = ("transaction_id", "amount")

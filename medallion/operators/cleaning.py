@@ -53,10 +53,17 @@ def coerce_timestamp(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
     return df.withColumns({c: fx.as_timestamp(c) for c in cols})
 
 
-def _cast_expr(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        # through double and truncation, so '34.0' and 34.9 become 34
-        return c.try_cast("double").try_cast(dtype)
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _cast_expr(c: Column, dtype: T.DataType, source: T.DataType) -> Column:
+    if isinstance(dtype, INTEGRAL):
+        if isinstance(source, INTEGRAL):
+            return c.try_cast(dtype)
+        if isinstance(source, (T.FloatType, T.DoubleType)):
+            return c.cast("double").try_cast(dtype)
+        # text and decimals truncate ('34.0' and 34.9 become 34) and keep all digits of a long
+        return fx.as_long(c, truncate=True).try_cast(dtype)
     if isinstance(dtype, T.BooleanType):
         return fx.as_bool_set(c)
     return c.try_cast(dtype)
@@ -77,7 +84,7 @@ def conform(df: DataFrame, schema: T.StructType, renames: Mapping[str, str] | No
     for f in schema.fields:
         if f.name in src:
             raw = F.col(f"`{src[f.name]}`")
-            typed = _cast_expr(raw, f.dataType)
+            typed = _cast_expr(raw, f.dataType, df.schema[src[f.name]].dataType)
             bad.append(F.when(raw.isNotNull() & typed.isNull(), F.lit(f.name)))
             if not f.nullable:
                 bad.append(F.when(raw.isNull(), F.lit(f.name)))

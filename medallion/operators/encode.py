@@ -4,41 +4,36 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions import coerce as fx
 
-MAX_ONE_HOT = 1000
-
-
-def fit_index(dfs: DataFrame | Sequence[DataFrame], col: str, out: str | None = None,
-              handle_invalid: str = "keep") -> StringIndexerModel:
-    """ENC-3: one index fitted on the union of sources, so an index means one category everywhere.
+def fit_index(dfs: DataFrame | Sequence[DataFrame], col: str) -> DataFrame:
+    """ENC-3: index table (label, idx) fitted on the union of sources, so an index means one category everywhere.
 
     Labels are ordered by frequency (desc), ties alphabetically; values are
-    compared as strings.  Fitting gathers one (label, count) pair per distinct
-    value: the label list of a category column.
+    compared as strings.  Only the grouped counts, one row per label, are ranked.
     """
     dfs = [dfs] if isinstance(dfs, DataFrame) else list(dfs)
     u = None
     for d in dfs:
-        part = d.select(F.col(col).cast("string").alias(col))
+        part = d.select(F.col(col).cast("string").alias("label"))
         u = part if u is None else u.unionByName(part)
-    return StringIndexer(inputCol=col, outputCol=out or f"{col}_idx",
-                         handleInvalid=handle_invalid,
-                         stringOrderType="frequencyDesc").fit(u)
+    counts = u.where("label is not null").groupBy("label").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), "label")) - 1
+    return counts.select("label", rank.cast("double").alias("idx"))
 
 
-def index_category(df: DataFrame, col: str, out: str | None = None,
-                   model: StringIndexerModel | None = None) -> DataFrame:
-    """ENC-1/ENC-2: frequency-ranked index; unknown and null -> number of labels."""
+def index_category(df: DataFrame, col: str, out: str | None = None, index: DataFrame | None = None) -> DataFrame:
+    """ENC-1/ENC-2: frequency-ranked index by a join with the index table; unknown and null -> number of labels."""
     out = out or f"{col}_idx"
-    m = model or fit_index(df, col, out)
-    m = m.copy().setInputCol(f"__{col}_str").setOutputCol(out)
-    res = m.transform(df.withColumn(f"__{col}_str", F.col(col).cast("string")))
-    return res.drop(f"__{col}_str")
+    table = index if index is not None else fit_index(df, col)
+    unknown = table.agg(F.count("*").cast("double")).scalar()
+    t = table.select(F.col("label").alias("__label"), F.col("idx").alias("__idx"))
+    j = df.join(t, F.col(col).cast("string") == F.col("__label"), "left")
+    return j.withColumn(out, F.coalesce(F.col("__idx"), unknown)).drop("__label", "__idx")
 
 
 def _safe(name: str) -> str:
@@ -50,13 +45,10 @@ def one_hot(df: DataFrame, col: str, categories: Sequence[str] | None = None,
     """ENC-4: one 0/1 int column per category (null -> all zeros).
 
     With ``categories`` the operator is lazy.  Without, the distinct values are
-    gathered first, refusing more than ``MAX_ONE_HOT`` of them.
+    gathered first: they become the columns of the result.
     """
     if categories is None:
-        vals = (df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct()
-                .limit(MAX_ONE_HOT + 1).collect())
-        if len(vals) > MAX_ONE_HOT:
-            raise ValueError(f"{col} has more than {MAX_ONE_HOT} categories")
+        vals = df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct().collect()
         categories = sorted(r[0] for r in vals)
     prefix = col if prefix is None else prefix
     s = F.col(col).cast("string")

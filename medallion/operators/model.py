@@ -6,23 +6,11 @@ from collections.abc import Sequence
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.operators import stats
 from medallion.operators.encode import assemble
 
-MAX_CLASSES = 1000
-
-
-def distinct_values(df: DataFrame, col, limit: int = MAX_CLASSES) -> list:
-    """The distinct values of a class column, refusing more than ``limit``."""
-    c = F.col(col) if isinstance(col, str) else col
-    vals = [r[0] for r in df.select(c.alias("__v")).distinct().limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"more than {limit} distinct classes")
-    return vals
-
 
 def hash_unit(id_col: str, seed: int) -> Column:
     """Deterministic 32-bit hash of ``id:seed`` as a bigint (md5 prefix).
@@ -34,29 +22,61 @@ def hash_unit(id_col: str, seed: int) -> Column:
     return F.conv(F.substring(F.md5(txt), 1, 8), 16, 10).cast("long")
 
 
+def hash_thresholds(df: DataFrame, label: str, hash_col: str, fraction: float) -> DataFrame:
+    """(label, threshold): the hash at rank ``ceil(fraction * n)`` of each label's 32-bit hashes.
+
+    Two grouped counts for all labels together: by the upper 16 bits of the hash,
+    then by the whole hash inside the bucket that holds the rank.  At most 65,536
+    counts for each label stand in the windows, however many rows it has.
+    """
+    h = df.select(F.col(label).alias("__l"), F.col(hash_col).alias("__h"),
+                  F.shiftright(F.col(hash_col), 16).alias("__b"))
+    run = Window.partitionBy("__l").orderBy("__b")
+    top = (h.groupBy("__l", "__b").agg(F.count("*").alias("n"))
+           .withColumns({"upto": F.sum("n").over(run), "total": F.sum("n").over(Window.partitionBy("__l"))})
+           .withColumn("rank", F.greatest(F.ceil(F.lit(float(fraction)) * F.col("total")) - 1, F.lit(0)))
+           .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
+           .select(F.col("__l").alias("tl"), F.col("__b").alias("tb"),
+                   (F.col("rank") - F.col("upto") + F.col("n")).alias("left")))
+    inside = h.join(top, h["__l"].eqNullSafe(F.col("tl")) & (F.col("__b") == F.col("tb")))
+    run = Window.partitionBy("__l").orderBy("__h")
+    return (inside.groupBy("__l", "left", "__h").agg(F.count("*").alias("n"))
+            .withColumn("upto", F.sum("n").over(run)).where(F.col("upto") > F.col("left"))
+            .groupBy("__l").agg(F.min("__h").alias("threshold")).withColumnRenamed("__l", "label"))
+
+
 def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
     """MOD-1: per label, exactly the rows whose hash is at or below the label's
     ``percentile_disc(test_fraction)`` of hashes go to ``test``.
 
-    Thresholds are found per label with the bounded exact quantile routine, so
-    no label (however large) is gathered into one task.
+    The thresholds of all labels come from two grouped counts; no label,
+    however large, is gathered into one task.
     """
     h = df.withColumn("__h", hash_unit(id_col, seed))
-    labels = distinct_values(h, label)
-    thresholds = {}
-    for lv in labels:
-        part = h.where(F.col(label).eqNullSafe(F.lit(lv)))
-        thresholds[lv] = stats.quantiles(part, ["__h"], [test_fraction], method="disc")["__h"][0]
-    cond = F.lit(False)
-    for lv, t in thresholds.items():
-        cond = cond | (F.col(label).eqNullSafe(F.lit(lv)) & (F.col("__h") <= F.lit(t)))
-    return h.withColumn(out, F.when(cond, F.lit("test")).otherwise(F.lit("train"))).drop("__h")
+    t = hash_thresholds(h, label, "__h", test_fraction).withColumnRenamed("label", "__label")
+    j = h.join(t, F.col(label).eqNullSafe(F.col("__label")), "left")
+    return (j.withColumn(out, F.when(F.col("__h") <= F.col("threshold"), F.lit("test")).otherwise(F.lit("train")))
+            .drop("__h", "__label", "threshold"))
 
 
-def fold_column(df: DataFrame, id_col: str, k: int, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Deterministic fold id 0..k-1 from the id hash (used by ``fit_tree``)."""
-    return df.withColumn(out, (hash_unit(id_col, seed + 1) % k).cast("int"))
+def fold_column(df: DataFrame, id_col: str, k: int, seed: int = 42, out: str = "fold",
+                label: str | None = None) -> DataFrame:
+    """Deterministic fold id 0..k-1 from the id hash; with ``label`` stratified.
+
+    Stratified: the hash quantiles j/k of each label bound its folds, so every
+    fold has the same share of each label (up to one row and hash ties).
+    """
+    if label is None:
+        return df.withColumn(out, (hash_unit(id_col, seed + 1) % k).cast("int"))
+    h = df.withColumn("__h", hash_unit(id_col, seed + 1))
+    fold = F.lit(0)
+    for j in range(1, k):
+        t = hash_thresholds(h, label, "__h", j / k).select(F.col("label").alias(f"__l{j}"), F.col("threshold").alias(f"__t{j}"))
+        df = h if j == 1 else df
+        df = df.join(t, F.col(label).eqNullSafe(F.col(f"__l{j}")), "left")
+        fold = fold + F.when(F.col("__h") > F.col(f"__t{j}"), 1).otherwise(0)
+    return df.withColumn(out, fold.cast("int")).drop("__h", *[f"__{x}{j}" for j in range(1, k) for x in "lt"])
 
 
 def split_report(df: DataFrame, label: str, split: str = "split", digits: int = 6) -> DataFrame:
@@ -69,8 +89,12 @@ def split_report(df: DataFrame, label: str, split: str = "split", digits: int =
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, id_col: str,
              impurities: Sequence[str] = ("gini", "entropy"), depths: Sequence[int] = range(1, 7),
              folds: int = 5, seed: int = 42, max_bins: int = 32, parallelism: int = 4):
-    """MOD-3/4: decision tree with a grid over impurity x depth, k-fold CV on accuracy."""
-    data = fold_column(assemble(df, features), id_col, folds, seed)
+    """MOD-3/4: decision tree with a grid over impurity x depth, stratified k-fold CV on accuracy.
+
+    ``df`` is the training part only.  The models of every fold are kept, so that
+    :func:`cv_results` can score them on the rows they were trained on.
+    """
+    data = fold_column(assemble(df, features), id_col, folds, seed, label=label)
     data = data.withColumn("__label", F.col(label).cast("double"))
     dt = DecisionTreeClassifier(featuresCol="features", labelCol="__label", seed=seed,
                                 maxBins=max_bins)
@@ -78,18 +102,39 @@ def fit_tree(df: DataFrame, features: Sequence[str], label: str, id_col: str,
             .addGrid(dt.maxDepth, list(depths)).build())
     ev = MulticlassClassificationEvaluator(labelCol="__label", metricName="accuracy")
     cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds,
-                        collectSubModels=False, parallelism=parallelism)
-    model = cv.fit(data)
+                        collectSubModels=True, parallelism=parallelism)
+    data = data.select("features", "__label", "fold").persist()
+    try:
+        model = cv.fit(data)
+        model._train_metrics = _train_metrics(model, data, folds, len(grid))
+    finally:
+        data.unpersist()
     return model, grid
 
 
+def _train_metrics(model, data: DataFrame, folds: int, points: int) -> list[float]:
+    """Mean accuracy of each grid point on the rows its fold models were trained on: one pass over the data."""
+    scored = data
+    for f in range(folds):
+        for g in range(points):
+            sub = model.subModels[f][g].copy()
+            sub.setPredictionCol(f"p{f}_{g}").setRawPredictionCol("").setProbabilityCol("")
+            scored = sub.transform(scored)
+    aggs = [F.avg(F.when(F.col("fold") != f, (F.col(f"p{f}_{g}") == F.col("__label")).cast("double"))).alias(f"a{f}_{g}")
+            for f in range(folds) for g in range(points)]
+    row = scored.agg(*aggs).first()
+    return [sum(row[f"a{f}_{g}"] or 0.0 for f in range(folds)) / folds for g in range(points)]
+
+
 def cv_results(spark, cv_model, grid) -> DataFrame:
-    """MOD-4: (impurity, max_depth, cv_accuracy) for every grid point (model metadata)."""
+    """MOD-4: (impurity, max_depth, train_accuracy, cv_accuracy, is_best) for every grid point (model metadata)."""
+    best = max(range(len(grid)), key=lambda i: (cv_model.avgMetrics[i], -i))
     rows = []
-    for params, metric in zip(grid, cv_model.avgMetrics):
+    for i, (params, metric) in enumerate(zip(grid, cv_model.avgMetrics)):
         p = {k.name: v for k, v in params.items()}
-        rows.append((p["impurity"], int(p["maxDepth"]), float(metric)))
-    return spark.createDataFrame(rows, "impurity string, max_depth int, cv_accuracy double")
+        rows.append((p["impurity"], int(p["maxDepth"]), float(cv_model._train_metrics[i]), float(metric), i == best))
+    return spark.createDataFrame(
+        rows, "impurity string, max_depth int, train_accuracy double, cv_accuracy double, is_best boolean")
 
 
 def predict(model, df: DataFrame, features: Sequence[str], out: str = "prediction") -> DataFrame:
@@ -113,67 +158,63 @@ def prediction_counts(df: DataFrame, label: str, pred: str = "prediction") -> Da
             .orderBy("class"))
 
 
+def _cells(df: DataFrame, label: str, pred: str) -> dict[tuple, int]:
+    """Rows per (actual, predicted) class: one grouped count, a row for each pair of classes that occurs."""
+    got = df.groupBy(F.col(label).alias("a"), F.col(pred).alias("p")).agg(F.count("*").alias("n")).collect()
+    return {(_class(r["a"]), _class(r["p"])): r["n"] for r in got}
+
+
+def _class(v):
+    """A class value as it is compared and shown: whole numbers of any type alike."""
+    return int(v) if isinstance(v, (bool, float)) and v == int(v) else v
+
+
+def _classes(cells: dict[tuple, int], given: Sequence | None) -> list:
+    """The given classes, then all others that occur, null last: no row is left out."""
+    first = list(dict.fromkeys(_class(c) for c in given or []))
+    rest = {c for pair in cells for c in pair} - set(first)
+    return first + sorted(rest, key=lambda c: (c is None, isinstance(c, str), c if c is not None else 0))
+
+
 def confusion_matrix(df: DataFrame, label: str, pred: str = "prediction",
                      classes: Sequence | None = None) -> DataFrame:
     """MOD-7: (actual, predicted, n) over the full class grid (missing cells are 0).
 
-    The class list is either given or gathered (the distinct labels of a
-    classifier); the grid itself is one grouped count per class pair.
+    Classes may be of any type.  A class that is not in ``classes``, and null,
+    gets a row and a column of its own.
     """
-    if classes is None:
-        classes = sorted(({*distinct_values(df, F.col(label).cast("int")),
-                           *distinct_values(df, F.col(pred).cast("int"))}) - {None})
-    a, p = F.col(label).cast("int"), F.col(pred).cast("int")
-    aggs = [F.count_if((a == F.lit(x)) & (p == F.lit(y))).alias(f"c_{i}_{j}")
-            for i, x in enumerate(classes) for j, y in enumerate(classes)]
-    cells = [F.struct(F.lit(x).alias("actual"), F.lit(y).alias("predicted"),
-                      F.col(f"c_{i}_{j}").cast("long").alias("n"))
-             for i, x in enumerate(classes) for j, y in enumerate(classes)]
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+    cells = _cells(df, label, pred)
+    names = _classes(cells, classes)
+    kind = "string" if any(isinstance(c, str) for c in names) else "int"
+    shown = [None if c is None else (str(c) if kind == "string" else c) for c in names]
+    rows = [(x, y, cells.get((a, p), 0)) for a, x in zip(names, shown) for p, y in zip(names, shown)]
+    return df.sparkSession.createDataFrame(rows, f"actual {kind}, predicted {kind}, n long")
 
 
 def classification_report(df: DataFrame, label: str, pred: str = "prediction",
                           classes: Sequence | None = None, digits: int = 6) -> DataFrame:
     """MOD-8: precision, recall, f1, support per class, then accuracy, macro and weighted avg.
 
-    One pass over the data (conditional counts per class); the report rows are
-    arithmetic on that single row (0 when a divisor is 0).
+    Arithmetic on one grouped count (0 when a divisor is 0).  Every row counts:
+    classes that are not in ``classes``, and null (shown as ``null``), have their own line.
     """
-    if classes is None:
-        classes = sorted(({*distinct_values(df, F.col(label).cast("int")),
-                           *distinct_values(df, F.col(pred).cast("int"))}) - {None})
-    a, p = F.col(label).cast("int"), F.col(pred).cast("int")
-    aggs = []
-    for i, c in enumerate(classes):
-        aggs += [F.count_if((a == F.lit(c)) & (p == F.lit(c))).alias(f"tp{i}"),
-                 F.count_if(a == F.lit(c)).alias(f"sup{i}"),
-                 F.count_if(p == F.lit(c)).alias(f"pr{i}")]
-    counts = df.agg(*aggs)
-
-    def ratio(x, y):
-        return F.when(y > 0, x / y).otherwise(F.lit(0.0))
-
-    prec = [ratio(F.col(f"tp{i}"), F.col(f"pr{i}")) for i in range(len(classes))]
-    rec = [ratio(F.col(f"tp{i}"), F.col(f"sup{i}")) for i in range(len(classes))]
-    f1 = [F.when(pr + rc > 0, 2 * pr * rc / (pr + rc)).otherwise(F.lit(0.0)) for pr, rc in zip(prec, rec)]
-    sup = [F.col(f"sup{i}") for i in range(len(classes))]
-    n = sum(sup[1:], sup[0])
-    tp = sum([F.col(f"tp{i}") for i in range(1, len(classes))], F.col("tp0"))
-    k = float(len(classes))
-
-    def row(name, pr_, rc_, f_, s_):
-        return F.struct(F.lit(name).alias("class"), F.round(pr_, digits).alias("precision"),
-                        F.round(rc_, digits).alias("recall"), F.round(f_, digits).alias("f1"),
-                        s_.cast("long").alias("support"))
-
-    def weighted(xs):
-        return sum([x * s_ for x, s_ in zip(xs[1:], sup[1:])], xs[0] * sup[0]) / n
-
-    rows = [row(str(c), prec[i], rec[i], f1[i], sup[i]) for i, c in enumerate(classes)]
-    rows += [row("accuracy", F.lit(None).cast("double"), F.lit(None).cast("double"), tp / n, n),
-             row("macro avg", sum(prec[1:], prec[0]) / k, sum(rec[1:], rec[0]) / k, sum(f1[1:], f1[0]) / k, n),
-             row("weighted avg", weighted(prec), weighted(rec), weighted(f1), n)]
-    return counts.select(F.inline(F.array(*rows)))
+    cells = _cells(df, label, pred)
+    names = _classes(cells, classes)
+    n = sum(cells.values())
+    out, tp_all = [], 0
+    for c in names:
+        tp = cells.get((c, c), 0)
+        sup = sum(v for (a, _), v in cells.items() if a == c)
+        said = sum(v for (_, p), v in cells.items() if p == c)
+        prec, rec = (tp / said if said else 0.0), (tp / sup if sup else 0.0)
+        out.append((("null" if c is None else str(c)), prec, rec, 2 * prec * rec / (prec + rec) if prec + rec else 0.0, sup))
+        tp_all += tp
+    k = max(len(out), 1)
+    mean = [sum(r[i] for r in out) / k for i in (1, 2, 3)]
+    weighted = [sum(r[i] * r[4] for r in out) / n if n else 0.0 for i in (1, 2, 3)]
+    out += [("accuracy", None, None, tp_all / n if n else 0.0, n), ("macro avg", *mean, n), ("weighted avg", *weighted, n)]
+    rows = [(c, *[None if x is None else round(x, digits) for x in v], s) for c, *v, s in out]
+    return df.sparkSession.createDataFrame(rows, "class string, precision double, recall double, f1 double, support long")
 
 
 def feature_importances(spark, model, names: Sequence[str], k: int = 10) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,13 +48,12 @@ def value_counts(df: DataFrame, col: str, order: str = "count", normalize: bool
                  out: str = "count") -> DataFrame:
     """PRF-4: frequency of each value; null is kept as its own group.
 
-    ``normalize`` adds ``share`` = count / total rows; the total is a scalar
-    subquery (evaluated once, no driver round trip, no join).
+    ``normalize`` adds ``share`` = count / total rows; the total is the sum of
+    the grouped counts, so the data are read once.
     """
     g = df.groupBy(col).agg(F.count("*").alias(out))
     if normalize:
-        total = df.agg(F.count("*")).scalar()
-        g = g.withColumn("share", F.col(out) / total)
+        g = g.withColumn("share", F.col(out) / F.sum(out).over(Window.partitionBy()))
     if order == "count":
         return g.orderBy(F.desc(out), F.asc_nulls_first(col))
     return g.orderBy(F.asc_nulls_first(col))

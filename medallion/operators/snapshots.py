@@ -1,38 +1,17 @@
-"""Versioned tables without a transactional store (MUT-*, MRG-1, VER-*).
+"""Mutations of a table as pure DataFrame transformations (MUT-*, MRG-1, VER-4).
 
-The mutations themselves are pure DataFrame transformations (``update``,
-``delete``, ``upsert``, ``diff_versions``) so they can run anywhere.
-:class:`VersionedTable` keeps committed results as immutable Parquet segments
-under a base path plus a small history table::
-
-    base/segments/s=000003/part-*.parquet
-    base/_history/part-*.parquet   (version, ts, operation, rows, segments, params)
-
-A version is the list of segments it reads.  Appends write only the new rows
-as a new segment; overwrites (update / delete / upsert) write one new segment;
-a rollback re-lists the segments of an old version and copies no data.  A path
-that is being read is never overwritten.  Concurrent writers are not
-coordinated: one writer per table.
+``update``, ``delete``, ``upsert``, ``append`` and ``diff_versions`` take and give
+DataFrames.  Commit logs, time travel and rollback belong to the table format in
+which the user stores the results.
 """
 from __future__ import annotations
 
-import datetime as dt
-import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HISTORY_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("ts", T.TimestampType(), False),
-    T.StructField("operation", T.StringType(), False),
-    T.StructField("rows_written", T.LongType(), True),
-    T.StructField("segments", T.ArrayType(T.StringType()), False),
-    T.StructField("params", T.StringType(), True),
-])
-
 
 class SchemaMismatch(ValueError):
     """Raised by ``append`` when the incoming schema differs from the table's."""
@@ -68,9 +47,17 @@ def delete(df: DataFrame, cond: Column | str) -> DataFrame:
     return df.where(~F.coalesce(c, F.lit(False)))
 
 
+def append(df: DataFrame, new: DataFrame) -> DataFrame:
+    """MUT-1: rows of ``new`` added if the schemas agree, else :class:`SchemaMismatch`."""
+    diff = schema_diff(df.schema, new.schema)
+    if diff:
+        raise SchemaMismatch(diff)
+    return df.unionByName(new)
+
+
 def check_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a key occurs twice (one grouped aggregate, stops at the first hit)."""
-    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+    """Raise when a key without nulls occurs twice (one grouped aggregate, stops at the first hit)."""
+    dup = (df.where(_all_not_null(keys)).groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect())
     if dup:
         raise ValueError(f"duplicate keys in merge source, e.g. {dup[0].asDict()}")
 
@@ -82,13 +69,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     Update-all semantics: every target row whose key matches becomes the
     source row (a null in the source overwrites); target rows without a match
     stay; source rows without a match are inserted.  Null keys never match.
-    Source keys must be unique (checked).
+    Source keys must be unique (checked; null keys may repeat).
 
-    Built from joins that Spark's adaptive execution can split when one key
-    holds a large share of the target (a single full outer join cannot be
-    split): kept = target anti-joined to the source keys; updated = target keys
-    inner-joined to the source; inserted = source anti-joined to the distinct
-    target keys (pre-aggregated map-side, so a hot key arrives as one row).
+    One left join of the target to the source (which adaptive execution can
+    split where a key is hot, unlike a full outer join) and one anti join of the
+    source to the distinct target keys (reduced before the shuffle).
     """
     keys = list(keys)
     if check_source:
@@ -98,12 +83,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         raise ValueError(f"source lacks columns {missing}")
     cols = target.columns
     src = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in cols])
-    src_keys = src.select(*keys).where(_all_not_null(keys))
-    tgt_keys = target.select(*keys).where(_all_not_null(keys))
-    kept = target.join(src_keys, keys, "left_anti")
-    updated = tgt_keys.join(src, keys, "inner").select(*cols)
-    inserted = src.join(tgt_keys.distinct(), keys, "left_anti")
-    return kept.unionByName(updated).unionByName(inserted)
+    new = src.where(_all_not_null(keys)).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                                                F.struct(*[F.col(c) for c in cols]).alias("__new"))
+    old = target.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)],
+                        F.struct(*[F.col(c) for c in cols]).alias("__old"))
+    on = F.lit(True)
+    for i in range(len(keys)):
+        on = on & (F.col(f"__t{i}") == F.col(f"__k{i}"))
+    merged = (old.join(new, on, "left").select(F.coalesce("__new", "__old").alias("__row"))
+              .select(*[F.col(f"__row.{c}").alias(c) for c in cols]))
+    known = target.select(*keys).where(_all_not_null(keys)).distinct()
+    return merged.unionByName(src.join(known, keys, "left_anti").select(*cols))
 
 
 def _all_not_null(cols: Sequence[str]) -> Column:
@@ -117,139 +107,32 @@ def diff_versions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     """VER-4: keys added, removed or changed between two versions.
 
     One aggregate over the tagged union of both versions, grouped by key: per
-    side the row count and an order-independent sum of 64-bit row hashes
-    (``xxhash64`` of the non-key columns, summed as an exact decimal).  A key
-    is ``added`` / ``removed`` when one side has no rows, ``changed`` when the
-    counts or hash sums differ.  No join and no row pairs: a key holding many
-    rows is reduced map-side.  (Equal hash sums of different row sets would go
-    unreported; with 64-bit hashes this is negligible.)
+    side the row count, the least and greatest row and an order-independent sum
+    of 64-bit row hashes.  A key is ``added`` / ``removed`` when one side has no
+    rows, ``changed`` when any of these differ.  Nulls are values: the hash is
+    taken over each column's null flag and value, so a value that moves from one
+    column to another is a change.  Where a key has one row on each side (or
+    two), the comparison of the rows is exact; the hash sums stand for longer
+    groups.  No join and no row pairs: a hot key is reduced map-side.
     """
     keys = list(keys)
     others = [c for c in old.columns if c not in keys]
-    def tag(df, side):
-        h = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
-        return df.select(*keys, F.lit(side).alias("__side"), h.cast("decimal(38,0)").alias("__h"))
+
+    def tag(df: DataFrame, side: str) -> DataFrame:
+        flags = [x for c in others for x in (F.col(c).isNull(), F.col(c))]
+        h = F.xxhash64(*flags) if others else F.lit(0)
+        row = F.struct(*[F.col(c) for c in others]) if others else F.struct(F.lit(0).alias("none"))
+        return df.select(*keys, F.lit(side).alias("__side"), h.cast("decimal(38,0)").alias("__h"), row.alias("__row"))
     u = tag(old, "o").unionByName(tag(new.select(*old.columns), "n"))
-    is_o, is_n = F.col("__side") == "o", F.col("__side") == "n"
-    g = u.groupBy(*keys).agg(
-        F.count_if(is_o).alias("__no"), F.count_if(is_n).alias("__nn"),
-        F.sum(F.when(is_o, F.col("__h"))).alias("__ho"), F.sum(F.when(is_n, F.col("__h"))).alias("__hn"))
+    aggs = []
+    for s in "on":
+        own = F.col("__side") == s
+        aggs += [F.count_if(own).alias(f"__n{s}"), F.sum(F.when(own, F.col("__h"))).alias(f"__h{s}"),
+                 F.min(F.when(own, F.col("__row"))).alias(f"__lo{s}"), F.max(F.when(own, F.col("__row"))).alias(f"__hi{s}")]
+    g = u.groupBy(*keys).agg(*aggs)
+    same = F.lit(True)
+    for x in ("n", "h", "lo", "hi"):
+        same = same & F.col(f"__{x}o").eqNullSafe(F.col(f"__{x}n"))
     change = (F.when(F.col("__no") == 0, F.lit("added"))
-              .when(F.col("__nn") == 0, F.lit("removed"))
-              .when((F.col("__no") != F.col("__nn")) | (F.col("__ho") != F.col("__hn")), F.lit("changed")))
+              .when(F.col("__nn") == 0, F.lit("removed")).when(~same, F.lit("changed")))
     return g.select(*keys, change.alias("change")).where(F.col("change").isNotNull())
-
-
-class VersionedTable:
-    """SNK-4, SRC-8, MUT-1/2, VER-1..3 over a base path on shared storage."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    # -- metadata -----------------------------------------------------------
-    def _history_path(self) -> str:
-        return f"{self.path}/_history"
-
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-    def history(self) -> DataFrame:
-        """VER-1: version, ts, operation, rows_written, segments, params (newest first)."""
-        if not self._exists(self._history_path()):
-            return self.spark.createDataFrame([], HISTORY_SCHEMA)
-        h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self._history_path())
-        return h.orderBy(F.desc("version"))
-
-    def _entry(self, version: int | None = None):
-        h = self.history()
-        if version is not None:
-            h = h.where(F.col("version") == version)
-        row = h.limit(1).collect()
-        if not row:
-            raise ValueError(f"no version {version} in {self.path}")
-        return row[0]
-
-    def latest_version(self) -> int | None:
-        row = self.history().select("version").limit(1).collect()
-        return row[0][0] if row else None
-
-    def read_version(self, version: int | None = None) -> DataFrame:
-        """SRC-8 / VER-2: the table as of ``version`` (latest when None)."""
-        e = self._entry(version)
-        schema = T.StructType.fromJson(json.loads(e["params"])["schema"])
-        if not e["segments"]:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*e["segments"])
-
-    def schema(self) -> T.StructType | None:
-        if self.latest_version() is None:
-            return None
-        e = self._entry()
-        return T.StructType.fromJson(json.loads(e["params"])["schema"])
-
-    # -- writes -------------------------------------------------------------
-    def _write_segment(self, df: DataFrame, version: int) -> tuple[str, int]:
-        seg = f"{self.path}/segments/s={version:06d}"
-        df.write.mode("errorifexists").parquet(seg)
-        rows = self.spark.read.parquet(seg).count()
-        return seg, rows
-
-    def _log(self, version: int, operation: str, rows: int, segments: list[str],
-             schema: T.StructType, params: dict | None = None) -> None:
-        p = dict(params or {})
-        p["schema"] = json.loads(schema.json())
-        row = (version, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, rows,
-               segments, json.dumps(p))
-        (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(self._history_path()))
-
-    def commit(self, df: DataFrame, mode: str = "overwrite", operation: str | None = None,
-               params: dict | None = None) -> int:
-        """SNK-4: write ``df`` as the next version (``overwrite`` or ``append``)."""
-        cur = self.latest_version()
-        version = 0 if cur is None else cur + 1
-        if mode == "append" and cur is not None:
-            diff = schema_diff(self.schema(), df.schema)
-            if diff:
-                raise SchemaMismatch(diff)
-            prev = list(self._entry(cur)["segments"])
-        elif mode in ("append", "overwrite"):
-            prev = []
-        else:
-            raise ValueError(mode)
-        seg, rows = self._write_segment(df, version)
-        self._log(version, operation or mode.upper(), rows, prev + [seg], df.schema, params)
-        return version
-
-    def append(self, df: DataFrame) -> int:
-        """MUT-1: insert with schema enforcement (mismatch -> :class:`SchemaMismatch`)."""
-        return self.commit(df, "append", "WRITE(append)")
-
-    def append_conformed(self, df: DataFrame) -> int:
-        """MUT-2: cast the incoming columns to the table schema, then append."""
-        from medallion.operators.cleaning import conform
-        return self.commit(conform(df, self.schema(), violations=None), "append", "WRITE(append)")
-
-    def update(self, cond, sets) -> int:
-        return self.commit(update(self.read_version(), cond, sets), "overwrite", "UPDATE",
-                           {"predicate": str(cond)})
-
-    def delete(self, cond) -> int:
-        return self.commit(delete(self.read_version(), cond), "overwrite", "DELETE",
-                           {"predicate": str(cond)})
-
-    def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
-        return self.commit(upsert(self.read_version(), source, keys), "overwrite", "MERGE",
-                           {"keys": list(keys)})
-
-    def rollback(self, version: int) -> int:
-        """VER-3: commit the segments of ``version`` again as a new version (no data copy)."""
-        e = self._entry(version)
-        cur = self.latest_version()
-        schema = T.StructType.fromJson(json.loads(e["params"])["schema"])
-        self._log(cur + 1, "RESTORE", 0, list(e["segments"]), schema,
-                  {"restored_version": version})
-        return cur + 1

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions import coerce as fx
-from medallion.functions.logs import LOG_FIELDS, MANDATORY_FIELDS
+from medallion.functions.logs import LOG_DEFAULTS, LOG_FIELDS, MANDATORY_FIELDS
 
 
 def normalize_category(df: DataFrame, col: str, case: str = "title",
@@ -73,13 +73,17 @@ def _field(value, regex: str, kind: str):
 
 
 def parse_logs(df: DataFrame, value_col: str = "value", fields=LOG_FIELDS,
-               keep: Sequence[str] = ()) -> DataFrame:
+               keep: Sequence[str] = (), defaults: Mapping[str, object] = LOG_DEFAULTS) -> DataFrame:
     """STR-5..7: one ``select`` of ``regexp_extract`` + ``try_cast`` per field.
 
-    A field that is absent from the line is null (never ``''``).
+    A field that is absent from the line takes its default, else null (never ``''``).
     """
     v = F.col(value_col)
-    return df.select(*keep, *[_field(v, rx, kind).alias(name) for name, rx, kind in fields])
+    cols = []
+    for name, rx, kind in fields:
+        c = _field(v, rx, kind)
+        cols.append((F.coalesce(c, F.lit(defaults[name])) if name in defaults else c).alias(name))
+    return df.select(*keep, *cols)
 
 
 def _rows_where(df: DataFrame, cond) -> DataFrame:

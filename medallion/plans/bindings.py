@@ -18,7 +18,7 @@ from medallion.operators import (cleaning, encode, impute, keys, model, outliers
                                  rules, snapshots, text, unify)
 from medallion.plans import flows
 from medallion.plans.dirt import (EVENT_CSV, EVENT_DIRT, EVENT_JSON, EVENT_JSON_NULL_CARDHOLDER,
-                                  EVENT_JSON_TRUNCATED, EVENT_LOG_LINE, SUPERVISOR_NOTE, with_dirt)
+                                  EVENT_JSON_TRUNCATED, EVENT_LOG_BROKEN, EVENT_LOG_LINE, SUPERVISOR_NOTE, with_dirt)
 from medallion.session import scratch_path
 from medallion.sources import readers, sinks
 
@@ -31,13 +31,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table; ``spread`` before CPU-heavy text work (see ``read_parquet``)."""
-    return readers.read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread=spread)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return readers.read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def dirty_events(spark, sf_dir) -> DataFrame:
-    return with_dirt(table(spark, sf_dir, "events", spread=True), EVENT_DIRT)
+    return with_dirt(table(spark, sf_dir, "events"), EVENT_DIRT)
 
 
 def coerced_events(spark, sf_dir) -> DataFrame:
@@ -51,16 +51,18 @@ def coerced_events(spark, sf_dir) -> DataFrame:
 
 
 def event_log_lines(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events", spread=True).select(F.expr(EVENT_LOG_LINE).alias("value"))
+    line = F.when(F.expr(EVENT_LOG_BROKEN), F.concat(F.lit("cut off "), F.col("event_id").cast("string")))
+    return table(spark, sf_dir, "events").select(line.otherwise(F.expr(EVENT_LOG_LINE)).alias("value"))
 
 
 def dirty_lineitem(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         "l_orderkey", "l_linenumber",
-        F.expr("CASE WHEN l_orderkey % 89 = 0 THEN l_quantity + 500 ELSE l_quantity END").alias("qty"),
-        F.expr("CASE WHEN l_orderkey % 97 = 0 THEN l_extendedprice * 50 ELSE l_extendedprice END")
-        .alias("price"),
+        # dropping the quantity outliers narrows the price fences: sequential and simultaneous filters differ
+        F.expr("CASE WHEN l_orderkey % 5 = 0 THEN l_quantity + 500 ELSE l_quantity END").alias("qty"),
+        F.expr("CASE WHEN l_orderkey % 97 = 0 THEN l_extendedprice * 50 WHEN l_orderkey % 5 = 0 THEN l_extendedprice * 10 "
+               "WHEN l_orderkey % 13 = 0 THEN l_extendedprice * 4 ELSE l_extendedprice END").alias("price"),
         F.expr("CASE WHEN l_orderkey % 83 = 0 THEN l_discount + 1 ELSE l_discount END").alias("disc"))
 
 
@@ -68,7 +70,7 @@ def dirty_lineitem(spark, sf_dir) -> DataFrame:
 @query
 def clean_csv_flow(spark, sf_dir):
     """Flagship: bronze CSV (rendered from events) -> silver through the full CSV flow."""
-    raw = with_dirt(table(spark, sf_dir, "events", spread=True), EVENT_CSV, keep=())
+    raw = with_dirt(table(spark, sf_dir, "events"), EVENT_CSV, keep=())
     return flows.clean_csv(raw)
 
 
@@ -80,7 +82,7 @@ def csv_stage_audit(spark, sf_dir):
     per-stage counts come from ``observe`` marks, not from extra scans.
     """
     audit = profile.StageAudit()
-    raw = with_dirt(table(spark, sf_dir, "events", spread=True), EVENT_CSV, keep=())
+    raw = with_dirt(table(spark, sf_dir, "events"), EVENT_CSV, keep=())
     flows.clean_csv(raw, audit=audit).write.format("noop").mode("overwrite").save()
     rows = [(i, name, int(n), int(removed)) for i, (name, n, removed) in enumerate(audit.report())]
     return spark.createDataFrame(rows, "stage_no int, stage string, rows long, removed long")
@@ -90,7 +92,7 @@ def csv_stage_audit(spark, sf_dir):
 def bronze_csv_flow(spark, sf_dir):
     """SNK-1 -> SRC-1/SRC-3 -> CSV flow: the bronze CSV is written as files and read back
     permissively (declared schema, corrupt-row column, source file), then cleaned."""
-    raw = with_dirt(table(spark, sf_dir, "events", spread=True), EVENT_CSV, keep=())
+    raw = with_dirt(table(spark, sf_dir, "events"), EVENT_CSV, keep=())
     path = scratch_path(spark, f"bronze-csv-{uuid.uuid4().hex}")
     sinks.write_csv(raw, path)
     good, _bad = readers.split_corrupt(readers.read_csv(spark, path))
@@ -99,7 +101,7 @@ def bronze_csv_flow(spark, sf_dir):
 
 def event_json_docs(spark, sf_dir, keep_id: bool = False) -> DataFrame:
     """Nested transaction documents rendered from ``events``."""
-    e = table(spark, sf_dir, "events", spread=True)
+    e = table(spark, sf_dir, "events")
     x = {k: F.expr(v) for k, v in EVENT_JSON.items()}
     cardholder = F.when(~F.expr(EVENT_JSON_NULL_CARDHOLDER),
                         F.struct(x["age"].alias("age"), x["country"].alias("country")))
@@ -149,9 +151,10 @@ def clean_logs_flow(spark, sf_dir):
 
 @query
 def gold_union(spark, sf_dir):
-    """UNI-1 over the two silver flows (CSV + logs)."""
+    """UNI-1 over the three silver flows (CSV, JSON, logs)."""
     return flows.build_gold(csv=clean_csv_flow(spark, sf_dir).withColumn(
-        "transaction_id", F.col("transaction_id").cast("string")), logs=clean_logs_flow(spark, sf_dir))
+        "transaction_id", F.col("transaction_id").cast("string")),
+        json=flows.clean_json(event_json_docs(spark, sf_dir)), logs=clean_logs_flow(spark, sf_dir))
 
 
 @query
@@ -307,11 +310,6 @@ def count_prefix(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- profiling
-@query
-def schema_report(spark, sf_dir):
-    return profile.schema_report(table(spark, sf_dir, "lineitem"))
-
-
 @query
 def null_counts(spark, sf_dir):
     return profile.null_counts(coerced_events(spark, sf_dir), ["value_num", "hour_num", "flag", "cat"])
@@ -473,14 +471,25 @@ def blank_to_null(spark, sf_dir):
         "event_id", F.col("raw_cat").alias("cat"))
 
 
+def _parsed_events(spark, sf_dir):
+    return text.split_unparsed(text.parse_logs(event_log_lines(spark, sf_dir)))[0]
+
+
 @query
 def parse_logs(spark, sf_dir):
-    return text.parse_logs(event_log_lines(spark, sf_dir))
+    """SRC-4 / STR-5..7: the lines are written as text files, read back and parsed."""
+    path = scratch_path(spark, f"log-lines-{uuid.uuid4().hex}")
+    event_log_lines(spark, sf_dir).write.text(path)
+    return text.split_unparsed(text.parse_logs(readers.read_lines(spark, path)))[0]
+
+
+@query
+def unparsed_lines(spark, sf_dir):
+    """STR-8: the lines without an id or an amount, as they came."""
+    return text.split_unparsed(text.parse_logs(event_log_lines(spark, sf_dir), keep=["value"]))[1].select("value")
 
 
 # ------------------------------------------------------------------- rules
-def _parsed_events(spark, sf_dir):
-    return text.parse_logs(event_log_lines(spark, sf_dir))
 
 
 @query
@@ -583,15 +592,23 @@ def _customer(spark, sf_dir):
     return table(spark, sf_dir, "customer")
 
 
+def _upsert_target(spark, sf_dir):
+    """All customers, some without a name."""
+    return _customer(spark, sf_dir).withColumn("c_name", F.expr("CASE WHEN c_custkey % 11 <> 0 THEN c_name END"))
+
+
 def _upsert_source(spark, sf_dir):
-    c = _customer(spark, sf_dir)
-    return c.where(F.col("c_nationkey") < 5).withColumn("c_acctbal", F.col("c_acctbal") + 100)
+    """All customers: some new, some with another balance, some whose segment has moved to the empty name, the rest equal."""
+    return _customer(spark, sf_dir).select(
+        F.expr("CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 10000000 ELSE c_custkey END").alias("c_custkey"),
+        F.expr("CASE WHEN c_custkey % 11 = 0 THEN c_mktsegment ELSE c_name END").alias("c_name"), "c_nationkey",
+        F.expr("CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 100 ELSE c_acctbal END").alias("c_acctbal"),
+        F.expr("CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END").alias("c_mktsegment"))
 
 
 @query
 def upsert(spark, sf_dir):
-    target = _customer(spark, sf_dir).where(F.col("c_mktsegment") != "BUILDING")
-    return snapshots.upsert(target, _upsert_source(spark, sf_dir), ["c_custkey"])
+    return snapshots.upsert(_upsert_target(spark, sf_dir), _upsert_source(spark, sf_dir), ["c_custkey"])
 
 
 @query
@@ -618,22 +635,8 @@ def append_conformed(spark, sf_dir):
 
 @query
 def diff_versions(spark, sf_dir):
-    old = _customer(spark, sf_dir).where(F.col("c_mktsegment") != "BUILDING")
-    return snapshots.diff_versions(old, upsert(spark, sf_dir), ["c_custkey"])
-
-
-@query
-def history_and_rollback(spark, sf_dir):
-    """VER-1..3 on a table under the shared checkpoint folder (rows-only check)."""
-    t = snapshots.VersionedTable(spark, scratch_path(spark, f"versioned-{uuid.uuid4().hex}"))
-    c = _customer(spark, sf_dir)
-    t.commit(c.where(F.col("c_nationkey") < 10), "overwrite")
-    t.append(c.where(F.col("c_nationkey") >= 10))
-    t.update(F.col("c_acctbal") < 0, {"c_acctbal": 0.0})
-    t.delete(F.col("c_mktsegment") == "AUTOMOBILE")
-    t.upsert(_upsert_source(spark, sf_dir), ["c_custkey"])
-    t.rollback(1)
-    return t.history().select("version", "operation", "rows_written")
+    new = snapshots.delete(upsert(spark, sf_dir), F.col("c_custkey") % 17 == 0)
+    return snapshots.diff_versions(_upsert_target(spark, sf_dir), new, ["c_custkey"])
 
 
 # --------------------------------------------------------------- encoding
@@ -710,7 +713,7 @@ def tree_cv(spark, sf_dir):
 def tree_importances(spark, sf_dir):
     """MOD-3/5/9: best tree, top-10 importances (rows-only check)."""
     frame = _tree_frame(spark, sf_dir)
-    cvm, _ = model.fit_tree(frame, TREE_FEATURES, "is_returned", "row_id", depths=(2, 4), folds=3)
+    cvm, _ = model.fit_tree(frame, TREE_FEATURES, "is_returned", "row_id")
     return model.feature_importances(spark, cvm, TREE_FEATURES, 10)
 
 
@@ -725,5 +728,53 @@ def load_audit(spark, sf_dir):
 
 
 @query
-def file_manifest(spark, sf_dir):
-    return readers.file_manifest(spark, sf_dir, "*.parquet").select("path", "length")
+def typed_load(spark, sf_dir):
+    """SNK-2 / SNK-5: dirty events conformed to the warehouse schema, written as Parquet, read back with the quarantined rows marked."""
+    d = dirty_events(spark, sf_dir).select("event_id", F.col("raw_id").alias("big_id"), F.col("raw_hour").alias("hour"))
+    big = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("900719925474"), F.lpad(F.col("event_id").cast("string"), 7, "0")))
+    d = d.withColumn("big_id", F.coalesce(big, F.col("big_id")))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("big_id", T.LongType()),
+                           T.StructField("hour", T.ByteType())])
+    path = scratch_path(spark, f"typed-load-{uuid.uuid4().hex}")
+    cleaning.conform(d, schema).write.parquet(path)
+    back = readers.read_parquet(spark, path)
+    return back.select("event_id", "big_id", "hour", F.array_join("_violations", ",").alias("violations"))
+
+
+@query
+def shared_index(spark, sf_dir):
+    """ENC-2 / ENC-3: one index over the segments of customers and the priorities of orders, applied to both."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("cat"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.expr(
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'BUILDING' WHEN o_orderkey % 50 = 1 THEN NULL ELSE o_orderpriority END").alias("cat"))
+    index = encode.fit_index([c, o], "cat")
+    both = [encode.index_category(d, "cat", "idx", index).select(F.lit(n).alias("side"), "key", "idx")
+            for n, d in (("customer", c), ("orders", o))]
+    return both[0].unionByName(both[1])
+
+
+def _planted(spark, sf_dir):
+    """Rows whose label is a threshold on one column, so that the best tree is known."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"), *TREE_FEATURES,
+                     (F.col("l_quantity") > 25).cast("int").alias("label"))
+
+
+@query
+def model_chain(spark, sf_dir):
+    """ENC-5, MOD-1..8: model frame, stratified split, grid search on the training part, prediction of both parts, counts."""
+    split = model.stratified_split(_planted(spark, sf_dir), "label", "row_id", 0.2, 42)
+    cvm, _ = model.fit_tree(split.where("split = 'train'"), TREE_FEATURES, "label", "row_id", depths=range(1, 4), folds=3)
+    scored = model.predict(cvm, split, TREE_FEATURES)
+    return scored.groupBy("split", "label", F.col("prediction").cast("int").alias("prediction")).agg(
+        F.count("*").alias("n"))
+
+
+@query
+def tree_leaves(spark, sf_dir):
+    """MOD-10: leaves of the tree fitted to the planted label, by predicted class, read from its rules."""
+    cvm, _ = model.fit_tree(_planted(spark, sf_dir), TREE_FEATURES, "label", "row_id", impurities=["gini"], depths=[1], folds=2)
+    rules_ = model.tree_rules(spark, cvm)
+    leaf = F.regexp_extract("rule", r"Predict: ([0-9.]+)", 1)
+    return (rules_.where(leaf != "").groupBy(leaf.cast("double").cast("int").alias("prediction"))
+            .agg(F.count("*").alias("leaves")))

@@ -79,12 +79,15 @@ EVENT_LOG_LINE = (
     "'CardholderAge=' || CAST(18 + user_id % 60 AS STRING), "
     "'IsFraud=' || CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END, "
     "CASE WHEN event_id % 3 <> 0 THEN 'IP=10.' || CAST(user_id % 256 AS STRING) || '.' "
-    "|| CAST(event_id % 256 AS STRING) || '.1' END)"
+    "|| CAST(event_id % 256 AS STRING) || '.1' END, "
+    "CASE WHEN event_id % 5 = 2 THEN 'FailedAttempts=' || CAST(event_id % 4 AS STRING) END)"
 )
+# Fixed value: log lines without an id or an amount (unparsable) by key rule.
+EVENT_LOG_BROKEN = "event_id % 101 = 7"
 
-# Fixed value: the supervisor note that carries the relabelling rule.
-SUPERVISOR_NOTE = ('Todos las transacciones que su id empiecen con "TX-2024-4..." '
-                   'tienen que considerarse como fraudes')
+# The id prefixes that count as fraud, quoted in one line of a note.
+FRAUD_PREFIXES = ("TX-2024-4", "TX-2024-00000")
+SUPERVISOR_NOTE = 'ids starting with "TX-2024-4..." or "TX-2024-00000..." are fraud'
 
 
 def with_dirt(df: DataFrame, rules: dict[str, str], keep=("event_id",)) -> DataFrame:
@@ -104,7 +107,7 @@ EVENT_JSON_TRUNCATED = "event_id % 997 = 0"
 EVENT_JSON_NULL_CARDHOLDER = "event_id % 31 = 0"
 EVENT_JSON = {
     "transaction_id": "CASE WHEN event_id % 29 = 0 THEN NULL ELSE "
-                      "CASE WHEN event_id % 3 = 0 THEN 'TX-2024-4' ELSE 'TX-2024-0' END "
+                      "CASE WHEN event_id % 10 = 7 THEN 'TX-2023-0' WHEN event_id % 3 = 0 THEN 'TX-2024-4' ELSE 'TX-2024-0' END "
                       "|| printf('%07d', event_id) END",
     "transaction_hour": "CASE event_id % 23 WHEN 1 THEN '24' WHEN 2 THEN '-1' "
                         "ELSE CAST(hour(ts) AS STRING) END",

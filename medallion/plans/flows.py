@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medallion.functions import coerce as fx
 from medallion.operators import cleaning, impute, keys, outliers, rules, text, unify
 from medallion.operators.profile import StageAudit
 from medallion.sources.schemas import GOLD_SCHEMA, JSON_FLATTEN
@@ -49,8 +50,10 @@ def clean_csv(raw: DataFrame, median_method: str = "cont", iqr_sequential: bool
     mark = audit.mark if audit is not None else (lambda d, _name: d)
     df = raw.drop(*[c for c in ("_corrupt_record", "source_file") if c in raw.columns])
     df = mark(df, "read")
-    df = cleaning.coerce_numeric(df, [c for c in CSV_NUMERIC if c in df.columns])
-    df = mark(cleaning.keep_integral(df, "transaction_id"), "integral_id")
+    df = cleaning.coerce_numeric(df, [c for c in CSV_NUMERIC if c in df.columns and c != "transaction_id"])
+    # ids are whole numbers of any length; they never pass through a double
+    df = df.withColumn("transaction_id", fx.as_long("transaction_id"))
+    df = mark(df.where(F.col("transaction_id").isNotNull()), "integral_id")
     if dedupe_first:
         # dedupe ignoring the id; the smallest id of each duplicate group survives
         df = mark(keys.dedupe(df, [c for c in df.columns if c != "transaction_id"],
@@ -65,8 +68,7 @@ def clean_csv(raw: DataFrame, median_method: str = "cont", iqr_sequential: bool
     df = text.normalize_category(df, "merchant_category", "title", CATEGORY_SENTINELS)
     df = impute.fill_mode(df, ["merchant_category", "transaction_hour"])
     df = mark(cleaning.keep_between(df, {"transaction_hour": (0, 23)}), "hour_range")
-    return df.withColumns({c: F.col(c).cast("int") for c in
-                           ("transaction_hour", "cardholder_age", "transaction_id")})
+    return df.withColumns({c: F.col(c).cast("int") for c in ("transaction_hour", "cardholder_age")})
 
 
 def clean_json(raw: DataFrame, amount_policy: str = "mean", required: Sequence[str] = JSON_REQUIRED,
@@ -78,7 +80,10 @@ def clean_json(raw: DataFrame, amount_policy: str = "mean", required: Sequence[s
     df = cleaning.flatten(df, spec)
     df = df.where(F.col("transaction_id").isNotNull())
     df = impute.handle_amount(df, "amount", amount_policy)
-    df = keys.dedupe(df, ["transaction_id"], order=["timestamp", "amount"])
+    # the other columns, nulls first, settle ties, so the surviving row is fixed
+    rest = [c for c in df.columns if c not in ("transaction_id", "timestamp", "amount")]
+    tie = F.struct(*[x for c in rest for x in (F.col(c).isNotNull().alias(f"{c}_has"), F.col(c))])
+    df = keys.dedupe(df, ["transaction_id"], order=["timestamp", "amount", tie])
     df = cleaning.drop_nulls(df, list(required))
     df = cleaning.keep_between(df, JSON_RANGES)
     df = rules.relabel_by_prefix(df, "transaction_id", [fraud_prefix], "is_fraud", True)
@@ -91,19 +96,24 @@ def clean_logs(lines: DataFrame, rule_note: DataFrame | None = None,
     df = text.parse_logs(lines)
     df, _ = text.split_unparsed(df)
     df = rules.risk_score(df, "ip_risk_score")
-    prefixes = rules.rules_from_text(rule_note) if rule_note is not None else [fraud_prefix]
-    df = rules.relabel_by_prefix(df, "transaction_id", prefixes, "is_fraud", True)
-    df = rules.prefix_flag(df, "transaction_id", fraud_prefix, "id_flag")
+    if rule_note is None:
+        df = rules.prefix_flag(df, "transaction_id", fraud_prefix, "id_flag")
+    else:  # label and flag follow the same rules
+        df = rules.prefix_hit(df, "transaction_id", rules.rules_from_text(rule_note), "id_flag")
+        df = df.withColumn("id_flag", F.col("id_flag").cast("int"))
+    df = df.withColumn("is_fraud", F.when(F.col("id_flag") == 1, F.lit(True)).otherwise(F.col("is_fraud")))
     return keys.dedupe(df)
 
 
 def to_gold(df: DataFrame, source: str) -> DataFrame:
-    """Map one silver source onto the 11 gold columns (booleans -> 0/1)."""
+    """Map one silver source onto the 11 gold columns (booleans -> 0/1, category in lower case)."""
     renames = {"is_foreign_transaction": "foreign_transaction"}
     d = df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
     d = d.withColumns({c: F.col(c).cast("int") for c in ("foreign_transaction", "location_mismatch",
                                                          "is_fraud")
                        if c in d.columns and d.schema[c].dataType.simpleString() == "boolean"})
+    if "merchant_category" in d.columns:
+        d = d.withColumn("merchant_category", F.lower("merchant_category"))
     if "id_flag" not in d.columns:
         d = rules.prefix_flag(d, "transaction_id", FRAUD_PREFIX, "id_flag")
     return d

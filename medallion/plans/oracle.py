@@ -8,7 +8,7 @@ DuckDB's boolean cast is narrower: explicit ``CASE``).
 from __future__ import annotations
 
 from medallion.plans.dirt import (EVENT_CSV, EVENT_DIRT, EVENT_JSON, EVENT_JSON_NULL_CARDHOLDER,
-                                  EVENT_JSON_TRUNCATED, sql_select)
+                                  EVENT_JSON_TRUNCATED, EVENT_LOG_BROKEN, FRAUD_PREFIXES, sql_select)
 
 NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -39,8 +39,9 @@ DE = f"dirty_events AS (SELECT {sql_select(EVENT_DIRT)} FROM events)"
 CE = (f"coerced_events AS (SELECT event_id, tx_id, {num('raw_value')} AS value_num, "
       f"{num('raw_hour')} AS hour_num, {boolset('raw_flag')} AS flag, raw_cat AS cat FROM dirty_events)")
 DL = ("dl AS (SELECT l_orderkey, l_linenumber, "
-      "CASE WHEN l_orderkey % 89 = 0 THEN l_quantity + 500 ELSE l_quantity END AS qty, "
-      "CASE WHEN l_orderkey % 97 = 0 THEN l_extendedprice * 50 ELSE l_extendedprice END AS price, "
+      "CASE WHEN l_orderkey % 5 = 0 THEN l_quantity + 500 ELSE l_quantity END AS qty, "
+      "CASE WHEN l_orderkey % 97 = 0 THEN l_extendedprice * 50 WHEN l_orderkey % 5 = 0 THEN l_extendedprice * 10 "
+      "WHEN l_orderkey % 13 = 0 THEN l_extendedprice * 4 ELSE l_extendedprice END AS price, "
       "CASE WHEN l_orderkey % 83 = 0 THEN l_discount + 1 ELSE l_discount END AS disc FROM lineitem)")
 WITH_CE = f"WITH {DE}, {CE} "
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -57,8 +58,9 @@ PARSED = f"""SELECT {TX} AS transaction_id, CAST(hour(ts) AS INTEGER) AS transac
   CAST(CAST(event_id % 12 AS VARCHAR) || '.' || CAST(event_id % 10 AS VARCHAR) AS DOUBLE) AS velocity_last_24h,
   CAST(18 + user_id % 60 AS INTEGER) AS cardholder_age, event_type = 'error' AS is_fraud,
   CASE WHEN event_id % 3 <> 0 THEN '10.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR) || '.1' END AS ip,
-  CAST(NULL AS INTEGER) AS failed_attempts
-FROM events"""
+  CASE WHEN event_id % 5 = 2 THEN CAST(event_id % 4 AS INTEGER) ELSE 0 END AS failed_attempts
+FROM events WHERE NOT ({EVENT_LOG_BROKEN})"""
+NOTE = " OR ".join(f"starts_with(transaction_id, '{p}')" for p in FRAUD_PREFIXES)
 
 RISK = """round(least(1.0, greatest(0.0, 0.05
   + CASE WHEN coalesce(is_foreign_transaction, false) THEN 0.25 ELSE 0 END
@@ -108,14 +110,14 @@ mh AS (SELECT transaction_hour AS mode_hour FROM c10 WHERE transaction_hour IS N
   GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
 c11 AS (SELECT c10.* REPLACE (coalesce(merchant_category, (SELECT mode_cat FROM mc)) AS merchant_category,
   coalesce(transaction_hour, (SELECT mode_hour FROM mh)) AS transaction_hour) FROM c10)
-SELECT CAST(transaction_id AS INTEGER) AS transaction_id, amount,
+SELECT transaction_id, amount,
   CAST(trunc(transaction_hour) AS INTEGER) AS transaction_hour, merchant_category, foreign_transaction,
   location_mismatch, device_trust_score, velocity_last_24h,
   CAST(trunc(cardholder_age) AS INTEGER) AS cardholder_age, is_fraud
 FROM c11 WHERE transaction_hour BETWEEN 0 AND 23"""
 
 
-def json_flow_sql(unreadable_dropped: bool = False) -> str:
+def json_flow_sql(unreadable_dropped: bool = False, digits: int | None = 6) -> str:
     x = EVENT_JSON
     readable = f"WHERE NOT ({EVENT_JSON_TRUNCATED})" if unreadable_dropped else ""
     nc = EVENT_JSON_NULL_CARDHOLDER
@@ -135,7 +137,7 @@ def json_flow_sql(unreadable_dropped: bool = False) -> str:
   {i(x['failed_attempts'])} AS failed_attempts, {x['is_fraud']} AS is_fraud FROM events {readable}),
 f AS (SELECT * FROM j WHERE transaction_id IS NOT NULL),
 g AS (SELECT * REPLACE (coalesce(amount, (SELECT avg(amount) FROM f)) AS amount) FROM f)
-SELECT * REPLACE (round(amount, 6) AS amount,
+SELECT * REPLACE ({'amount' if digits is None else f'round(amount, {digits})'} AS amount,
   CASE WHEN starts_with(transaction_id, 'TX-2024-4') THEN true ELSE is_fraud END AS is_fraud),
   CAST(starts_with(transaction_id, 'TX-2024-4') AS INTEGER) AS id_flag
 FROM g WHERE amount IS NOT NULL AND transaction_hour IS NOT NULL AND merchant_category IS NOT NULL
@@ -146,12 +148,12 @@ FROM g WHERE amount IS NOT NULL AND transaction_hour IS NOT NULL AND merchant_ca
 
 def csv_stage_audit_sql() -> str:
     body = csv_flow_sql()
-    head, final = body.rsplit("\nSELECT CAST(transaction_id AS INTEGER)", 1)
+    head, final = body.rsplit("\nSELECT transaction_id", 1)
     stages = [("read", "raw"), ("integral_id", "c1"), ("dedupe", "c2"), ("flags", "c4"), ("iqr", "c9"),
               ("hour_range", "out")]
     counts = " UNION ALL ".join(f"SELECT {i} AS stage_no, '{name}' AS stage, count(*) AS n FROM {t}"
                                 for i, (name, t) in enumerate(stages))
-    return (f"{head},\nout AS (SELECT CAST(transaction_id AS INTEGER){final}),\nst AS ({counts})\n"
+    return (f"{head},\nout AS (SELECT transaction_id{final}),\nst AS ({counts})\n"
             "SELECT stage_no, stage, n AS rows, CAST(coalesce(lag(n) OVER (ORDER BY stage_no) - n, 0) AS BIGINT) "
             "AS removed FROM st")
 
@@ -160,35 +162,31 @@ def logs_flow_sql() -> str:
     return f"""WITH p AS ({PARSED})
 SELECT transaction_id, amount, transaction_hour, merchant_category, is_foreign_transaction, location_mismatch,
   device_trust_score, velocity_last_24h, cardholder_age,
-  CASE WHEN starts_with(transaction_id, 'TX-2024-4') THEN true ELSE is_fraud END AS is_fraud,
-  {RISK} AS ip_risk_score, CAST(starts_with(transaction_id, 'TX-2024-4') AS INTEGER) AS id_flag
+  CASE WHEN {NOTE} THEN true ELSE is_fraud END AS is_fraud,
+  {RISK} AS ip_risk_score, CAST(({NOTE}) AS INTEGER) AS id_flag
 FROM p"""
 
 
-def gold_union_sql() -> str:
-    return f"""WITH csv AS ({csv_flow_sql()}), logs AS ({logs_flow_sql()})
-SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, amount, transaction_hour, merchant_category,
-  foreign_transaction, location_mismatch, device_trust_score, velocity_last_24h, cardholder_age, is_fraud,
-  0 AS id_flag, 'csv' AS source, 1 AS priority FROM csv
-UNION ALL
-SELECT transaction_id, amount, transaction_hour, merchant_category,
-  CAST(is_foreign_transaction AS INTEGER), CAST(location_mismatch AS INTEGER), CAST(device_trust_score AS DOUBLE),
-  velocity_last_24h, cardholder_age, CAST(is_fraud AS INTEGER), id_flag, 'logs', 3 FROM logs"""
-
-
-def gold_latest_sql() -> str:
-    return f"""WITH csv AS ({csv_flow_sql()}), js AS ({json_flow_sql()}), logs AS ({logs_flow_sql()}),
-u AS (SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, amount, transaction_hour, merchant_category,
-  foreign_transaction, location_mismatch, device_trust_score, velocity_last_24h, cardholder_age, is_fraud,
-  0 AS id_flag, 'csv' AS source, 1 AS priority FROM csv
+GOLD = """SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, amount, transaction_hour,
+  lower(merchant_category) AS merchant_category, foreign_transaction, location_mismatch, device_trust_score,
+  velocity_last_24h, cardholder_age, is_fraud, 0 AS id_flag, 'csv' AS source, 1 AS priority FROM csv
 UNION ALL
-SELECT transaction_id, amount, transaction_hour, merchant_category, CAST(is_foreign_transaction AS INTEGER),
+SELECT transaction_id, amount, transaction_hour, lower(merchant_category), CAST(is_foreign_transaction AS INTEGER),
   CAST(location_mismatch AS INTEGER), device_trust_score, velocity_last_24h, cardholder_age,
   CAST(is_fraud AS INTEGER), id_flag, 'json', 2 FROM js
 UNION ALL
-SELECT transaction_id, amount, transaction_hour, merchant_category, CAST(is_foreign_transaction AS INTEGER),
+SELECT transaction_id, amount, transaction_hour, lower(merchant_category), CAST(is_foreign_transaction AS INTEGER),
   CAST(location_mismatch AS INTEGER), CAST(device_trust_score AS DOUBLE), velocity_last_24h, cardholder_age,
-  CAST(is_fraud AS INTEGER), id_flag, 'logs', 3 FROM logs)
+  CAST(is_fraud AS INTEGER), id_flag, 'logs', 3 FROM logs"""
+
+
+def gold_union_sql() -> str:
+    return f"WITH csv AS ({csv_flow_sql()}), js AS ({json_flow_sql(digits=None)}), logs AS ({logs_flow_sql()}) {GOLD}"
+
+
+def gold_latest_sql() -> str:
+    return f"""WITH csv AS ({csv_flow_sql()}), js AS ({json_flow_sql(digits=None)}), logs AS ({logs_flow_sql()}),
+u AS ({GOLD})
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY priority DESC) AS rn
   FROM u) WHERE rn = 1"""
 
@@ -227,8 +225,13 @@ UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_totalprice + 1, NULL, 'logs', 3
 UNIFY_LATEST = f"""SELECT order_id, amount, status, source, priority FROM (SELECT *, row_number() OVER
   (PARTITION BY order_id ORDER BY priority DESC) AS rn FROM ({UNIFY})) WHERE rn = 1"""
 
-UPSERT = """WITH t AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),
-s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 100 AS c_acctbal, c_mktsegment FROM customer WHERE c_nationkey < 5)
+UPSERT_TARGET = """SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN c_name END AS c_name, c_nationkey, c_acctbal,
+  c_mktsegment FROM customer"""
+UPSERT = f"""WITH t AS ({UPSERT_TARGET}),
+s AS (SELECT CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 10000000 ELSE c_custkey END AS c_custkey,
+  CASE WHEN c_custkey % 11 = 0 THEN c_mktsegment ELSE c_name END AS c_name, c_nationkey,
+  CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal,
+  CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer)
 SELECT CASE WHEN s.c_custkey IS NOT NULL THEN s.c_custkey ELSE t.c_custkey END AS c_custkey,
   CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name,
   CASE WHEN s.c_custkey IS NOT NULL THEN s.c_nationkey ELSE t.c_nationkey END AS c_nationkey,
@@ -337,7 +340,7 @@ SELECT category, count(*) AS "count", count(*) / (SELECT count(*) FROM dirty_eve
         "outlier_report": f"WITH {DL} " + " UNION ALL ".join(_outlier_col(c, "1.5") for c in ("qty", "price", "disc")),
         "outlier_examples": f"""WITH {DL}, f AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM dl)
 SELECT l_orderkey, l_linenumber, price FROM dl, f WHERE price < q1 - 3.0 * (q3 - q1) OR price > q3 + 3.0 * (q3 - q1)
-ORDER BY price DESC LIMIT 10""",
+ORDER BY price DESC, l_orderkey, l_linenumber LIMIT 10""",
         "box_stats": """WITH d AS (SELECT CAST(n_chars AS DOUBLE) AS v FROM documents),
 q AS (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med, quantile_cont(v, 0.75) AS q3 FROM d)
 SELECT 'n_chars' AS column_name, (SELECT min(v) FROM d) AS min_value, round(q1, 6) AS q1, round(med, 6) AS median,
@@ -373,7 +376,7 @@ SELECT event_id, coalesce(c.cat, (SELECT cat FROM m)) AS cat FROM c""",
         "risk_score": f"""WITH p AS ({PARSED}), s AS (SELECT transaction_id, {RISK} AS risk_score FROM p)
 SELECT transaction_id, risk_score, CASE WHEN risk_score >= 0.65 THEN 'high' WHEN risk_score >= 0.35 THEN 'medium' ELSE 'low' END AS risk_band FROM s""",
         "relabel_by_prefix": f"""WITH p AS ({PARSED}) SELECT transaction_id,
-  CASE WHEN starts_with(transaction_id, 'TX-2024-4') THEN true ELSE is_fraud END AS is_fraud FROM p""",
+  CASE WHEN {NOTE} THEN true ELSE is_fraud END AS is_fraud FROM p""",
         "relabel_rule_table": f"""WITH p AS ({PARSED}),
 r AS (SELECT DISTINCT printf('TX-2024-0%05d', o_orderkey % 1000) AS prefix FROM orders)
 SELECT transaction_id, CASE WHEN substr(transaction_id, 1, 14) IN (SELECT prefix FROM r) THEN true
@@ -396,7 +399,7 @@ SELECT transaction_id, CASE WHEN substr(transaction_id, 1, 14) IN (SELECT prefix
         "delete_where": "SELECT * FROM customer WHERE NOT coalesce(c_mktsegment = 'AUTOMOBILE', false)",
         "append_conformed": """SELECT * FROM customer UNION ALL
 SELECT c_custkey + 1000000, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_nationkey >= 20""",
-        "diff_versions": f"""WITH o AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'), n AS ({UPSERT})
+        "diff_versions": f"""WITH o AS ({UPSERT_TARGET}), n AS (SELECT * FROM ({UPSERT}) WHERE c_custkey % 17 <> 0)
 SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey,
   CASE WHEN o.c_custkey IS NULL THEN 'added' WHEN n.c_custkey IS NULL THEN 'removed' ELSE 'changed' END AS change
 FROM o FULL OUTER JOIN n ON o.c_custkey = n.c_custkey
@@ -425,6 +428,23 @@ a AS (SELECT CAST(a AS DOUBLE) AS class, count(*) AS actual FROM p GROUP BY 1),
 b AS (SELECT CAST(p AS DOUBLE) AS class, count(*) AS predicted FROM p GROUP BY 1)
 SELECT coalesce(a.class, b.class) AS class, coalesce(actual, 0) AS actual, coalesce(predicted, 0) AS predicted
 FROM a FULL OUTER JOIN b ON a.class = b.class""",
+        "unparsed_lines": f"SELECT 'cut off ' || CAST(event_id AS VARCHAR) AS value FROM events WHERE {EVENT_LOG_BROKEN}",
+        "typed_load": f"""WITH {DE}, d AS (SELECT event_id, raw_hour, CASE WHEN event_id % 5 = 0
+   THEN '900719925474' || lpad(CAST(event_id AS VARCHAR), 7, '0') ELSE raw_id END AS id FROM dirty_events),
+t AS (SELECT event_id, id, raw_hour, CAST(trunc(CAST(id AS DECIMAL(38, 10))) AS BIGINT) AS big_id,
+   try_cast(trunc({num('raw_hour')}) AS TINYINT) AS hour FROM d)
+SELECT event_id, big_id, hour, CASE WHEN raw_hour IS NOT NULL AND hour IS NULL THEN 'hour' ELSE '' END AS violations FROM t""",
+        "shared_index": """WITH c AS (SELECT 'customer' AS side, c_custkey AS key, c_mktsegment AS cat FROM customer
+  UNION ALL SELECT 'orders', o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'BUILDING' WHEN o_orderkey % 50 = 1 THEN NULL
+    ELSE o_orderpriority END FROM orders),
+n AS (SELECT cat, row_number() OVER (ORDER BY count(*) DESC, cat) - 1 AS idx FROM c WHERE cat IS NOT NULL GROUP BY cat)
+SELECT side, key, CAST(coalesce(n.idx, (SELECT count(*) FROM n)) AS DOUBLE) AS idx FROM c LEFT JOIN n USING (cat)""",
+        "model_chain": f"""WITH h AS (SELECT CAST(l_quantity > 25 AS INTEGER) AS label,
+   ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || ':42'), 1, 8))::BIGINT AS h FROM lineitem),
+t AS (SELECT label, quantile_disc(h, 0.2) AS thr FROM h GROUP BY label)
+SELECT CASE WHEN h <= thr THEN 'test' ELSE 'train' END AS split, label, label AS prediction, count(*) AS n
+FROM h JOIN t USING (label) GROUP BY ALL""",
+        "tree_leaves": "SELECT CAST(x AS INTEGER) AS prediction, CAST(1 AS BIGINT) AS leaves FROM (VALUES (0), (1)) v(x)",
         "load_audit": """SELECT x.event_type, coalesce(c.n, 0) AS n_rows, coalesce(c.n, 0) > 0 AS present
 FROM (VALUES ('click'), ('error'), ('purchase'), ('refund'), ('signup'), ('view')) x(event_type)
 LEFT JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY event_type) c USING (event_type)""",

@@ -66,25 +66,9 @@ def corrupt_report(df: DataFrame, corrupt_col: str = CORRUPT,
             .orderBy("source_file"))
 
 
-def read_parquet(spark: SparkSession, path: str | Sequence[str], spread: bool = False,
-                 min_partitions: int | None = None) -> DataFrame:
-    """Parquet scan, optionally with a parallelism guard (``spread``).
-
-    A file holding a single row group is read by one task, so CPU-heavy row
-    work that follows (regex parsing, text coercion) would run on one core.
-    With ``spread`` and a scan of fewer partitions than ``min_partitions``
-    (default: the cluster's default parallelism) the rows are spread once by a
-    round-robin repartition.  Big inputs have many splits and are left
-    untouched (the check only plans the scan; it runs no job).  Plain
-    aggregations do not need it: their own shuffle spreads the work.
-    """
-    paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.parquet(*paths)
-    if spread:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-    return df
+def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Parquet scan of one or more paths."""
+    return spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -81,3 +81,19 @@ def test_flatten_null_struct(spark):
                                "cardholder struct<age:string,country:string>")
     out = cleaning.flatten(df, {"age": ("cardholder.age", "int"), "country": ("cardholder.country", None)})
     assert [tuple(r) for r in out.collect()] == [(34, "AR"), (None, None)]
+
+
+def test_long_ids_keep_their_digits(spark):
+    from pyspark.sql import types as T
+
+    from medallion.functions import coerce as fx
+    from medallion.operators import cleaning
+    ids = ["9007199254740993", " 9223372036854775807 ", "9007199254740993.0", "12.5", "1e3", "abc", None, "-7", "99999999999999999999"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "i int, x string")
+    got = [r.v for r in df.select("i", fx.as_long("x").alias("v")).orderBy("i").collect()]
+    assert got == [9007199254740993, 9223372036854775807, 9007199254740993, None, 1000, None, None, -7, None]
+    schema = T.StructType([T.StructField("i", T.ByteType()), T.StructField("x", T.LongType())])
+    out = {r.i: (r.x, r._violations) for r in cleaning.conform(df, schema).collect()}
+    assert out[0] == (9007199254740993, []) and out[3] == (12, []) and out[5] == (None, ["x"]) and out[8] == (None, ["x"])
+    big = spark.createDataFrame([(9007199254740993,)], "x long")
+    assert cleaning.conform(big, T.StructType([T.StructField("x", T.LongType())])).first().x == 9007199254740993

@@ -12,12 +12,14 @@ def test_stratified_split_exact_share(spark):
 
 def test_index_and_one_hot(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), ("a",), (None,)], "c string")
-    idx = [r.c_idx for r in encode.index_category(df, "c").collect()]
-    assert idx == [1.0, 0.0, 1.0, 2.0, 0.0, 3.0]   # a,b tie -> alphabetical; null -> numLabels
+    idx = {r.c: r.c_idx for r in encode.index_category(df, "c").collect()}
+    assert idx == {"a": 0.0, "b": 1.0, "c": 2.0, None: 3.0}   # a,b tie -> alphabetical; null -> number of labels
     oh = encode.one_hot(df, "c").columns
     assert oh == ["c_a", "c_b", "c_c"]
     m = encode.fit_index([df, spark.createDataFrame([("z",)], "c string")], "c")
-    assert "z" in m.labels
+    assert "z" in {r.label for r in m.collect()}
+    z = spark.createDataFrame([("z",), ("new",)], "c string")
+    assert {r.c: r.i for r in encode.index_category(z, "c", "i", m).collect()} == {"z": 3.0, "new": 4.0}
 
 
 def test_confusion_and_report(spark):
@@ -32,6 +34,24 @@ def test_confusion_and_report(spark):
     assert pc == [(0.0, 6, 6), (1.0, 4, 4)]
 
 
+def test_report_keeps_every_row_and_any_class(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), (None, "a"), ("c", None)], "y string, p string")
+    cm = {(r.actual, r.predicted): r.n for r in model.confusion_matrix(df, "y", "p", ["a", "b"]).collect()}
+    assert len(cm) == 16 and sum(cm.values()) == 4 and cm[("a", "a")] == 1 and cm[(None, "a")] == 1 and cm[("c", None)] == 1
+    rep = {r["class"]: r for r in model.classification_report(df, "y", "p", ["a", "b"]).collect()}
+    assert rep["accuracy"].f1 == 0.25 and rep["accuracy"].support == 4 and rep["c"].support == 1 and rep["null"].support == 1
+    mixed = spark.createDataFrame([(1, 1.0), (0, 1.0), (2, 0.0)], "y int, p double")
+    cm = {(r.actual, r.predicted): r.n for r in model.confusion_matrix(mixed, "y", "p").collect()}
+    assert len(cm) == 9 and cm[(1, 1)] == 1 and cm[(0, 1)] == 1 and cm[(2, 0)] == 1
+
+
+def test_folds_are_stratified(spark):
+    df = spark.range(3000).select(F.col("id"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    n = {(r.y, r.fold): r["count"] for r in model.fold_column(df, "id", 5, label="y").groupBy("y", "fold").count().collect()}
+    assert {k for _, k in n} == set(range(5))
+    assert all(n[(1, f)] == 60 and n[(0, f)] == 540 for f in range(5))
+
+
 def test_tree_fit_small_grid(spark):
     df = spark.range(400).select(F.col("id").cast("string").alias("rid"), (F.col("id") % 10).cast("double").alias("x"),
                                  ((F.col("id") * 7) % 13).cast("double").alias("z"))
@@ -39,6 +59,7 @@ def test_tree_fit_small_grid(spark):
     cvm, grid = model.fit_tree(df, ["x", "z"], "y", "rid", impurities=["gini"], depths=[1, 2], folds=2)
     res = model.cv_results(spark, cvm, grid).collect()
     assert len(res) == 2 and max(r.cv_accuracy for r in res) > 0.99
+    assert max(r.train_accuracy for r in res) > 0.99 and [r.is_best for r in res] == [True, False]
     imp = model.feature_importances(spark, cvm, ["x", "z"]).first()
     assert imp.feature == "x"
     assert model.predict(cvm, df, ["x", "z"]).where("prediction = y").count() == 400
@@ -58,6 +79,7 @@ def test_model_frame_and_numeric_index(spark):
     mf = encode.model_frame(df, drop=["id"]).collect()
     assert [tuple(r) for r in mf] == [(1.5, 1.0, 3.0)]
     hours = spark.createDataFrame([(23,), (7,), (7,), (None,)], "h int")
-    assert [r.h_idx for r in encode.index_category(hours, "h").collect()] == [1.0, 0.0, 0.0, 2.0]
+    assert sorted((str(r.h), r.h_idx) for r in encode.index_category(hours, "h").collect()) == [
+        ("23", 1.0), ("7", 0.0), ("7", 0.0), ("None", 2.0)]
     v = encode.assemble(spark.createDataFrame([(1.0, 2.0)], "x double, y double"), ["x", "y"]).first()
     assert list(v.features) == [1.0, 2.0]

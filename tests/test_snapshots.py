@@ -43,24 +43,30 @@ def test_diff_versions(spark):
     assert d == {2: "changed", 3: "removed", 4: "added"}
 
 
-def test_versioned_table_lifecycle(spark, tmp_dir):
-    t = snap.VersionedTable(spark, tmp_dir + "/tx")
-    assert t.commit(_t(spark)) == 0
-    assert t.append(spark.createDataFrame([(5, "e", 1.0)], SCHEMA)) == 1
+def test_append_enforces_the_schema(spark):
+    t = _t(spark)
+    assert snap.append(t, spark.createDataFrame([(5, "e", 1.0)], SCHEMA)).count() == 4
     with pytest.raises(snap.SchemaMismatch) as e:
-        t.append(spark.createDataFrame([("6", "f", "x")], "id string, name string, bal string"))
+        snap.append(t, spark.createDataFrame([("6", "f", "x")], "id string, name string, bal string"))
     assert {c for c, _, _ in e.value.report} == {"id", "bal"}
-    assert t.append_conformed(spark.createDataFrame([("6", "f", "2.5")], "id string, name string, bal string")) == 2
-    assert t.read_version().count() == 5
-    t.update(F.col("bal") < 0, {"bal": 0.0})
-    t.delete(F.col("id") == 1)
-    t.upsert(spark.createDataFrame([(3, "C", 3.0)], SCHEMA), ["id"])
-    assert t.read_version().count() == 4
-    assert t.read_version(0).count() == 3
-    v = t.rollback(1)
-    assert sorted(r.id for r in t.read_version(v).collect()) == [1, 2, 3, 5]
-    ops = [r.operation for r in t.history().collect()]
-    assert ops[0] == "RESTORE" and ops[-1] == "OVERWRITE" and "MERGE" in ops
+
+
+def test_diff_sees_a_value_that_moves_between_columns(spark):
+    schema = "id long, a string, b string"
+    old = spark.createDataFrame([(1, None, "x"), (2, None, None), (3, "p", "q")], schema)
+    new = spark.createDataFrame([(1, "x", None), (2, None, None), (3, "p", "q")], schema)
+    assert {r.id: r.change for r in snap.diff_versions(old, new, ["id"]).collect()} == {1: "changed"}
+    twice = spark.createDataFrame([(3, "p", "q"), (3, "q", "p")], schema)
+    assert {r.id: r.change for r in snap.diff_versions(twice, twice.limit(2), ["id"]).collect()} == {}
+
+
+def test_null_keys_are_inserted_and_never_match(spark):
+    src = spark.createDataFrame([(None, "n1", 1.0), (None, "n2", 2.0), (1, "A", 0.0)], SCHEMA)
+    target = _t(spark).unionByName(spark.createDataFrame([(None, "t", 9.0)], SCHEMA))
+    out = sorted((str(r.id), r.name) for r in snap.upsert(target, src, ["id"]).collect())
+    assert out == [("1", "A"), ("2", "b"), ("3", "c"), ("None", "n1"), ("None", "n2"), ("None", "t")]
+    same = snap.upsert(target, target.where("id is not null"), ["id"])  # both sides of one table
+    assert same.count() == 4
 
 
 def test_hot_key_upsert_and_diff(spark):

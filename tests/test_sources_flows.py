@@ -115,23 +115,6 @@ def test_json_fixtures_without_mismatch_are_all_dropped(spark, tmp_dir):
     assert flows.clean_json(raw, required=("amount",)).count() == 4
 
 
-def test_spread_guard_is_a_no_op_on_split_inputs(spark, tmp_dir):
-    big = tmp_dir + "/many"
-    spark.range(20000).repartition(16).write.parquet(big)
-    one = tmp_dir + "/one"
-    spark.range(100).coalesce(1).write.parquet(one)
-
-    def plan(df):
-        return df._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        assert "RoundRobinPartitioning" not in plan(readers.read_parquet(spark, big, spread=True, min_partitions=4))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert "RoundRobinPartitioning" in plan(readers.read_parquet(spark, one, spread=True, min_partitions=4))
-    assert "RoundRobinPartitioning" not in plan(readers.read_parquet(spark, one))
-
-
 def test_load_typed_splits_a_hot_key(spark, tmp_dir):
     from pyspark.sql import types as T
     df = spark.range(3000).selectExpr("CAST(CASE WHEN id < 1000 THEN 7 ELSE id END AS STRING) AS k",
