@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,53 +90,74 @@ def numeric_ranges(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 def summary(df: DataFrame, cols: Sequence[str] | None = None, method: str = "cont",
             digits: int = 6) -> DataFrame:
-    """PRF-6: count, unique, top, freq, mean, std, min, q25, q50, q75, max per column (long form).
+    """PRF-6: one line per column: count, unique, top, freq; for numbers mean, std, min, quartiles, max too.
 
-    ``std`` and the quartiles are rounded to ``digits``; the mean is left as
-    computed (rounding a mean that sits on a rounding boundary would make the
-    last digit depend on summation order).
+    All columns are described: a number's most frequent value is in ``top``, that
+    of any other column, as text, in ``top_text`` (ties: the smallest).  Figures
+    that do not apply are null; std and quartiles are rounded to ``digits``, the mean to one digit more.
 
-    Rows are unpivoted to (column_name, v) once; one grouped aggregate on
-    (column_name, v) gives unique / top / freq, one on column_name gives the
-    moments.  Quartiles come from :func:`stats.quantiles` as literals.
+    Counts and moments of all columns are one wide aggregate.  The values are
+    unpivoted once and counted by (column, value) for unique, top and freq.
+    Quartiles come from :func:`stats.quantiles` as literals.
     """
-    cols = list(cols or numeric_columns(df))
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([], cols, "column_name", "v")
-            .where(F.col("v").isNotNull() & ~F.isnan("v")))
-    freq = long.groupBy("column_name", "v").agg(F.count("*").alias("n"))
-    tops = freq.groupBy("column_name").agg(
-        F.count("*").alias("unique"),
-        F.max_by("v", F.struct(F.col("n"), -F.col("v"))).alias("top"),
-        F.max("n").alias("freq"))
-    moments = long.groupBy("column_name").agg(
-        F.count("*").alias("count"),
-        F.avg("v").alias("mean"),
-        F.round(F.stddev_samp("v"), digits).alias("std"),
-        (F.min("v") + F.lit(0.0)).alias("min"), (F.max("v") + F.lit(0.0)).alias("max"))
-    q = stats.quantiles(df, cols, [0.25, 0.5, 0.75], method=method)
-    qdf = df.sparkSession.createDataFrame(
-        [(c, *[None if x is None else round(float(x), digits) for x in q[c]]) for c in cols],
-        "column_name string, q25 double, q50 double, q75 double")
-    return (moments.join(tops, "column_name", "left").join(F.broadcast(qdf), "column_name", "left")
-            .select("column_name", "count", "unique", "top", "freq", "mean", "std",
-                    "min", "q25", "q50", "q75", "max"))
+    cols = list(cols or df.columns)
+    numbers = [c for c in cols if isinstance(df.schema[c].dataType, NUMERIC)]
+    v = {c: F.col(c).cast("double") for c in numbers}
+    v = {c: F.when(~F.isnan(x), x) for c, x in v.items()}
+    narrow = df.select(*[(v[c] if c in v else F.col(c).cast("string")).alias(c) for c in cols])
+    q = stats.quantiles(narrow, numbers, [0.25, 0.5, 0.75], method=method) if numbers else {}
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs.append(F.count(F.col(c)).alias(f"n{i}"))
+        if c in v:
+            aggs += [F.round(F.avg(c), digits + 1).alias(f"mean{i}"), F.round(F.stddev_samp(c), digits).alias(f"std{i}"),
+                     (F.min(c) + F.lit(0.0)).alias(f"min{i}"), (F.max(c) + F.lit(0.0)).alias(f"max{i}")]
+    none = F.lit(None).cast("double")
+
+    def quart(c: str, k: int) -> Column:
+        x = q[c][k] if c in q else None
+        return F.lit(None if x is None else round(float(x), digits)).cast("double")
+    lines = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
+                      *[(F.col(f"{m}{i}") if c in v else none).alias(m) for m in ("mean", "std", "min", "max")],
+                      *[quart(c, k).alias(f"q{p}") for k, p in enumerate((25, 50, 75))]) for i, c in enumerate(cols)]
+    moments = narrow.agg(*aggs).select(F.inline(F.array(*lines)))
+    cells = [F.struct(F.lit(c).alias("column_name"), (F.col(c) if c in v else none).alias("v"),
+                      (F.lit(None).cast("string") if c in v else F.col(c)).alias("t")) for c in cols]
+    freq = (narrow.select(F.inline(F.array(*cells))).where("v is not null or t is not null")
+            .groupBy("column_name", "v", "t").agg(F.count("*").alias("n")))
+    best = F.min(F.struct(-F.col("n"), F.col("v"), F.col("t")))
+    tops = (freq.groupBy("column_name").agg(F.count("*").alias("unique"), best.alias("b"), F.max("n").alias("freq"))
+            .select("column_name", "unique", F.col("b.v").alias("top"), F.col("b.t").alias("top_text"), "freq"))
+    return (moments.join(tops, "column_name", "left")
+            .select("column_name", "count", F.coalesce("unique", F.lit(0)).alias("unique"), "top", "top_text", "freq",
+                    "mean", "std", "min", "q25", "q50", "q75", "max"))
+
+
+def digest(cols: Sequence[str]) -> list[Column]:
+    """A 128-bit key for the values of the columns; null is a value of its own."""
+    parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(*parts).alias("__d0"), F.xxhash64(F.lit("second"), *parts).alias("__d1")]
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None,
                    out: str = "repetitions") -> DataFrame:
-    """PRF-11: keys that occur more than once, most repeated first (HAVING + top-k)."""
+    """PRF-11: keys that occur more than once, most repeated first (HAVING + top-k).
+
+    Counted by a digest, so long keys are not shuffled; only rows whose digest
+    repeats are grouped by the keys themselves.
+    """
     keys = list(keys)
-    g = (df.groupBy(*keys).agg(F.count("*").alias(out)).where(F.col(out) > 1)
-         .orderBy(F.desc(out), *keys))
+    d = df.select(*keys, *digest(keys))
+    again = d.groupBy("__d0", "__d1").agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    g = (d.join(again, ["__d0", "__d1"], "left_semi").groupBy(*keys).agg(F.count("*").alias(out))
+         .where(F.col(out) > 1).orderBy(F.desc(out), *keys))
     return g.limit(limit) if limit else g
 
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None,
                    out: str = "duplicate_rows") -> DataFrame:
-    """PRF-12: number of rows that repeat an earlier identical row."""
-    cols = list(cols or df.columns)
-    g = df.groupBy(*cols).agg(F.count("*").alias("n"))
+    """PRF-12: number of rows that repeat an earlier identical row (rows compared by a 128-bit digest)."""
+    g = df.select(*digest(list(cols or df.columns))).groupBy("__d0", "__d1").agg(F.count("*").alias("n"))
     return g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias(out))
 
 

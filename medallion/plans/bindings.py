@@ -344,12 +344,9 @@ def numeric_ranges(spark, sf_dir):
     return profile.numeric_ranges(table(spark, sf_dir, "lineitem"), LI_NUM)
 
 
-LI_INTEGRAL = ["l_quantity", "l_linenumber", "l_partkey", "l_suppkey"]
-
-
 @query
 def summary(spark, sf_dir):
-    return profile.summary(table(spark, sf_dir, "lineitem"), LI_INTEGRAL)
+    return profile.summary(table(spark, sf_dir, "lineitem"))
 
 
 @query

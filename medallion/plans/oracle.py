@@ -198,15 +198,24 @@ def _quart(table, col, f, disc=False):
             f"(SELECT {q}({col}, 0.25) AS q1, {q}({col}, 0.75) AS q3 FROM {table})")
 
 
+LI_TEXT = ["l_returnflag", "l_linestatus", "l_shipdate"]
+LI_ALL = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", *LI_TEXT]
+
+
 def _summary_col(c):
-    v = f"CAST({c} AS DOUBLE)"
-    return f"""SELECT '{c}' AS column_name, count(v) AS count, count(DISTINCT v) AS "unique",
-  (SELECT v FROM (SELECT {v} AS v FROM lineitem) WHERE v IS NOT NULL GROUP BY v ORDER BY count(*) DESC, v LIMIT 1) AS top,
-  (SELECT count(*) FROM (SELECT {v} AS v FROM lineitem) WHERE v IS NOT NULL GROUP BY v ORDER BY count(*) DESC LIMIT 1) AS freq,
-  avg(v) AS mean, round(stddev_samp(v), 6) AS std, min(v) + 0.0 AS "min",
-  round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
-  round(quantile_cont(v, 0.75), 6) AS q75, max(v) + 0.0 AS "max"
-FROM (SELECT {v} AS v FROM lineitem)"""
+    if c in LI_TEXT:
+        top, text, rest = "CAST(NULL AS DOUBLE)", "(SELECT v FROM f ORDER BY n DESC, v LIMIT 1)", ", ".join(
+            f'CAST(NULL AS DOUBLE) AS "{m}"' for m in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+        v = f"CAST({c} AS VARCHAR)"
+    else:
+        top, text, rest = "(SELECT v FROM f ORDER BY n DESC, v LIMIT 1)", "CAST(NULL AS VARCHAR)", """round(avg(v), 7) AS mean,
+  round(stddev_samp(v), 6) AS std, min(v) + 0.0 AS "min", round(quantile_cont(v, 0.25), 6) AS q25,
+  round(quantile_cont(v, 0.5), 6) AS q50, round(quantile_cont(v, 0.75), 6) AS q75, max(v) + 0.0 AS "max\""""
+        v = f"CAST({c} AS DOUBLE)"
+    return f"""SELECT * FROM (WITH x AS (SELECT {v} AS v FROM lineitem),
+  f AS (SELECT v, count(*) AS n FROM x WHERE v IS NOT NULL GROUP BY v)
+SELECT '{c}' AS column_name, count(v) AS count, count(DISTINCT v) AS "unique", {top} AS top, {text} AS top_text,
+  (SELECT max(n) FROM f) AS freq, {rest} FROM x)"""
 
 
 def _outlier_col(c, f):
@@ -336,7 +345,7 @@ SELECT category, count(*) AS "count", count(*) / (SELECT count(*) FROM dirty_eve
         "numeric_ranges": " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) + 0.0 AS min_value, CAST(max({c}) AS DOUBLE) + 0.0 AS max_value FROM lineitem"
             for c in LI_NUM),
-        "summary": " UNION ALL ".join(_summary_col(c) for c in ("l_quantity", "l_linenumber", "l_partkey", "l_suppkey")),
+        "summary": " UNION ALL ".join(_summary_col(c) for c in LI_ALL),
         "outlier_report": f"WITH {DL} " + " UNION ALL ".join(_outlier_col(c, "1.5") for c in ("qty", "price", "disc")),
         "outlier_examples": f"""WITH {DL}, f AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM dl)
 SELECT l_orderkey, l_linenumber, price FROM dl, f WHERE price < q1 - 3.0 * (q3 - q1) OR price > q3 + 3.0 * (q3 - q1)
