@@ -1,8 +1,8 @@
 """Imputation (IMP-*).
 
 Statistics are computed once per call and enter the plan either as a scalar
-subquery (mean, mode: lazy, evaluated once by Spark) or as literals (medians,
-from the bounded quantile routine).  Fills use ``coalesce`` so NaN is never
+subquery (mean: lazy, evaluated once by Spark) or as literals (medians, from the
+quantile routine, and modes).  Fills use ``coalesce`` so NaN is never
 silently touched (NaN is turned to null at ingestion instead).
 """
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.functions import coerce as fx
 from medallion.operators import stats
@@ -37,20 +38,30 @@ def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         for c in cols})
 
 
-def mode_of(df: DataFrame, col: str) -> DataFrame:
-    """Most frequent non-null value, lowest value on ties, as a 1-row DataFrame.
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
+    """Most frequent non-null value of each column as text, the lowest value on ties (None: no value).
 
-    Grouped count (map-side combined) then an ordered top-1: no group is ever
-    gathered whole.
+    One pass for all columns: (column, value) pairs are counted, combined
+    map-side, and the best pair of each column is a minimum; no group is ever
+    gathered whole and one row per column reaches the driver.
     """
-    return (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("__n"))
-            .orderBy(F.desc("__n"), F.asc(col)).limit(1).select(col))
+    cells = []
+    for c in cols:
+        kind = df.schema[c].dataType
+        number = F.col(c).cast("double") if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
+        cells.append(F.struct(F.lit(c).alias("c"), number.alias("v"), F.col(c).cast("string").alias("t")))
+    n = df.select(F.inline(F.array(*cells))).where("t is not null").groupBy("c", "v", "t").agg(F.count("*").alias("n"))
+    best = n.groupBy("c").agg(F.min(F.struct(-F.col("n"), F.col("v"), F.col("t")))["t"].alias("t"))
+    got = {r["c"]: r["t"] for r in best.collect()}
+    return {c: got.get(c) for c in cols}
 
 
 def fill_mode(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
     """IMP-4: null -> mode (nulls excluded, ties -> smallest)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    return df.withColumns({c: F.coalesce(F.col(c), mode_of(df, c).scalar()) for c in cols})
+    found = modes(df, cols)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
+                           for c, v in found.items() if v is not None})
 
 
 def null_if(df: DataFrame, col: str, sentinels: Sequence[str] = ("NAN",)) -> DataFrame:

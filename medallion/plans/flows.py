@@ -1,9 +1,9 @@
 """Canonical cleaning flows: bronze CSV / JSON / log lines -> silver -> gold.
 
-Each flow returns one plan over its input.  Statistics (medians, fences)
+Each flow returns one plan over its input.  Statistics (medians, fences, modes)
 and the resequenced key table are computed when the flow is built, from the
 data as it stands at that step, and enter the plan as literals or a written
-table; modes and means are scalar subqueries evaluated with the final job.
+table; means are scalar subqueries evaluated with the final job.
 The JSON flow leaves out ``schema_version`` (almost always empty).  Step order
 follows the data-preparation notebooks, with the decided fixes applied:
 dedupe ignoring the surrogate key before resequencing, a shared 0..23 hour
