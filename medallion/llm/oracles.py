@@ -119,6 +119,23 @@ SELECT doc_id, size, text_crc32, 'key' AS law, own.shard::INT AS shard,
 FROM c JOIN own USING (key) JOIN grown USING (key)
 """
 
+def _rounds(n: int) -> str:
+    """Rows in hash order that fit into the gap; the first that does not is the next bound, what is open the next gap."""
+    out = ""
+    for k in range(1, n + 1):
+        before = "r" if k == 1 else f"r{k - 1}"
+        cap = "true" if k == 1 else f"size <= gap{k - 1}"
+        out += f""", e{k} AS (
+  SELECT rid, sum(size) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto{k}
+  FROM {before} WHERE h > bound{k - 1} AND {cap}),
+r{k} AS (
+  SELECT {before}.*, coalesce(upto{k} <= gap{k - 1}, false) AS in{k},
+    gap{k - 1} - coalesce(max(upto{k}) FILTER (upto{k} <= gap{k - 1}) OVER (PARTITION BY source), 0) AS gap{k},
+    coalesce(min(h) FILTER (upto{k} > gap{k - 1}) OVER (PARTITION BY source), 'g') AS bound{k}
+  FROM {before} LEFT JOIN e{k} USING (rid))"""
+    return out
+
+
 OP10 = f"""
 WITH d AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
@@ -137,14 +154,12 @@ p AS (
   SELECT source, source_size, least(most::DOUBLE, coalesce(level, 0) * weight) AS target,
     CASE WHEN source_size > 0 THEN floor(least(most::DOUBLE, coalesce(level, 0) * weight) / source_size) ELSE 0 END::BIGINT AS whole FROM l),
 r AS (
-  SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS need,
-    sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-    sum(size) OVER (PARTITION BY d.source, h) AS tied
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+  SELECT row_number() OVER () AS rid, d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS gap0,
+    '' AS bound0 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+{_rounds(3)}
 SELECT doc_id, source, size, source_size, target,
-  (size * (whole + CASE WHEN need > 0 AND (upto < need OR (upto - tied < need AND abs(upto - need) < abs(upto - tied - need)))
-    THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM r
+  (size * (whole + CASE WHEN in1 OR in2 OR in3 THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r3
 """
 
 SQL: dict[str, str] = {"op2_embedding_dedup": OP2, "op4_quality": OP4, "op5_chat": OP5, "op6_sharding": OP6,

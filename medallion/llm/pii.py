@@ -39,8 +39,8 @@ FORMS = {
              r"|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w])",
 }
 ANY = "|".join(f"(?:{p})" for p in FORMS.values())
-#: Every match holds an @ or five digits close together, or 32 hexadecimal digits; cheap to test first.
-_CODES = F.lit
+#: Every match holds one of these; cheap to test first.
+MAYBE = r"@|\d[\d .()/-]{3}|[0-9A-Fa-f]{32}|[A-Z]{2}\d{2}[A-Z0-9]{11}"
 
 
 def _let(value: Column, body) -> Column:
@@ -260,7 +260,7 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY
     """
     t = F.col(f"`{text_col}`")
     found_col, parts_col = _free(docs, "_found"), _free(docs, "_parts")
-    hit = t.rlike(r"@|\d[\d .()/-]{3}|[0-9A-Fa-f]{32}")
+    hit = t.rlike(MAYBE)
     none = F.array().cast("array<struct<m:string,k:string>>")
     found = F.transform(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)),
                         lambda m: F.struct(m.alias("m"), kind_of(m).alias("k")))

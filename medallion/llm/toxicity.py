@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, scratch
 
 PER_LABEL = 3000
+PARTS = 30          # hash parts of a label that are ranked apart
 MIN_TEXTS = 6       # toxic texts that a learned pattern needs
 MIN_WEIGHT = 2.0    # and its least log-odds
 PREFIXES = range(4, 9)
@@ -178,10 +179,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: s
          .where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic")))
     y = y.where(learn).withColumn("h", F.xxhash64(F.col("id"), F.lit("toxic")))
     size = y.groupBy(F.col("toxic").alias("_t")).agg(F.count("*").alias("_n"))
-    first = Window.partitionBy("toxic").orderBy("h", "id")
+    # the first of each hash part, so that no task ranks a whole label
+    part = F.pmod(F.shiftright("h", 32), F.lit(PARTS))
+    first = Window.partitionBy("toxic", part).orderBy("h", "id")
     some = (y.join(F.broadcast(size), F.col("toxic") == F.col("_t"))  # a row for each label
             .where(F.pmod("h", F.lit(1 << 30)) * F.col("_n") < F.lit((1 << 30) * per_label * 2))
-            .withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_label).select("id", "toxic"))
+            .withColumn("k", F.row_number().over(first)).where(F.col("k") * PARTS <= max(per_label, PARTS))
+            .select("id", "toxic"))
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     some = F.broadcast(some)  # per_label rows for each label at most
     return d.join(some, "id").select("text", "toxic")
