@@ -42,10 +42,10 @@ from .common import map_arrow
 #: The pattern that :func:`split_words` follows (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LONG = 64
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 3 << 20
 CHUNK_WORDS = 12_000
-REMEMBERED = 900_000
-DUCKDB_MEMORY = "300MB"
+REMEMBERED = 400_000
+DUCKDB_MEMORY = "160MB"
 
 #: Unicode white space (fixed value).
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -287,6 +287,13 @@ def _binary(a: pa.Array) -> tuple[bytes, np.ndarray]:
     return (data.to_pybytes() if data is not None else b""), np.frombuffer(offsets, dtype=np.int64)[a.offset:a.offset + len(a) + 1]
 
 
+def _id_lists(encoded: list[bytes]) -> pa.Array:
+    """Array of id lists whose values are the encoded bytes as they are."""
+    ends = np.cumsum([0, *map(len, encoded)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(
+        pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(encoded))]))
+
+
 _CODECS: dict[str, Codec] = {}  # one per worker process and vocabulary
 
 
@@ -341,8 +348,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     """(id, ids, decoded): token ids of every row and the bytes decoded from them."""
     def make(codec: Codec, texts: list[str]) -> list[pa.Array]:
         encoded = codec.encode(texts)
-        ids = [np.frombuffer(e, dtype="<u4").astype(np.int32) for e in encoded]
-        return [pa.array(ids, pa.list_(pa.int32())), pa.array(codec.decode(encoded), pa.binary())]
+        return [_id_lists(encoded), pa.array(codec.decode(encoded), pa.binary())]
     return _mapped(docs, vocab_path, [F.col(f"`{id_col}`").alias("id")], text_col,
                    "ids array<int>, decoded binary", pattern, make)
 
@@ -368,8 +374,8 @@ def tokenized(docs: DataFrame, vocab_path: str, columns: list[str], text_col: st
     """``columns`` of every row with n_tokens, ids and the digest of the decoded bytes."""
     def make(codec: Codec, texts: list[str]) -> list[pa.Array]:
         encoded = codec.encode(texts)
-        ids = [np.frombuffer(e, dtype="<u4").astype(np.int32) for e in encoded]
-        return [pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+        ids = _id_lists(encoded)
+        return [pa.array([len(e) // 4 for e in encoded], pa.int64()), ids,
                 pa.array([hashlib.sha256(d).hexdigest() for d in codec.decode(encoded)])]
     return _mapped(docs, vocab_path, [F.col(f"`{c}`") for c in columns], text_col,
                    "n_tokens long, ids array<int>, decoded_sha256 string", pattern, make)
