@@ -42,9 +42,9 @@ from .common import map_arrow
 #: The pattern that :func:`split_words` follows (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LONG = 64
-GROUP_BYTES = 3 << 20
+GROUP_BYTES = 2 << 20
 CHUNK_WORDS = 12_000
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 DUCKDB_MEMORY = "160MB"
 
 #: Unicode white space (fixed value).
@@ -339,6 +339,8 @@ def _mapped(docs: DataFrame, vocab_path: str, columns: list, text_col: str, fiel
             for at, texts in groups(b.column(k)):
                 kept = [b.column(i).slice(at, len(texts)) for i in range(k)]
                 yield pa.RecordBatch.from_arrays([*kept, *make(codec, texts)], names=names)
+                pa.default_memory_pool().release_unused()
+        codec.known.clear()  # a worker that waits for other tasks holds no words
 
     return map_arrow(src, run, ", ".join([*head, fields]))
 
