@@ -11,11 +11,16 @@ the beams found less than ``RECALL`` of those links, all beams of the block are
 widened and the audit is repeated, so the search ends with the recall that was
 asked for.
 
+A query whose beam of ``LIMIT`` nodes still ends within the threshold is compared
+with the whole shard instead, in tiles of the matrix product: from there on the
+product costs less than the beam.  These comparisons are dealt over tasks of
+``WIDE_ROWS`` queries.
+
 A hit counts only if its cosine, computed in double precision, reaches the
-threshold.  Links are counted, not listed: a task gives each query's number of
-linked vectors and one link per query and cluster of the shard (its vectors that
-are linked among themselves within the hits), which is enough for the
-components.
+threshold.  Links are counted, not listed: the hits of one query are reduced at
+once to their number and their cluster of the shard (the vectors joined by the
+hits so far), and one link per query and per vector to its cluster's root is
+enough for the components.
 
 Defined cases
 * null and empty vectors, zero vectors and those with a null or non-finite
@@ -27,6 +32,7 @@ Defined cases
 """
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -49,6 +55,9 @@ BEAM = 32
 DESCENT = 8         # beam on the upper layers
 RECALL = 0.99
 AUDIT = 64          # queries of a block that are compared by brute force
+LIMIT = 128         # widest beam; beyond it a query is compared with the whole shard
+TILE = 1 << 22      # cosines of a tile
+WIDE_ROWS = 16_384  # queries of a task that are compared with a whole shard
 _NONE = -1
 
 
@@ -203,75 +212,109 @@ def _connect(layer: np.ndarray, vectors: np.ndarray, new: np.ndarray, cand: np.n
 
 # ---- range search ------------------------------------------------------------------------------
 
-def _range_search(graph: Graph, queries: np.ndarray, threshold: float, width: int) -> list[np.ndarray]:
-    """Nodes with similarity of about the threshold or more for each query (single precision, with a margin)."""
+def _range_search(graph: Graph, queries: np.ndarray, threshold: float, width: int,
+                  limit: int) -> Iterator[tuple[int, np.ndarray | None]]:
+    """(query, nodes) with similarity of about the threshold or more (single precision, with a margin).
+
+    None instead of the nodes: a beam of ``limit`` nodes is too narrow.
+    """
     low = threshold - 1e-5
-    out: list[np.ndarray] = [np.zeros(0, dtype=int)] * len(queries)
-    todo = np.arange(len(queries))
     n = len(graph.vectors)
-    start = _descend(graph, queries, 0)
-    while len(todo):
-        width = min(width, n)
-        again = []
-        step = max(1, (1 << 16) // width)
-        for at in range(0, len(todo), step):
-            some = todo[at:at + step]
-            ids, sims = beam_search(graph.layers[0], graph.vectors, queries[some], start[some], width)
-            full = (sims[:, -1] >= low) & (width < n)
-            for i, row, hits in zip(some, ids, sims >= low):
-                out[i] = row[hits]
-            again.append(some[full])
-        todo = np.concatenate(again)
-        width *= 2
-    return out
+    limit = min(limit, n)
+    for at in range(0, len(queries), 2048):
+        part = queries[at:at + 2048]
+        start = _descend(graph, part, 0)
+        todo, w = np.arange(len(part)), min(width, limit)
+        while len(todo):
+            again = []
+            step = max(1, (1 << 16) // w)
+            for lo in range(0, len(todo), step):
+                some = todo[lo:lo + step]
+                ids, sims = beam_search(graph.layers[0], graph.vectors, part[some], start[some], w)
+                full = (sims[:, -1] >= low) & (w < n)
+                for i in np.flatnonzero(~full):
+                    yield at + int(some[i]), ids[i][sims[i] >= low]
+                again.append(some[full])
+            todo = np.concatenate(again)
+            if w == limit:
+                break
+            w = min(2 * w, limit)
+        for i in todo:
+            yield at + int(i), None
+
+
+def _verified(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float, width: int,
+              limit: int) -> Iterator[tuple[int, np.ndarray | None]]:
+    """``_range_search`` with the cosines of its nodes verified in double precision."""
+    for i, h in _range_search(graph, queries.astype(np.float32), threshold, width, limit):
+        yield i, h if h is None else h[(exact[h] @ queries[i]) >= threshold]
+
+
+def _compared(exact: np.ndarray, queries: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(query, nodes) by comparison with every vector, a tile of the matrix product at a time."""
+    step = max(1, TILE // max(1, len(exact)))
+    for at in range(0, len(queries), step):
+        for i, near in enumerate(queries[at:at + step] @ exact.T >= threshold):
+            yield at + i, np.flatnonzero(near)
+
+
+def audited(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, beam: int = BEAM,
+            recall: float = RECALL, audit: int = AUDIT, limit: int = LIMIT) -> tuple[float, int]:
+    """(recall, beam): the beam is widened until the audit finds the recall; 0: no beam does, compare every vector."""
+    sample = queries[::max(1, len(queries) // audit)]
+    total = sum(len(h) for _, h in _compared(exact, sample, threshold))
+    while beam <= min(limit, len(exact)):
+        got = sum(len(h) for _, h in _verified(graph, exact, sample, threshold, beam, len(exact)))
+        if got >= recall * total:
+            return got / total if total else 1.0, beam
+        beam *= 2
+    return 1.0, 0
 
 
 def search(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, beam: int = BEAM,
            recall: float = RECALL, audit: int = AUDIT) -> tuple[list[np.ndarray], float, int]:
-    """(hits of each query, audited recall, beam): beams are widened until the audit finds the recall.
+    """(hits of each query, audited recall, beam) against one graph in memory; beam 0: every vector was compared.
 
     ``exact`` and ``queries`` are unit vectors in double precision; hits are verified with them.
     """
-    step = max(1, len(queries) // audit)
-    sample = np.arange(0, len(queries), step)
-    truth = [np.flatnonzero(r >= threshold) for r in queries[sample] @ exact.T]
-    total = sum(map(len, truth))
-
-    def verified(rows: np.ndarray, width: int) -> list[np.ndarray]:
-        found = _range_search(graph, queries[rows].astype(np.float32), threshold, width)
-        return [f[(exact[f] @ queries[r]) >= threshold] if len(f) else f for r, f in zip(rows, found)]
-
-    while True:
-        seen = verified(sample, beam)
-        got = sum(map(len, seen)) / total if total else 1.0
-        if got >= recall:
-            return verified(np.arange(len(queries)), beam), got, beam
-        if beam >= len(exact):
-            break
-        beam *= 2
-    # a graph that falls apart: no beam is wide enough, every vector is compared
-    return [np.flatnonzero(exact @ q >= threshold) for q in queries], 1.0, beam
-
-
-def _clusters(n: int, hits: list[np.ndarray]) -> np.ndarray:
-    """Root of each of n shard vectors when those hit by one query are joined."""
-    root = np.arange(n)
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for h in hits:
-        if len(h) > 1:
-            a = find(int(h[0]))
-            for b in h[1:].tolist():
-                b = find(b)
-                if a != b:
-                    a, b = min(a, b), max(a, b)
-                    root[b] = a
-    return np.array([find(i) for i in range(n)], dtype=int)
+    got, beam = audited(graph, exact, queries, threshold, beam, recall, audit, len(exact))
+    found = dict(_verified(graph, exact, queries, threshold, beam, len(exact)) if beam
+                 else _compared(exact, queries, threshold))
+    return [found[i] for i in range(len(queries))], got, beam
+
+
+def _join(root: np.ndarray, nodes: np.ndarray) -> None:
+    """Join ``nodes`` in a forest where no root has a greater number than its members."""
+    r = root[nodes]
+    while not np.array_equal(up := root[r], r):
+        r = up
+    root[r] = root[nodes] = r.min()
+
+
+def _reduced(keys: np.ndarray, weights: np.ndarray, ask: np.ndarray,
+             found: Iterable[tuple[int, np.ndarray | None]]) -> pd.DataFrame:
+    """(key, n_links, other, wide) of queries ``ask``; each one's nodes are counted, joined and dropped."""
+    links, first = np.zeros(len(ask), dtype=np.int64), np.full(len(ask), _NONE)
+    wide = np.zeros(len(ask), dtype=bool)
+    root = np.arange(len(keys))
+    for i, h in found:
+        if h is None:
+            wide[i] = True
+            continue
+        h = h[keys[h] != ask[i]]  # a class is not its own neighbour
+        if len(h):
+            links[i], first[i] = weights[h].sum(), h[0]
+            _join(root, h)
+    while not np.array_equal(up := root[root], root):
+        root = up
+    # a query joins all it hits: one link to their common root is enough, and roots are joined with their members
+    some, m, beyond = np.flatnonzero(first >= 0), np.flatnonzero(root != np.arange(len(keys))), np.flatnonzero(wide)
+    none = np.zeros(len(beyond), dtype=np.int64)
+    return pd.DataFrame({
+        "key": np.concatenate((ask[some], keys[m], ask[beyond])),
+        "n_links": np.concatenate((links[some], np.zeros(len(m), dtype=np.int64), none)),
+        "other": np.concatenate((keys[root[first[some]]], keys[root[m]], none)),
+        "wide": np.repeat((False, True), (len(some) + len(m), len(beyond)))})
 
 
 # ---- Spark -------------------------------------------------------------------------------------
@@ -318,50 +361,79 @@ def build_graphs(cls: DataFrame, shards: int) -> DataFrame:
     return rows.groupBy("dim", "shard").applyInPandas(run, GRAPH_SCHEMA)
 
 
-LINK_SCHEMA = "key long, n_links long, other long, recall double, beam int"
+LINK_SCHEMA = "dim int, shard int, key long, n_links long, other long, wide boolean, recall double, beam int"
 
 
-def _linked(graph: pd.Series, queries: pd.DataFrame, threshold: float, recall: float) -> pd.DataFrame:
-    """Rows of LINK_SCHEMA for a block of queries against one shard."""
+def _shard(graph: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, weights and unit vectors of a shard."""
     keys, weights = np.frombuffer(graph["keys"], dtype=np.int64), np.frombuffer(graph["weights"], dtype=np.int64)
-    n = len(keys)
-    exact = np.frombuffer(graph["vectors"], dtype=np.float64).reshape(n, -1)
-    g = Graph(exact.astype(np.float32), [np.frombuffer(x, dtype=np.int32).reshape(n, -1) for x in graph["layers"]],
-              int(graph["entry"]))
-    queries = queries.sort_values("key", ignore_index=True)
-    ask = queries["key"].to_numpy()
-    hits, got, beam = search(g, exact, _unit(queries["vec"]), threshold, recall=recall)
-    hits = [h[keys[h] != k] for h, k in zip(hits, ask)]  # a class is not its own neighbour
-    root = _clusters(n, hits)
-    some = np.array([len(h) > 0 for h in hits], dtype=bool)
-    total = np.array([weights[h].sum() for h in hits], dtype=np.int64)[some]
-    # a query joins all it hits: one link to their common root is enough, and roots are joined with their members
-    to_root = np.array([keys[root[h[0]]] for h in hits if len(h)], dtype=np.int64)
-    m = np.flatnonzero(root != np.arange(n))
-    return pd.DataFrame({
-        "key": np.concatenate((ask[some], keys[m])), "n_links": np.concatenate((total, np.zeros(len(m), np.int64))),
-        "other": np.concatenate((to_root, keys[root[m]])), "recall": got, "beam": beam})
+    return keys, weights, np.frombuffer(graph["vectors"], dtype=np.float64).reshape(len(keys), -1)
+
+
+def _graph(graph: pd.Series, exact: np.ndarray) -> Graph:
+    return Graph(exact.astype(np.float32), [np.frombuffer(x, dtype=np.int32).reshape(len(exact), -1) for x in graph["layers"]],
+                 int(graph["entry"]))
+
+
+def _by_block(graphs: DataFrame, asked: DataFrame, blocks: int, run, schema: str) -> DataFrame:
+    """``run(graph, queries)`` for the queries of each shard (dim, shard, key, vec), block by block."""
+    by = ["dim", "shard", "block"]
+    every = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(blocks)).cast("int"))
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def task(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if not len(graph) or not len(queries):
+            return pd.DataFrame({c: [] for c in names})
+        out = run(graph.iloc[0], queries.sort_values("key", ignore_index=True))
+        return out.assign(dim=int(graph["dim"].iloc[0]), shard=int(graph["shard"].iloc[0]))[names]
+
+    return every.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(task, schema)
+
+
+def _asked(cls: DataFrame, shards: int) -> DataFrame:
+    """Every class as a query against every shard."""
+    return cls.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "key", "vec")
 
 
 def graph_links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float,
                 recall: float) -> DataFrame:
-    """(key, n_links, other, recall, beam): for each class and shard with hits the vectors linked, and links between classes.
+    """Rows of LINK_SCHEMA: for each class and shard with hits the vectors linked, and links between classes.
 
     Each shard's graph meets each block of queries in one task, so a task holds
-    one shard and one block.
+    one shard and one block.  ``wide``: only says that the class has more links
+    in the shard than the widest beam holds.
     """
-    block = F.pmod(F.xxhash64("key", F.lit(2)), F.lit(blocks)).cast("int")
-    asked = cls.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"),
-                       "key", "vec")
-    every = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    by = ["dim", "shard", "block"]
+    def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
+        keys, weights, exact = _shard(graph)
+        g, q = _graph(graph, exact), _unit(queries["vec"])
+        got, beam = audited(g, exact, q, threshold, recall=recall)
+        found = _verified(g, exact, q, threshold, beam, LIMIT) if beam else _compared(exact, q, threshold)
+        return _reduced(keys, weights, queries["key"].to_numpy(), found).assign(recall=got, beam=beam)
+
+    return _by_block(graphs, _asked(cls, shards), blocks, run, LINK_SCHEMA)
+
+
+def compared_links(asked: DataFrame, graphs: DataFrame, blocks: int, threshold: float) -> DataFrame:
+    """Rows of LINK_SCHEMA for queries (dim, shard, key, vec) that are compared with every vector of the shard."""
+    def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
+        keys, weights, exact = _shard(graph)
+        found = _compared(exact, _unit(queries["vec"]), threshold)
+        return _reduced(keys, weights, queries["key"].to_numpy(), found).assign(recall=1.0, beam=0)
+
+    return _by_block(graphs.drop("layers"), asked, blocks, run, LINK_SCHEMA)
 
-    def run(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(graph) or not len(queries):
-            return pd.DataFrame({c.split()[0]: [] for c in LINK_SCHEMA.split(", ")})
-        return _linked(graph.iloc[0], queries, threshold, recall)
 
-    return every.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(run, LINK_SCHEMA)
+def links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float, recall: float) -> DataFrame:
+    """(key, n_links, other) of all classes."""
+    found = scratch(graph_links(cls, graphs, shards, blocks, threshold, recall), "vector-links")
+    wide = found.where("wide").select("dim", "shard", "key")
+    most = wide.groupBy("dim", "shard").count().agg(F.max("count")).first()[0]
+    if most:
+        asked = wide.join(cls.select("key", "vec"), "key")
+        more = scratch(compared_links(asked, graphs, -(-most // WIDE_ROWS), threshold), "wide-links")
+        found = found.where("not wide").unionByName(more)
+    return found.select("key", "n_links", "other")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -372,7 +444,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     cls = scratch(cls, "vectors")
     shards = max(SHARDS, -(-cls.count() // ROWS_PER_SHARD))
     graphs = scratch(build_graphs(cls, shards), "graphs")
-    found = scratch(graph_links(cls, graphs, shards, max(BLOCKS, shards), threshold, recall), "vector-links")
+    found = links(cls, graphs, shards, max(BLOCKS, shards), threshold, recall)
     counted = found.groupBy("key").agg(F.sum("n_links").alias("links"))
     roots = components(found.select(F.col("key").alias("a"), F.col("other").alias("b")))
     named = (cls.select("key", "n", "first").join(counted, "key", "left")

@@ -198,6 +198,30 @@ def test_embedding_edge_rows(spark):
     assert hnsw.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_wide_clusters_are_counted_in_tiles(spark, monkeypatch):
+    """A third of the vectors in one cluster: no beam over the limit, no task with all its queries, exact counts."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=24)
+    vectors = [(centre + rng.normal(size=24) * 0.02).tolist() for _ in range(500)] + rng.normal(size=(1000, 24)).tolist()
+    widths, search = [], hnsw.beam_search
+    v = hnsw._unit(__import__("pandas").Series(vectors))
+    g = hnsw.build(v.astype(np.float32))
+    with monkeypatch.context() as m:
+        m.setattr(hnsw, "beam_search", lambda g, v, q, s, w: widths.append(w) or search(g, v, q, s, w))
+        found = dict(hnsw._verified(g, v, v[:100], 0.95, 32, hnsw.LIMIT))
+    assert max(widths) <= hnsw.LIMIT and all(found[i] is None for i in range(100))
+    links, roots = _truth(vectors)
+    blocks, compared = [], hnsw.compared_links
+    monkeypatch.setattr(hnsw, "compared_links", lambda a, g, b, t: blocks.append(b) or compared(a, g, b, t))
+    monkeypatch.setattr(hnsw, "SHARDS", 2)
+    monkeypatch.setattr(hnsw, "WIDE_ROWS", 200)
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r["id"]: r for r in hnsw.near_duplicates(df).collect()}
+    assert blocks == [3]
+    assert [got[i]["n_links"] for i in range(1500)] == links.tolist()
+    assert [got[i]["component"] for i in range(1500)] == roots
+
+
 # ---- pipeline ----
 
 def test_pipeline_stages(spark, edge_docs):
