@@ -5,11 +5,14 @@ shard gets a hierarchical navigable small-world graph (built in batches with
 array operations), and every class is a query against every shard: a greedy
 descent through the upper layers, then a beam search in the lowest one.  A beam
 whose results are all within the threshold may have missed some, so it is
-widened, twice as wide each time, until it ends outside the threshold.  For a
-hash-chosen part of the queries the shard is also compared by brute force; if
-the beams found less than ``RECALL`` of those links, all beams of the block are
-widened and the audit is repeated, so the search ends with the recall that was
-asked for.
+widened, twice as wide each time, until it ends outside the threshold.
+
+Before the search an audit compares a hash-chosen part of the queries with every
+vector of all shards (a class is not its own link) and takes four times as many
+until ``AUDIT_LINKS`` queries with a true link in some shard are seen; an audit
+that sees fewer goes on to all queries.  All beams start as wide as is needed to
+find ``RECALL`` of these links, pooled over the shards; if none is wide enough,
+every vector is compared.
 
 A query whose beam of ``LIMIT`` nodes still ends within the threshold is compared
 with the whole shard instead, in tiles of the matrix product: from there on the
@@ -32,6 +35,7 @@ Defined cases
 """
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -54,11 +58,14 @@ BEAM_BUILD = 40
 BEAM = 32
 DESCENT = 8         # beam on the upper layers
 RECALL = 0.99
-AUDIT = 64          # queries of a block that are compared by brute force
+AUDIT = 2_048       # queries of the audit's first round
+AUDIT_LINKS = 500   # (query, shard) pairs with a true link that the audit has to see
+_PARTS = 1 << 30
 LIMIT = 128         # widest beam; beyond it a query is compared with the whole shard
 TILE = 1 << 22      # cosines of a tile
 WIDE_ROWS = 16_384  # queries of a task that are compared with a whole shard
 _NONE = -1
+LOG = logging.getLogger(__name__)
 
 
 class Graph(NamedTuple):
@@ -258,29 +265,23 @@ def _compared(exact: np.ndarray, queries: np.ndarray, threshold: float) -> Itera
             yield at + i, np.flatnonzero(near)
 
 
-def audited(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, beam: int = BEAM,
-            recall: float = RECALL, audit: int = AUDIT, limit: int = LIMIT) -> tuple[float, int]:
-    """(recall, beam): the beam is widened until the audit finds the recall; 0: no beam does, compare every vector."""
-    sample = queries[::max(1, len(queries) // audit)]
-    total = sum(len(h) for _, h in _compared(exact, sample, threshold))
-    while beam <= min(limit, len(exact)):
-        got = sum(len(h) for _, h in _verified(graph, exact, sample, threshold, beam, len(exact)))
-        if got >= recall * total:
-            return got / total if total else 1.0, beam
-        beam *= 2
-    return 1.0, 0
-
-
 def search(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, beam: int = BEAM,
-           recall: float = RECALL, audit: int = AUDIT) -> tuple[list[np.ndarray], float, int]:
+           recall: float = RECALL, audit: int = 64) -> tuple[list[np.ndarray], float, int]:
     """(hits of each query, audited recall, beam) against one graph in memory; beam 0: every vector was compared.
 
     ``exact`` and ``queries`` are unit vectors in double precision; hits are verified with them.
     """
-    got, beam = audited(graph, exact, queries, threshold, beam, recall, audit, len(exact))
-    found = dict(_verified(graph, exact, queries, threshold, beam, len(exact)) if beam
-                 else _compared(exact, queries, threshold))
-    return [found[i] for i in range(len(queries))], got, beam
+    n = len(exact)
+    sample = queries[::max(1, len(queries) // audit)]
+    total = sum(len(h) for _, h in _compared(exact, sample, threshold))
+    while beam <= n:
+        got = sum(len(h) for _, h in _verified(graph, exact, sample, threshold, beam, n))
+        if got >= recall * total:
+            found = dict(_verified(graph, exact, queries, threshold, beam, n))
+            return [found[i] for i in range(len(queries))], got / total if total else 1.0, beam
+        beam *= 2
+    # a graph that falls apart: no beam is wide enough, every vector is compared
+    return [h for _, h in _compared(exact, queries, threshold)], 1.0, 0
 
 
 def _join(root: np.ndarray, nodes: np.ndarray) -> None:
@@ -361,7 +362,7 @@ def build_graphs(cls: DataFrame, shards: int) -> DataFrame:
     return rows.groupBy("dim", "shard").applyInPandas(run, GRAPH_SCHEMA)
 
 
-LINK_SCHEMA = "dim int, shard int, key long, n_links long, other long, wide boolean, recall double, beam int"
+LINK_SCHEMA = "dim int, shard int, key long, n_links long, other long, wide boolean"
 
 
 def _shard(graph: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -396,8 +397,79 @@ def _asked(cls: DataFrame, shards: int) -> DataFrame:
     return cls.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "key", "vec")
 
 
+class Audit(NamedTuple):
+    recall: float  # of the links seen: the lower one of queries with up to and over a beam of links
+    beam: int      # 0: no beam has the recall, every vector is compared
+    links: int     # true links that the recall was measured on
+    part: float    # part of the classes that was compared with all others
+
+
+def true_links(asked: DataFrame, graphs: DataFrame, blocks: int, threshold: float) -> DataFrame:
+    """(dim, shard, key, truth): number of linked classes of each query (dim, shard, key, vec) that has any in the shard."""
+    def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
+        keys, _, exact = _shard(graph)
+        ask = queries["key"].to_numpy()
+        truth = np.zeros(len(ask), dtype=np.int64)
+        for i, h in _compared(exact, _unit(queries["vec"]), threshold):
+            truth[i] = (keys[h] != ask[i]).sum()
+        return pd.DataFrame({"key": ask, "truth": truth})[truth > 0]
+
+    return _by_block(graphs.drop("layers"), asked, blocks, run, "dim int, shard int, key long, truth long")
+
+
+def found_links(seen: DataFrame, graphs: DataFrame, blocks: int, threshold: float, beam: int) -> DataFrame:
+    """(dim, shard, key, truth, found) of queries (dim, shard, key, vec, truth) searched with a beam."""
+    def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
+        keys, _, exact = _shard(graph)
+        ask, found = queries["key"].to_numpy(), queries["truth"].to_numpy().copy()  # what is compared later is found
+        for i, h in _verified(_graph(graph, exact), exact, _unit(queries["vec"]), threshold, beam, LIMIT):
+            if h is not None:
+                found[i] = min(found[i], (keys[h] != ask[i]).sum())
+        return pd.DataFrame({"key": ask, "truth": queries["truth"], "found": found})
+
+    return _by_block(graphs, seen, blocks, run, "dim int, shard int, key long, truth long, found long")
+
+
+def audited(cls: DataFrame, graphs: DataFrame, shards: int, threshold: float, recall: float, n: int) -> Audit:
+    """The beam that finds ``recall`` of the true links of enough of the ``n`` classes, pooled over all shards."""
+    if not n:
+        return Audit(1.0, BEAM, 0, 1.0)
+    part = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(_PARTS))
+    few = F.col("truth") < LIMIT
+    lo, hi = 0, min(_PARTS, -(-AUDIT * _PARTS // n))
+    rounds, narrow, wide = [], 0, 0
+    while True:
+        some = cls.where((part >= lo) & (part < hi))
+        new = scratch(true_links(_asked(some, shards), graphs, -(-n * (hi - lo) // (_PARTS * ROWS_PER_SHARD)), threshold),
+                      "audit")
+        row = new.agg(F.count_if(few), F.count_if(~few)).first()
+        # queries with many links must not crowd out the others; a round with enough of them will do
+        rounds.append(new if wide < AUDIT_LINKS else new.where(few))
+        narrow, wide = narrow + row[0], wide + row[1]
+        if narrow >= AUDIT_LINKS or hi == _PARTS:
+            break
+        lo, hi = hi, min(_PARTS, 4 * hi)
+    compared = hi / _PARTS
+    if not narrow + wide:
+        return Audit(1.0, BEAM, 0, compared)  # all classes were compared: there are no links
+    seen = rounds[0]
+    for r in rounds[1:]:
+        seen = seen.unionByName(r)
+    most = seen.groupBy("dim", "shard").count().agg(F.max("count")).first()[0]
+    seen = seen.join(cls.select("key", "vec"), "key")
+    beam = BEAM
+    while beam <= LIMIT:
+        got = found_links(seen, graphs, -(-most // ROWS_PER_SHARD), threshold, beam)
+        sums = got.groupBy(few).agg(F.sum("found"), F.sum("truth")).collect()
+        least = min(r[1] / r[2] for r in sums)
+        if least >= recall:
+            return Audit(least, beam, sum(r[2] for r in sums), compared)
+        beam *= 2
+    return Audit(1.0, 0, sum(r[2] for r in sums), compared)
+
+
 def graph_links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float,
-                recall: float) -> DataFrame:
+                beam: int) -> DataFrame:
     """Rows of LINK_SCHEMA: for each class and shard with hits the vectors linked, and links between classes.
 
     Each shard's graph meets each block of queries in one task, so a task holds
@@ -406,10 +478,8 @@ def graph_links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, thr
     """
     def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
         keys, weights, exact = _shard(graph)
-        g, q = _graph(graph, exact), _unit(queries["vec"])
-        got, beam = audited(g, exact, q, threshold, recall=recall)
-        found = _verified(g, exact, q, threshold, beam, LIMIT) if beam else _compared(exact, q, threshold)
-        return _reduced(keys, weights, queries["key"].to_numpy(), found).assign(recall=got, beam=beam)
+        found = _verified(_graph(graph, exact), exact, _unit(queries["vec"]), threshold, beam, LIMIT)
+        return _reduced(keys, weights, queries["key"].to_numpy(), found)
 
     return _by_block(graphs, _asked(cls, shards), blocks, run, LINK_SCHEMA)
 
@@ -419,14 +489,17 @@ def compared_links(asked: DataFrame, graphs: DataFrame, blocks: int, threshold:
     def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
         keys, weights, exact = _shard(graph)
         found = _compared(exact, _unit(queries["vec"]), threshold)
-        return _reduced(keys, weights, queries["key"].to_numpy(), found).assign(recall=1.0, beam=0)
+        return _reduced(keys, weights, queries["key"].to_numpy(), found)
 
     return _by_block(graphs.drop("layers"), asked, blocks, run, LINK_SCHEMA)
 
 
-def links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float, recall: float) -> DataFrame:
-    """(key, n_links, other) of all classes."""
-    found = scratch(graph_links(cls, graphs, shards, blocks, threshold, recall), "vector-links")
+def links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float, beam: int, n: int) -> DataFrame:
+    """(key, n_links, other) of all ``n`` classes; beam 0: every vector is compared."""
+    if not beam:
+        every = compared_links(_asked(cls, shards), graphs, -(-n // WIDE_ROWS), threshold)
+        return scratch(every.select("key", "n_links", "other"), "vector-links")
+    found = scratch(graph_links(cls, graphs, shards, blocks, threshold, beam), "vector-links")
     wide = found.where("wide").select("dim", "shard", "key")
     most = wide.groupBy("dim", "shard").count().agg(F.max("count")).first()[0]
     if most:
@@ -438,13 +511,19 @@ def links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """(id, n_links, component) of every row; component: smallest id reachable by links."""
+    """(id, n_links, component) of every row; component: smallest id reachable by links.
+
+    The audit of the search is logged and kept as ``audit`` of the result.
+    """
     cls = classes(vectors, id_col, vec_col)
     cls = cls.withColumn("dim", F.size("vec")).withColumn("key", F.xxhash64("vec"))
     cls = scratch(cls, "vectors")
-    shards = max(SHARDS, -(-cls.count() // ROWS_PER_SHARD))
+    n = cls.count()
+    shards = max(SHARDS, -(-n // ROWS_PER_SHARD))
     graphs = scratch(build_graphs(cls, shards), "graphs")
-    found = links(cls, graphs, shards, max(BLOCKS, shards), threshold, recall)
+    audit = audited(cls, graphs, shards, threshold, recall, n)
+    LOG.info("%s", audit)
+    found = links(cls, graphs, shards, max(BLOCKS, shards), threshold, audit.beam, n)
     counted = found.groupBy("key").agg(F.sum("n_links").alias("links"))
     roots = components(found.select(F.col("key").alias("a"), F.col("other").alias("b")))
     named = (cls.select("key", "n", "first").join(counted, "key", "left")
@@ -458,5 +537,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     rows = vectors.select(F.col(f"`{id_col}`").alias("id"),
                           F.when(_usable(F.col(f"`{vec_col}`")), F.xxhash64(same)).alias("key"))
     out = rows.join(of_class, "key", "left")
-    return out.select("id", F.coalesce(F.col("links") - 1, F.lit(0)).cast("long").alias("n_links"),
+    out = out.select("id", F.coalesce(F.col("links") - 1, F.lit(0)).cast("long").alias("n_links"),
                       F.when(F.col("links").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"))
+    out.audit = audit
+    return out

@@ -222,6 +222,36 @@ def test_wide_clusters_are_counted_in_tiles(spark, monkeypatch):
     assert [got[i]["component"] for i in range(1500)] == roots
 
 
+def test_audit_needs_true_links(spark, monkeypatch):
+    """Rare near copies: own vectors are no links, rounds go on until links are seen, and the recall is pooled."""
+    rng = np.random.default_rng(6)
+    lone = rng.normal(size=(1200, 24))
+    vectors = [*lone.tolist(), *(lone[:12] + rng.normal(size=(12, 24)) * 0.02).tolist()]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    monkeypatch.setattr(hnsw, "AUDIT", 100)
+    monkeypatch.setattr(hnsw, "SHARDS", 2)
+    asked, true = [], hnsw.true_links
+    monkeypatch.setattr(hnsw, "true_links", lambda *a: asked.append(a[0].count() // 2) or true(*a))
+    out = hnsw.near_duplicates(df)
+    assert out.audit.links == 24 and out.audit.part == 1.0 and sum(asked) == 1212 and len(asked) > 2
+    assert out.audit.recall >= 0.99
+    links, _ = _truth(vectors)
+    assert {r["id"]: r["n_links"] for r in out.collect()} == dict(enumerate(links.tolist()))
+
+
+def test_audit_compares_if_no_beam_finds_the_links(spark, monkeypatch):
+    """Graphs without edges: the audit sees the missing links of all shards, and every vector is compared."""
+    build = hnsw.build_graphs
+    monkeypatch.setattr(hnsw, "SHARDS", 2)
+    monkeypatch.setattr(hnsw, "build_graphs", lambda *a: build(*a).withColumn("layers", F.transform(
+        "layers", lambda x: F.unhex(F.repeat(F.lit("FF"), F.length(x))))))
+    vectors = _vectors(clusters=5, lone=300)
+    links, roots = _truth(vectors)
+    out = hnsw.near_duplicates(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>"))
+    assert out.audit.beam == 0 and out.audit.links == links.sum()
+    assert [(r["n_links"], r["component"]) for r in out.orderBy("id").collect()] == list(zip(links.tolist(), roots))
+
+
 # ---- pipeline ----
 
 def test_pipeline_stages(spark, edge_docs):
