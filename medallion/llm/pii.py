@@ -26,13 +26,26 @@ DEFAULT_KEY = "set-your-own-secret"
 ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+#: Lengths of IBANs by country (fixed list of the registry).
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+#: Printed in groups of four; the country's length says where it ends, so that no word after it is taken in.
+_PRINTED = "|".join(
+    rf"(?:{c.replace(' ', '|')})\d{{2}}(?:[ -]?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"[ -]?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, c in _IBAN_LENGTHS.items())
+#: Country codes of phone numbers (fixed list of the ITU): one or two digits, all others have three.
+_DIAL = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 #: Forms, in the order in which they are tried at each position (fixed formats).
 FORMS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_PRINTED}|[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}})(?![A-Za-z0-9])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.\d)",
-    "date": r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w]|[/.-]\d)",
+    "date": r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})"
+            r"(?!(?![Tt]\d{2})\w|[/.-]\d)",  # a time may follow after T
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d)",
     "card": r"(?<![\w])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
@@ -40,7 +53,7 @@ FORMS = {
 }
 ANY = "|".join(f"(?:{p})" for p in FORMS.values())
 #: Every match holds one of these; cheap to test first.
-MAYBE = r"@|\d[\d .()/-]{3}|[0-9A-Fa-f]{32}|[A-Z]{2}\d{2}[A-Z0-9]{11}"
+MAYBE = r"@|\d[\d .()/-]{3}|[0-9A-Fa-f]{32}|[A-Z]{2}\d{2}(?:[A-Z0-9]{11}|[ -][A-Z0-9]{4})"
 
 
 def _let(value: Column, body) -> Column:
@@ -139,11 +152,11 @@ def luhn_ok(s: Column) -> Column:
     return (_luhn_sum(_digits(s), 0) % 10) == 0
 
 
-def _laid_out(pattern: Column, digits: Column) -> Column:
-    """``digits`` put in place of the digits of ``pattern``, in order."""
+def _laid_out(pattern: Column, digits: Column, moving: str = "[0-9]") -> Column:
+    """``digits`` put in place of the digits (or ``moving`` characters) of ``pattern``, in order."""
     start = F.struct(F.lit("").alias("s"), F.lit(1).alias("k"))
     return F.aggregate(_chars(pattern), start, lambda a, c: F.when(
-        c.rlike("[0-9]"), F.struct(F.concat(a["s"], F.substr(digits, a["k"], F.lit(1))).alias("s"), (a["k"] + 1).alias("k")))
+        c.rlike(moving), F.struct(F.concat(a["s"], F.substr(digits, a["k"], F.lit(1))).alias("s"), (a["k"] + 1).alias("k")))
         .otherwise(F.struct(F.concat(a["s"], c).alias("s"), a["k"].alias("k"))))["s"]
 
 
@@ -160,14 +173,18 @@ def _mod97(s: Column) -> Column:
     return F.aggregate(_chars(s), F.lit(0), step)
 
 
+def _bare(m: Column) -> Column:
+    return F.regexp_replace(m, "[ -]", "")
+
+
 def iban_ok(m: Column) -> Column:
-    return _mod97(F.concat(F.substr(m, F.lit(5)), F.substr(m, F.lit(1), F.lit(4)))) == 1
+    return _let(_bare(m), lambda b: _mod97(F.concat(F.substr(b, F.lit(5)), F.substr(b, F.lit(1), F.lit(4)))) == 1)
 
 
 def _iban(m: Column, key: str) -> Column:
     country = F.substr(m, F.lit(1), F.lit(2))
-    return _let(_permuted(F.substr(m, F.lit(5)), F.lit("iban"), key), lambda p: F.concat(
-        country, F.lpad((98 - _mod97(F.concat(p, country, F.lit("00")))).cast("string"), 2, "0"), p))
+    return _let(_permuted(F.substr(_bare(m), F.lit(5)), F.lit("iban"), key), lambda p: _laid_out(m, F.concat(
+        country, F.lpad((98 - _mod97(F.concat(p, country, F.lit("00")))).cast("string"), 2, "0"), p), "[0-9A-Z]"))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -204,7 +221,7 @@ def _date(m: Column, key: str) -> Column:
                          cycle * CYCLE + F.get(v, F.lit(0)) * 773 + F.get(v, F.lit(1)))
         y, mo, d = (F.date_format(day, f) for f in ("yyyy", "MM", "dd"))
         day_first = F.get(p, F.lit(1)).cast("int") <= 12
-        return (F.when(F.get(p, F.lit(0)).rlike(r"^\d{4}$"), F.concat_ws("-", y, mo, d))
+        return (F.when(F.get(p, F.lit(0)).rlike(r"^\d{4}$"), F.concat(y, sep, mo, sep, d))
                 .when(day_first, F.concat(d, sep, mo, sep, y)).otherwise(F.concat(mo, sep, d, sep, y)))
     return _let(new, shown)
 
@@ -216,9 +233,11 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """The country code stays."""
-    code = F.regexp_extract(m, r"^(\+\d{1,3}(?=[ .(-])|\+\d)", 1)
-    return F.concat(code, _permuted(F.substr(m, F.length(code) + 1), F.lit("phone"), key))
+    """The country code stays; it is read from the bare digits, so that every punctuation gives the same."""
+    d = _digits(m)
+    code = F.when(F.startswith(m, F.lit("+")), F.regexp_extract(d, f"^({_DIAL})", 1)).otherwise("")
+    return _let(F.concat(code, _permuted(F.substr(d, F.length(code) + 1), F.lit("phone"), key)),
+                lambda new: _laid_out(m, new))
 
 
 def _secret(m: Column, key: str) -> Column:
