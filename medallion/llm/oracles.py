@@ -1,7 +1,8 @@
 r"""DuckDB SQL of the registered corpus queries (same column names and rows).
 
-Language ID, SimHash, byte-level BPE, pseudonyms and toxicity need trained models or
-hashes that SQL lacks; their tests hold them against brute force.
+Language ID, SimHash, BPE (op3 and the ids of op13), pseudonyms and toxicity need trained models,
+vocabularies or hashes that SQL lacks, and periodic runs over whole texts are too slow in it; their
+tests hold them against brute force.
 """
 from __future__ import annotations
 
@@ -162,5 +163,36 @@ SELECT doc_id, source, size, source_size, target,
 FROM r3
 """
 
+
+
+def _round(r: int) -> str:
+    """Assignment of all vectors to the centroids of round ``r``, and the centroids of the next one."""
+    return f"""
+d{r} AS (
+  SELECT rid, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - x[i]) * (v[i] - x[i])))::BIGINT AS d
+  FROM kept, c{r}),
+a{r} AS (SELECT rid, arg_min(c, d * 16 + c) AS c, min(d) AS d FROM d{r} GROUP BY rid),
+s{r} AS (
+  SELECT c, i, sum(v[i])::BIGINT AS s, count(*) AS n
+  FROM a{r} JOIN kept USING (rid), range(1, 65) t(i) GROUP BY c, i),
+c{r + 1} AS (
+  SELECT c, coalesce(m.x, c{r}.x) AS x FROM c{r} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{r} GROUP BY c) m USING (c))"""
+
+
+OP12 = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS x FROM (
+    SELECT v, sha256('1:' || vec_id::VARCHAR) AS h FROM kept ORDER BY h, v LIMIT 16)),
+{",".join(_round(r) for r in range(4))}
+SELECT vec_id, c::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c3.x, ',')) AS centroid_sha256
+FROM a3 JOIN kept USING (rid) JOIN c3 USING (c)
+"""
+
 SQL: dict[str, str] = {"op2_embedding_dedup": OP2, "op4_quality": OP4, "op5_chat": OP5, "op6_sharding": OP6,
-                       "op10_mixing": OP10}
+                       "op10_mixing": OP10, "op12_centroids": OP12}

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, hnsw, langid, mixing, pii, quality, sharding, simhash, toxicity
+from . import (bpe, chat, hnsw, langid, mixing, packing, periodic, pii, quality, sharding, simhash, subvectors,
+               toxicity)
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -81,6 +82,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic.digests(periodic.periodic_runs(docs)).withColumnRenamed("id", "doc_id")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = subvectors.cluster(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+WORD_VOCABULARY = "word_bpe_49k.json"
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+    return pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_langid, op2_embedding_dedup, op3_bpe, op4_quality, op5_chat, op6_sharding, op7_pii, op8_simhash, op9_toxicity,
-    op10_mixing)}
+    op10_mixing, op11_periodic_runs, op12_centroids, op13_packing)}
