@@ -26,8 +26,9 @@ so there are 2,048 queues at most, whatever the number of sources.  Without
 together; with ``weights`` a source that runs out leaves its place to the others.
 
 Ids are those of the tokenizer file without special tokens, then ``end_id``.
-Texts are split at ASCII white space, which the tokenizer's own rules drop
-anyhow, and each distinct word is encoded once for each group of texts and remembered.
+Texts are cut where the tokenizer's own rules cut in any case (at white space, and
+between ASCII letters, digits and marks); each distinct part is encoded once for a
+group of texts and remembered by the worker, in flat arrays of bounded size.
 
 Defined cases
 * null text: as the empty text, one id (the end); null source: a source of its
@@ -40,6 +41,7 @@ from __future__ import annotations
 import os
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,18 +49,53 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, scratch, small_side
-from .periodic import Words, groups
+from .common import SPACES, Remembered, binary_slices, map_arrow, scratch, small_side
+from .periodic import groups
 
 GRANULE = 64
 SHARE_BITS = 16
 SHARED_QUEUES = 1024
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 32 << 20
 CUT_GROUP = 1 << 18
 
 
+# Kinds of bytes.  The tokenizer drops white space and cuts between letters, single digits and other
+# characters, but for contractions after an apostrophe; a byte beyond ASCII may belong to any of these.
+_SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+for _c in range(128):
+    _KIND[_c] = (_SPACE if chr(_c) in SPACES else _LETTER if chr(_c).isalpha() else _DIGIT if chr(_c).isdigit()
+                 else _OTHER if chr(_c) == "'" else _MARK)
+_CUT = np.zeros((5, 5), dtype=bool)
+_CUT[_SPACE, 1:] = True
+for _a, _b in ((_LETTER, _DIGIT), (_LETTER, _MARK), (_DIGIT, _LETTER), (_DIGIT, _DIGIT), (_DIGIT, _MARK),
+               (_MARK, _LETTER), (_MARK, _DIGIT)):
+    _CUT[_a, _b] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def parts(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(number of each part, the distinct parts, first part of each text and one behind the last).
+
+    Parts are stretches between white space, cut where the tokenizer cuts in any case (between ASCII
+    letters, digits and marks), with A-Z in lower case as it has them.
+    """
+    raw = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+    kind = _KIND[raw]
+    start = np.empty(len(raw), dtype=bool)
+    start[0] = kind[0] != _SPACE
+    start[1:] = _CUT.ravel()[kind[:-1].astype(np.int64) * 5 + kind[1:]]
+    word = kind != _SPACE
+    at = np.flatnonzero(start)
+    ends = np.append(np.cumsum(word)[at] - 1, int(word.sum()))
+    coded = binary_slices(_LOWER[raw[word]].tobytes(), ends).dictionary_encode()
+    text_ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary, np.concatenate(([0], np.searchsorted(at, text_ends)))
+
+
 class WordIds:
-    """Ids of words, remembered up to ``REMEMBERED_BYTES``."""
+    """Ids of words by a tokenizer file; parts of words are remembered up to ``REMEMBERED_BYTES``."""
 
     def __init__(self, packed: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,33 +103,27 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_buffer(packed)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
-
-    def learn(self, words: list[bytes]) -> None:
-        if self.held > REMEMBERED_BYTES:
-            self.known.clear()
-            self.held = 0
-        new = [w for w in words if w not in self.known]
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            for w, e in zip(some, found):
-                ids = np.array(e.ids, dtype="<u4").tobytes()
-                self.known[w] = ids
-                self.held += len(w) + len(ids) + 150
+        self.known = Remembered(REMEMBERED_BYTES)
+
+    def computed(self, words: list[bytes]) -> pa.Array:
+        """Ids of each word as little-endian unsigned 32-bit integers."""
+        flat, size = [], []
+        for at in range(0, len(words), 4096):
+            some = [w.decode("utf-8", "replace") for w in words[at:at + 4096]]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            size += map(len, found)
+            flat.append(np.fromiter(chain.from_iterable(found), dtype="<u4").tobytes())
+        return binary_slices(b"".join(flat), 4 * np.cumsum([0, *size]))
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, with the end id."""
-        words = Words(texts)
-        distinct = words.distinct()
-        self.learn(distinct)
-        parts = [self.known[w] for w in distinct]
-        size = np.array([len(p) for p in parts], dtype=np.int64)
-        all_ = pa.array(parts, pa.large_binary()).take(pa.array(words.codes)) if parts else pa.array([], pa.large_binary())
-        data = all_.buffers()[2]
+        number, distinct, first = parts(texts)
+        if not len(number):
+            return [end] * len(texts)
+        values = self.known.values_of(distinct, self.computed).take(pa.array(number))
+        _, ends, data = values.buffers()
+        ends = np.frombuffer(ends, dtype=np.int64)[:len(values) + 1][first].tolist()
         data = data.to_pybytes() if data is not None else b""
-        ends = np.concatenate(([0], np.cumsum(size[words.codes])))[words.first].tolist() if parts else [0] * len(words.first)
         return [data[a:b] + end for a, b in zip(ends, ends[1:])]
 
 
@@ -133,8 +164,6 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text
                      pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
                     names=["id", "source", "task", "before", "n", "ids"])
                 pa.default_memory_pool().release_unused()
-        encoder.known.clear()
-        encoder.held = 0
 
     kind = src.schema["id"].dataType.simpleString()
     out = map_arrow(src, run, f"id {kind}, source string, task int, before long, n long, ids binary")

@@ -191,6 +191,20 @@ def library_ids(texts):
     return [[*e.ids, 1] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
+def test_word_ids_against_library():
+    rng = random.Random(11)
+    pieces = ["a", "B", "it's", "'S", "'ll", "'", "''", "1", "42", ",", ".", "...", "-", "\u2026", "\u2014", "\u00e9", "e\u0301", "\u0301",
+              "\u0130", "\u03a3", "\u03c3\u03a3", "\u4e2d\u6587", "\u00b2", "\u2167", "\u01c5", "<|endoftext|>", "<|startoftext|>", "\x1c", "\x85",
+              "\u00a0", "\u3000", "\u200b", " ", "  ", "\n", "\t", "\x0b", "\x00", "\U0001f600", "_", "a_b", "x@y.z", "</w>", "&amp;"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 40))) for _ in range(2000)]
+    with open(PATH, "rb") as f:
+        encoder = packing.WordIds(f.read())
+    encoder.known.limit = 20_000  # forgets often
+    for at in range(0, len(texts), 100):
+        got = encoder.encode([t.encode() for t in texts[at:at + 100]], struct.pack("<I", 1))
+        assert [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in got] == library_ids(texts[at:at + 100])
+
+
 def plain_round_robin(totals, quantum, granule):
     """(queue, place in the queue) of every id, served round by round."""
     left, credit, at, stream = list(totals), [0] * len(totals), [0] * len(totals), []
