@@ -4,26 +4,30 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions import coerce as fx
+from medallion.operators.keys import resequence
 
 def fit_index(dfs: DataFrame | Sequence[DataFrame], col: str) -> DataFrame:
     """ENC-3: index table (label, idx) fitted on the union of sources, so an index means one category everywhere.
 
     Labels are ordered by frequency (desc), ties alphabetically; values are
-    compared as strings.  Only the grouped counts, one row per label, are ranked.
+    compared as strings.  The grouped counts, one row per label, are range-partitioned
+    on (count, label) and numbered by the offsets of the partitions
+    (:func:`medallion.operators.keys.resequence`), so no task ranks all labels.  The
+    table is written once under the shared checkpoint folder.
     """
     dfs = [dfs] if isinstance(dfs, DataFrame) else list(dfs)
     u = None
     for d in dfs:
         part = d.select(F.col(col).cast("string").alias("label"))
         u = part if u is None else u.unionByName(part)
-    counts = u.where("label is not null").groupBy("label").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "label")) - 1
-    return counts.select("label", rank.cast("double").alias("idx"))
+    counts = u.where("label is not null").groupBy("label").agg((-F.count("*")).alias("less"))
+    ranked = resequence(counts, ["less", "label"], "idx", start=0, tiebreak=False)
+    return ranked.select("label", F.col("idx").cast("double").alias("idx"))
 
 
 def index_category(df: DataFrame, col: str, out: str | None = None, index: DataFrame | None = None) -> DataFrame:
@@ -40,15 +44,23 @@ def _safe(name: str) -> str:
     return re.sub(r"[^0-9A-Za-z_]", "_", name)
 
 
+#: Columns that :func:`one_hot` makes by itself.
+ONE_HOT_COLUMNS = 1000
+
+
 def one_hot(df: DataFrame, col: str, categories: Sequence[str] | None = None,
-            prefix: str | None = None, drop: bool = True) -> DataFrame:
+            prefix: str | None = None, drop: bool = True, max_columns: int = ONE_HOT_COLUMNS) -> DataFrame:
     """ENC-4: one 0/1 int column per category (null -> all zeros).
 
     With ``categories`` the operator is lazy.  Without, the distinct values are
-    gathered first: they become the columns of the result.
+    gathered first: they become the columns of the result.  A table has a bounded
+    number of columns, so beyond ``max_columns`` values this is an error before
+    anything is gathered, and :func:`one_hot_vector` is the way.
     """
     if categories is None:
-        vals = df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct().collect()
+        vals = df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct().limit(max_columns + 1).collect()
+        if len(vals) > max_columns:
+            raise ValueError(f"{col} has more than {max_columns} values: name the categories or use one_hot_vector")
         categories = sorted(r[0] for r in vals)
     prefix = col if prefix is None else prefix
     s = F.col(col).cast("string")
@@ -58,10 +70,23 @@ def one_hot(df: DataFrame, col: str, categories: Sequence[str] | None = None,
     return out.drop(col) if drop else out
 
 
-def model_frame(df: DataFrame, cols: Sequence[str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
-    """ENC-5: coerce every kept column to double (booleans -> 0/1) and drop rows with a null."""
-    cols = [c for c in (cols or df.columns) if c not in set(drop)]
-    typed = []
+def one_hot_vector(df: DataFrame, col: str, out: str | None = None, index: DataFrame | None = None) -> DataFrame:
+    """ENC-4 for any number of categories: one sparse 0/1 vector by the frequency index (null or unknown: all zeros)."""
+    out = out or f"{col}_vec"
+    table = index if index is not None else fit_index(df, col)
+    size = table.count()
+    indexed = index_category(df, col, "__code", table)
+    encoder = OneHotEncoder(inputCol="__code", outputCol=out, dropLast=True, handleInvalid="keep")
+    # the encoder learns its size from the greatest index; the last place, unknown, is dropped
+    top = df.sparkSession.range(1).select(F.lit(float(max(size - 1, 0))).alias("__code"))
+    return encoder.fit(top).transform(indexed).drop("__code")
+
+
+def model_frame(df: DataFrame, cols: Sequence[str] | None = None, drop: Sequence[str] = (),
+                keep: Sequence[str] = ()) -> DataFrame:
+    """ENC-5: coerce every column to double (booleans -> 0/1) and drop rows with a null; ``keep`` are carried as they are."""
+    cols = [c for c in (cols or df.columns) if c not in {*drop, *keep}]
+    typed = [F.col(c) for c in keep]
     for c in cols:
         dt_ = df.schema[c].dataType.simpleString()
         typed.append((F.col(c).cast("int").cast("double") if dt_ == "boolean"

@@ -4,19 +4,54 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 
-def _order_struct(order: Sequence, keep: str) -> Column:
-    """Ordering key for min_by/max_by where null order values never win."""
-    parts = []
-    for i, o in enumerate(order):
-        c = F.col(o) if isinstance(o, str) else o
-        flag = c.isNull() if keep == "first" else c.isNotNull()
-        parts += [flag.alias(f"n{i}"), c.alias(f"o{i}")]
-    return F.struct(*parts)
+def digest(cols: Sequence[str]) -> list[Column]:
+    """A 128-bit key for the values of the columns, as two longs; null is a value of its own, -0.0 is 0.0."""
+    parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(*parts).alias("__d0"), F.xxhash64(F.lit("second"), *parts).alias("__d1")]
+
+
+#: Types whose minimum is kept in place by a hash aggregate.
+_PLAIN = (T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def winners(df: DataFrame, keys: Sequence[str], order: Sequence = (), keep: str = "first") -> DataFrame:
+    """One row of each key: that with the smallest (``first``) or largest (``last``) order; null order values never win.
+
+    The choice is made on narrow rows and the wide ones are fetched late.  A hash
+    aggregate counts the rows of each key digest (two longs, whatever the keys),
+    with the best value of a single plain order column; only keys with several rows
+    are kept, most tables have few of these.  Rows of other keys pass through an
+    anti join, the rows of the kept keys (their best ones) through an equi-join;
+    where keys rarely repeat the kept keys are broadcast by their measured size
+    and no wide row is shuffled.  The rest is ranked by (order, row hash): each task
+    cuts its rows to one a key before they meet, so a key with a third of all rows
+    is reduced where it lies.  The input is read three times: one that is expensive
+    to compute should be written first.
+    """
+    keys, names = list(keys), df.columns
+    cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    plain = len(cols) == 1 and isinstance(df.select(cols[0]).schema[0].dataType, _PLAIN)
+    keyed = df.select("*", *digest(keys), (cols[0] if plain else F.lit(0)).alias("__o"))
+    again = (keyed.select("__d0", "__d1", "__o").groupBy("__d0", "__d1")
+             .agg(F.count("*").alias("__n"), (F.min if keep == "first" else F.max)("__o").alias("__best"))
+             .where("__n > 1").drop("__n"))
+    alone = keyed.join(again, ["__d0", "__d1"], "left_anti").select(*names)
+    tied = keyed.join(again, ["__d0", "__d1"]).where(F.col("__o").eqNullSafe(F.col("__best")))
+    ranked = [c.asc_nulls_last() if keep == "first" else c.desc_nulls_last() for c in cols]
+    first = Window.partitionBy("__d0", "__d1").orderBy(*ranked, F.xxhash64(*_flagged(names)))
+    one = tied.withColumn("__k", F.row_number().over(first)).where("__k = 1").select(*names)
+    return alone.unionByName(one)
+
+
+def _flagged(cols: Sequence[str]) -> list[Column]:
+    """The columns with their null flags: equal hashes then stand for equal rows, not for shifted nulls."""
+    return [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
 
 
 def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence | None = None,
@@ -25,29 +60,22 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence | N
 
     * no keys: exact-row dedupe (``ignore`` leaves columns such as a surrogate
       key out of the comparison; one arbitrary row of each group survives);
-    * keys without order: one arbitrary row per key (``dropDuplicates``);
+    * keys without order: one row per key (the smallest row hash);
     * keys with order: the row with the smallest (``keep="first"``) or largest
-      order survives via ``min_by``/``max_by`` of the whole row (null order
-      values never win; make the order unique within a key, e.g. with a
-      tiebreak column, for a deterministic survivor); the aggregate combines
-      map-side, so a hot key is reduced per task before the shuffle.
+      order survives (null order values never win; ties go to the smallest row
+      hash).
+
+    The rows are compared by a 128-bit digest and fetched late (:func:`winners`).
     """
     if keys is None:
-        if ignore:
-            return df.dropDuplicates([c for c in df.columns if c not in set(ignore)])
-        return df.dropDuplicates()
+        return winners(df, [c for c in df.columns if c not in set(ignore or ())])
     keys = list(keys)
-    if order is None:
-        return df.dropDuplicates(keys)
     others = [c for c in df.columns if c not in keys]
-    if len(others) == 1 and list(order) == others:
+    if order is not None and len(others) == 1 and list(order) == others:
         # the survivor's only other column is the order itself: a hash-aggregated min/max
         agg = F.min if keep == "first" else F.max
         return df.groupBy(*keys).agg(agg(others[0]).alias(others[0])).select(*df.columns)
-    row = F.struct(*[F.col(c) for c in others])
-    pick = F.min_by if keep == "first" else F.max_by
-    agg = df.groupBy(*keys).agg(pick(row, _order_struct(order, keep)).alias("__row"))
-    return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
+    return winners(df, keys, order or (), keep)
 
 
 def resequence(df: DataFrame, order: Sequence[str], out: str = "seq", start: int = 1,
@@ -76,7 +104,7 @@ def resequence(df: DataFrame, order: Sequence[str], out: str = "seq", start: int
     path = path or scratch_path(spark, f"resequence-{uuid.uuid4().hex}")
     ordering = [F.asc_nulls_first(c) for c in order]
     if tiebreak:
-        ordering.append(F.asc(F.xxhash64(*[F.col(c) for c in df.columns])))
+        ordering.append(F.asc(F.xxhash64(*_flagged(df.columns))))
     # the range sampling pass and the write pass both read the input: keep it
     # (memory and disk; lost blocks are recomputed from the lineage)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -1,6 +1,7 @@
 """Decision-tree modelling with Spark ML (MOD-*)."""
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -22,27 +23,35 @@ def hash_unit(id_col: str, seed: int) -> Column:
     return F.conv(F.substring(F.md5(txt), 1, 8), 16, 10).cast("long")
 
 
-def hash_thresholds(df: DataFrame, label: str, hash_col: str, fraction: float) -> DataFrame:
-    """(label, threshold): the hash at rank ``ceil(fraction * n)`` of each label's 32-bit hashes.
+def hash_thresholds(df: DataFrame, label: str, hash_col: str, fractions: Sequence[float]) -> DataFrame:
+    """(label, thresholds): the hashes at the ranks ``ceil(f * n)`` of each label's 32-bit hashes, one for each fraction.
 
-    Two grouped counts for all labels together: by the upper 16 bits of the hash,
-    then by the whole hash inside the bucket that holds the rank.  At most 65,536
-    counts for each label stand in the windows, however many rows it has.
+    One nested histogram for all labels and fractions: counts by the upper 16 bits of
+    the hash, then by the whole hash inside the buckets that hold a rank.  At most
+    65,536 counts for each label stand in the windows, however many rows it has, and
+    the buckets (one for each label and fraction at most) meet the rows in one join.
     """
+    fractions = [float(f) for f in fractions]
     h = df.select(F.col(label).alias("__l"), F.col(hash_col).alias("__h"),
                   F.shiftright(F.col(hash_col), 16).alias("__b"))
     run = Window.partitionBy("__l").orderBy("__b")
+    asked = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("f")) for i, f in enumerate(fractions)]))
     top = (h.groupBy("__l", "__b").agg(F.count("*").alias("n"))
            .withColumns({"upto": F.sum("n").over(run), "total": F.sum("n").over(Window.partitionBy("__l"))})
-           .withColumn("rank", F.greatest(F.ceil(F.lit(float(fraction)) * F.col("total")) - 1, F.lit(0)))
+           .withColumn("q", asked)
+           .withColumn("rank", F.greatest(F.ceil(F.col("q.f") * F.col("total")) - 1, F.lit(0)))
            .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
-           .select(F.col("__l").alias("tl"), F.col("__b").alias("tb"),
-                   (F.col("rank") - F.col("upto") + F.col("n")).alias("left")))
-    inside = h.join(top, h["__l"].eqNullSafe(F.col("tl")) & (F.col("__b") == F.col("tb")))
-    run = Window.partitionBy("__l").orderBy("__h")
-    return (inside.groupBy("__l", "left", "__h").agg(F.count("*").alias("n"))
-            .withColumn("upto", F.sum("n").over(run)).where(F.col("upto") > F.col("left"))
-            .groupBy("__l").agg(F.min("__h").alias("threshold")).withColumnRenamed("__l", "label"))
+           .groupBy(F.col("__l").alias("tl"), F.col("__b").alias("tb")).agg(F.collect_list(F.struct(
+               F.col("q.i").alias("i"), (F.col("rank") - F.col("upto") + F.col("n")).alias("left"))).alias("asked")))
+    inside = h.join(top.select("tl", "tb"), F.col("__l").eqNullSafe(F.col("tl")) & (F.col("__b") == F.col("tb")), "left_semi")
+    run = Window.partitionBy("__l", "__b").orderBy("__h")
+    found = (inside.groupBy("__l", "__b", "__h").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(run))
+             .join(top, F.col("__l").eqNullSafe(F.col("tl")) & (F.col("__b") == F.col("tb")))
+             .withColumn("a", F.explode("asked"))
+             .where(F.col("upto") > F.col("a.left"))
+             .groupBy("__l", F.col("a.i").alias("i")).agg(F.min("__h").alias("t")))
+    return (found.groupBy("__l").agg(F.array_sort(F.collect_list(F.struct("i", "t"))).alias("q"))
+            .select(F.col("__l").alias("label"), F.col("q.t").alias("thresholds")))
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,
@@ -54,10 +63,10 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: floa
     however large, is gathered into one task.
     """
     h = df.withColumn("__h", hash_unit(id_col, seed))
-    t = hash_thresholds(h, label, "__h", test_fraction).withColumnRenamed("label", "__label")
+    t = hash_thresholds(h, label, "__h", [test_fraction]).withColumnRenamed("label", "__label")
     j = h.join(t, F.col(label).eqNullSafe(F.col("__label")), "left")
-    return (j.withColumn(out, F.when(F.col("__h") <= F.col("threshold"), F.lit("test")).otherwise(F.lit("train")))
-            .drop("__h", "__label", "threshold"))
+    return (j.withColumn(out, F.when(F.col("__h") <= F.col("thresholds")[0], F.lit("test")).otherwise(F.lit("train")))
+            .drop("__h", "__label", "thresholds"))
 
 
 def fold_column(df: DataFrame, id_col: str, k: int, seed: int = 42, out: str = "fold",
@@ -65,18 +74,16 @@ def fold_column(df: DataFrame, id_col: str, k: int, seed: int = 42, out: str = "
     """Deterministic fold id 0..k-1 from the id hash; with ``label`` stratified.
 
     Stratified: the hash quantiles j/k of each label bound its folds, so every
-    fold has the same share of each label (up to one row and hash ties).
+    fold has the same share of each label (up to one row and hash ties).  All
+    quantiles come from one histogram, and the rows meet them in one join.
     """
     if label is None:
         return df.withColumn(out, (hash_unit(id_col, seed + 1) % k).cast("int"))
     h = df.withColumn("__h", hash_unit(id_col, seed + 1))
-    fold = F.lit(0)
-    for j in range(1, k):
-        t = hash_thresholds(h, label, "__h", j / k).select(F.col("label").alias(f"__l{j}"), F.col("threshold").alias(f"__t{j}"))
-        df = h if j == 1 else df
-        df = df.join(t, F.col(label).eqNullSafe(F.col(f"__l{j}")), "left")
-        fold = fold + F.when(F.col("__h") > F.col(f"__t{j}"), 1).otherwise(0)
-    return df.withColumn(out, fold.cast("int")).drop("__h", *[f"__{x}{j}" for j in range(1, k) for x in "lt"])
+    t = hash_thresholds(h, label, "__h", [j / k for j in range(1, k)]).withColumnRenamed("label", "__label")
+    j = h.join(t, F.col(label).eqNullSafe(F.col("__label")), "left")
+    passed = F.size(F.filter("thresholds", lambda x: F.col("__h") > x))
+    return j.withColumn(out, F.greatest(passed, F.lit(0)).cast("int")).drop("__h", "__label", "thresholds")
 
 
 def split_report(df: DataFrame, label: str, split: str = "split", digits: int = 6) -> DataFrame:
@@ -232,6 +239,69 @@ def tree_rules(spark, model) -> DataFrame:
     return spark.createDataFrame(list(enumerate(lines)), "line_no int, rule string")
 
 
+_LINE = re.compile(r"^( *)(If|Else) \(feature (\d+) (<=|>|in|not in) (.+)\)$")
+_LEAF = re.compile(r"^( *)Predict: (\S+)$")
+
+
+def tree_nodes(model, names: Sequence[str]) -> list[tuple]:
+    """(node, parent, depth, feature, threshold, left, right, prediction) of a fitted tree of continuous features.
+
+    Read from the tree's printed form, whose numbers keep all digits.  Rows with
+    ``feature`` at most ``threshold`` go left; leaves have a prediction instead.
+    """
+    m = getattr(model, "bestModel", model)
+    nodes: list[list] = []
+    open_: list[int] = []  # nodes whose right side is still to come, innermost last
+    parent, side = None, None
+
+    def add(depth: int) -> list:
+        node = [len(nodes), parent, depth, None, None, None, None, None]
+        nodes.append(node)
+        if parent is not None:
+            nodes[parent][5 if side == "left" else 6] = node[0]
+        return node
+
+    for line in m.toDebugString.splitlines()[1:]:
+        leaf, test = _LEAF.match(line), _LINE.match(line)
+        if leaf:
+            add(0 if parent is None else nodes[parent][2] + 1)[7] = float(leaf.group(2))
+        elif test and test.group(2) == "If":
+            if test.group(4) != "<=":
+                raise ValueError("only continuous features have thresholds")
+            node = add(0 if parent is None else nodes[parent][2] + 1)
+            node[3], node[4] = names[int(test.group(3))], float(test.group(5))
+            open_.append(node[0])
+            parent, side = node[0], "left"
+        elif test:
+            parent, side = open_.pop(), "right"
+    return [tuple(n) for n in nodes]
+
+
+TREE_SCHEMA = ("node int, parent int, depth int, feature string, threshold double, left_node int, right_node int, "
+               "prediction double")
+
+
+def tree_table(spark, model, names: Sequence[str]) -> DataFrame:
+    """MOD-10: the fitted tree as a table, one row for each node (model metadata)."""
+    return spark.createDataFrame(tree_nodes(model, names), TREE_SCHEMA)
+
+
+def tree_expression(nodes: Sequence[tuple]) -> str:
+    """MOD-10: SQL expression of the tree's prediction, for any engine; nodes as in :func:`tree_nodes` or the table's rows.
+
+    NaN is greater than every threshold, as in the tree; a null feature gives null.
+    """
+    by_id = {n[0]: n for n in nodes}
+
+    def term(i: int) -> str:
+        _, _, _, feature, threshold, left, right, prediction = by_id[i]
+        if feature is None:
+            return f"{prediction!r}D"
+        return (f"CASE WHEN `{feature}` IS NULL THEN NULL WHEN CAST(`{feature}` AS DOUBLE) <= {threshold!r}D "
+                f"THEN {term(left)} ELSE {term(right)} END")
+    return term(0)
+
+
 def rebalance(df: DataFrame, label: str, id_col: str, target_rate: float,
               positive=1, seed: int = 42) -> DataFrame:
     """MOD-11: down-sample the majority class so positives make ``target_rate`` of the rows.

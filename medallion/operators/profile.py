@@ -6,13 +6,17 @@ are small DataFrames (one row per column or per group).
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators import stats
+from medallion.operators.keys import digest
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
@@ -48,12 +52,13 @@ def value_counts(df: DataFrame, col: str, order: str = "count", normalize: bool
                  out: str = "count") -> DataFrame:
     """PRF-4: frequency of each value; null is kept as its own group.
 
-    ``normalize`` adds ``share`` = count / total rows; the total is the sum of
-    the grouped counts, so the data are read once.
+    ``normalize`` adds ``share`` = count / total rows; the total is a scalar
+    subquery (a count without columns, answered from file footers where the
+    source has them), so groups are never gathered in one task.
     """
     g = df.groupBy(col).agg(F.count("*").alias(out))
-    if normalize:
-        g = g.withColumn("share", F.col(out) / F.sum(out).over(Window.partitionBy()))
+    if normalize:  # one row, evaluated once
+        g = g.withColumn("share", F.col(out) / df.agg(F.count("*")).scalar())
     if order == "count":
         return g.orderBy(F.desc(out), F.asc_nulls_first(col))
     return g.orderBy(F.asc_nulls_first(col))
@@ -133,10 +138,80 @@ def summary(df: DataFrame, cols: Sequence[str] | None = None, method: str = "con
                     "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
-def digest(cols: Sequence[str]) -> list[Column]:
-    """A 128-bit key for the values of the columns; null is a value of its own."""
-    parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
-    return [F.xxhash64(*parts).alias("__d0"), F.xxhash64(F.lit("second"), *parts).alias("__d1")]
+#: Items that a heavy-hitter sketch tracks; a column with half as many distinct values is described exactly.
+TRACKED = 1024
+#: Binary logarithm of the registers of a distinct-count sketch.
+LG_K = 14
+
+
+def summary_sketch(df: DataFrame, cols: Sequence[str] | None = None, tracked: int = TRACKED, lg_k: int = LG_K,
+                   quartiles: str = "approx", digits: int = 6) -> DataFrame:
+    """PRF-6, approximate: :func:`summary` from mergeable sketches; no value of any column is shuffled.
+
+    One wide aggregate of every column: moments, a HyperLogLog sketch of the values
+    (``unique``) and a heavy-hitter sketch of ``tracked`` items (``top``, ``freq``).
+    Tasks send their sketches, whose size does not depend on the rows.  Text is
+    sketched by its MD5, so long texts cost no memory; the text behind a column's
+    top digest is then fetched by one more aggregate (a minimum over the rows with
+    that digest).
+
+    ``exact`` says that the sketches lost nothing: the tracked counts add up to all
+    rows and fill half of the sketch at most.  Then ``unique``, ``top`` (ties: the
+    smallest value) and ``freq`` equal those of :func:`summary`.  Otherwise
+    ``unique`` is an estimate that lies within [``unique_low``, ``unique_high``] (three
+    standard errors of 1.04 / sqrt(2^lg_k)) and ``top`` the item with the greatest
+    estimate, whose true count lies within [``freq_low``, ``freq``] (the sketch's
+    error is 3.5 / map size of the rows); no such item: null.
+
+    Quartiles are those of a bounded rank sketch, or exact with ``quartiles="cont"``.
+    NaN and null are missing.
+    """
+    cols = list(cols or df.columns)
+    numbers = [c for c in cols if isinstance(df.schema[c].dataType, NUMERIC)]
+    cell = {c: F.col(f"`{c}`").cast("double") if c in numbers else F.col(f"`{c}`").cast("string") for c in cols}
+    narrow = df.select(*[(F.when(~F.isnan(x), x + F.lit(0.0)) if c in numbers else x).alias(c) for c, x in cell.items()])
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`")
+        item = x if c in numbers else F.md5(x)
+        keyed = F.xxhash64(item)  # the distinct-count sketch takes no doubles
+        aggs += [F.count(x).alias(f"n{i}"),
+                 F.hll_sketch_estimate(F.hll_sketch_agg(F.when(x.isNotNull(), keyed), lg_k)).alias(f"u{i}"),
+                 F.call_function("approx_top_k", item, F.lit(tracked + 1), F.lit(tracked + 1)).alias(f"t{i}")]
+        if c in numbers:
+            aggs += [F.round(F.avg(x), digits + 1).alias(f"mean{i}"), F.round(F.stddev_samp(x), digits).alias(f"std{i}"),
+                     F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+    row = narrow.agg(*aggs).first()
+    q = stats.quantiles(narrow, numbers, [0.25, 0.5, 0.75], method=quartiles) if numbers else {}
+    slots = 1 << max(3, int((tracked + 1) / 0.75) - 1).bit_length()
+    found, leading = {}, {}
+    for i, c in enumerate(cols):
+        n, items = int(row[f"n{i}"]), {r["item"]: int(r["count"]) for r in row[f"t{i}"] or () if r["item"] is not None}
+        exact = sum(items.values()) == n and 2 * len(items) <= tracked
+        freq = max(items.values(), default=None)
+        seen = sum(int(r["count"]) for r in row[f"t{i}"] or () if r["item"] is None) + n  # null is an item there
+        error = 0 if exact else math.ceil(3.5 * seen / slots)
+        spread = 0.0 if exact else 3 * 1.04 / (1 << lg_k) ** 0.5
+        unique = len(items) if exact else int(row[f"u{i}"] or 0)
+        leading[c] = sorted(k for k, v in items.items() if v == freq)
+        found[c] = (n, unique, math.floor(unique * (1 - spread)), math.ceil(unique * (1 + spread)), freq,
+                    None if freq is None else max(freq - error, 0), exact)
+    texts = [c for c in cols if c not in numbers and leading[c]]
+    named = {}
+    if texts:  # one row
+        named = narrow.agg(*[F.min(F.when(F.md5(F.col(f"`{c}`")).isin(leading[c]), F.col(f"`{c}`"))).alias(c)
+                             for c in texts]).first().asDict()
+    rows = []
+    for i, c in enumerate(cols):
+        n, unique, low, high, freq, least, exact = found[c]
+        quarts = [None if x is None else round(float(x), digits) for x in q.get(c, (None,) * 3)]
+        moments = [row[f"{m}{i}"] if c in numbers else None for m in ("mean", "std", "min")]
+        rows.append((c, n, unique, low, high, leading[c][0] if c in numbers and leading[c] else None, named.get(c), freq,
+                     least, exact, *moments, *quarts, row[f"max{i}"] if c in numbers else None))
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, count long, unique long, unique_low long, unique_high long, top double, top_text string, "
+              "freq long, freq_low long, exact boolean, mean double, std double, min double, q25 double, q50 double, "
+              "q75 double, max double")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None,
@@ -187,6 +262,38 @@ def label_correlations(df: DataFrame, label: str, cols: Sequence[str] | None = N
             .orderBy(F.desc(F.abs("r")), "feature"))
 
 
+def corr_gram(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """PRF-14 for many columns: Pearson correlation of each pair (a before b) from one Gram matrix.
+
+    The columns become one vector; each task sums the products of its rows into one
+    matrix and the matrices are added up a tree, so the plan is the same for ten and
+    for a thousand columns (:func:`corr_matrix` has k(k-1)/2 aggregates).  Rows with a
+    null or NaN in any of the columns are left out (listwise); a constant column has
+    no correlation (null).  The matrix, columns x columns, goes through the driver.
+    """
+    names, m = _gram(df, list(cols or numeric_columns(df)), digits)
+    rows = [(a, b, m[i][j]) for i, a in enumerate(names) for j, b in enumerate(names) if i < j]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
+def label_gram(df: DataFrame, label: str, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """PRF-15 for many columns: correlation of every feature with the label, strongest first, null last."""
+    names, m = _gram(df, [c for c in (cols or numeric_columns(df)) if c != label] + [label], digits)
+    rows = sorted(((a, m[i][-1]) for i, a in enumerate(names[:-1])), key=lambda r: (r[1] is None, -abs(r[1] or 0), r[0]))
+    return df.sparkSession.createDataFrame(rows, "feature string, r double")
+
+
+def _gram(df: DataFrame, names: list[str], digits: int) -> tuple[list[str], list[list[float | None]]]:
+    """(names, correlations)."""
+    narrow = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    narrow = narrow.where(" AND ".join(f"c{i} IS NOT NULL AND NOT isnan(c{i})" for i in range(len(names))))
+    if narrow.isEmpty():
+        return names, [[None] * len(names) for _ in names]
+    vectors = VectorAssembler(inputCols=narrow.columns, outputCol="v").transform(narrow).select("v")
+    m = Correlation.corr(vectors, "v").first()[0].toArray()
+    return names, [[None if x != x else round(float(x), digits) + 0.0 for x in line] for line in m]
+
+
 class StageAudit:
     """PRF-10: rows in/out per cleaning stage, collected with ``observe``.
 

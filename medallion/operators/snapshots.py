@@ -55,6 +55,25 @@ def append(df: DataFrame, new: DataFrame) -> DataFrame:
     return df.unionByName(new)
 
 
+def append_batches(df: DataFrame, batches: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """MUT-1 as a gate: (table with the rows of all batches whose schema agrees, report).
+
+    Each batch goes through :func:`append`.  A rejected one adds no row; the report
+    has a line for each of its differing columns (batch, accepted, column_name,
+    table_type, incoming_type), and one line without a column for each accepted batch.
+    Only schemas are looked at: no data is read.
+    """
+    lines = []
+    for name, new in batches.items():
+        try:
+            df = append(df, new)
+            lines.append((name, True, None, None, None))
+        except SchemaMismatch as e:
+            lines += [(name, False, *line) for line in e.report]
+    return df, df.sparkSession.createDataFrame(
+        lines, "batch string, accepted boolean, column_name string, table_type string, incoming_type string")
+
+
 def check_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a key without nulls occurs twice (one grouped aggregate, stops at the first hit)."""
     dup = (df.where(_all_not_null(keys)).groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.cleaning import conform
+from medallion.operators.keys import winners
 
 
 def unify(sources: Mapping[str, tuple[DataFrame, int]], schema: T.StructType | None = None,
@@ -29,17 +30,17 @@ def unify_latest(df: DataFrame, key: str | Sequence[str], priority: str = "prior
                  tiebreak: Sequence[str] = (), mode: str = "row") -> DataFrame:
     """UNI-2: one row per key, the highest priority wins.
 
-    ``mode="row"`` keeps the winning row whole (``max_by`` of the row struct by
-    (priority, tiebreak...)).  ``mode="column"`` picks each column separately
-    from the highest-priority source where that column is not null.  Both are
-    single aggregates that combine map-side before the shuffle.
+    ``mode="row"`` keeps the winning row whole: the winner of each key is found on
+    narrow rows and fetched late (:func:`medallion.operators.keys.winners`; an input
+    that is expensive to compute should be written first, it is read three times).
+    ``mode="column"`` picks each column separately from the highest-priority
+    source where that column is not null, in one aggregate that combines map-side.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(priority), *[F.col(t) for t in tiebreak])
     if mode == "row":
-        agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]), order).alias("__r"))
-        return agg.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in others])
+        return winners(df, keys, [priority, *tiebreak], "last").select(*keys, *others)
+    order = F.struct(F.col(priority), *[F.col(t) for t in tiebreak])
     if mode == "column":
         aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in others]
         return df.groupBy(*keys).agg(*aggs)

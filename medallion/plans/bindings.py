@@ -19,7 +19,7 @@ from medallion.operators import (cleaning, encode, impute, keys, model, outliers
 from medallion.plans import flows
 from medallion.plans.dirt import (EVENT_CSV, EVENT_DIRT, EVENT_JSON, EVENT_JSON_NULL_CARDHOLDER,
                                   EVENT_JSON_TRUNCATED, EVENT_LOG_BROKEN, EVENT_LOG_LINE, SUPERVISOR_NOTE, with_dirt)
-from medallion.session import scratch_path
+from medallion.session import materialized, scratch_path
 from medallion.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,24 @@ def bronze_csv_flow(spark, sf_dir):
     return flows.clean_csv(good)
 
 
+@query
+def csv_rejects(spark, sf_dir):
+    """SRC-1 / SRC-3: bronze CSV lines, some malformed (a number of fields that is not the header's); rows set aside with
+    their text, by what is wrong, beside the count of the readable ones."""
+    raw = with_dirt(table(spark, sf_dir, "events"), EVENT_CSV)
+    cols = [c for c in raw.columns if c != "event_id"]
+    fields = F.concat_ws(",", *[F.coalesce(F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')), F.lit("")) for c in cols])
+    line = F.when(F.col("event_id") % 211 == 3, F.concat(F.lit("extra,"), fields, F.lit(",1,2,3"))).when(
+        F.col("event_id") % 223 == 4, F.lit("one,two")).otherwise(fields)
+    path = scratch_path(spark, f"csv-lines-{uuid.uuid4().hex}")
+    raw.select(line.alias("value")).write.text(path)
+    scan = materialized(readers.read_csv(spark, path, header=False), "csv-parsed")
+    good, bad = readers.split_corrupt(scan)
+    kind = F.when(F.col("_corrupt_record").startswith("extra"), "too many fields").otherwise("too few fields")
+    rejects = bad.groupBy(kind.alias("outcome")).agg(F.count("*").alias("n_rows"))
+    return good.agg(F.lit("read").alias("outcome"), F.count("*").alias("n_rows")).unionByName(rejects)
+
+
 def event_json_docs(spark, sf_dir, keep_id: bool = False) -> DataFrame:
     """Nested transaction documents rendered from ``events``."""
     e = table(spark, sf_dir, "events")
@@ -139,6 +157,46 @@ def bronze_json_flow(spark, sf_dir):
     return out.withColumn("amount", F.round("amount", 6))
 
 
+JSON_FILE_ROWS = 500  # documents in a rendered JSON file
+
+
+def _json_array_files(spark, sf_dir) -> str:
+    """Nested documents as files of JSON arrays over several lines: some documents are empty, every seventh file is cut off."""
+    docs = event_json_docs(spark, sf_dir, keep_id=True)
+    line = F.to_json(F.struct(*[c for c in docs.columns if c != "event_id"]))
+    files = (docs.select(F.expr(f"event_id div {JSON_FILE_ROWS}").alias("file_no"), "event_id", line.alias("line"))
+             .withColumn("line", F.when(F.col("event_id") % 89 == 5, "{}").otherwise(F.col("line")))
+             .groupBy("file_no").agg(F.sort_array(F.collect_list(F.struct("event_id", "line"))).alias("d")))
+    text_ = F.concat(F.lit("[\n"), F.array_join(F.col("d.line"), ",\n"), F.lit("\n]"))
+    text_ = F.when(F.col("file_no") % 7 == 1, F.substring(text_, 1, 2000)).otherwise(text_)
+    path = scratch_path(spark, f"json-arrays-{uuid.uuid4().hex}")
+    files.select("file_no", text_.alias("value")).write.partitionBy("file_no").text(path)
+    return path
+
+
+def _file_no() -> F.Column:
+    return F.regexp_extract("source_file", r"file_no=(\d+)", 1).cast("long")
+
+
+@query
+def json_file_report(spark, sf_dir):
+    """SRC-2/SRC-3/SRC-6: JSON arrays over several lines, parsed file by file; rows, empty rows and rejects of each file."""
+    rows, report = readers.read_json_files(spark, _json_array_files(spark, sf_dir))
+    full = cleaning.drop_nulls(rows, [c for c in rows.columns if c not in ("source_file", "file_no")], "all")
+    kept = full.groupBy("source_file").agg(F.count("*").alias("n"))
+    return report.join(kept, "source_file", "left").select(
+        _file_no().alias("file_no"), F.col("rows").alias("n_rows"),
+        (F.col("rows") - F.coalesce("n", F.lit(0))).alias("n_empty"), "rejected",
+        F.substring("reject_text", 1, 1).alias("reject_start"))
+
+
+@query
+def json_array_flow(spark, sf_dir):
+    """SRC-2 -> JSON flow: the rows of the readable files, flattened and cleaned."""
+    rows, _ = readers.read_json_files(spark, _json_array_files(spark, sf_dir))
+    return flows.clean_json(rows.drop("file_no")).withColumn("amount", F.round("amount", 6))
+
+
 @query
 def clean_logs_flow(spark, sf_dir):
     """Log lines -> parse -> score -> relabel by the note's rule -> flag -> dedupe."""
@@ -349,6 +407,20 @@ def summary(spark, sf_dir):
     return profile.summary(table(spark, sf_dir, "lineitem"))
 
 
+@query
+def summary_sketch(spark, sf_dir):
+    """PRF-6 from sketches over all columns of two tables: what the sketches hold exactly (estimates are left out,
+    they have no value in SQL), counts and moments of all columns."""
+    out = None
+    for name in ("lineitem", "documents"):
+        s = profile.summary_sketch(table(spark, sf_dir, name), quartiles="cont")
+        s = s.select(F.lit(name).alias("table_name"), "column_name", "count", "exact",
+                     *[F.when(F.col("exact"), F.col(c)).alias(c) for c in ("unique", "top", "top_text", "freq")],
+                     "mean", "std", "min", "q25", "q50", "q75", "max")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
 @query
 def outlier_report(spark, sf_dir):
     return outliers.outlier_report(dirty_lineitem(spark, sf_dir), ["qty", "price", "disc"], 1.5)
@@ -398,6 +470,31 @@ def label_correlations(spark, sf_dir):
     return profile.label_correlations(li, "is_returned", LI_NUM)
 
 
+GOLD_CATEGORIES = ["click", "error", "purchase", "signup", "view"]  # fixed values: categories of the gold table
+GOLD_SOURCES = ["csv", "json", "logs"]
+
+
+def _gold_frame(spark, sf_dir):
+    """ENC-4/ENC-5: the gold table as a model frame (row_id and numbers): one-hot columns of category and source,
+    rows with a null dropped."""
+    gold = gold_union(spark, sf_dir).withColumn("row_id", F.concat_ws("-", "source", "transaction_id"))
+    wide = encode.one_hot(gold, "merchant_category", GOLD_CATEGORIES, prefix="cat")
+    wide = encode.one_hot(wide, "source", GOLD_SOURCES, prefix="src")
+    return materialized(encode.model_frame(wide, drop=["transaction_id", "priority"], keep=["row_id"]), "gold-frame")
+
+
+@query
+def corr_gold(spark, sf_dir):
+    """PRF-14 over all numeric and one-hot columns of the gold frame, from one Gram matrix."""
+    return profile.corr_gram(_gold_frame(spark, sf_dir).drop("row_id"))
+
+
+@query
+def label_corr_gold(spark, sf_dir):
+    """PRF-15 over the gold frame: every column against the label."""
+    return profile.label_gram(_gold_frame(spark, sf_dir).drop("row_id"), "is_fraud")
+
+
 # ------------------------------------------------------------ imputation
 @query
 def fill_const(spark, sf_dir):
@@ -630,6 +727,20 @@ def append_conformed(spark, sf_dir):
     return c.unionByName(repaired)
 
 
+@query
+def append_gate(spark, sf_dir):
+    """MUT-1: a batch with the table's schema and one with other columns; accepted rows and the report on the other."""
+    c = _customer(spark, sf_dir)
+    good = c.where(F.col("c_nationkey") >= 20).withColumn("c_custkey", F.col("c_custkey") + 1000000)
+    bad = good.select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", "c_nationkey",
+                      F.lit(1).alias("c_extra"), "c_mktsegment")
+    grown, report = snapshots.append_batches(c, {"good": good, "bad": bad})
+    rows = grown.groupBy(F.when(F.col("c_custkey") > 1000000, "good").otherwise("table").alias("batch")).agg(
+        F.count("*").alias("n_rows"))
+    return rows.join(report, "batch", "full").select(
+        "batch", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "accepted", "column_name", "table_type", "incoming_type")
+
+
 @query
 def diff_versions(spark, sf_dir):
     new = snapshots.delete(upsert(spark, sf_dir), F.col("c_custkey") % 17 == 0)
@@ -649,6 +760,17 @@ def one_hot(spark, sf_dir):
                           "c_mktsegment", prefix="seg")
 
 
+@query
+def index_hour(spark, sf_dir):
+    """ENC-2: the numeric hour of the silver CSV as a frequency index; hours that do not occur, and null, get the next number."""
+    silver = clean_csv_flow(spark, sf_dir).select("transaction_id", "transaction_hour")
+    e = table(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("transaction_hour"))
+    index = encode.fit_index(silver, "transaction_hour")
+    other = F.when(F.col("event_id") % 50 == 0, 99).when(F.col("event_id") % 50 == 1, None).otherwise(F.col("transaction_hour"))
+    return encode.index_category(e.withColumn("transaction_hour", other), "transaction_hour", "hour_idx", index).select(
+        "event_id", "hour_idx")
+
+
 # --------------------------------------------------------------- modelling
 def _labels_split(spark, sf_dir):
     return model.stratified_split(table(spark, sf_dir, "labels"), "toxic", "doc_id", 0.2, 42)
@@ -690,27 +812,26 @@ def prediction_counts(spark, sf_dir):
     return model.prediction_counts(_rule_predictions(spark, sf_dir), "quality", "prediction")
 
 
-TREE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+TREE_FEATURES = ["amount", "transaction_hour", "foreign_transaction", "location_mismatch", "device_trust_score",
+                 "velocity_last_24h", "cardholder_age", *[f"cat_{c}" for c in GOLD_CATEGORIES]]
 
 
-def _tree_frame(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"), *TREE_FEATURES,
-                     (F.col("l_returnflag") == "R").cast("int").alias("is_returned"))
+def _planted(spark, sf_dir):
+    """The gold model frame with a label that is a threshold on one column, so that the best tree is known."""
+    return _gold_frame(spark, sf_dir).withColumn("label", (F.col("transaction_hour") > 11).cast("int"))
 
 
 @query
 def tree_cv(spark, sf_dir):
-    """MOD-3/4: impurity {gini, entropy} x depth 1..6, 5-fold CV (rows-only check)."""
-    cvm, grid = model.fit_tree(_tree_frame(spark, sf_dir), TREE_FEATURES, "is_returned", "row_id")
+    """MOD-3/4: impurity {gini, entropy} x depth 1..6, 5-fold CV on the gold frame; scores and best point."""
+    cvm, grid = model.fit_tree(_planted(spark, sf_dir), TREE_FEATURES, "label", "row_id")
     return model.cv_results(spark, cvm, grid)
 
 
 @query
 def tree_importances(spark, sf_dir):
-    """MOD-3/5/9: best tree, top-10 importances (rows-only check)."""
-    frame = _tree_frame(spark, sf_dir)
-    cvm, _ = model.fit_tree(frame, TREE_FEATURES, "is_returned", "row_id")
+    """MOD-3/5/9: best tree of the full grid on the gold frame, top-10 importances."""
+    cvm, _ = model.fit_tree(_planted(spark, sf_dir), TREE_FEATURES, "label", "row_id")
     return model.feature_importances(spark, cvm, TREE_FEATURES, 10)
 
 
@@ -724,18 +845,53 @@ def load_audit(spark, sf_dir):
     return readers.audit_loaded(table(spark, sf_dir, "events"), EXPECTED_EVENT_TYPES, "event_type")
 
 
-@query
-def typed_load(spark, sf_dir):
-    """SNK-2 / SNK-5: dirty events conformed to the warehouse schema, written as Parquet, read back with the quarantined rows marked."""
+TYPED_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("big_id", T.LongType()),
+                             T.StructField("hour", T.ByteType())])
+
+
+def _untyped_events(spark, sf_dir):
+    """Dirty events with long ids; a third of the rows share one hour, the order key of the load."""
     d = dirty_events(spark, sf_dir).select("event_id", F.col("raw_id").alias("big_id"), F.col("raw_hour").alias("hour"))
     big = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("900719925474"), F.lpad(F.col("event_id").cast("string"), 7, "0")))
-    d = d.withColumn("big_id", F.coalesce(big, F.col("big_id")))
-    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("big_id", T.LongType()),
-                           T.StructField("hour", T.ByteType())])
-    path = scratch_path(spark, f"typed-load-{uuid.uuid4().hex}")
-    cleaning.conform(d, schema).write.parquet(path)
+    hot = F.when(F.col("event_id") % 3 == 1, F.lit("12")).otherwise(F.col("hour"))
+    return d.withColumns({"big_id": F.coalesce(big, F.col("big_id")), "hour": hot})
+
+
+@query
+def typed_load(spark, sf_dir):
+    """SNK-2 / SNK-5: dirty events loaded by type and order key, read back, beside the quarantined rows."""
+    path, aside = (scratch_path(spark, f"{x}-{uuid.uuid4().hex}") for x in ("typed-load", "typed-aside"))
+    sinks.load_typed(_untyped_events(spark, sf_dir), path, TYPED_SCHEMA, ["hour"], quarantine_path=aside)
+    good, bad = readers.read_parquet(spark, path), readers.read_parquet(spark, aside)
+    return good.select("event_id", "big_id", "hour", F.lit("").alias("violations")).unionByName(
+        bad.select("event_id", "big_id", "hour", F.array_join("_violations", ",").alias("violations")))
+
+
+@query
+def typed_load_skipping(spark, sf_dir):
+    """SNK-5: the rows of an hour range in the loaded table lie in few of its files (8 written, ranges of the order key)."""
+    path = scratch_path(spark, f"typed-skip-{uuid.uuid4().hex}")
+    sinks.load_typed(_untyped_events(spark, sf_dir), path, TYPED_SCHEMA, ["hour"], partitions=8)
     back = readers.read_parquet(spark, path)
-    return back.select("event_id", "big_id", "hour", F.array_join("_violations", ",").alias("violations"))
+    out = None
+    for lo, hi in ((0, 2), (12, 12), (20, 23)):
+        part = sinks.files_holding(back, F.col("hour").between(lo, hi)).select(
+            F.lit(lo).alias("from_hour"), F.lit(hi).alias("to_hour"), "n_rows", (F.col("n_files") <= 5).alias("few_files"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def bucketed_join(spark, sf_dir):
+    """SRC-9 / SNK-5: two catalog tables with equal buckets, joined on the bucket key without an exchange of their rows."""
+    tag = uuid.uuid4().hex
+    names = {}
+    for name, key in (("orders", "o_custkey"), ("customer", "c_custkey")):
+        names[name] = sinks.save_bucketed(table(spark, sf_dir, name), f"bucketed_{name}_{tag}", [key], 8,
+                                          scratch_path(spark, f"bucketed-{name}-{tag}"))
+    o, c = names["orders"], names["customer"]
+    return (o.join(c.hint("merge"), o.o_custkey == c.c_custkey).groupBy("c_custkey", "c_mktsegment")
+            .agg(F.count("*").alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total")))
 
 
 @query
@@ -750,23 +906,28 @@ def shared_index(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
-def _planted(spark, sf_dir):
-    """Rows whose label is a threshold on one column, so that the best tree is known."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"), *TREE_FEATURES,
-                     (F.col("l_quantity") > 25).cast("int").alias("label"))
-
-
 @query
 def model_chain(spark, sf_dir):
-    """ENC-5, MOD-1..8: model frame, stratified split, grid search on the training part, prediction of both parts, counts."""
+    """ENC-4..6, MOD-1..8 from gold: model frame, stratified split, full grid search (depths 1-6, 5 folds) on the training
+    part, prediction of both parts, counts."""
     split = model.stratified_split(_planted(spark, sf_dir), "label", "row_id", 0.2, 42)
-    cvm, _ = model.fit_tree(split.where("split = 'train'"), TREE_FEATURES, "label", "row_id", depths=range(1, 4), folds=3)
+    cvm, _ = model.fit_tree(split.where("split = 'train'"), TREE_FEATURES, "label", "row_id")
     scored = model.predict(cvm, split, TREE_FEATURES)
     return scored.groupBy("split", "label", F.col("prediction").cast("int").alias("prediction")).agg(
         F.count("*").alias("n"))
 
 
+@query
+def tree_rule_table(spark, sf_dir):
+    """MOD-10: a fitted tree as a node table and as one SQL expression; its predictions beside those of the model, counted."""
+    frame = _planted(spark, sf_dir)
+    cvm, _ = model.fit_tree(frame, TREE_FEATURES, "label", "row_id", impurities=["gini"], depths=[3], folds=2)
+    nodes = model.tree_table(spark, cvm, TREE_FEATURES).collect()  # as many rows as the tree has nodes
+    scored = model.predict(cvm, frame, TREE_FEATURES).withColumn("by_rules", F.expr(model.tree_expression(nodes)))
+    return scored.groupBy("label", F.col("prediction").cast("int").alias("by_model"),
+                          F.col("by_rules").cast("int").alias("by_rules")).agg(F.count("*").alias("n"))
+
+
 @query
 def tree_leaves(spark, sf_dir):
     """MOD-10: leaves of the tree fitted to the planted label, by predicted class, read from its rules."""

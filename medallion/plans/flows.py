@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from medallion.functions import coerce as fx
 from medallion.operators import cleaning, impute, keys, outliers, rules, text, unify
 from medallion.operators.profile import StageAudit
+from medallion.session import materialized
 from medallion.sources.schemas import GOLD_SCHEMA, JSON_FLATTEN
 
 # Column groups and parameters of the CSV cleaning.
@@ -80,10 +81,8 @@ def clean_json(raw: DataFrame, amount_policy: str = "mean", required: Sequence[s
     df = cleaning.flatten(df, spec)
     df = df.where(F.col("transaction_id").isNotNull())
     df = impute.handle_amount(df, "amount", amount_policy)
-    # the other columns, nulls first, settle ties, so the surviving row is fixed
-    rest = [c for c in df.columns if c not in ("transaction_id", "timestamp", "amount")]
-    tie = F.struct(*[x for c in rest for x in (F.col(c).isNotNull().alias(f"{c}_has"), F.col(c))])
-    df = keys.dedupe(df, ["transaction_id"], order=["timestamp", "amount", tie])
+    # parsed once; of rows that tie in time and amount the one with the smallest row hash survives
+    df = keys.dedupe(materialized(df, "json-parsed"), ["transaction_id"], order=["timestamp", "amount"])
     df = cleaning.drop_nulls(df, list(required))
     df = cleaning.keep_between(df, JSON_RANGES)
     df = rules.relabel_by_prefix(df, "transaction_id", [fraud_prefix], "is_fraud", True)
@@ -102,7 +101,7 @@ def clean_logs(lines: DataFrame, rule_note: DataFrame | None = None,
         df = rules.prefix_hit(df, "transaction_id", rules.rules_from_text(rule_note), "id_flag")
         df = df.withColumn("id_flag", F.col("id_flag").cast("int"))
     df = df.withColumn("is_fraud", F.when(F.col("id_flag") == 1, F.lit(True)).otherwise(F.col("is_fraud")))
-    return keys.dedupe(df)
+    return keys.dedupe(materialized(df, "logs-parsed"))
 
 
 def to_gold(df: DataFrame, source: str) -> DataFrame:
@@ -126,5 +125,5 @@ def build_gold(csv: DataFrame | None = None, json: DataFrame | None = None,
             for name, d in (("csv", csv), ("json", json), ("logs", logs)) if d is not None}
     u = unify.unify(srcs, GOLD_SCHEMA)
     if latest:
-        u = unify.unify_latest(u, "transaction_id", "priority")
+        u = unify.unify_latest(materialized(u, "gold-union"), "transaction_id", "priority")
     return u

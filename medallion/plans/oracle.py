@@ -117,9 +117,9 @@ SELECT transaction_id, amount,
 FROM c11 WHERE transaction_hour BETWEEN 0 AND 23"""
 
 
-def json_flow_sql(unreadable_dropped: bool = False, digits: int | None = 6) -> str:
+def json_flow_sql(unreadable: str | None = None, digits: int | None = 6) -> str:
     x = EVENT_JSON
-    readable = f"WHERE NOT ({EVENT_JSON_TRUNCATED})" if unreadable_dropped else ""
+    readable = f"WHERE NOT ({unreadable})" if unreadable else ""
     nc = EVENT_JSON_NULL_CARDHOLDER
 
     def i(e):
@@ -191,6 +191,42 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY transactio
   FROM u) WHERE rn = 1"""
 
 
+GOLD_CATS = ["click", "error", "purchase", "signup", "view"]
+GOLD_NUM = ["amount", "transaction_hour", "foreign_transaction", "location_mismatch", "device_trust_score",
+            "velocity_last_24h", "cardholder_age", "is_fraud", "id_flag"]
+GOLD_COLS = [*GOLD_NUM, *[f"cat_{c}" for c in GOLD_CATS], "src_csv", "src_json", "src_logs"]
+
+
+def gold_frame() -> str:
+    """Model frame of the gold table: numbers and one-hot columns, rows with a null number left out."""
+    hot = [f"CAST(coalesce(merchant_category = '{c}', false) AS DOUBLE) AS cat_{c}" for c in GOLD_CATS]
+    hot += [f"CAST(source = '{x}' AS DOUBLE) AS src_{x}" for x in ("csv", "json", "logs")]
+    return (f"gold AS ({gold_union_sql()}), frame AS (SELECT source || '-' || transaction_id AS row_id, "
+            + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in GOLD_NUM) + ", " + ", ".join(hot)
+            + " FROM gold WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in GOLD_NUM) + ")")
+
+
+def _corr(a: str, b: str) -> str:
+    return (f"CASE WHEN (SELECT min({a}) = max({a}) OR min({b}) = max({b}) FROM frame) THEN NULL "
+            f"ELSE (SELECT round(corr({a}, {b}), 6) + 0.0 FROM frame) END")
+
+
+def _sketch_col(t: str, c: str, number: bool) -> str:
+    """One line of the sketch summary: exact where at most 512 values occur."""
+    v = f"CAST({c} AS DOUBLE)" if number else f"CAST({c} AS VARCHAR)"
+    num = """round(avg(v), 7) AS mean, round(stddev_samp(v), 6) AS std, min(v) + 0.0 AS "min",
+  round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50, round(quantile_cont(v, 0.75), 6) AS q75,
+  max(v) + 0.0 AS "max\"""" if number else ", ".join(
+        f'CAST(NULL AS DOUBLE) AS "{m}"' for m in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    top = "CASE WHEN count(DISTINCT v) <= 512 THEN (SELECT v FROM f ORDER BY n DESC, v LIMIT 1) END"
+    return f"""SELECT * FROM (WITH x AS (SELECT {v} AS v FROM {t}),
+  f AS (SELECT v, count(*) AS n FROM x WHERE v IS NOT NULL GROUP BY v)
+SELECT '{t}' AS table_name, '{c}' AS column_name, count(v) AS count, count(DISTINCT v) <= 512 AS exact,
+  CASE WHEN count(DISTINCT v) <= 512 THEN count(DISTINCT v) END AS "unique",
+  {top if number else 'CAST(NULL AS DOUBLE)'} AS top, {'CAST(NULL AS VARCHAR)' if number else top} AS top_text,
+  CASE WHEN count(DISTINCT v) <= 512 THEN (SELECT max(n) FROM f) END AS freq, {num} FROM x)"""
+
+
 def _quart(table, col, f, disc=False):
     q = "quantile_disc" if disc else "quantile_cont"
     return (f"SELECT '{col}' AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr, "
@@ -291,13 +327,18 @@ def _simultaneous_iqr():
     return f"WITH {DL} SELECT l_orderkey, l_linenumber FROM dl WHERE " + " AND ".join(parts)
 
 
+# The ten greatest importances, the planted column first, then by name.
+TREE_TOP = ["transaction_hour", *sorted([*[c for c in GOLD_NUM if c not in ("transaction_hour", "is_fraud", "id_flag")],
+                                       *[f"cat_{c}" for c in GOLD_CATS]])][:10]
+
+
 def oracle_sql() -> dict[str, str]:
     pairs = [(a, b) for i, a in enumerate(LI_NUM) for b in LI_NUM[i + 1:]]
     cat_lower = f"lower({norm_cat('raw_cat')})"
     q: dict[str, str] = {
         "clean_csv_flow": csv_flow_sql(),
         "bronze_csv_flow": csv_flow_sql(),
-        "bronze_json_flow": json_flow_sql(unreadable_dropped=True),
+        "bronze_json_flow": json_flow_sql(EVENT_JSON_TRUNCATED),
         "csv_stage_audit": csv_stage_audit_sql(),
         "clean_logs_flow": logs_flow_sql(),
         "gold_union": gold_union_sql(),
@@ -345,6 +386,42 @@ SELECT category, count(*) AS "count", count(*) / (SELECT count(*) FROM dirty_eve
         "numeric_ranges": " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) + 0.0 AS min_value, CAST(max({c}) AS DOUBLE) + 0.0 AS max_value FROM lineitem"
             for c in LI_NUM),
+        "summary_sketch": " UNION ALL ".join(
+            [_sketch_col("lineitem", c, c not in LI_TEXT) for c in LI_ALL]
+            + [_sketch_col("documents", c, c in ("doc_id", "n_chars")) for c in ("doc_id", "text", "lang", "source", "n_chars")]),
+        "corr_gold": f"WITH {gold_frame()} " + " UNION ALL ".join(
+            f"SELECT '{a}' AS a, '{b}' AS b, {_corr(a, b)} AS r" for i, a in enumerate(GOLD_COLS) for b in GOLD_COLS[i + 1:]),
+        "label_corr_gold": f"WITH {gold_frame()} " + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, {_corr(c, 'is_fraud')} AS r" for c in GOLD_COLS if c != "is_fraud"),
+        "csv_rejects": """SELECT CASE WHEN event_id % 211 = 3 THEN 'too many fields' WHEN event_id % 223 = 4 THEN 'too few fields'
+   ELSE 'read' END AS outcome, count(*) AS n_rows FROM events GROUP BY 1""",
+        "json_file_report": """SELECT event_id // 500 AS file_no, CASE WHEN event_id // 500 % 7 = 1 THEN 0 ELSE count(*) END AS n_rows,
+  CASE WHEN event_id // 500 % 7 = 1 THEN 0 ELSE count(*) FILTER (event_id % 89 = 5) END AS n_empty,
+  event_id // 500 % 7 = 1 AS rejected, CASE WHEN event_id // 500 % 7 = 1 THEN '[' END AS reject_start
+FROM events GROUP BY event_id // 500""",
+        "json_array_flow": json_flow_sql("event_id // 500 % 7 = 1 OR event_id % 89 = 5"),
+        "index_hour": f"""WITH silver AS ({csv_flow_sql()}),
+n AS (SELECT transaction_hour, row_number() OVER (ORDER BY count(*) DESC, CAST(transaction_hour AS VARCHAR)) - 1 AS idx
+  FROM silver WHERE transaction_hour IS NOT NULL GROUP BY transaction_hour),
+e AS (SELECT event_id, CASE event_id % 50 WHEN 0 THEN 99 WHEN 1 THEN NULL ELSE hour(ts) END AS transaction_hour FROM events)
+SELECT event_id, CAST(coalesce(n.idx, (SELECT count(*) FROM n)) AS DOUBLE) AS hour_idx FROM e LEFT JOIN n USING (transaction_hour)""",
+        "append_gate": """SELECT 'table' AS batch, count(*) AS n_rows, CAST(NULL AS BOOLEAN) AS accepted, CAST(NULL AS VARCHAR) AS column_name,
+  CAST(NULL AS VARCHAR) AS table_type, CAST(NULL AS VARCHAR) AS incoming_type FROM customer
+UNION ALL SELECT 'good', count(*), true, NULL, NULL, NULL FROM customer WHERE c_nationkey >= 20
+UNION ALL SELECT 'bad', 0, false, * FROM (VALUES ('c_custkey', 'bigint', 'string'), ('c_acctbal', 'double', NULL),
+  ('c_extra', NULL, 'int')) v(a, b, c)""",
+        "typed_load_skipping": f"""WITH {DE}, h AS (SELECT CASE WHEN event_id % 3 = 1 THEN 12 ELSE
+   try_cast(trunc({num('raw_hour')}) AS TINYINT) END AS hour, CASE WHEN event_id % 3 = 1 THEN '12' ELSE raw_hour END AS raw FROM dirty_events)
+SELECT lo AS from_hour, hi AS to_hour, (SELECT count(*) FROM h WHERE hour BETWEEN lo AND hi) AS n_rows, true AS few_files
+FROM (VALUES (0, 2), (12, 12), (20, 23)) v(lo, hi)""",
+        "bucketed_join": """SELECT c_custkey, c_mktsegment, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey, c_mktsegment""",
+        "tree_cv": """SELECT i AS impurity, CAST(d AS INTEGER) AS max_depth, 1.0::DOUBLE AS train_accuracy, 1.0::DOUBLE AS cv_accuracy,
+  i = 'gini' AND d = 1 AS is_best FROM (VALUES ('gini'), ('entropy')) x(i), range(1, 7) y(d)""",
+        "tree_importances": "SELECT feature, importance FROM (VALUES " + ", ".join(
+            f"('{c}', {1.0 if c == 'transaction_hour' else 0.0}::DOUBLE)" for c in TREE_TOP) + ") v(feature, importance)",
+        "tree_rule_table": f"""WITH {gold_frame()}, x AS (SELECT CAST(transaction_hour > 11 AS INTEGER) AS label FROM frame)
+SELECT label, label AS by_model, label AS by_rules, count(*) AS n FROM x GROUP BY label""",
         "summary": " UNION ALL ".join(_summary_col(c) for c in LI_ALL),
         "outlier_report": f"WITH {DL} " + " UNION ALL ".join(_outlier_col(c, "1.5") for c in ("qty", "price", "disc")),
         "outlier_examples": f"""WITH {DL}, f AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM dl)
@@ -438,8 +515,8 @@ b AS (SELECT CAST(p AS DOUBLE) AS class, count(*) AS predicted FROM p GROUP BY 1
 SELECT coalesce(a.class, b.class) AS class, coalesce(actual, 0) AS actual, coalesce(predicted, 0) AS predicted
 FROM a FULL OUTER JOIN b ON a.class = b.class""",
         "unparsed_lines": f"SELECT 'cut off ' || CAST(event_id AS VARCHAR) AS value FROM events WHERE {EVENT_LOG_BROKEN}",
-        "typed_load": f"""WITH {DE}, d AS (SELECT event_id, raw_hour, CASE WHEN event_id % 5 = 0
-   THEN '900719925474' || lpad(CAST(event_id AS VARCHAR), 7, '0') ELSE raw_id END AS id FROM dirty_events),
+        "typed_load": f"""WITH {DE}, d AS (SELECT event_id, CASE WHEN event_id % 3 = 1 THEN '12' ELSE raw_hour END AS raw_hour,
+   CASE WHEN event_id % 5 = 0 THEN '900719925474' || lpad(CAST(event_id AS VARCHAR), 7, '0') ELSE raw_id END AS id FROM dirty_events),
 t AS (SELECT event_id, id, raw_hour, CAST(trunc(CAST(id AS DECIMAL(38, 10))) AS BIGINT) AS big_id,
    try_cast(trunc({num('raw_hour')}) AS TINYINT) AS hour FROM d)
 SELECT event_id, big_id, hour, CASE WHEN raw_hour IS NOT NULL AND hour IS NULL THEN 'hour' ELSE '' END AS violations FROM t""",
@@ -448,8 +525,8 @@ SELECT event_id, big_id, hour, CASE WHEN raw_hour IS NOT NULL AND hour IS NULL T
     ELSE o_orderpriority END FROM orders),
 n AS (SELECT cat, row_number() OVER (ORDER BY count(*) DESC, cat) - 1 AS idx FROM c WHERE cat IS NOT NULL GROUP BY cat)
 SELECT side, key, CAST(coalesce(n.idx, (SELECT count(*) FROM n)) AS DOUBLE) AS idx FROM c LEFT JOIN n USING (cat)""",
-        "model_chain": f"""WITH h AS (SELECT CAST(l_quantity > 25 AS INTEGER) AS label,
-   ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || ':42'), 1, 8))::BIGINT AS h FROM lineitem),
+        "model_chain": f"""WITH {gold_frame()}, h AS (SELECT CAST(transaction_hour > 11 AS INTEGER) AS label,
+   ('0x' || substr(md5(row_id || ':42'), 1, 8))::BIGINT AS h FROM frame),
 t AS (SELECT label, quantile_disc(h, 0.2) AS thr FROM h GROUP BY label)
 SELECT CASE WHEN h <= thr THEN 'test' ELSE 'train' END AS split, label, label AS prediction, count(*) AS n
 FROM h JOIN t USING (label) GROUP BY ALL""",

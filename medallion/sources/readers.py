@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.session import materialized
 from medallion.sources.schemas import CSV_SCHEMA, JSON_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -66,6 +67,24 @@ def corrupt_report(df: DataFrame, corrupt_col: str = CORRUPT,
             .orderBy("source_file"))
 
 
+def read_json_files(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = JSON_SCHEMA
+                    ) -> tuple[DataFrame, DataFrame]:
+    """SRC-2/SRC-3 for files that each hold one JSON document or array: (rows, report by file).
+
+    A file is parsed as a whole, in one task; one that is no valid JSON gives no rows
+    and is set aside with its text.  The parse is written once (typed rows and
+    rejects), so neither result reads the files again.  ``rows`` keep
+    ``source_file``; the report has one line for each file: (source_file, rows,
+    rejected, reject_text), the text null for good files.
+    """
+    parsed = materialized(read_json(spark, path, schema, multi_line=True), "json-files")
+    bad = F.col(CORRUPT).isNotNull()
+    report = parsed.groupBy("source_file").agg(
+        F.count_if(~bad).alias("rows"), F.max(bad).alias("rejected"),
+        F.max(F.when(bad, F.col(CORRUPT))).alias("reject_text"))
+    return parsed.where(~bad).drop(CORRUPT), report
+
+
 def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Parquet scan of one or more paths."""
     return spark.read.parquet(*([path] if isinstance(path, str) else list(path)))

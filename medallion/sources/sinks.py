@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.cleaning import conform, split_conformed
+from medallion.sources.readers import read_table
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
@@ -44,7 +45,7 @@ def load_typed(df: DataFrame, path: str, schema: T.StructType, order_by: Sequenc
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in order_by]
     if tiebreak:
-        keys.append(F.xxhash64(*[F.col(c) for c in good.columns]))
+        keys.append(F.xxhash64(*[x for c in good.columns for x in (F.col(c).isNull(), F.col(c))]))
     (good.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
      .write.mode(mode).parquet(path))
     if quarantine_path:
@@ -52,6 +53,32 @@ def load_typed(df: DataFrame, path: str, schema: T.StructType, order_by: Sequenc
     return bad
 
 
+def files_holding(df: DataFrame, cond) -> DataFrame:
+    """(n_files, n_rows): distinct files of a file scan with a row under ``cond``, and the rows.
+
+    Over a table written by :func:`load_typed` a range of the order key lies in few
+    files; the footers of the others let the scan skip them.
+    """
+    return df.where(cond).agg(F.count_distinct("_metadata.file_path").alias("n_files"), F.count("*").alias("n_rows"))
+
+
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None,
+                  sort_by: Sequence[str] | None = None, mode: str = "overwrite") -> DataFrame:
+    """SNK-5 / SRC-9: a catalog table dealt into buckets by ``keys`` and sorted in each; returns the table.
+
+    Tables with the same buckets join and aggregate on these keys without an exchange.
+    With ``path`` the table is external: its files are written there.  Each task
+    first gets whole buckets (one exchange, when written), so a bucket is one file;
+    more buckets than tasks and a bucket count that grows with the data keep files bounded.
+    """
+    w = (df.repartition(buckets, *keys).write.mode(mode).format("parquet").bucketBy(buckets, *keys)
+         .sortBy(*(sort_by or keys)))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+    return read_table(df.sparkSession, name)
+
+
 @dataclass(frozen=True)
 class Layers:
     """SNK-6: bronze / silver / gold folders under one base path."""

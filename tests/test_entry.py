@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from medallion.plans import bindings
 
-ROWS_ONLY = {"tree_cv", "tree_importances"}
+ROWS_ONLY = set()
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
