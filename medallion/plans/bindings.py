@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from medallion.functions import coerce as fx
 from medallion.operators import (cleaning, encode, impute, keys, model, outliers, profile,
-                                 rules, snapshots, text, unify)
+                                 rules, snapshots, text, unify, velocity)
 from medallion.plans import flows
 from medallion.plans.dirt import (EVENT_CSV, EVENT_DIRT, EVENT_JSON, EVENT_JSON_NULL_CARDHOLDER,
                                   EVENT_JSON_TRUNCATED, EVENT_LOG_BROKEN, EVENT_LOG_LINE, SUPERVISOR_NOTE, with_dirt)
@@ -633,6 +633,14 @@ def resequence(spark, sf_dir):
     return keys.resequence(o, ["o_orderdate", "o_orderkey"], "seq").select("o_orderkey", "seq")
 
 
+@query
+def velocity_last_24h(spark, sf_dir):
+    """X-2: events and their value of each user within the 24 hours up to each event."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.round("value", 2).alias("value"))
+    v = velocity.velocity(e, "user_id", "ts", "value", 24)
+    return v.select("event_id", "velocity", F.col("amount_in_range").cast("double").alias("amount_in_range"))
+
+
 # ------------------------------------------------------------------- unify
 ORDER_GOLD = T.StructType([T.StructField("order_id", T.StringType()),
                            T.StructField("amount", T.DoubleType()),

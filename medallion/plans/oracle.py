@@ -472,6 +472,9 @@ SELECT transaction_id, CASE WHEN substr(transaction_id, 1, 14) IN (SELECT prefix
         "dedupe_by_key": """SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM (SELECT *, row_number() OVER
   (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
         "resequence": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS seq FROM orders",
+        "velocity_last_24h": """SELECT event_id, count(*) OVER w AS velocity,
+  CAST(sum(CAST(round(value, 2) AS DECIMAL(18, 6))) OVER w AS DOUBLE) AS amount_in_range FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW)""",
         "unify_sources": UNIFY,
         "unify_latest": UNIFY_LATEST,
         "unify_latest_columns": f"""SELECT order_id, arg_max(amount, priority) AS amount,

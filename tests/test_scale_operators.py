@@ -273,3 +273,24 @@ def test_append_gate(spark):
     assert sorted(map(tuple, report.collect()), key=str) == sorted([
         ("ok", True, None, None, None), ("bad", False, "id", "bigint", "string"), ("bad", False, "s", "string", None),
         ("bad", False, "extra", None, "int")], key=str)
+
+
+# ---- rolling activity ----
+
+def test_velocity_against_plain_windows_with_a_hot_key(spark):
+    from datetime import datetime, timedelta
+
+    from medallion.operators.velocity import velocity
+    rng = random.Random(6)
+    start = datetime(2024, 1, 1)
+    rows = [(i, rng.choice(["hot", "hot", "a", "b", None]), start + timedelta(minutes=rng.randrange(0, 5000, 30)),
+             rng.choice([None, 1.25, -2.5, 10.0])) for i in range(900)] + [(900, "a", None, 1.0)]
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp, x double")
+    got = {r.id: r for r in velocity(df, "k", "ts", "x", 24).collect()}
+    assert len(got) == len(rows) and got[900].velocity is None
+    for i, k, ts, _ in rows[:900]:
+        own = [r for r in rows[:900] if r[1] == k and ts - timedelta(hours=24) <= r[2] <= ts]
+        assert got[i].velocity == len(own) and float(got[i].amount_in_range) == sum(r[3] or 0 for r in own)
+    assert velocity(df.limit(0), "k", "ts").count() == 0
+    text = plan(velocity(df, "k", "ts", "x", 24))
+    assert "SinglePartition" not in text and re.search(r"Window .*\[k#\d+, b#\d+L\]", text)
