@@ -207,6 +207,33 @@ def clean_logs_flow(spark, sf_dir):
                       "velocity_last_24h", "cardholder_age", "is_fraud", "ip_risk_score", "id_flag")
 
 
+def _audited(spark, audit: profile.StageAudit, flow: DataFrame) -> DataFrame:
+    flow.write.format("noop").mode("overwrite").save()
+    rows = [(i, name, int(n), int(removed)) for i, (name, n, removed) in enumerate(audit.report())]
+    return spark.createDataFrame(rows, "stage_no int, stage string, rows long, removed long")
+
+
+@query
+def logs_stage_audit(spark, sf_dir):
+    """PRF-10 / STR-8: lines read, parsed and left by the log flow; the lines it could not parse are counted, not lost."""
+    audit = profile.StageAudit()
+    note = spark.createDataFrame([(SUPERVISOR_NOTE,)], "value string")
+    return _audited(spark, audit, flows.clean_logs(event_log_lines(spark, sf_dir), note, audit=audit))
+
+
+@query
+def json_stage_audit(spark, sf_dir):
+    """PRF-10 / SRC-3 / SRC-6: rows that each stage of the JSON flow leaves, with the unreadable lines and the empty rows."""
+    audit = profile.StageAudit()
+    docs = event_json_docs(spark, sf_dir, keep_id=True)
+    line = F.to_json(F.struct(*[c for c in docs.columns if c != "event_id"]))
+    line = (F.when(F.expr(EVENT_JSON_TRUNCATED), F.substring(line, 1, 20)).when(F.col("event_id") % 89 == 5, "{}").otherwise(line))
+    path = scratch_path(spark, f"bronze-json-{uuid.uuid4().hex}")
+    docs.select(line.alias("value")).write.text(path)
+    scan = materialized(readers.read_json(spark, path, multi_line=False), "json-scan")
+    return _audited(spark, audit, flows.clean_json(scan, audit=audit))
+
+
 @query
 def gold_union(spark, sf_dir):
     """UNI-1 over the three silver flows (CSV, JSON, logs)."""

@@ -73,27 +73,40 @@ def clean_csv(raw: DataFrame, median_method: str = "cont", iqr_sequential: bool
 
 
 def clean_json(raw: DataFrame, amount_policy: str = "mean", required: Sequence[str] = JSON_REQUIRED,
-               fraud_prefix: str = FRAUD_PREFIX) -> DataFrame:
-    """JSON bronze -> silver (20 flat typed columns incl. ``id_flag``)."""
-    df = raw.drop(*[c for c in ("_corrupt_record", "source_file") if c in raw.columns])
-    df = cleaning.drop_empty_rows(df)
+               fraud_prefix: str = FRAUD_PREFIX, audit: StageAudit | None = None) -> DataFrame:
+    """JSON bronze -> silver (20 flat typed columns incl. ``id_flag``); ``audit`` counts the rows that each stage leaves.
+
+    Rows that a scan set aside (``_corrupt_record``) are counted as the difference of ``scanned`` and ``readable``.
+    """
+    mark = audit.mark if audit is not None else (lambda d, _name: d)
+    df = mark(raw, "scanned")
+    if "_corrupt_record" in raw.columns:
+        df = df.where(F.col("_corrupt_record").isNull())
+    df = mark(df.drop(*[c for c in ("_corrupt_record", "source_file") if c in raw.columns]), "readable")
+    df = mark(cleaning.drop_empty_rows(df), "not_empty")
     spec = {k: v for k, v in JSON_FLATTEN.items() if k != "schema_version"}
     df = cleaning.flatten(df, spec)
-    df = df.where(F.col("transaction_id").isNotNull())
+    df = mark(df.where(F.col("transaction_id").isNotNull()), "with_id")
     df = impute.handle_amount(df, "amount", amount_policy)
     # parsed once; of rows that tie in time and amount the one with the smallest row hash survives
     df = keys.dedupe(materialized(df, "json-parsed"), ["transaction_id"], order=["timestamp", "amount"])
-    df = cleaning.drop_nulls(df, list(required))
-    df = cleaning.keep_between(df, JSON_RANGES)
+    df = mark(cleaning.drop_nulls(mark(df, "dedupe"), list(required)), "complete")
+    df = mark(cleaning.keep_between(df, JSON_RANGES), "in_range")
     df = rules.relabel_by_prefix(df, "transaction_id", [fraud_prefix], "is_fraud", True)
     return rules.prefix_flag(df, "transaction_id", fraud_prefix, "id_flag")
 
 
 def clean_logs(lines: DataFrame, rule_note: DataFrame | None = None,
-               fraud_prefix: str = FRAUD_PREFIX) -> DataFrame:
-    """Log lines -> parsed, scored, relabelled, flagged, deduplicated rows."""
-    df = text.parse_logs(lines)
+               fraud_prefix: str = FRAUD_PREFIX, audit: StageAudit | None = None) -> DataFrame:
+    """Log lines -> parsed, scored, relabelled, flagged, deduplicated rows.
+
+    With ``audit`` the lines that could not be parsed and the duplicates are counted by the jobs
+    that the flow runs anyway; the unparsed lines themselves come from ``text.split_unparsed``.
+    """
+    mark = audit.mark if audit is not None else (lambda d, _name: d)
+    df = text.parse_logs(mark(lines, "read"))
     df, _ = text.split_unparsed(df)
+    df = mark(df, "parsed")
     df = rules.risk_score(df, "ip_risk_score")
     if rule_note is None:
         df = rules.prefix_flag(df, "transaction_id", fraud_prefix, "id_flag")
@@ -101,7 +114,7 @@ def clean_logs(lines: DataFrame, rule_note: DataFrame | None = None,
         df = rules.prefix_hit(df, "transaction_id", rules.rules_from_text(rule_note), "id_flag")
         df = df.withColumn("id_flag", F.col("id_flag").cast("int"))
     df = df.withColumn("is_fraud", F.when(F.col("id_flag") == 1, F.lit(True)).otherwise(F.col("is_fraud")))
-    return keys.dedupe(materialized(df, "logs-parsed"))
+    return mark(keys.dedupe(materialized(df, "logs-parsed")), "dedupe")
 
 
 def to_gold(df: DataFrame, source: str) -> DataFrame:

@@ -146,6 +146,21 @@ FROM g WHERE amount IS NOT NULL AND transaction_hour IS NOT NULL AND merchant_ca
   AND device_trust_score BETWEEN 0 AND 100 AND velocity_last_24h BETWEEN 0 AND 10"""
 
 
+def json_stage_audit_sql() -> str:
+    body = json_flow_sql(f"({EVENT_JSON_TRUNCATED}) OR event_id % 89 = 5")
+    head, where = body.rsplit("FROM g WHERE", 1)
+    complete, _ = where.split("  AND transaction_hour BETWEEN")
+    ctes = head[:head.rindex("SELECT * REPLACE")].rstrip()
+    return f"""{ctes},
+n AS (SELECT (SELECT count(*) FROM events) AS a, (SELECT count(*) FROM events WHERE NOT ({EVENT_JSON_TRUNCATED})) AS b,
+  (SELECT count(*) FROM j) AS c, (SELECT count(*) FROM f) AS d, (SELECT count(*) FROM g WHERE {complete}) AS e,
+  (SELECT count(*) FROM ({body})) AS f)
+SELECT stage_no::INT AS stage_no, stage, rows, removed FROM (
+  SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS stage_no,
+    unnest(['scanned', 'readable', 'not_empty', 'with_id', 'dedupe', 'complete', 'in_range']) AS stage,
+    unnest([a, b, c, d, d, e, f]) AS rows, unnest([0, a - b, b - c, c - d, 0, d - e, e - f]) AS removed FROM n)"""
+
+
 def csv_stage_audit_sql() -> str:
     body = csv_flow_sql()
     head, final = body.rsplit("\nSELECT transaction_id", 1)
@@ -399,6 +414,10 @@ SELECT category, count(*) AS "count", count(*) / (SELECT count(*) FROM dirty_eve
   CASE WHEN event_id // 500 % 7 = 1 THEN 0 ELSE count(*) FILTER (event_id % 89 = 5) END AS n_empty,
   event_id // 500 % 7 = 1 AS rejected, CASE WHEN event_id // 500 % 7 = 1 THEN '[' END AS reject_start
 FROM events GROUP BY event_id // 500""",
+        "logs_stage_audit": f"""WITH n AS (SELECT count(*) AS lines, count(*) FILTER (NOT ({EVENT_LOG_BROKEN})) AS parsed FROM events)
+SELECT 0::INT AS stage_no, 'read' AS stage, lines AS rows, 0::BIGINT AS removed FROM n
+UNION ALL SELECT 1, 'parsed', parsed, lines - parsed FROM n UNION ALL SELECT 2, 'dedupe', parsed, 0 FROM n""",
+        "json_stage_audit": json_stage_audit_sql(),
         "json_array_flow": json_flow_sql("event_id // 500 % 7 = 1 OR event_id % 89 = 5"),
         "index_hour": f"""WITH silver AS ({csv_flow_sql()}),
 n AS (SELECT transaction_hour, row_number() OVER (ORDER BY count(*) DESC, CAST(transaction_hour AS VARCHAR)) - 1 AS idx
