@@ -952,13 +952,20 @@ def model_chain(spark, sf_dir):
         F.count("*").alias("n"))
 
 
+def _planted_lineitem(spark, sf_dir):
+    """Rows whose label is a threshold on one column, read straight from a table."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"), *LI_NUM,
+                     (F.col("l_quantity") > 25).cast("int").alias("label"))
+
+
 @query
 def tree_rule_table(spark, sf_dir):
     """MOD-10: a fitted tree as a node table and as one SQL expression; its predictions beside those of the model, counted."""
-    frame = _planted(spark, sf_dir)
-    cvm, _ = model.fit_tree(frame, TREE_FEATURES, "label", "row_id", impurities=["gini"], depths=[3], folds=2)
-    nodes = model.tree_table(spark, cvm, TREE_FEATURES).collect()  # as many rows as the tree has nodes
-    scored = model.predict(cvm, frame, TREE_FEATURES).withColumn("by_rules", F.expr(model.tree_expression(nodes)))
+    frame = _planted_lineitem(spark, sf_dir)
+    cvm, _ = model.fit_tree(frame, LI_NUM, "label", "row_id", impurities=["gini"], depths=[3], folds=2)
+    nodes = model.tree_table(spark, cvm, LI_NUM).collect()  # as many rows as the tree has nodes
+    scored = model.predict(cvm, frame, LI_NUM).withColumn("by_rules", F.expr(model.tree_expression(nodes)))
     return scored.groupBy("label", F.col("prediction").cast("int").alias("by_model"),
                           F.col("by_rules").cast("int").alias("by_rules")).agg(F.count("*").alias("n"))
 
@@ -966,7 +973,7 @@ def tree_rule_table(spark, sf_dir):
 @query
 def tree_leaves(spark, sf_dir):
     """MOD-10: leaves of the tree fitted to the planted label, by predicted class, read from its rules."""
-    cvm, _ = model.fit_tree(_planted(spark, sf_dir), TREE_FEATURES, "label", "row_id", impurities=["gini"], depths=[1], folds=2)
+    cvm, _ = model.fit_tree(_planted_lineitem(spark, sf_dir), LI_NUM, "label", "row_id", impurities=["gini"], depths=[1], folds=2)
     rules_ = model.tree_rules(spark, cvm)
     leaf = F.regexp_extract("rule", r"Predict: ([0-9.]+)", 1)
     return (rules_.where(leaf != "").groupBy(leaf.cast("double").cast("int").alias("prediction"))

@@ -439,7 +439,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey, c_mktsegm
   i = 'gini' AND d = 1 AS is_best FROM (VALUES ('gini'), ('entropy')) x(i), range(1, 7) y(d)""",
         "tree_importances": "SELECT feature, importance FROM (VALUES " + ", ".join(
             f"('{c}', {1.0 if c == 'transaction_hour' else 0.0}::DOUBLE)" for c in TREE_TOP) + ") v(feature, importance)",
-        "tree_rule_table": f"""WITH {gold_frame()}, x AS (SELECT CAST(transaction_hour > 11 AS INTEGER) AS label FROM frame)
+        "tree_rule_table": """WITH x AS (SELECT CAST(l_quantity > 25 AS INTEGER) AS label FROM lineitem)
 SELECT label, label AS by_model, label AS by_rules, count(*) AS n FROM x GROUP BY label""",
         "summary": " UNION ALL ".join(_summary_col(c) for c in LI_ALL),
         "outlier_report": f"WITH {DL} " + " UNION ALL ".join(_outlier_col(c, "1.5") for c in ("qty", "price", "disc")),
