@@ -64,9 +64,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder for intermediate tables under the shared checkpoint dir."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    """A folder for intermediate tables under the shared checkpoint dir; :func:`clear_scratch` deletes it."""
+    path = os.path.join(ensure_checkpoint_dir(spark), name)
+    note_scratch(spark, path)
+    return path
+
+
+def note_scratch(spark: SparkSession, path: str) -> None:
+    """Remember a scratch folder of this application."""
+    sc = spark.sparkContext
+    sc._medallion_scratch = [*getattr(sc, "_medallion_scratch", []), path]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this application has written; gives their number.
+
+    Results are lazy and may read them: call this when the results have been written or collected.
+    """
+    sc = spark.sparkContext
+    paths, sc._medallion_scratch = getattr(sc, "_medallion_scratch", []), []
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:

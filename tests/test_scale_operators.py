@@ -294,3 +294,16 @@ def test_velocity_against_plain_windows_with_a_hot_key(spark):
     assert velocity(df.limit(0), "k", "ts").count() == 0
     text = plan(velocity(df, "k", "ts", "x", 24))
     assert "SinglePartition" not in text and re.search(r"Window .*\[k#\d+, b#\d+L\]", text)
+
+
+def test_scratch_is_cleared(spark):
+    import os
+
+    from medallion.session import clear_scratch, ensure_checkpoint_dir, materialized
+    kept = materialized(spark.range(5), "to-clear")
+    path = spark.sparkContext._medallion_scratch[-1]
+    assert kept.count() == 5 and os.path.isdir(path) and path.startswith(ensure_checkpoint_dir(spark))
+    # only this test's folder: other tests may still read theirs
+    others, spark.sparkContext._medallion_scratch = spark.sparkContext._medallion_scratch[:-1], [path]
+    assert clear_scratch(spark) == 1 and not os.path.exists(path)
+    spark.sparkContext._medallion_scratch = others
