@@ -49,7 +49,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, binary_slices, map_arrow
+from .common import Remembered, binary_slices, give_back, map_arrow
 
 #: The pattern that :func:`split_words` follows (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -61,10 +61,10 @@ SHORT = 1024
 GROUP_BYTES = 2 << 20
 CHUNK_BYTES = 240_000
 PIECES_CHUNK = 100_000
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 16 << 20
 SAMPLED = 4096
 FREQUENT = 1 << 17
-DUCKDB_MEMORY = "160MB"
+DUCKDB_MEMORY = "112MB"
 
 #: Unicode white space (fixed value).
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -476,7 +476,7 @@ def _mapped(docs: DataFrame, vocab_path: str, columns: list, text_col: str, fiel
                 for at, texts in groups(b.column(k)):
                     kept = [b.column(i).slice(at, len(texts)) for i in range(k)]
                     yield pa.RecordBatch.from_arrays([*kept, *make(codec, texts)], names=names)
-                    pa.default_memory_pool().release_unused()
+                    give_back()
         finally:
             codec.close()
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.session import ensure_checkpoint_dir, ship_package
+from medallion.session import ensure_checkpoint_dir, note_scratch, ship_package
 
 #: ASCII white space that separates words: space and U+0009..U+000D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -32,6 +32,7 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/llm-{name}-{uuid.uuid4().hex}"
+    note_scratch(spark, path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path

@@ -1,12 +1,30 @@
 """Connected components of a link table, wholly distributed."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_scratch, scratch
 
 
+#: Parts into which the rows of a component are dealt.
+SALTS = 32
+
+
+def with_best(named: DataFrame, key: str, preferred: Column) -> DataFrame:
+    """``named`` (rows with ``root``, null without links) and ``best``: the least ``preferred`` of the row's component.
+
+    One component may hold a large share of the rows: its least value is found by map-side minima, and
+    goes back to its rows in ``SALTS`` parts; rows without links take no part in the join.
+    """
+    linked = named.where("root is not null")
+    best = (linked.groupBy("root").agg(F.min(preferred).alias("best"))
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    dealt = linked.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+    return (named.where("root is null").withColumn("best", preferred)
+            .unionByName(dealt.join(best, ["root", "salt"]).drop("salt")))
+
+
 def _smallest(e: DataFrame) -> DataFrame:
     """(u, m): smallest neighbour of each node, itself included."""
     return e.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, map_pandas
+from .common import in_share, map_arrow, map_pandas, scratch, small_side
 
 UNDECIDED = "und"
 WINDOW = 128
@@ -159,8 +159,9 @@ def sample_windows(docs: DataFrame, learn: Column, text_col: str = "text", lang_
     size = rows.groupBy(F.col(lang_col).alias("_l")).agg(F.count("*").alias("_n"))
     share = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit("langid")).alias("h"),
                         F.col(text_col).alias("t"))
-    share = (share.join(F.broadcast(size), F.col("lang") == F.col("_l"))  # one row per language
-             .where(F.pmod("h", F.lit(1 << 30)) * F.col("_n") < F.lit((1 << 30) * per_lang * 2))
+    # small_side: one row for each language, broadcast if these are few
+    share = (share.join(small_side(scratch(size, "langid-sizes")), F.col("lang") == F.col("_l"))
+             .where(in_share(F.col("h"), F.col("_n"), 2 * per_lang))
              .where(F.col("t").rlike(r"\p{L}")).select("lang", "h", F.col("t").cast("binary").alias("t")))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,11 +219,12 @@ def predict_column(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarr
     return best, score
 
 
-def _predictor(model: Model | None, keep: list[str]):
+def _predictor(model: Model | None, keep: list[str], at: int):
+    """Adds lang_pred and score to the columns ``keep``; column ``at`` holds the text, the last one whether it has a letter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = [b.column(i) for i in range(len(keep))]
-            text, letter = b.column(len(keep)), b.column(len(keep) + 1)
+            text, letter = b.column(at), b.column(b.num_columns - 1)
             has = np.array(letter.fill_null(False).to_pylist(), dtype=bool)
             if model is None:
                 best, score, has = np.zeros(len(has), int), np.zeros(len(has)), np.zeros(len(has), bool)
@@ -240,7 +242,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     t = F.col(f"`{text_col}`")
     src = docs.select(F.col(f"`{id_col}`").alias("id"), t.cast("binary").alias("t"), t.rlike(r"\p{L}").alias("letter"))
     kind = src.schema["id"].dataType.simpleString()
-    return map_arrow(src, _predictor(model, ["id"]), f"id {kind}, lang_pred string, score double")
+    return map_arrow(src, _predictor(model, ["id"], 1), f"id {kind}, lang_pred string, score double")
 
 
 def identified(docs: DataFrame, model: Model | None, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -252,10 +254,9 @@ def identified(docs: DataFrame, model: Model | None, min_score: float = 0.5, tex
     names = docs.columns
     t = F.col(f"`{text_col}`")
     inner = [f"c{i}" for i in range(len(names))]
-    src = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)],
-                      t.cast("binary").alias("t"), t.rlike(r"\p{L}").alias("letter"))
+    src = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)], t.rlike(r"\p{L}").alias("letter"))
     schema = ", ".join(f"{i} {docs.schema[k].dataType.simpleString()}" for k, i in enumerate(inner))
-    out = map_arrow(src, _predictor(model, inner), f"{schema}, lang_pred string, score double")
+    out = map_arrow(src, _predictor(model, inner, names.index(text_col)), f"{schema}, lang_pred string, score double")
     out = out.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= min_score))
     return out.select(*[F.col(i).alias(c) for c, i in zip(names, inner)])
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_scratch, map_arrow, map_pandas, scratch, small_side
-from .components import components
+from .components import components, with_best
 
 SHINGLE = 3
 RADIUS = 2
@@ -268,10 +268,10 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius:
     rows = scratch(fingerprints(docs, id_col, text_col, shingle), "simhash")
     classes = rows.groupBy("fp").agg(F.min(_rank()).alias("first"))
     roots = components(fingerprint_links(rows.select("fp").distinct(), radius))
-    named = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-             .withColumn("root", F.coalesce("root", "fp")))
-    best = named.groupBy("root").agg(F.min("first").alias("best"))
-    return rows, scratch(named.join(best, "root").select("fp", "best"), "classes")
+    named = scratch(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left"), "named")
+    out = scratch(with_best(named, "fp", F.col("first")).select("fp", "best"), "classes")
+    drop_scratch(named)
+    return rows, out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
