@@ -11,6 +11,12 @@ return the columns of ``documents``.
 * mixing: the rows are taken as often as the mix takes them, so that the sources
   meet their target weights (rows of over-full sources go, of scarce ones repeat);
 * tokens: every text is encoded; (doc_id, source, n_tokens, ids, decoded_sha256).
+
+Defined cases: an empty table gives an empty result with the columns of the last stage; null ids,
+languages and sources stay as they are; of rows that repeat an id and text one stays
+(near_duplicates), and of ties the smallest id; further columns, whatever their names, pass through
+all stages but the last; texts are treated whole.  Where no row has a language, the language stage
+keeps nothing.
 """
 from __future__ import annotations
 
@@ -21,13 +27,16 @@ from pyspark.sql import functions as F
 from medallion.llm import bpe, langid, mixing, pii, simhash
 from medallion.llm.common import scratch
 
-#: Least score of a text's best language; texts of a few letters have little to go by and stay.
-MIN_LANG_SCORE = 0.3
+#: Part of the way from chance (one in the number of languages) to certainty that the best language must reach;
+#: texts of a few letters have little to go by and stay.
+MARGIN = 0.1
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.identified(docs, langid.fit(docs, F.lit(True)), MIN_LANG_SCORE)
+    model = langid.fit(docs, F.lit(True))
+    chance = 1 / len(model.langs) if model else 1.0
+    return langid.identified(docs, model, chance + MARGIN * (1 - chance) - 1e-9)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
