@@ -1,15 +1,22 @@
 r"""Format-preserving pseudonyms for personal data by keyed Feistel networks (native).
 
 A match is turned into symbols with a base each (decimal digit 10, letter 26,
-hexadecimal digit 16, IP octet 256, a day in the 400-year calendar cycle as two
-symbols 189 x 773 = 146,097).  Eight Feistel rounds add a keyed hash of one half
+hexadecimal digit 16, IP octet 256, a day of the calendar as the two digits of its
+number among like days of 400 years).  Eight Feistel rounds add a keyed hash of one half
 to the other half, symbol by symbol and modulo the base.  Each round can be
 undone, so different values stay different and equal values, however they are
 punctuated, get the same pseudonym in every document.
 
 Only validated values change: cards and IBANs by their check digits (which are
-computed anew), octets up to 255, dates that the calendar has; emails, phone
-numbers, social security numbers and long hexadecimal secrets by their form.
+computed anew), octets up to 255, dates that the calendar has, IPv6 addresses of
+eight groups; emails, phone numbers, social security numbers, long hexadecimal
+secrets and keys with a known prefix (which stays) by their form.
+
+A date keeps whether its day and its month are below ten, so that every notation of it,
+with zeros or without, keeps its length and all of them get the same date; 29 February
+moves among leap years.  An IPv6 address is written out in eight groups, whatever was
+left out.  A national phone number keeps its leading zero.  A secret of more than ``BLOCK`` digits is
+permuted block by block.
 
 Defined cases
 * null text: null, no matches; empty text: unchanged; a text without a match is
@@ -39,21 +46,25 @@ _PRINTED = "|".join(
 #: Country codes of phone numbers (fixed list of the ITU): one or two digits, all others have three.
 _DIAL = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 #: Forms, in the order in which they are tried at each position (fixed formats).
+_PREFIX = r"AKIA|ASIA|sk-|gh[pousr]_|xox[abprs]-|AIza"
 FORMS = {
+    "key": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|sk-[A-Za-z0-9_-]{20,200}|gh[pousr]_[A-Za-z0-9]{36,251}"
+           r"|xox[abprs]-[A-Za-z0-9-]{10,200}|AIza[0-9A-Za-z_-]{35})(?![A-Za-z0-9])",
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])",
     "iban": rf"(?<![A-Za-z0-9])(?:{_PRINTED}|[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}})(?![A-Za-z0-9])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.\d)",
+    "ipv6": r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:|:)(?:[0-9A-Fa-f]{0,4}:){1,6}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d)",
     "date": r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})"
             r"(?!(?![Tt]\d{2})\w|[/.-]\d)",  # a time may follow after T
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d)",
     "card": r"(?<![\w])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
-             r"|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w])",
+             r"|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<![.-])0\d{1,4}[ .-]\d{3,4}[ .-]\d{3,4}(?![.-]\d))(?![\w])",
 }
 ANY = "|".join(f"(?:{p})" for p in FORMS.values())
 #: Every match holds one of these; cheap to test first.
-MAYBE = r"@|\d[\d .()/-]{3}|[0-9A-Fa-f]{32}|[A-Z]{2}\d{2}(?:[A-Z0-9]{11}|[ -][A-Z0-9]{4})"
+MAYBE = rf"@|{_PREFIX}|:[0-9A-Fa-f]{{0,4}}:|" r"\d[\d .()/-]{3}|[0-9A-Fa-f]{32}|[A-Z]{2}\d{2}(?:[A-Z0-9]{11}|[ -][A-Z0-9]{4})"
 
 
 def _let(value: Column, body) -> Column:
@@ -192,9 +203,6 @@ def _ip(m: Column, key: str) -> Column:
     return F.array_join(feistel(octets, F.array(*[F.lit(256)] * 4), F.lit("ip"), key).cast("array<string>"), ".")
 
 
-CYCLE = 146097  # days of 400 years
-
-
 def _day(m: Column) -> Column:
     """The date of a match, null if the calendar has none; day before month, else month before day."""
     p = F.split(m, r"[/.-]")
@@ -206,24 +214,54 @@ def _day(m: Column) -> Column:
     return F.when(iso, made(0, 1, 2)).otherwise(F.coalesce(made(2, 1, 0), made(2, 0, 1)))
 
 
+# Days of 400 years in four classes: day below ten or not, month below ten or not.  A class has the same days in
+# every year but for 29 February, which is a class of its own: (days a year, the two bases of their numbers).
+_CLASSES = {(True, True): (81, 180, 180), (True, False): (27, 100, 108), (False, True): (192, 240, 320),
+            (False, False): (65, 130, 200)}
+_LATE = {True: [0, 22, 41, 63, 84, 106, 127, 149, 171], False: [0, 22, 43]}  # days from the 10th on before each month
+_LEAP = [y for y in range(0, 400, 4) if y % 100 or y == 0]
+
+
 def _date(m: Column, key: str) -> Column:
-    """The day moved within its own 400 years, counted from 1600; the layout (order, separators, zeros) stays."""
+    """The day moved within its class of the same 400 years; the layout (order, separators, zeros, length) stays."""
     p = F.split(m, r"[/.-]")
     sep = F.regexp_extract(m, r"([/.-])", 1)
-    start = F.datediff(_day(m), F.lit("1600-01-01").cast("date"))
-    cycle = F.floor(start / CYCLE).cast("int")
-    at = F.pmod(start, F.lit(CYCLE))
-    new = feistel(F.array(F.floor(at / 773).cast("int"), (at % 773).cast("int")), F.array(F.lit(189), F.lit(773)),
-                  F.lit("date"), key)
-
-    def shown(v: Column) -> Column:
-        day = F.date_add(F.lit("1600-01-01").cast("date"),
-                         cycle * CYCLE + F.get(v, F.lit(0)) * 773 + F.get(v, F.lit(1)))
-        y, mo, d = (F.date_format(day, f) for f in ("yyyy", "MM", "dd"))
-        day_first = F.get(p, F.lit(1)).cast("int") <= 12
-        return (F.when(F.get(p, F.lit(0)).rlike(r"^\d{4}$"), F.concat(y, sep, mo, sep, d))
-                .when(day_first, F.concat(d, sep, mo, sep, y)).otherwise(F.concat(mo, sep, d, sep, y)))
-    return _let(new, shown)
+
+    def moved(day: Column) -> Column:
+        y, mo, d = F.year(day), F.month(day), F.dayofmonth(day)
+        at, cycle = F.pmod(y - 1600, F.lit(400)), F.floor((y - 1600) / 400).cast("int")
+        small_d, small_m = d < 10, mo < 10
+
+        def by_class(values: dict) -> Column:
+            return (F.when(small_d & small_m, values[True, True]).when(small_d, values[True, False])
+                    .when(small_m, values[False, True]).otherwise(values[False, False]))
+        year_days, base1, base2 = (by_class({k: F.lit(v[i]) for k, v in _CLASSES.items()}) for i in range(3))
+        first = F.when(small_m, 1).otherwise(10)
+        late = F.when(small_m, F.array(*map(F.lit, _LATE[True]))).otherwise(F.array(*map(F.lit, _LATE[False])))
+        number = at * year_days + F.when(small_d, (mo - first) * 9 + d - 1).otherwise(F.get(late, mo - first) + d - 10)
+        new = feistel(F.array(F.floor(number / base2).cast("int"), (number % base2).cast("int")), F.array(base1, base2),
+                      F.lit("date"), key)
+
+        def shown(year: Column, month: Column, day_: Column) -> Column:
+            y_ = F.lpad((1600 + cycle * 400 + year).cast("string"), 4, "0")
+            def part(value: Column, i: int) -> Column:
+                return F.lpad(value.cast("string"), F.length(F.get(p, F.lit(i))), F.lit("0"))
+            return (F.when(F.get(p, F.lit(0)).rlike(r"^\d{4}$"), F.concat(y_, sep, part(month, 1), sep, part(day_, 2)))
+                    .when(F.get(p, F.lit(1)).cast("int") <= 12, F.concat(part(day_, 0), sep, part(month, 1), sep, y_))
+                    .otherwise(F.concat(part(month, 0), sep, part(day_, 1), sep, y_)))
+
+        def ordinary(v: Column) -> Column:
+            n = F.get(v, F.lit(0)) * base2 + F.get(v, F.lit(1))
+            i, year = (n % year_days).cast("int"), F.floor(n / year_days).cast("int")
+            k = F.size(F.filter(late, lambda x: x <= i)) - 1
+            return shown(year, first + F.when(small_d, F.floor(i / 9).cast("int")).otherwise(k),
+                         F.when(small_d, i % 9 + 1).otherwise(10 + i - F.get(late, k)))
+
+        leap = F.array(*map(F.lit, _LEAP))
+        step = F.conv(F.substring(F.sha2(F.concat_ws(",", F.lit(key), F.lit("leap")), 256), 1, 8), 16, 10).cast("long")
+        turned = F.get(leap, ((F.array_position(leap, at) - 1 + step) % len(_LEAP)).cast("int"))
+        return F.when((mo == 2) & (d == 29), shown(turned, mo, d)).otherwise(_let(new, ordinary))
+    return _let(_day(m), moved)
 
 
 def _email(m: Column, key: str) -> Column:
@@ -233,30 +271,66 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """The country code stays; it is read from the bare digits, so that every punctuation gives the same."""
+    """The country code, or the zero of a national number, stays; the code is read from the bare digits, so that every punctuation gives the same."""
     d = _digits(m)
-    code = F.when(F.startswith(m, F.lit("+")), F.regexp_extract(d, f"^({_DIAL})", 1)).otherwise("")
+    code = (F.when(F.startswith(m, F.lit("+")), F.regexp_extract(d, f"^({_DIAL})", 1))
+            .when(F.startswith(m, F.lit("0")), "0").otherwise(""))
     return _let(F.concat(code, _permuted(F.substr(d, F.length(code) + 1), F.lit("phone"), key)),
                 lambda new: _laid_out(m, new))
 
 
+BLOCK = 128  # digits of a secret that are permuted together
+
+
 def _secret(m: Column, key: str) -> Column:
-    new = _permuted(F.lower(m), F.lit("secret"), key, hexed=True)
-    return F.when(m == F.upper(m), F.upper(new)).otherwise(new)
+    low = F.lower(m)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.length(m) - 1) / BLOCK).cast("int")), lambda i: _permuted(
+        F.substr(low, i * BLOCK + 1, F.lit(BLOCK)), F.concat(F.lit("secret"), F.when(i > 0, i.cast("string")).otherwise("")),
+        key, hexed=True))
+    return _let(F.array_join(blocks, ""), lambda new: F.when(m == F.upper(m), F.upper(new)).otherwise(new))
+
+
+def _key(m: Column, key: str) -> Column:
+    """The prefix, which names the service, stays."""
+    prefix = F.regexp_extract(m, f"^({_PREFIX})", 1)
+    return F.concat(prefix, _permuted(F.substr(m, F.length(prefix) + 1), F.lit("key"), key))
+
+
+def _groups(m: Column) -> Column:
+    """The groups of an IPv6 address that are written."""
+    return F.filter(F.split(m, ":"), lambda g: g != "")
+
+
+def ipv6_ok(m: Column) -> Column:
+    n = F.size(_groups(m))
+    gap = F.contains(m, F.lit("::"))
+    one = F.size(F.split(m, "::", -1)) == 2
+    whole = ~m.rlike("^:[^:]|[^:]:$")
+    return whole & m.rlike("[0-9]") & F.when(gap, one & (n >= 2) & (n <= 7)).otherwise(n == 8)
+
+
+def _ipv6(m: Column, key: str) -> Column:
+    def filled(part: Column) -> Column:
+        return F.array_join(F.transform(_groups(part), lambda g: F.lpad(g, 4, "0")), "")
+    left, right = (filled(F.get(F.split(m, "::", -1), F.lit(i))) for i in (0, 1))
+    right = F.coalesce(right, F.lit(""))
+    bare = F.lower(F.concat(F.rpad(left, F.lit(32) - F.length(right), F.lit("0")), right))
+    new = F.regexp_replace(_permuted(bare, F.lit("ipv6"), key, hexed=True), "(.{4})(?=.)", "$1:")
+    return _let(new, lambda n: F.when((m == F.upper(m)) & (m != F.lower(m)), F.upper(n)).otherwise(n))
 
 
 def kind_of(m: Column) -> Column:
     """Kind of a match, null if its value is not valid."""
     def is_(kind: str) -> Column:
         return m.rlike(f"^(?:{FORMS[kind]})$")
-    return (F.when(F.contains(m, F.lit("@")), "email").when(is_("secret"), "secret")
-            .when(is_("iban") & iban_ok(m), "iban").when(is_("ip"), "ip")
+    return (F.when(is_("key"), "key").when(F.contains(m, F.lit("@")), "email").when(is_("secret"), "secret")
+            .when(is_("iban") & iban_ok(m), "iban").when(is_("ip"), "ip").when(is_("ipv6"), F.when(ipv6_ok(m), "ipv6"))
             .when(is_("date") & _day(m).isNotNull(), "date").when(is_("ssn"), "ssn")
             .when(is_("card"), F.when(luhn_ok(m), "card")).when(is_("phone"), "phone"))
 
 
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
-    make = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date, "card": _card, "phone": _phone}
+    make = {"key": _key, "email": _email, "secret": _secret, "ipv6": _ipv6, "iban": _iban, "ip": _ip, "date": _date, "card": _card, "phone": _phone}
     out = F.when(kind == "ssn", _permuted(m, F.lit("ssn"), key))
     for k, f in make.items():
         out = out.when(kind == k, f(m, key))
