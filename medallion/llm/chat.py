@@ -35,7 +35,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, scratch
@@ -95,11 +95,59 @@ def turns(formatted: str) -> Iterator[tuple[str, str]]:
         raise ValueError("text after the last turn")
 
 
+#: Sequence numbers that a turn takes, and pieces in which its text is streamed.
+STEPS = 17
+STREAMED = 8
+STREAM_CHARS = 64
+
+
 def events_of(conversations: DataFrame) -> DataFrame:
-    """Event log of finished conversations (conv_id, turn, role, text): each row starts a message of its own."""
-    return conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("seq"),
-        F.lit(None).cast("long").alias("msg"), F.lit("message").alias("kind"), F.col("role"), F.col("text"))
+    """An event log that folds to the given conversations (conv_id, turn, role, text).
+
+    The log is what a chat service would have written.  Each text is streamed: a
+    start with its first piece, then deltas (``STREAM_CHARS`` characters or more, at most
+    ``STREAMED`` pieces).  By the hash of the turn some messages begin as a draft that
+    an edit replaces, and some are answered by a further message before they are
+    regenerated, which drops that answer.  The numbers of a conversation's log begin
+    at a hash, so that segments cut conversations, messages and drafts anywhere.
+
+    Messages are numbered by turn.  A turn that several rows share, or none, cannot
+    be told apart by number: those rows are whole messages without an id.  Turns
+    beyond 2^55 in magnitude count as 2^55.
+    """
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+                                "role", F.coalesce("text", F.lit("")).alias("text"))
+    limit = F.lit(1 << 55)
+    at = F.greatest(F.least("turn", limit), -limit)
+    rows = rows.withColumns({"at": at, "base": F.pmod(F.xxhash64("conv_id"), F.lit(SEGMENT)) + at * STEPS})
+    shared = (rows.where("at is not null").groupBy(F.col("conv_id").alias("c"), F.col("at").alias("t"))
+              .agg(F.count("*").alias("n")).where("n > 1").select("c", "t", F.lit(True).alias("shared")))
+    rows = rows.join(shared, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("at") == F.col("t")), "left")
+    size = F.length("text")
+    n = F.greatest(F.lit(1), F.least(F.lit(STREAMED), F.ceil(size / STREAM_CHARS).cast("int")))
+    width = F.greatest(F.lit(1), F.ceil(size / n).cast("int"))
+    pieces_ = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col("text"), i * width + 1, width))
+    rows = rows.withColumns({"p": pieces_, "how": F.pmod(F.xxhash64("conv_id", "at", F.lit("how")), F.lit(10))})
+    msg, draft = F.col("at") * 2, F.concat(F.lit("draft: "), F.col("p")[0])
+
+    def event(step: Column | int, id_: Column, kind: str, role: Column, text: Column) -> Column:
+        step = F.lit(step) if isinstance(step, int) else step
+        return F.struct((F.col("base") + step).alias("seq"), id_.alias("msg"), F.lit(kind).alias("kind"),
+                        role.alias("role"), text.alias("text"))
+
+    def deltas(first: int, texts: Column) -> Column:
+        return F.transform(texts, lambda x, i: event(i + first, msg, "delta", F.lit(""), x))
+    role, rest = F.col("role"), F.slice("p", 2, STREAMED)
+    whole = F.array(event(0, F.lit(None).cast("long"), "message", role, F.col("text")))
+    streamed = F.concat(F.array(event(0, msg, "message", role, F.col("p")[0])), deltas(1, rest))
+    edited = F.concat(F.array(event(0, msg, "message", role, draft), event(1, msg, "delta", F.lit(""), F.lit(" ...")),
+                              event(2, msg, "edit", F.lit(""), F.col("p")[0])), deltas(3, rest))
+    again = F.concat(F.array(event(0, msg, "message", role, draft), event(1, msg + 1, "message", F.lit("user"), F.lit("again, please")),
+                             event(2, msg + 1, "delta", F.lit(""), F.lit("!")), event(3, msg, "regenerate", F.lit(""), F.lit(""))),
+                     deltas(4, F.col("p")))
+    log = (F.when(F.col("shared") | F.col("at").isNull(), whole).when(F.col("how") < 6, streamed)
+           .when(F.col("how") < 8, edited).otherwise(again))
+    return rows.select("conv_id", F.inline(log))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:

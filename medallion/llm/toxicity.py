@@ -11,7 +11,7 @@ is a logistic function of the weights of its clauses by pattern.
 The words of the insult transducer (whole words and beginnings of words) and
 their weights are learned from labelled texts; the pattern weights are learned
 too and fall back to the prior ``PRIOR`` where the labels show no such clause.
-Learning uses a hash-chosen sample of at most ``PER_LABEL`` texts for each label.
+Learning uses a hash-chosen sample of at most ``PER_LABEL`` ids for each label, one text of each.
 
 Defined cases
 * null or empty text, or a text without a harmful clause: the score of a text without harm;
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, scratch
+from .common import drop_scratch, in_share, map_arrow, scratch
 
 PER_LABEL = 3000
 PARTS = 30          # hash parts of a label that are ranked apart
@@ -174,21 +174,25 @@ class Reader:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", per_label: int = PER_LABEL) -> DataFrame:
-    """(text, toxic) of at most ``per_label`` texts of each label; ``learn`` is a condition on ``id``."""
-    y = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
+    """(text, toxic) of at most ``per_label`` ids of each label, one text of each; ``learn`` is a condition on ``id``.
+
+    Of several texts of an id the one with the smallest hash counts, so repeated rows do not enlarge the sample.
+    """
+    y = (labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic"))
          .where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic")))
     y = y.where(learn).withColumn("h", F.xxhash64(F.col("id"), F.lit("toxic")))
     size = y.groupBy(F.col("toxic").alias("_t")).agg(F.count("*").alias("_n"))
     # the first of each hash part, so that no task ranks a whole label
     part = F.pmod(F.shiftright("h", 32), F.lit(PARTS))
     first = Window.partitionBy("toxic", part).orderBy("h", "id")
-    some = (y.join(F.broadcast(size), F.col("toxic") == F.col("_t"))  # a row for each label
-            .where(F.pmod("h", F.lit(1 << 30)) * F.col("_n") < F.lit((1 << 30) * per_label * 2))
+    some = (y.join(F.broadcast(size), F.col("toxic") == F.col("_t"))  # two rows
+            .where(in_share(F.col("h"), F.col("_n"), 2 * per_label))
             .withColumn("k", F.row_number().over(first)).where(F.col("k") * PARTS <= max(per_label, PARTS))
             .select("id", "toxic"))
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    some = F.broadcast(some)  # per_label rows for each label at most
-    return d.join(some, "id").select("text", "toxic")
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    some = F.broadcast(some)  # per_label rows for each of two labels at most
+    return (d.join(some, "id").groupBy("id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+            .select("text", "toxic"))
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
@@ -255,6 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     sample = scratch(labelled_sample(docs, labels, learn, id_col, text_col, label_col), "toxic-sample")
     lexicon = learn_lexicon(sample)
     rows = _feature_rows(sample, lexicon).collect()  # 2 * PER_LABEL rows of N_FEATURES numbers at most
+    drop_scratch(sample)
     rows.sort(key=lambda r: (r["toxic"], r["x"]))
     y = np.array([float(r["toxic"] > 0) for r in rows])
     if not len(y) or y.min() == y.max():

@@ -323,3 +323,73 @@ def test_weights_do_not_depend_on_row_order():
     p = rng.permutation(200)
     w2, o2 = toxicity.learn_weights(x[p], y[p])
     assert w == pytest.approx(w2) and o == pytest.approx(o2)
+
+
+def test_derived_log_folds_back_to_the_table(spark):
+    """Deltas, edits, regenerations and dropped answers, cut by segments anywhere, give the rows again."""
+    rng = random.Random(12)
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "tool", None]), rng.choice([None, "", "word " * rng.randint(1, 400), "</s>é中"]))
+            for c in range(40) for t in range(rng.choice([1, 3, 60]))]
+    rows += [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (50, None, "user", "no turn"), (50, 1, "user", "same"), (50, 1, "user", "same"),
+             (50, 1, "assistant", "turn"), (50, 2, "assistant", "x" * 500), (51, 2 ** 62, "user", "late"), (51, -5, "user", "early")]
+    c = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat.events_of(c)
+    kinds = {r.kind: r.n for r in log.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert min(kinds[k] for k in ("message", "delta", "edit", "regenerate")) > 50
+    for segment in (5, 23, chat.SEGMENT):
+        final = chat.messages(log, segment).collect()
+        for conv in {r[0] for r in rows}:
+            want = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is None, r[1] or 0, r[2] or "", r[3] or ""))
+            got = [(r.role, r.text) for r in sorted((m for m in final if m.conv_id == conv), key=lambda m: (m.seg, m.ord))]
+            assert got == [(r[2] or "", r[3] or "") for r in want]
+
+
+def test_composed_automaton_against_the_four_plain_ones():
+    """The composed table writes what the transducers write side by side, on random strings of classes."""
+    rng = random.Random(13)
+    for _ in range(3000):
+        string = [rng.randrange(7) for _ in range(rng.randint(0, 25))] + [toxicity.END]
+        state, parts, got, want = 0, [0, 0, 0, 0], [], []
+        for c in string:
+            if c == toxicity.END:
+                got.append([toxicity.PATTERNS[p] for p in toxicity.WRITES[state]])
+                harm, target, negation, report = parts
+                want.append([(kind, bool(target), negation == 9, bool(report)) for i, kind in enumerate(toxicity.KINDS) if harm >> i & 1])
+            state = toxicity.TABLE[state][c]
+            parts = [f(s, c) for f, s in zip((toxicity._harm, toxicity._target, toxicity._negation, toxicity._report), parts)]
+        assert got == want
+    # and each plain transducer against words about a clause
+    for _ in range(2000):
+        clause = [rng.choice([0, 1, 2, 3, 4, 5]) for _ in range(rng.randint(1, 12))]
+        state = 0
+        for c in clause:
+            state = toxicity.TABLE[state][c]
+        covered = any(c in (toxicity.INSULT, toxicity.THREAT_) and _negated(clause, i) for i, c in enumerate(clause))
+        want = {(k, toxicity.TARGET_ in clause, covered, toxicity.REPORT_ in clause)
+                for k, c in (("insult", toxicity.INSULT), ("threat", toxicity.THREAT_)) if c in clause}
+        assert {toxicity.PATTERNS[p] for p in toxicity.WRITES[state]} == want
+
+
+def _negated(clause, i):
+    """Whether one of the SCOPE words before word i is a negation that no other harmful word has used up."""
+    for j in range(i - 1, max(-1, i - 1 - toxicity.SCOPE), -1):
+        if clause[j] == toxicity.NEGATION_:
+            return True
+        if clause[j] in (toxicity.INSULT, toxicity.THREAT_):
+            return False
+    return False
+
+
+def test_toxicity_sample_is_bounded_with_repeated_ids(spark):
+    rows = [(1, f"idiot number {i}") for i in range(15_000)] + [(i, f"text {i}") for i in range(2, 5002)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 1)) for i in range(1, 5002)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs, labels, F.lit(True), per_label=600).groupBy("toxic").agg(F.count("*").alias("n")).collect()
+    assert all(0 < r.n <= 600 for r in got) and len(got) == 2
+
+
+def test_sampling_share_of_ten_billion_rows(spark):
+    from medallion.llm.common import in_share
+    n = spark.range(100_000).where(in_share(F.xxhash64("id"), F.lit(10_000_000_000), 10_000_000)).count()
+    assert 60 < n < 145  # a thousandth
+    assert spark.range(10).where(in_share(F.xxhash64("id"), F.lit(3), 800)).count() == 10
