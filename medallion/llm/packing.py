@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, Remembered, binary_slices, map_arrow, scratch, small_side
+from .common import SPACES, Remembered, binary_slices, drop_scratch, map_arrow, scratch, small_side
 from .periodic import groups
 
 GRANULE = 64
@@ -249,6 +249,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 20
         "task", "queue_key", number.cast("int").alias("queue_no"),
         (F.sum("n").over(Window.partitionBy("queue").orderBy("task", "queue_key")) - F.col("n")).alias("ahead"))
     places = scratch(places, "packing-places")
+    drop_scratch(by_task)
+    drop_scratch(own)
     src = held.join(small_side(places), ["task", "queue_key"]).select(
         "id", "source", "n", "ids", "queue_no", (F.col("ahead") + F.col("before")).alias("place"))
     kind = src.schema["id"].dataType.simpleString()
