@@ -35,14 +35,20 @@ RESOLUTION = {"symbol_ratio": 0.01, "repeat_ratio": 0.10, "dup_line_ratio": 0.20
 METRICS = list(RESOLUTION)
 
 
-def _repeated(grams: Column) -> Column:
-    """Number of words covered by windows that occur twice or more.
+def _windows(w: Column, of) -> Column:
+    """``of`` three neighbouring words, for every place where three stand."""
+    return F.when(F.size(w) < 3, F.array()).otherwise(F.transform(
+        F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: of(x, F.get(w, i + 1), F.get(w, i + 2))))
 
-    The windows are sorted with their positions; equal neighbours mark repeated
-    positions.  A position adds the words up to the next one, three at most.
-    """
-    s = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
 
+def _repeated(w: Column) -> Column:
+    """Number of words covered by three-word windows that occur twice or more.
+
+    Most texts repeat nothing, which the 64-bit hashes of the windows show.  Where
+    two hashes agree the windows themselves are sorted with their positions; equal
+    neighbours mark repeated positions.  A position adds the words up to the next
+    one, three at most.
+    """
     def positions(a: Column) -> Column:
         n = F.size(a)
         same = F.filter(a, lambda x, k: (
@@ -54,9 +60,14 @@ def _repeated(grams: Column) -> Column:
                            lambda acc, i: F.struct((acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n"),
                                                    i.alias("last")))["n"]
 
-    # one-element arrays bind the sorted windows and the positions once
-    bound = F.transform(F.array(s), lambda a: F.transform(F.array(positions(a)), covered)[0])
-    return F.when(F.size(F.array_distinct(grams)) == F.size(grams), 0).otherwise(bound[0])
+    def counted(hashes: Column) -> Column:
+        # a window is its three words with a separator that no word can hold; only hashes that agree come here
+        grams = F.transform(_windows(w, lambda x, y, z: F.concat_ws(" ", x, y, z)),
+                            lambda g, i: F.struct(g.alias("g"), i.alias("i")))
+        # one-element arrays bind the sorted windows and the positions once
+        bound = F.transform(F.array(F.array_sort(grams)), lambda a: F.transform(F.array(positions(a)), covered)[0])
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(bound[0])
+    return F.transform(F.array(_windows(w, lambda x, y, z: F.xxhash64(x, y, z))), counted)[0]
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -67,18 +78,13 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                     t.alias("t"))
     d = d.select("id", "lang", "source", "t", words(F.col("t")).alias("w"),
                  F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "").alias("lines"))
-    # a window is its three words with a separator that no word can hold
-    grams = F.when(F.size("w") < 3, F.array().cast("array<string>")).otherwise(
-        F.transform(F.slice("w", 1, F.greatest(F.size("w") - 2, F.lit(0))),
-                    lambda x, i: F.concat_ws(" ", x, F.get(F.col("w"), i + 1), F.get(F.col("w"), i + 2))))
-    d = d.withColumn("grams", grams)
     return d.select(
         "id", "lang", "source", F.size("w").cast("long").alias("n_words"),
         F.length(F.translate("t", SPACES, "")).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeated(F.col("grams")).cast("long").alias("n_repeat_words"))
+        _repeated(F.col("w")).cast("long").alias("n_repeat_words"))
 
 
 def ratios(f: DataFrame) -> dict[str, Column]:
