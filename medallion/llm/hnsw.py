@@ -7,12 +7,13 @@ descent through the upper layers, then a beam search in the lowest one.  A beam
 whose results are all within the threshold may have missed some, so it is
 widened, twice as wide each time, until it ends outside the threshold.
 
-Before the search an audit compares a hash-chosen part of the queries with every
-vector of all shards (a class is not its own link) and takes four times as many
-until ``AUDIT_LINKS`` queries with a true link in some shard are seen; an audit
-that sees fewer goes on to all queries.  All beams start as wide as is needed to
+Before the search an audit compares ``AUDIT`` hash-chosen queries with every vector
+of all shards (a class is not its own link).  Where near copies are rare these
+show hardly a link, so as many queries are planted at known cosines beside stored
+vectors, each compared with one shard.  All beams start as wide as is needed to
 find ``RECALL`` of these links, pooled over the shards; if none is wide enough,
-every vector is compared.
+every vector is compared.  The audit's work grows with the vectors once, not with
+their pairs.
 
 A query whose beam of ``LIMIT`` nodes still ends within the threshold is compared
 with the whole shard instead, in tiles of the matrix product: from there on the
@@ -46,8 +47,8 @@ from pyspark.sql import functions as F
 
 from medallion.session import ship_package
 
-from .common import scratch
-from .components import components
+from .common import drop_scratch, map_pandas, scratch
+from .components import components, with_best
 
 THRESHOLD = 0.95
 SHARDS = 8
@@ -58,8 +59,7 @@ BEAM_BUILD = 40
 BEAM = 32
 DESCENT = 8         # beam on the upper layers
 RECALL = 0.99
-AUDIT = 2_048       # queries of the audit's first round
-AUDIT_LINKS = 500   # (query, shard) pairs with a true link that the audit has to see
+AUDIT = 2_048       # classes that the audit compares with all others, and queries that it plants
 _PARTS = 1 << 30
 LIMIT = 128         # widest beam; beyond it a query is compared with the whole shard
 TILE = 1 << 22      # cosines of a tile
@@ -335,6 +335,42 @@ def classes(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return d.groupBy("vec").agg(F.count("*").alias("n"), F.min("id").alias("first"))
 
 
+def class_key(vec: str) -> Column:
+    """First choice of a class's key."""
+    return F.xxhash64(vec)
+
+
+def _again(df: DataFrame, clash: DataFrame, level: int) -> DataFrame:
+    """``df`` with other keys for the vectors whose key is in ``clash``."""
+    c = clash.select(F.col("key").alias("__key"), F.lit(True).alias("__clash"))
+    other = F.when(F.col("__clash"), F.xxhash64(F.lit(level), F.col("vec"))).otherwise(F.col("key"))
+    return df.join(c, df["key"] == c["__key"], "left").withColumn("key", other).drop("__key", "__clash")
+
+
+def keyed(cls: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``cls`` with a 64-bit ``key``, distinct for distinct vectors, and the keys that had to be chosen again, round by round.
+
+    Among billions of vectors two may have one hash: such vectors get another one until no key is shared.
+    """
+    cls = scratch(cls.withColumn("key", class_key("vec")), "classes")
+    clashes: list[DataFrame] = []
+    while True:
+        clash = cls.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+        if clash.isEmpty():
+            return cls, clashes
+        clashes.append(scratch(clash, "clash"))
+        cls = scratch(_again(cls, clashes[-1], len(clashes)), "classes")
+
+
+def _bounded(rows: int, dim: int) -> int:
+    """As many vectors of ``dim`` components as hold the values of ``rows`` vectors of 64."""
+    return max(1, rows * 64 // max(64, dim))
+
+
+def _shard_of(shards: int) -> Column:
+    return F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)).cast("int")
+
+
 def _unit(rows: pd.Series) -> np.ndarray:
     v = np.array(rows.to_list(), dtype=np.float64)
     v /= np.abs(v).max(axis=1, keepdims=True)  # lengths neither overflow nor vanish
@@ -346,7 +382,7 @@ GRAPH_SCHEMA = ("dim int, shard int, keys binary, weights binary, vectors binary
 
 def build_graphs(cls: DataFrame, shards: int) -> DataFrame:
     """One row for each shard: its graph with the keys, weights and unit vectors of its classes."""
-    own = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)).cast("int")
+    own = _shard_of(shards)
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("key", ignore_index=True)
@@ -400,7 +436,8 @@ def _asked(cls: DataFrame, shards: int) -> DataFrame:
 class Audit(NamedTuple):
     recall: float  # of the links seen: the lower one of queries with up to and over a beam of links
     beam: int      # 0: no beam has the recall, every vector is compared
-    links: int     # true links that the recall was measured on
+    links: int     # true links of stored vectors that the recall was measured on
+    planted: int   # and of planted queries
     part: float    # part of the classes that was compared with all others
 
 
@@ -430,42 +467,61 @@ def found_links(seen: DataFrame, graphs: DataFrame, blocks: int, threshold: floa
     return _by_block(graphs, seen, blocks, run, "dim int, shard int, key long, truth long, found long")
 
 
-def audited(cls: DataFrame, graphs: DataFrame, shards: int, threshold: float, recall: float, n: int) -> Audit:
-    """The beam that finds ``recall`` of the true links of enough of the ``n`` classes, pooled over all shards."""
+def planted(some: DataFrame, shards: int, threshold: float) -> DataFrame:
+    """Queries (dim, shard, key, vec) beside stored vectors: each is turned from a class of ``some`` to a cosine that the
+    hash of its key draws between the threshold and 1, and asks the shard of that class.  So each has a true link there."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if not len(f):
+                continue
+            out = []
+            for key, vec in zip(f["key"], f["vec"]):
+                rng = np.random.default_rng(key & 0x7FFFFFFFFFFFFFFF)
+                u = _unit(pd.Series([vec]))[0]
+                w = rng.normal(size=len(u))
+                w -= (w @ u) * u
+                c = threshold + (1 - threshold) * rng.uniform(0.02, 0.98)
+                length = np.sqrt(w @ w)
+                out.append((c * u + np.sqrt(1 - c * c) * w / length if length > 1e-9 else u).tolist())
+            yield f.assign(vec=out)
+
+    turned = map_pandas(some.select("dim", _shard_of(shards).alias("shard"), "key", "vec"), run,
+                        "dim int, shard int, key long, vec array<double>")
+    return turned.withColumn("key", F.xxhash64(F.lit("planted"), "key"))
+
+
+def audited(cls: DataFrame, graphs: DataFrame, shards: int, threshold: float, recall: float, n: int, rows: int) -> Audit:
+    """The beam that finds ``recall`` of the true links of the audit, pooled over all shards.
+
+    About ``AUDIT`` classes, chosen by hash, are compared with every vector; as near copies may be rare,
+    as many queries are planted beside stored vectors and compared with one shard each.  ``rows``: classes
+    that a task may hold as queries.
+    """
     if not n:
-        return Audit(1.0, BEAM, 0, 1.0)
-    part = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(_PARTS))
+        return Audit(1.0, BEAM, 0, 0, 1.0)
+    hi = min(_PARTS, -(-AUDIT * _PARTS // n))
+    some = cls.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(_PARTS)) < hi)
+    asked = -(-n * hi // _PARTS)
     few = F.col("truth") < LIMIT
-    lo, hi = 0, min(_PARTS, -(-AUDIT * _PARTS // n))
-    rounds, narrow, wide = [], 0, 0
-    while True:
-        some = cls.where((part >= lo) & (part < hi))
-        new = scratch(true_links(_asked(some, shards), graphs, -(-n * (hi - lo) // (_PARTS * ROWS_PER_SHARD)), threshold),
-                      "audit")
-        row = new.agg(F.count_if(few), F.count_if(~few)).first()
-        # queries with many links must not crowd out the others; a round with enough of them will do
-        rounds.append(new if wide < AUDIT_LINKS else new.where(few))
-        narrow, wide = narrow + row[0], wide + row[1]
-        if narrow >= AUDIT_LINKS or hi == _PARTS:
-            break
-        lo, hi = hi, min(_PARTS, 4 * hi)
-    compared = hi / _PARTS
-    if not narrow + wide:
-        return Audit(1.0, BEAM, 0, compared)  # all classes were compared: there are no links
-    seen = rounds[0]
-    for r in rounds[1:]:
-        seen = seen.unionByName(r)
+    true = scratch(true_links(_asked(some, shards), graphs, -(-asked // rows), threshold), "audit")
+    plants = scratch(planted(some, shards, threshold), "planted")
+    known = scratch(true_links(plants, graphs, -(-asked // rows), threshold), "audit")
+    links, made = (int(t.agg(F.coalesce(F.sum("truth"), F.lit(0))).first()[0]) for t in (true, known))
+    seen = true.join(cls.select("key", "vec"), "key").unionByName(known.join(plants.select("key", "vec"), "key"))
+    seen = scratch(seen, "audit-queries")
     most = seen.groupBy("dim", "shard").count().agg(F.max("count")).first()[0]
-    seen = seen.join(cls.select("key", "vec"), "key")
-    beam = BEAM
+    beam, least = BEAM, 1.0
     while beam <= LIMIT:
-        got = found_links(seen, graphs, -(-most // ROWS_PER_SHARD), threshold, beam)
-        sums = got.groupBy(few).agg(F.sum("found"), F.sum("truth")).collect()
-        least = min(r[1] / r[2] for r in sums)
+        got = found_links(seen, graphs, -(-most // rows), threshold, beam)
+        least = min(r[1] / r[2] for r in got.groupBy(few).agg(F.sum("found"), F.sum("truth")).collect())
         if least >= recall:
-            return Audit(least, beam, sum(r[2] for r in sums), compared)
+            break
         beam *= 2
-    return Audit(1.0, 0, sum(r[2] for r in sums), compared)
+    else:
+        least, beam = 1.0, 0
+    for t in (true, plants, known, seen):
+        drop_scratch(t)
+    return Audit(least, beam, links, made, hi / _PARTS)
 
 
 def graph_links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float,
@@ -494,17 +550,18 @@ def compared_links(asked: DataFrame, graphs: DataFrame, blocks: int, threshold:
     return _by_block(graphs.drop("layers"), asked, blocks, run, LINK_SCHEMA)
 
 
-def links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float, beam: int, n: int) -> DataFrame:
-    """(key, n_links, other) of all ``n`` classes; beam 0: every vector is compared."""
+def links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float, beam: int, n: int,
+          wide_rows: int) -> DataFrame:
+    """(key, n_links, other) of all ``n`` classes; beam 0: every vector is compared, ``wide_rows`` queries in a task."""
     if not beam:
-        every = compared_links(_asked(cls, shards), graphs, -(-n // WIDE_ROWS), threshold)
+        every = compared_links(_asked(cls, shards), graphs, -(-n // wide_rows), threshold)
         return scratch(every.select("key", "n_links", "other"), "vector-links")
     found = scratch(graph_links(cls, graphs, shards, blocks, threshold, beam), "vector-links")
     wide = found.where("wide").select("dim", "shard", "key")
     most = wide.groupBy("dim", "shard").count().agg(F.max("count")).first()[0]
     if most:
         asked = wide.join(cls.select("key", "vec"), "key")
-        more = scratch(compared_links(asked, graphs, -(-most // WIDE_ROWS), threshold), "wide-links")
+        more = scratch(compared_links(asked, graphs, -(-most // wide_rows), threshold), "wide-links")
         found = found.where("not wide").unionByName(more)
     return found.select("key", "n_links", "other")
 
@@ -515,27 +572,32 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
     The audit of the search is logged and kept as ``audit`` of the result.
     """
-    cls = classes(vectors, id_col, vec_col)
-    cls = cls.withColumn("dim", F.size("vec")).withColumn("key", F.xxhash64("vec"))
-    cls = scratch(cls, "vectors")
-    n = cls.count()
-    shards = max(SHARDS, -(-n // ROWS_PER_SHARD))
+    cls, clashes = keyed(classes(vectors, id_col, vec_col))
+    cls = scratch(cls.withColumn("dim", F.size("vec")), "vectors")
+    n, longest = cls.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(0))).first()
+    rows = _bounded(ROWS_PER_SHARD, longest)
+    shards = max(SHARDS, -(-n // rows))
     graphs = scratch(build_graphs(cls, shards), "graphs")
-    audit = audited(cls, graphs, shards, threshold, recall, n)
+    audit = audited(cls, graphs, shards, threshold, recall, n, rows)
     LOG.info("%s", audit)
-    found = links(cls, graphs, shards, max(BLOCKS, shards), threshold, audit.beam, n)
+    found = links(cls, graphs, shards, max(BLOCKS, shards), threshold, audit.beam, n, _bounded(WIDE_ROWS, longest))
     counted = found.groupBy("key").agg(F.sum("n_links").alias("links"))
     roots = components(found.select(F.col("key").alias("a"), F.col("other").alias("b")))
     named = (cls.select("key", "n", "first").join(counted, "key", "left")
-             .join(roots.withColumnRenamed("node", "key"), "key", "left")
-             .withColumn("root", F.coalesce("root", "key")))
-    best = named.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), F.col("first")))["first"].alias("component"))
-    of_class = scratch(named.join(best, "root").select(
-        "key", (F.coalesce("links", F.lit(0)) + F.col("n")).alias("links"), "component"), "vector-classes")
+             .join(roots.withColumnRenamed("node", "key"), "key", "left"))
+    narrow = scratch(named, "named")
+    named = with_best(narrow, "key", F.struct(F.col("first").isNull().alias("none"), F.col("first")))
+    of_class = scratch(named.select("key", (F.coalesce("links", F.lit(0)) + F.col("n")).alias("links"),
+                                    F.col("best.first").alias("component")), "vector-classes")
+    for t in (narrow, graphs, cls):  # the result reads none of these
+        drop_scratch(t)
     v = F.col(f"`{vec_col}`").cast("array<double>")
     same = F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
-    rows = vectors.select(F.col(f"`{id_col}`").alias("id"),
-                          F.when(_usable(F.col(f"`{vec_col}`")), F.xxhash64(same)).alias("key"))
+    rows = vectors.select(F.col(f"`{id_col}`").alias("id"), F.when(_usable(F.col(f"`{vec_col}`")), same).alias("vec"))
+    rows = rows.withColumn("key", F.when(F.col("vec").isNotNull(), class_key("vec")))
+    for level, clash in enumerate(clashes, 1):
+        rows = _again(rows, clash, level)
+    rows = rows.select("id", "key")
     out = rows.join(of_class, "key", "left")
     out = out.select("id", F.coalesce(F.col("links") - 1, F.lit(0)).cast("long").alias("n_links"),
                       F.when(F.col("links").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"))

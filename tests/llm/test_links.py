@@ -222,23 +222,45 @@ def test_wide_clusters_are_counted_in_tiles(spark, monkeypatch):
     assert [got[i]["component"] for i in range(1500)] == roots
 
 
-def test_audit_needs_true_links(spark, monkeypatch):
-    """Rare near copies: own vectors are no links, rounds go on until links are seen, and the recall is pooled."""
+def test_audit_plants_links_where_they_are_rare(spark, monkeypatch):
+    """Rare near copies: the audit asks a bounded number of queries, and plants as many beside stored vectors."""
     rng = np.random.default_rng(6)
     lone = rng.normal(size=(1200, 24))
     vectors = [*lone.tolist(), *(lone[:12] + rng.normal(size=(12, 24)) * 0.02).tolist()]
     df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
-    monkeypatch.setattr(hnsw, "AUDIT", 100)
+    monkeypatch.setattr(hnsw, "AUDIT", 600)
     monkeypatch.setattr(hnsw, "SHARDS", 2)
     asked, true = [], hnsw.true_links
-    monkeypatch.setattr(hnsw, "true_links", lambda *a: asked.append(a[0].count() // 2) or true(*a))
+    monkeypatch.setattr(hnsw, "true_links", lambda *a: asked.append(a[0].count()) or true(*a))
     out = hnsw.near_duplicates(df)
-    assert out.audit.links == 24 and out.audit.part == 1.0 and sum(asked) == 1212 and len(asked) > 2
-    assert out.audit.recall >= 0.99
+    assert 500 < out.audit.planted < 760 and out.audit.part < 0.6 and out.audit.recall >= 0.99
+    assert len(asked) == 2 and asked[0] == 2 * asked[1] and asked[1] < 700  # every shard; then one shard each
     links, _ = _truth(vectors)
     assert {r["id"]: r["n_links"] for r in out.collect()} == dict(enumerate(links.tolist()))
 
 
+def test_planted_queries_lie_within_the_threshold(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(i), rng.normal(size=10).tolist(), 10) for i in range(50)] + [(99, [3.0], 1)]
+    some = spark.createDataFrame(rows, "key long, vec array<double>, dim int")
+    got = hnsw.planted(some, 4, 0.95).join(some.select(F.xxhash64(F.lit("planted"), "key").alias("key"), F.col("vec").alias("v")), "key")
+    cosines = [np.dot(r["vec"], r["v"]) / np.linalg.norm(r["vec"]) / np.linalg.norm(r["v"]) for r in got.collect()]
+    assert len(cosines) == 51 and min(cosines) >= 0.95 and sum(c < 0.999999 for c in cosines) == 50
+
+
+def test_vectors_that_share_a_hash_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "class_key", lambda vec: F.pmod(F.xxhash64(vec), F.lit(7)))
+    vectors = _vectors(clusters=4, lone=60)
+    links, roots = _truth(vectors)
+    out = hnsw.near_duplicates(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>"))
+    assert [(r["n_links"], r["component"]) for r in out.orderBy("id").collect()] == list(zip(links.tolist(), roots))
+
+
+def test_shards_are_bounded_by_values():
+    assert hnsw._bounded(hnsw.ROWS_PER_SHARD, 24) == hnsw._bounded(hnsw.ROWS_PER_SHARD, 64) == 50_000
+    assert hnsw._bounded(hnsw.ROWS_PER_SHARD, 1024) == 3125 and hnsw._bounded(hnsw.WIDE_ROWS, 1 << 30) == 1
+
+
 def test_audit_compares_if_no_beam_finds_the_links(spark, monkeypatch):
     """Graphs without edges: the audit sees the missing links of all shards, and every vector is compared."""
     build = hnsw.build_graphs
@@ -293,3 +315,50 @@ def test_run_is_the_stages_in_order(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.scratch(stage(spark, docs, SF), f"test-{name}")
     assert Counter(map(str, out.collect())) == Counter(map(str, docs.collect()))
+
+
+def test_pipeline_of_no_documents_and_clashing_names(spark, no_docs, edge_docs):
+    """Empty tables and columns named like those the stages make pass through all stages."""
+    for source in (no_docs, edge_docs):
+        docs = source.withColumns({"fp": F.lit(1), "id": F.lit("x"), "text_": F.lit("y"), "lang_pred": F.lit("z"), "score": F.lit(0.5),
+                                   "copies": F.lit(7), "n": F.lit(1), "root": F.lit(2), "th": F.lit(3), "kind": F.lit("k")})
+        kept = docs
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            kept = corpus_pipeline.scratch(stage(spark, kept, SF), "test-clash")
+            assert kept.columns == docs.columns
+        last = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
+        assert last.columns == ["doc_id", "source", "n_tokens", "ids", "decoded_sha256"]
+        assert (last.count() == 0) == (source is no_docs)
+
+
+def test_last_pipeline_stages_against_plain_code(spark, edge_docs):
+    """Pseudonyms, mixing and tokens of the pipeline against what plain code makes of the rows before."""
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+
+    from medallion.llm import bpe, mixing
+    names = spark.read.parquet(f"{SF}/documents.parquet").columns
+    docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(edge_docs.select(*names))
+    kept = corpus_pipeline.scratch(corpus_pipeline.personal_data(spark, docs, SF), "test-plain")
+    # pseudonyms: rows and columns stay, and a text changes exactly where a valid value stands
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    plain = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])")
+    before = {r.doc_id: r.text for r in docs.where("doc_id is not null").collect()}
+    assert sum(len(plain.findall(t or "")) for t in before.values()) > 3
+    for r in kept.where("doc_id is not null").collect():
+        for old, new in zip(plain.findall(before[r.doc_id] or ""), plain.findall(r.text or "")):
+            assert len(old) == len(new) and old != new and old.rsplit(".")[-1] == new.rsplit(".")[-1]
+    # mixing: each row as often as the mix says
+    mixed = corpus_pipeline.scratch(corpus_pipeline.mix_sources(spark, kept, SF), "test-plain")
+    want = Counter()
+    for r in mixing.mix(kept).collect():
+        want[(r["id"], r["source"])] += r["copies"]
+    assert Counter((r.doc_id, r.source) for r in mixed.collect()) == +want
+    # tokens: the library's ids of exactly these rows, and the text's own digest
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                mergeable_ranks=bpe.load_ranks(public_tokenizers.path(corpus_pipeline.VOCABULARY)))
+    got = Counter((r.doc_id, r.source, tuple(r.ids), r.decoded_sha256) for r in corpus_pipeline.tokens(spark, mixed, SF).collect())
+    assert got == Counter((r.doc_id, r.source, tuple(library.encode_ordinary(r.text or "")),
+                           hashlib.sha256((r.text or "").encode()).hexdigest()) for r in mixed.collect())
