@@ -2,15 +2,19 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.operators.encode import assemble
+from medallion.session import materialized
 
 
 def hash_unit(id_col: str, seed: int) -> Column:
@@ -28,8 +32,10 @@ def hash_thresholds(df: DataFrame, label: str, hash_col: str, fractions: Sequenc
 
     One nested histogram for all labels and fractions: counts by the upper 16 bits of
     the hash, then by the whole hash inside the buckets that hold a rank.  At most
-    65,536 counts for each label stand in the windows, however many rows it has, and
-    the buckets (one for each label and fraction at most) meet the rows in one join.
+    65,536 counts for each label stand in the windows, however many rows it has.  The
+    buckets (one for each label and fraction at most) and the thresholds are written, so
+    Spark knows their size when it plans their joins with the rows: it sends them to the
+    rows' tasks and does not deal the rows out by label, which few tasks would get.
     """
     fractions = [float(f) for f in fractions]
     h = df.select(F.col(label).alias("__l"), F.col(hash_col).alias("__h"),
@@ -43,6 +49,7 @@ def hash_thresholds(df: DataFrame, label: str, hash_col: str, fractions: Sequenc
            .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
            .groupBy(F.col("__l").alias("tl"), F.col("__b").alias("tb")).agg(F.collect_list(F.struct(
                F.col("q.i").alias("i"), (F.col("rank") - F.col("upto") + F.col("n")).alias("left"))).alias("asked")))
+    top = materialized(top, "hash-buckets")
     inside = h.join(top.select("tl", "tb"), F.col("__l").eqNullSafe(F.col("tl")) & (F.col("__b") == F.col("tb")), "left_semi")
     run = Window.partitionBy("__l", "__b").orderBy("__h")
     found = (inside.groupBy("__l", "__b", "__h").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(run))
@@ -54,6 +61,12 @@ def hash_thresholds(df: DataFrame, label: str, hash_col: str, fractions: Sequenc
             .select(F.col("__l").alias("label"), F.col("q.t").alias("thresholds")))
 
 
+def _with_thresholds(h: DataFrame, label: str, fractions: Sequence[float]) -> DataFrame:
+    """Every row (hash in ``__h``) with the ``thresholds`` of its label; rows stay in their tasks (:func:`hash_thresholds`)."""
+    t = hash_thresholds(h, label, "__h", fractions).withColumnRenamed("label", "__label")
+    return h.join(materialized(t, "hash-thresholds"), F.col(label).eqNullSafe(F.col("__label")), "left").drop("__label")
+
+
 def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
     """MOD-1: per label, exactly the rows whose hash is at or below the label's
@@ -62,11 +75,9 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: floa
     The thresholds of all labels come from two grouped counts; no label,
     however large, is gathered into one task.
     """
-    h = df.withColumn("__h", hash_unit(id_col, seed))
-    t = hash_thresholds(h, label, "__h", [test_fraction]).withColumnRenamed("label", "__label")
-    j = h.join(t, F.col(label).eqNullSafe(F.col("__label")), "left")
+    j = _with_thresholds(df.withColumn("__h", hash_unit(id_col, seed)), label, [test_fraction])
     return (j.withColumn(out, F.when(F.col("__h") <= F.col("thresholds")[0], F.lit("test")).otherwise(F.lit("train")))
-            .drop("__h", "__label", "thresholds"))
+            .drop("__h", "thresholds"))
 
 
 def fold_column(df: DataFrame, id_col: str, k: int, seed: int = 42, out: str = "fold",
@@ -79,11 +90,9 @@ def fold_column(df: DataFrame, id_col: str, k: int, seed: int = 42, out: str = "
     """
     if label is None:
         return df.withColumn(out, (hash_unit(id_col, seed + 1) % k).cast("int"))
-    h = df.withColumn("__h", hash_unit(id_col, seed + 1))
-    t = hash_thresholds(h, label, "__h", [j / k for j in range(1, k)]).withColumnRenamed("label", "__label")
-    j = h.join(t, F.col(label).eqNullSafe(F.col("__label")), "left")
+    j = _with_thresholds(df.withColumn("__h", hash_unit(id_col, seed + 1)), label, [j / k for j in range(1, k)])
     passed = F.size(F.filter("thresholds", lambda x: F.col("__h") > x))
-    return j.withColumn(out, F.greatest(passed, F.lit(0)).cast("int")).drop("__h", "__label", "thresholds")
+    return j.withColumn(out, F.greatest(passed, F.lit(0)).cast("int")).drop("__h", "thresholds")
 
 
 def split_report(df: DataFrame, label: str, split: str = "split", digits: int = 6) -> DataFrame:
@@ -93,44 +102,102 @@ def split_report(df: DataFrame, label: str, split: str = "split", digits: int =
             .orderBy(split))
 
 
+#: Rows of a training task, and the rows that trees trained side by side hold together.
+TASK_ROWS, SIDE_BY_SIDE = 250_000, 4_000_000
+
+
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, id_col: str,
              impurities: Sequence[str] = ("gini", "entropy"), depths: Sequence[int] = range(1, 7),
              folds: int = 5, seed: int = 42, max_bins: int = 32, parallelism: int = 4):
     """MOD-3/4: decision tree with a grid over impurity x depth, stratified k-fold CV on accuracy.
 
-    ``df`` is the training part only.  The models of every fold are kept, so that
-    :func:`cv_results` can score them on the rows they were trained on.
+    ``df`` is the training part only.  A tree grows level by level and its depth limit
+    only says where it stops: the tree of a smaller depth is the top of the deeper one.
+    So one tree of the greatest depth is trained for each fold and impurity, and every
+    grid point is scored, on the rows it was trained on and on those left out, from the
+    counts of the leaves by fold and class (:func:`_scores`, one pass for all trees).
+    The best point is then fitted to all rows.
+
+    The rows are dealt out by their hash in tasks of ``TASK_ROWS`` and put in its order,
+    so the trees do not depend on how the input lay.  ``parallelism`` trees are trained
+    at a time while they hold ``SIDE_BY_SIDE`` rows together at most.
     """
-    data = fold_column(assemble(df, features), id_col, folds, seed, label=label)
-    data = data.withColumn("__label", F.col(label).cast("double"))
-    dt = DecisionTreeClassifier(featuresCol="features", labelCol="__label", seed=seed,
-                                maxBins=max_bins)
+    rows = df.count()
+    data = fold_column(df.select(*dict.fromkeys([*features, label, id_col])), id_col, folds, seed, label=label)
+    by = F.xxhash64(F.col(id_col), *[F.col(f"`{c}`") for c in features])
+    data = (data.withColumn("__by", by).repartition(max(8, -(-rows // TASK_ROWS)), "__by").sortWithinPartitions("__by"))
+    data = assemble(data, features).select("features", F.col(label).cast("double").alias("__label"), "fold")
+    dt = DecisionTreeClassifier(featuresCol="features", labelCol="__label", seed=seed, maxBins=max_bins)
     grid = (ParamGridBuilder().addGrid(dt.impurity, list(impurities))
             .addGrid(dt.maxDepth, list(depths)).build())
-    ev = MulticlassClassificationEvaluator(labelCol="__label", metricName="accuracy")
-    cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds,
-                        collectSubModels=True, parallelism=parallelism)
-    data = data.select("features", "__label", "fold").persist()
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = cv.fit(data)
-        model._train_metrics = _train_metrics(model, data, folds, len(grid))
+        held = {r["fold"] for r in data.select("fold").distinct().collect()}
+        for f in range(folds):
+            if f not in held or len(held) < 2:
+                raise ValueError(f"The {'validation' if f not in held else 'training'} data at fold {f} is empty.")
+        trees = [(f, i) for f in range(folds) for i in impurities]
+
+        def deepest(tree):
+            return dt.fit(data.where(F.col("fold") != tree[0]), {dt.impurity: tree[1], dt.maxDepth: max(depths)})
+
+        with ThreadPool(max(1, min(parallelism, SIDE_BY_SIDE // max(rows, 1)))) as pool:
+            models = pool.map(inheritable_thread_target(df.sparkSession)(deepest), trees, chunksize=1)
+        scores = _scores(data, models, [f for f, _ in trees], list(depths))
+        of = {(f, i, d): s for (f, i), by_depth in zip(trees, scores) for d, s in zip(depths, by_depth)}
+        points = [[of[f, p[dt.impurity], p[dt.maxDepth]] for p in grid] for f in range(folds)]
+        held_out = np.array([[s[1] for s in fold] for fold in points])
+        metrics = np.mean(held_out, axis=0)
+        best = dt.fit(data, grid[int(np.argmax(metrics))])
+        model = CrossValidatorModel(best, metrics.tolist(), None, np.std(held_out, axis=0).tolist())
+        model._train_metrics = [sum(fold[g][0] for fold in points) / folds for g in range(len(grid))]
     finally:
         data.unpersist()
     return model, grid
 
 
-def _train_metrics(model, data: DataFrame, folds: int, points: int) -> list[float]:
-    """Mean accuracy of each grid point on the rows its fold models were trained on: one pass over the data."""
+def _leaf_paths(model) -> list[str]:
+    """The way from the root to each leaf, as L and R, in the order of the leaf numbers (left before right)."""
+    paths, path = [], ""
+    for line in model.toDebugString.splitlines()[1:]:
+        text, level = line.lstrip(), len(line) - len(line.lstrip()) - 2  # the root is indented by two
+        if text.startswith("Predict"):
+            paths.append(path[:level])
+        else:
+            path = path[:level] + ("L" if text.startswith("If") else "R")
+    return paths
+
+
+def _scores(data: DataFrame, models: Sequence, left_out: Sequence[int], depths: Sequence[int]) -> list[list[tuple[float, float]]]:
+    """(train, validation) accuracy of every tree cut to every depth; ``left_out``: the fold that a tree was not trained on.
+
+    One pass counts the rows of each leaf by fold and class.  A node that a cut makes a
+    leaf predicts, like any leaf, the class with most training rows (ties: the smallest).
+    """
     scored = data
-    for f in range(folds):
-        for g in range(points):
-            sub = model.subModels[f][g].copy()
-            sub.setPredictionCol(f"p{f}_{g}").setRawPredictionCol("").setProbabilityCol("")
-            scored = sub.transform(scored)
-    aggs = [F.avg(F.when(F.col("fold") != f, (F.col(f"p{f}_{g}") == F.col("__label")).cast("double"))).alias(f"a{f}_{g}")
-            for f in range(folds) for g in range(points)]
-    row = scored.agg(*aggs).first()
-    return [sum(row[f"a{f}_{g}"] or 0.0 for f in range(folds)) / folds for g in range(points)]
+    for i, m in enumerate(models):
+        m = m.copy().setLeafCol(f"leaf{i}").setPredictionCol("").setRawPredictionCol("").setProbabilityCol("")
+        scored = m.transform(scored)
+    leaves = F.array(*[F.struct(F.lit(i).alias("tree"), F.col(f"leaf{i}").cast("int").alias("leaf")) for i in range(len(models))])
+    counts = (scored.select("fold", "__label", F.inline(leaves)).groupBy("tree", "leaf", "fold", "__label")
+              .agg(F.count("*").alias("n")).collect())
+    out = []
+    for i, m in enumerate(models):
+        paths, by_depth = _leaf_paths(m), []
+        own = [(paths[r["leaf"]], r["fold"] != left_out[i], r["__label"], r["n"]) for r in counts if r["tree"] == i]
+        for d in depths:
+            node: dict = defaultdict(lambda: {True: defaultdict(int), False: defaultdict(int)})
+            for path, train, y, n in own:
+                node[path[:d]][train][y] += n
+            right = {True: 0, False: 0}
+            for c in node.values():
+                best = max(sorted(c[True]), key=c[True].get)
+                for train in right:
+                    right[train] += c[train].get(best, 0)
+            total = {t: sum(n for _, train, _, n in own if train == t) for t in right}
+            by_depth.append((right[True] / total[True], right[False] / total[False]))
+        out.append(by_depth)
+    return out
 
 
 def cv_results(spark, cv_model, grid) -> DataFrame:

@@ -307,3 +307,48 @@ def test_scratch_is_cleared(spark):
     others, spark.sparkContext._medallion_scratch = spark.sparkContext._medallion_scratch[:-1], [path]
     assert clear_scratch(spark) == 1 and not os.path.exists(path)
     spark.sparkContext._medallion_scratch = others
+
+
+# ---- tree grid ----
+
+def _noisy(spark, n: int):
+    rng = np.random.default_rng(11)
+    frame = pd.DataFrame(rng.normal(size=(n, 3)).round(1), columns=["a", "b", "c"])
+    frame["y"] = ((frame["a"] + rng.normal(size=n) > 0.3) ^ (frame["b"] > 0.5)).astype(int) + (frame["c"] > 1.2).astype(int)
+    frame["id"] = [f"r{i}" for i in range(n)]
+    return spark.createDataFrame(frame)
+
+
+def test_grid_scores_equal_those_of_every_tree_trained_by_itself(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    df, names = _noisy(spark, 700), ["a", "b", "c"]
+    cvm, grid = model.fit_tree(df, names, "y", "id", depths=[1, 2, 4, 6], folds=3)
+    rows = model.cv_results(spark, cvm, grid).collect()
+    data = encode.assemble(model.fold_column(df, "id", 3, label="y"), names).withColumn("l", F.col("y").cast("double")).persist()
+    best = None
+    for r in rows:
+        dt = DecisionTreeClassifier(featuresCol="features", labelCol="l", seed=42, maxBins=32, impurity=r.impurity, maxDepth=r.max_depth)
+        got = []
+        for f in range(3):
+            scored = dt.fit(data.where(F.col("fold") != f)).transform(data)
+            hit = F.avg((F.col("prediction") == F.col("l")).cast("double"))
+            got.append({x.held_out: x.a for x in scored.groupBy((F.col("fold") == f).alias("held_out")).agg(hit.alias("a")).collect()})
+        assert abs(r.cv_accuracy - sum(x[True] for x in got) / 3) < 1e-9
+        assert abs(r.train_accuracy - sum(x[False] for x in got) / 3) < 1e-9
+        best = max(best or (0,), (r.cv_accuracy,))
+    data.unpersist()
+    assert [r.cv_accuracy for r in rows if r.is_best] == [best[0]] and len({round(r.cv_accuracy, 6) for r in rows}) > 3
+
+
+def test_rows_are_not_dealt_out_by_label(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 2).alias("y"))
+    for out in (model.fold_column(df, "id", 5, label="y"), model.stratified_split(df, "y", "id")):
+        text = plan(out)
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning(y" not in text
+
+
+def test_trees_do_not_depend_on_how_the_rows_lay(spark):
+    df, names = _noisy(spark, 30_000), ["a", "b", "c"]  # more rows than the trainer samples for its thresholds
+    fit = [model.fit_tree(d, names, "y", "id", impurities=["gini"], depths=[5], folds=2)[0].bestModel.toDebugString.split("\n", 1)[1]
+           for d in (df.repartition(3, "a"), df.orderBy(F.desc("id")).coalesce(1))]
+    assert fit[0] == fit[1]
