@@ -93,6 +93,16 @@ def _sketched(base: DataFrame, asked: list[tuple[_Interval, list[float]]], accur
     return [row[f"q{i}"] for i in range(len(asked))], {c: int(row[f"n{i}"]) for i, c in enumerate(count)}
 
 
+def _cell(v: Column, points: list[float], first: int = 0) -> Column:
+    """Number of the cell of ``v``: 2i + 1 on the i-th point, else twice the number of points below; found by halving."""
+    if not points:
+        return F.lit(2 * first)
+    mid = len(points) // 2
+    return (F.when(v == F.lit(points[mid]), F.lit(2 * (first + mid) + 1))
+            .when(v < F.lit(points[mid]), _cell(v, points[:mid], first))
+            .otherwise(_cell(v, points[mid + 1:], first + mid + 1)))
+
+
 def _counted(base: DataFrame, edges: list[tuple[_Interval, list[float]]]) -> list[list[tuple[int, int]]]:
     """(rows of the interval below an edge, rows equal to it) for every edge.
 
@@ -107,9 +117,7 @@ def _counted(base: DataFrame, edges: list[tuple[_Interval, list[float]]]) -> lis
         inside[iv.col] = inside[iv.col] | iv.inside() if iv.col in inside else iv.inside()
     cells = []
     for i, (c, points) in enumerate(cuts.items()):
-        v, at = F.col(f"`{c}`"), F.array(*[F.lit(p) for p in points])
-        cell = 2 * F.size(F.filter(at, lambda p: p < v)) + F.array_contains(at, v).cast("int")  # noqa: B023
-        cells.append(F.when(inside[c], F.struct(F.lit(i).alias("c"), cell.alias("cell"))))
+        cells.append(F.when(inside[c], F.struct(F.lit(i).alias("c"), _cell(F.col(f"`{c}`"), points).alias("cell"))))
     got = (base.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("c", "cell").agg(F.count("*").alias("n")).collect())
     number = {c: i for i, c in enumerate(cuts)}
     count = {(r["c"], r["cell"]): int(r["n"]) for r in got}

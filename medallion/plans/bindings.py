@@ -36,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return readers.read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_events(spark, sf_dir) -> DataFrame:
+    """The events dealt out evenly: rows that a few file blocks hold are rendered and parsed by all cores."""
+    return table(spark, sf_dir, "events").repartition(2 * spark.sparkContext.defaultParallelism)
+
+
 def dirty_events(spark, sf_dir) -> DataFrame:
     return with_dirt(table(spark, sf_dir, "events"), EVENT_DIRT)
 
@@ -52,7 +57,7 @@ def coerced_events(spark, sf_dir) -> DataFrame:
 
 def event_log_lines(spark, sf_dir) -> DataFrame:
     line = F.when(F.expr(EVENT_LOG_BROKEN), F.concat(F.lit("cut off "), F.col("event_id").cast("string")))
-    return table(spark, sf_dir, "events").select(line.otherwise(F.expr(EVENT_LOG_LINE)).alias("value"))
+    return spread_events(spark, sf_dir).select(line.otherwise(F.expr(EVENT_LOG_LINE)).alias("value"))
 
 
 def dirty_lineitem(spark, sf_dir) -> DataFrame:
@@ -70,7 +75,7 @@ def dirty_lineitem(spark, sf_dir) -> DataFrame:
 @query
 def clean_csv_flow(spark, sf_dir):
     """Flagship: bronze CSV (rendered from events) -> silver through the full CSV flow."""
-    raw = with_dirt(table(spark, sf_dir, "events"), EVENT_CSV, keep=())
+    raw = with_dirt(spread_events(spark, sf_dir), EVENT_CSV, keep=())
     return flows.clean_csv(raw)
 
 
@@ -119,7 +124,7 @@ def csv_rejects(spark, sf_dir):
 
 def event_json_docs(spark, sf_dir, keep_id: bool = False) -> DataFrame:
     """Nested transaction documents rendered from ``events``."""
-    e = table(spark, sf_dir, "events")
+    e = spread_events(spark, sf_dir)
     x = {k: F.expr(v) for k, v in EVENT_JSON.items()}
     cardholder = F.when(~F.expr(EVENT_JSON_NULL_CARDHOLDER),
                         F.struct(x["age"].alias("age"), x["country"].alias("country")))

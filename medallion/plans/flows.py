@@ -56,6 +56,7 @@ def clean_csv(raw: DataFrame, median_method: str = "cont", iqr_sequential: bool
     df = df.withColumn("transaction_id", fx.as_long("transaction_id"))
     df = mark(df.where(F.col("transaction_id").isNotNull()), "integral_id")
     if dedupe_first:
+        df = materialized(df, "csv-parsed")  # parsed once: the dedupe reads its input three times
         # dedupe ignoring the id; the smallest id of each duplicate group survives
         df = mark(keys.dedupe(df, [c for c in df.columns if c != "transaction_id"],
                               order=["transaction_id"]), "dedupe")

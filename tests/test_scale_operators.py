@@ -352,3 +352,55 @@ def test_trees_do_not_depend_on_how_the_rows_lay(spark):
     fit = [model.fit_tree(d, names, "y", "id", impurities=["gini"], depths=[5], folds=2)[0].bestModel.toDebugString.split("\n", 1)[1]
            for d in (df.repartition(3, "a"), df.orderBy(F.desc("id")).coalesce(1))]
     assert fit[0] == fit[1]
+
+
+# ---- flows over compressed input ----
+
+def _events(spark, n: int, path):
+    spark.range(n).selectExpr("id AS event_id", "timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT)) AS ts", "id % 50 AS user_id",
+                              "element_at(array('view', 'click', 'error'), CAST(id % 3 + 1 AS INT)) AS event_type",
+                              "CAST(id % 90 AS DOUBLE) AS value").coalesce(1).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_events_of_one_block_are_rendered_by_many_tasks(spark, tmp_path):
+    from medallion.plans import bindings
+    sf = _events(spark, 500, tmp_path)
+    assert bindings.table(spark, sf, "events").rdd.getNumPartitions() == 1
+    for df in (bindings.event_json_docs(spark, sf), bindings.event_log_lines(spark, sf)):
+        assert df.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism and df.count() == 500
+
+
+def test_csv_rows_are_parsed_once_before_the_dedupe(spark, tmp_path, monkeypatch):
+    from medallion.plans import bindings, flows
+    seen, dedupe = [], keys.dedupe
+    monkeypatch.setattr(flows.keys, "dedupe", lambda df, *a, **kw: (seen.append(plan(df)), dedupe(df, *a, **kw))[1])
+    assert bindings.clean_csv_flow(spark, _events(spark, 400, tmp_path)).count() > 0
+    assert "csv-parsed" in seen[0] and "RLIKE" not in seen[0]
+
+
+def test_wide_projections_stay_compiled_unless_the_session_says_otherwise(spark):
+    from medallion.session import ensure_compiled
+    key = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(key)
+    try:
+        for given, kept in (("65535", "8000"), ("9000", "9000")):
+            spark.conf.set(key, given)
+            ensure_compiled(spark)
+            assert spark.conf.get(key) == kept
+    finally:
+        spark.conf.set(key, old)
+
+
+# ---- cells of the quantiles ----
+
+def test_cells_of_values_around_edges(spark):
+    from medallion.operators import stats
+    points = [-2.0, 0.0, 0.5, 3.0, 3.5]
+    values = [-9.0, -2.0, -1.0, -0.0, 0.2, 0.5, 1.0, 3.0, 3.2, 3.5, 99.0, float("-inf"), float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for n in range(len(points) + 1):
+        cell = stats._cell(F.col("v"), points[:n])
+        for r in df.select("v", cell.alias("cell")).collect():
+            assert r.cell == 2 * sum(p < r.v for p in points[:n]) + (r.v in points[:n])
+    assert "lambda" not in plan(df.select(stats._cell(F.col("v"), points)))
