@@ -117,8 +117,11 @@ def _counted(base: DataFrame, edges: list[tuple[_Interval, list[float]]]) -> lis
         inside[iv.col] = inside[iv.col] | iv.inside() if iv.col in inside else iv.inside()
     cells = []
     for i, (c, points) in enumerate(cuts.items()):
-        cells.append(F.when(inside[c], F.struct(F.lit(i).alias("c"), _cell(F.col(f"`{c}`"), points).alias("cell"))))
-    got = (base.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("c", "cell").agg(F.count("*").alias("n")).collect())
+        cells.append(F.when(inside[c], _cell(F.col(f"`{c}`"), points)).alias(f"c{i}"))
+    # the cells are computed by a projection of their own: a generator would interpret them row by row
+    pairs = [x for i in range(len(cells)) for x in (F.lit(i), F.col(f"c{i}"))]
+    got = (base.select(*cells).select(F.stack(F.lit(len(cells)), *pairs).alias("c", "cell")).where("cell is not null")
+           .groupBy("c", "cell").agg(F.count("*").alias("n")).collect())
     number = {c: i for i, c in enumerate(cuts)}
     count = {(r["c"], r["cell"]): int(r["n"]) for r in got}
     out = []
