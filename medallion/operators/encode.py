@@ -90,8 +90,21 @@ def model_frame(df: DataFrame, cols: Sequence[str] | None = None, drop: Sequence
     for c in cols:
         dt_ = df.schema[c].dataType.simpleString()
         typed.append((F.col(c).cast("int").cast("double") if dt_ == "boolean"
-                      else fx.as_double(c)).alias(c))
-    return df.select(*typed).na.drop()
+                      else _finite(F.col(c)) if dt_ == "double"
+                      else F.col(c).cast("double") if dt_ in _WHOLE else fx.as_double(c)).alias(c))
+    # columns that cannot be null (one-hot) stay out of the filter, which would compute them a second time
+    out = df.select(*typed)
+    can = [f.name for f in out.schema if f.nullable]
+    return out.na.drop(subset=can) if can else out
+
+
+#: Whole numbers; these and doubles become double without the detour through text that :func:`fx.as_double` takes.
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _finite(c):
+    """A double; NaN and the infinities are null, as their text is in :func:`fx.as_double`."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:

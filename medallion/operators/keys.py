@@ -27,13 +27,17 @@ def winners(df: DataFrame, keys: Sequence[str], order: Sequence = (), keep: str
     aggregate counts the rows of each key digest (two longs, whatever the keys),
     with the best value of a single plain order column; only keys with several rows
     are kept, most tables have few of these.  Rows of other keys pass through an
-    anti join, the rows of the kept keys (their best ones) through an equi-join;
-    where keys rarely repeat the kept keys are broadcast by their measured size
-    and no wide row is shuffled.  The rest is ranked by (order, row hash): each task
+    anti join, the rows of the kept keys (their best ones) through an equi-join.
+    The kept keys are written first, so both joins are planned from their size: where
+    keys rarely repeat they are sent to the rows' tasks and no wide row is shuffled
+    (an exchange of the rows would be made beside that of the keys, before their
+    size is measured).  The rest is ranked by (order, row hash): each task
     cuts its rows to one a key before they meet, so a key with a third of all rows
     is reduced where it lies.  The input is read three times: one that is expensive
     to compute should be written first.
     """
+    from medallion.session import materialized
+
     keys, names = list(keys), df.columns
     cols = [F.col(o) if isinstance(o, str) else o for o in order]
     plain = len(cols) == 1 and isinstance(df.select(cols[0]).schema[0].dataType, _PLAIN)
@@ -41,6 +45,7 @@ def winners(df: DataFrame, keys: Sequence[str], order: Sequence = (), keep: str
     again = (keyed.select("__d0", "__d1", "__o").groupBy("__d0", "__d1")
              .agg(F.count("*").alias("__n"), (F.min if keep == "first" else F.max)("__o").alias("__best"))
              .where("__n > 1").drop("__n"))
+    again = materialized(again, "repeated-keys")
     alone = keyed.join(again, ["__d0", "__d1"], "left_anti").select(*names)
     tied = keyed.join(again, ["__d0", "__d1"]).where(F.col("__o").eqNullSafe(F.col("__best")))
     ranked = [c.asc_nulls_last() if keep == "first" else c.desc_nulls_last() for c in cols]

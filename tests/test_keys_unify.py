@@ -73,3 +73,18 @@ def test_resequence_hot_key_spreads_and_is_repeatable(spark):
     b = keys.resequence(df, ["k"], "seq", partitions=6)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert sorted(r.seq for r in a.collect()) == list(range(1, 3001))
+
+
+def test_winners_plans_its_joins_from_the_written_size_of_the_repeated_keys(spark, tmp_dir):
+    path = f"{tmp_dir}/wide"
+    spark.range(6000).selectExpr("IF(id < 4, 1, id) AS k", "id AS o", "sha2(string(id), 256) AS text").write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")  # less than the table, more than its repeated keys
+    try:
+        out = keys.winners(spark.read.parquet(path), ["k"], ["o"])
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+        got = out.agg({"k": "count", "o": "sum"}).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(got) == [5997, sum(range(6000)) - 6]

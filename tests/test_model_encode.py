@@ -83,3 +83,15 @@ def test_model_frame_and_numeric_index(spark):
         ("23", 1.0), ("7", 0.0), ("7", 0.0), ("None", 2.0)]
     v = encode.assemble(spark.createDataFrame([(1.0, 2.0)], "x double, y double"), ["x", "y"]).first()
     assert list(v.features) == [1.0, 2.0]
+
+
+def test_model_frame_takes_numbers_as_they_are(spark):
+    df = spark.createDataFrame([("a", 1.5, 7, True, " 2 ", "u"), ("b", float("nan"), 7, True, "2", "u"), ("c", float("inf"), 7, True, "2", "u"),
+                                ("d", -0.25, None, True, "2", "u"), ("e", 1e300, -9, False, "3e1", None), ("f", 1.0, 1, True, "x", "u")],
+                               "id string, d double, i int, b boolean, t string, c string")
+    numbers = encode.model_frame(encode.one_hot(df.drop("t"), "c", ["u"]), keep=["id"])
+    plan = numbers._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper()  # no column goes through text
+    assert "= u)" not in "".join(x for x in plan.splitlines() if "Filter" in x)  # one-hot columns cannot be null
+    got = encode.model_frame(encode.one_hot(df, "c", ["u"]), keep=["id"]).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [("a", 1.5, 7.0, 1.0, 2.0, 1.0), ("e", 1e300, -9.0, 0.0, 30.0, 0.0)]
