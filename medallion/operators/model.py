@@ -130,12 +130,13 @@ def fit_tree(df: DataFrame, features: Sequence[str], label: str, id_col: str,
     dt = DecisionTreeClassifier(featuresCol="features", labelCol="__label", seed=seed, maxBins=max_bins)
     grid = (ParamGridBuilder().addGrid(dt.impurity, list(impurities))
             .addGrid(dt.maxDepth, list(depths)).build())
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = kept = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        held = {r["fold"] for r in data.select("fold").distinct().collect()}
+        held = {r["fold"]: r["top"] for r in data.groupBy("fold").agg(F.max("__label").alias("top")).collect()}
         for f in range(folds):
             if f not in held or len(held) < 2:
                 raise ValueError(f"The {'validation' if f not in held else 'training'} data at fold {f} is empty.")
+        data = _with_classes(data, "__label", max((t for t in held.values() if t is not None), default=None))
         trees = [(f, i) for f in range(folds) for i in impurities]
 
         def deepest(tree):
@@ -152,10 +153,21 @@ def fit_tree(df: DataFrame, features: Sequence[str], label: str, id_col: str,
         model = CrossValidatorModel(best, metrics.tolist(), None, np.std(held_out, axis=0).tolist())
         model._train_metrics = [sum(fold[g][0] for fold in points) / folds for g in range(len(grid))]
     finally:
-        data.unpersist()
+        kept.unpersist()
     return model, grid
 
 
+def _with_classes(df: DataFrame, label: str, top: float | None) -> DataFrame:
+    """The frame with the number of classes noted at the label (greatest label ``top`` plus one), as a string indexer does.
+
+    Without the note every fit scans the labels for it.  Labels that Spark does not take for classes stay without.
+    """
+    if top is None or not (1 <= top < 100 and top == int(top)):
+        return df
+    note = {"ml_attr": {"type": "nominal", "name": label, "num_vals": int(top) + 1}}
+    return df.withColumn(label, F.col(label).alias(label, metadata=note))
+
+
 def _leaf_paths(model) -> list[str]:
     """The way from the root to each leaf, as L and R, in the order of the leaf numbers (left before right)."""
     paths, path = [], ""

@@ -95,3 +95,14 @@ def test_model_frame_takes_numbers_as_they_are(spark):
     assert "= u)" not in "".join(x for x in plan.splitlines() if "Filter" in x)  # one-hot columns cannot be null
     got = encode.model_frame(encode.one_hot(df, "c", ["u"]), keep=["id"]).orderBy("id").collect()
     assert [tuple(r) for r in got] == [("a", 1.5, 7.0, 1.0, 2.0, 1.0), ("e", 1e300, -9.0, 0.0, 30.0, 0.0)]
+
+
+def test_trees_are_trained_with_the_number_of_classes_noted(spark, monkeypatch):
+    seen, fit = [], model.DecisionTreeClassifier.fit
+    monkeypatch.setattr(model.DecisionTreeClassifier, "fit", lambda self, d, *a: (seen.append(d.schema["__label"].metadata), fit(self, d, *a))[1])
+    df = spark.range(90).selectExpr("id", "double(id % 9) AS x", "int(id % 9 > 2) + int(id % 9 > 5) AS y")
+    cvm, _ = model.fit_tree(df, ["x"], "y", "id", impurities=["gini"], depths=[2], folds=2)
+    assert len(seen) == 3 and all(m["ml_attr"]["num_vals"] == 3 for m in seen)
+    assert cvm.bestModel.numClasses == 3 and cvm.avgMetrics == [1.0]
+    for top in (None, 0.0, 100.0, 1.5, float("nan"), float("inf")):
+        assert not model._with_classes(df, "y", top).schema["y"].metadata
