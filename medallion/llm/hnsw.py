@@ -52,7 +52,7 @@ from .components import components, with_best
 
 THRESHOLD = 0.95
 SHARDS = 8
-BLOCKS = 4          # blocks of queries, as many as shards at least
+SHARDS_A_TASK = 2   # shards whose classes a task has as queries of another shard
 ROWS_PER_SHARD = 50_000
 LINKS = 12          # neighbours on the upper layers; twice as many on the lowest
 BEAM_BUILD = 40
@@ -62,8 +62,15 @@ RECALL = 0.99
 AUDIT = 2_048       # classes that the audit compares with all others, and queries that it plants
 _PARTS = 1 << 30
 LIMIT = 128         # widest beam; beyond it a query is compared with the whole shard
+CELL = 256          # classes for each hub
+HOMES = 6           # cells that hold a vector
+LEAST_HUBS = 16     # hubs of small tables
+ROUTERS = 4         # tasks that search for the classes of a shard
+CHUNK = 2_048       # classes of a row of the written shards
+ROWS_AT_ONCE = 256  # queries that a beam search takes step by step together
 TILE = 1 << 22      # cosines of a tile
 WIDE_ROWS = 16_384  # queries of a task that are compared with a whole shard
+MARGIN = 1e-5       # by which cosines of 64 components in single precision may be off
 _NONE = -1
 LOG = logging.getLogger(__name__)
 
@@ -93,42 +100,61 @@ def _similar(vectors: np.ndarray, queries: np.ndarray, ids: np.ndarray) -> np.nd
 
 def beam_search(graph_layer: np.ndarray, vectors: np.ndarray, queries: np.ndarray, start: np.ndarray,
                 width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``width`` best nodes found for each query from its start nodes, all queries step by step together."""
-    n = len(queries)
+    """The ``width`` best nodes found for each query from its start nodes, many queries step by step together."""
+    ids = np.full((len(queries), width), _NONE)
+    sims = np.full((len(queries), width), -np.inf, dtype=vectors.dtype)
+    if not len(queries):
+        return ids, sims
+    links = graph_layer.shape[1]
+    take = min(4, width)  # the best unopened nodes of a beam are opened together
+    tags = np.arange(1, take * links + 1, dtype=np.uint16)
+    seen = np.zeros((min(ROWS_AT_ONCE, len(queries)), len(vectors)), dtype=np.uint16)
+    for lo in range(0, len(queries), ROWS_AT_ONCE):
+        some = slice(lo, lo + ROWS_AT_ONCE)
+        ids[some], sims[some] = _beam(graph_layer, vectors, queries[some], start[some, :width], width, tags, seen)
+    return ids, sims
+
+
+def _beam(graph_layer: np.ndarray, vectors: np.ndarray, queries: np.ndarray, start: np.ndarray, width: int,
+          tags: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``beam_search`` of queries that step together; ``seen`` is used to mark the nodes that a query has met."""
+    n, take = len(queries), len(tags) // graph_layer.shape[1]
     ids = np.full((n, width), _NONE)
-    ids[:, : start.shape[1]] = start[:, :width]
-    sims = _similar(vectors, queries, ids)
+    ids[:, : start.shape[1]] = start
+    sims = np.full((n, width), -np.inf, dtype=vectors.dtype)
+    sims[:, : start.shape[1]] = _similar(vectors, queries, start)
     opened = ids < 0
+    seen[:n] = 0
+    met, base = seen.reshape(-1), np.arange(n) * len(vectors)
+    met[(base[:, None] + start)[start >= 0]] = 1
     live = np.arange(n)
     while len(live):
         s = np.where(opened[live], -np.inf, sims[live])
-        take = min(4, width)  # the best unopened nodes of a beam are opened together
-        pick = np.argsort(-s, axis=1, kind="stable")[:, :take]
+        pick = np.argpartition(-s, take - 1, axis=1)[:, :take]
         usable = ~np.isinf(np.take_along_axis(s, pick, 1))
-        go = usable[:, 0]
+        go = usable.any(axis=1)
         live, pick, usable = live[go], pick[go], usable[go]
         if not len(live):
             break
         node = np.where(usable, np.take_along_axis(ids[live], pick, 1), _NONE)
-        marks = opened[live]
-        np.put_along_axis(marks, pick, True, 1)
-        opened[live] = marks
+        opened[live[:, None], pick] = True
         near = np.where(node[:, :, None] < 0, _NONE, graph_layer[np.maximum(node, 0)]).reshape(len(live), -1)
-        # drop what the beam already holds, then keep the best
-        all_ids = np.concatenate((ids[live], near), axis=1)
-        all_sims = np.concatenate((sims[live], _similar(vectors, queries[live], near)), axis=1)
-        done = np.concatenate((opened[live], np.zeros(near.shape, dtype=bool)), axis=1)
-        order = np.lexsort((~done, all_ids), axis=1)  # of equal ids the opened one first
-        all_ids, all_sims = np.take_along_axis(all_ids, order, 1), np.take_along_axis(all_sims, order, 1)
-        done = np.take_along_axis(done, order, 1)
-        again = np.zeros(all_ids.shape, dtype=bool)
-        again[:, 1:] = all_ids[:, 1:] == all_ids[:, :-1]
-        all_sims = np.where(again | (all_ids < 0), -np.inf, all_sims)
+        at = base[live][:, None] + near
+        row, col = np.nonzero((near >= 0) & (met.take(at, mode="clip") == 0))
+        at = at[row, col]
+        met[at] = tags[col]  # of a node that comes twice in this step the last one stays
+        new = met.take(at) == tags[col]
+        row, col = row[new], col[new]
+        fresh = np.full(near.shape, -np.inf, dtype=vectors.dtype)
+        fresh[row, col] = np.einsum("nd,nd->n", vectors.take(near[row, col], axis=0), queries.take(live[row], axis=0))
+        # keep the best
+        all_sims = np.concatenate((sims[live], fresh), axis=1)
         best = np.argpartition(-all_sims, width - 1, axis=1)[:, :width]
-        ids[live] = np.take_along_axis(all_ids, best, 1)
-        sims[live] = np.take_along_axis(all_sims, best, 1)
-        opened[live] = np.take_along_axis(done, best, 1) | np.isinf(sims[live])
-        ids[live] = np.where(np.isinf(sims[live]), _NONE, ids[live])
+        s = np.take_along_axis(all_sims, best, 1)
+        none = np.isinf(s)
+        done = np.concatenate((opened[live], np.zeros(near.shape, dtype=bool)), axis=1)
+        sims[live], opened[live] = s, np.take_along_axis(done, best, 1) | none
+        ids[live] = np.where(none, _NONE, np.take_along_axis(np.concatenate((ids[live], near), axis=1), best, 1))
     order = np.argsort(-sims, axis=1, kind="stable")
     return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
@@ -217,15 +243,16 @@ def _connect(layer: np.ndarray, vectors: np.ndarray, new: np.ndarray, cand: np.n
         layer[some] = _diverse(vectors, ids, s, m)
 
 
-# ---- range search ------------------------------------------------------------------------------
+def _margin(vectors: np.ndarray) -> float:
+    return MARGIN * max(1.0, vectors.shape[1] / 64)
 
-def _range_search(graph: Graph, queries: np.ndarray, threshold: float, width: int,
-                  limit: int) -> Iterator[tuple[int, np.ndarray | None]]:
-    """(query, nodes) with similarity of about the threshold or more (single precision, with a margin).
 
-    None instead of the nodes: a beam of ``limit`` nodes is too narrow.
-    """
-    low = threshold - 1e-5
+# ---- range search ------------------------------------------------------------------------------
+
+def _beams(graph: Graph, queries: np.ndarray, low: float, width: int,
+           limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """(queries, nodes, similarities, whether ``limit`` nodes are too few): beams of ``width`` nodes, widened twice as
+    wide each time while they end at ``low`` or more."""
     n = len(graph.vectors)
     limit = min(limit, n)
     for at in range(0, len(queries), 2048):
@@ -233,21 +260,25 @@ def _range_search(graph: Graph, queries: np.ndarray, threshold: float, width: in
         start = _descend(graph, part, 0)
         todo, w = np.arange(len(part)), min(width, limit)
         while len(todo):
-            again = []
-            step = max(1, (1 << 16) // w)
-            for lo in range(0, len(todo), step):
-                some = todo[lo:lo + step]
-                ids, sims = beam_search(graph.layers[0], graph.vectors, part[some], start[some], w)
-                full = (sims[:, -1] >= low) & (w < n)
-                for i in np.flatnonzero(~full):
-                    yield at + int(some[i]), ids[i][sims[i] >= low]
-                again.append(some[full])
-            todo = np.concatenate(again)
+            ids, sims = beam_search(graph.layers[0], graph.vectors, part[todo], start[todo], w)
+            full = (sims[:, -1] >= low) & (w < n)
+            yield at + todo[~full], ids[~full], sims[~full], False
             if w == limit:
+                yield at + todo[full], ids[full], sims[full], True
                 break
-            w = min(2 * w, limit)
-        for i in todo:
-            yield at + int(i), None
+            todo, w = todo[full], min(2 * w, limit)
+
+
+def _range_search(graph: Graph, queries: np.ndarray, threshold: float, width: int,
+                  limit: int) -> Iterator[tuple[int, np.ndarray | None]]:
+    """(query, nodes) with similarity of about the threshold or more (single precision, with a margin).
+
+    None instead of the nodes: a beam of ``limit`` nodes is too narrow.
+    """
+    low = threshold - _margin(queries)
+    for some, ids, sims, full in _beams(graph, queries, low, width, limit):
+        for k, i in enumerate(some.tolist()):
+            yield i, None if full else ids[k][sims[k] >= low]
 
 
 def _verified(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float, width: int,
@@ -258,11 +289,22 @@ def _verified(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: f
 
 
 def _compared(exact: np.ndarray, queries: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(query, nodes) by comparison with every vector, a tile of the matrix product at a time."""
-    step = max(1, TILE // max(1, len(exact)))
+    """(query, nodes) by comparison with every vector, queries without any left out, a tile of the matrix product at a time.
+
+    The product is in single precision; cosines too close to the threshold for that are computed in double precision.
+    """
+    step, margin = max(1, TILE // max(1, len(exact))), _margin(exact)
+    single, asking = exact.astype(np.float32), queries.astype(np.float32)
     for at in range(0, len(queries), step):
-        for i, near in enumerate(queries[at:at + step] @ exact.T >= threshold):
-            yield at + i, np.flatnonzero(near)
+        sims = asking[at:at + step] @ single.T
+        near = sims >= threshold - margin
+        for k in np.flatnonzero(near.any(axis=1)).tolist():
+            h = np.flatnonzero(near[k])
+            close = np.flatnonzero(sims[k, h] < threshold + margin)
+            if len(close):
+                h = np.delete(h, close[exact[h[close]] @ queries[at + k] < threshold])
+            if len(h):
+                yield at + k, h
 
 
 def search(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, beam: int = BEAM,
@@ -281,7 +323,103 @@ def search(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: floa
             return [found[i] for i in range(len(queries))], got / total if total else 1.0, beam
         beam *= 2
     # a graph that falls apart: no beam is wide enough, every vector is compared
-    return [h for _, h in _compared(exact, queries, threshold)], 1.0, 0
+    found = dict(_compared(exact, queries, threshold))
+    return [found.get(i, np.zeros(0, dtype=np.int64)) for i in range(len(queries))], 1.0, 0
+
+
+# ---- hubs and cells ------------------------------------------------------------------------------
+
+class Routes(NamedTuple):
+    hubs: np.ndarray   # the hubs that the queries' beams found, best first, one query's after the other's
+    sizes: np.ndarray  # their number for each query
+    far: np.ndarray    # queries that are compared with every vector: no beam was wide enough
+
+
+def routes(graph: Graph | None, queries: np.ndarray, threshold: float, width: int, limit: int) -> Routes:
+    """Beams of the queries (unit vectors) in the graph of the hubs.
+
+    A vector within the threshold's angle of a query may hang on a hub within twice that angle, so a beam
+    that ends there is widened.  Without hubs, or if ``limit`` hubs are too few, a query is ``far``; of its hubs only
+    those on which its vector hangs are kept.
+    """
+    n = len(queries)
+    found, sizes, far = np.zeros((n, 0), dtype=np.int32), np.zeros(n, dtype=np.int32), np.ones(n, dtype=bool)
+    if graph is not None:
+        for some, ids, _, full in _beams(graph, queries.astype(np.float32), _twice(threshold), width, limit):
+            ids = ids[:, :HOMES] if full else ids
+            if found.shape[1] < ids.shape[1]:
+                found = np.pad(found, ((0, 0), (0, ids.shape[1] - found.shape[1])), constant_values=_NONE)
+            found[some, : ids.shape[1]], sizes[some], far[some] = ids, (ids >= 0).sum(axis=1), full
+    return Routes(found[np.arange(found.shape[1]) < sizes[:, None]], sizes, far)
+
+
+def _twice(threshold: float) -> float:
+    """Cosine of twice the threshold's angle."""
+    return 2 * threshold * threshold - 1 if threshold > 0 else -1.0
+
+
+def homes(found: Routes) -> np.ndarray:
+    """(n, HOMES): the hubs on which vectors hang, the nearest that their beams found; -1 where there are fewer."""
+    at = np.arange(HOMES)
+    first = np.cumsum(found.sizes) - found.sizes
+    has = at < found.sizes[:, None]
+    out = np.full(has.shape, _NONE, dtype=np.int32)
+    out[has] = found.hubs[(first[:, None] + at)[has]]
+    return out
+
+
+def _sorted(hubs: np.ndarray) -> np.ndarray:
+    """Stable order of numbers of hubs; short ones are sorted faster."""
+    if len(hubs) and hubs.max() < 0xFFFF:
+        hubs = hubs.astype(np.uint16)
+    return np.argsort(hubs, kind="stable")
+
+
+def _met(exact: np.ndarray, cells: np.ndarray, queries: np.ndarray, found: Routes, threshold: float,
+         limit: int) -> Iterator[tuple[int, np.ndarray | None]]:
+    """(query, nodes) that reach the threshold among the vectors that hang (``cells``) on the hubs found; queries without any are left out.
+
+    Each cell meets the queries that found its hub, in tiles of the matrix product (single precision, with a
+    margin); what is left is verified in double precision.  None instead of the nodes: ``limit`` or more of a cell
+    and those before it, or a far query.
+    """
+    low, single, asking = threshold - _margin(exact), exact.astype(np.float32), queries.astype(np.float32)
+    who = np.repeat(np.arange(len(queries)), found.sizes)
+    order = _sorted(found.hubs)
+    who, asked = who[order], found.hubs[order]
+    member = np.flatnonzero(cells >= 0)
+    of = cells.ravel()[member]
+    order = _sorted(of)
+    of, member = of[order], member[order] // cells.shape[1]
+    hubs = np.unique(asked)
+    some = zip(*(np.searchsorted(x, hubs, side=side).tolist() for x in (asked, of) for side in ("left", "right")))
+    count, pairs = np.where(found.far, limit, 0), [np.zeros((2, 0), dtype=np.int64)]
+    for lo, hi, first, last in some:
+        if first == last:
+            continue
+        nodes = member[first:last]
+        near = single[nodes].T
+        step = max(1, TILE // len(nodes))
+        for at in range(lo, hi, step):
+            q = who[at:min(hi, at + step)]
+            q = q[count[q] < limit]
+            sims = asking.take(q, axis=0) @ near
+            hot = np.flatnonzero(sims.max(axis=1) >= low)
+            if not len(hot):
+                continue
+            q, hit = q[hot], sims[hot] >= low
+            count[q] += hit.sum(axis=1)  # a vector may hang on several hubs of a beam: the limit is met a little earlier
+            hit[count[q] >= limit] = False
+            i, j = np.nonzero(hit)
+            i, j = q[i], nodes[j]
+            pairs.append(np.array((i, j))[:, np.einsum("nd,nd->n", exact[j], queries[i]) >= threshold])
+    for i in np.flatnonzero(count >= limit).tolist():
+        yield i, None
+    i, j = np.concatenate(pairs, axis=1)
+    i, j = np.divmod(np.unique((i * len(exact) + j)[count[i] < limit]), max(1, len(exact)))
+    query, first = np.unique(i, return_index=True)
+    for k, nodes in zip(query.tolist(), np.split(j, first[1:])):
+        yield k, nodes
 
 
 def _join(root: np.ndarray, nodes: np.ndarray) -> None:
@@ -372,44 +510,130 @@ def _shard_of(shards: int) -> Column:
 
 
 def _unit(rows: pd.Series) -> np.ndarray:
-    v = np.array(rows.to_list(), dtype=np.float64)
-    v /= np.abs(v).max(axis=1, keepdims=True)  # lengths neither overflow nor vanish
+    return _units(np.array(rows.to_list(), dtype=np.float64))
+
+
+def _units(v: np.ndarray) -> np.ndarray:
+    v = v / np.abs(v).max(axis=1, keepdims=True)  # lengths neither overflow nor vanish
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-GRAPH_SCHEMA = ("dim int, shard int, keys binary, weights binary, vectors binary, layers array<binary>, entry int")
+def _packed(v: np.ndarray) -> bytes:
+    """Vectors as bytes, in single precision where that holds them exactly."""
+    with np.errstate(over="ignore"):
+        single = v.astype(np.float32)
+    return (single if np.array_equal(single, v) else v).tobytes()
+
 
+def _unpacked(data: bytes, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=np.float32 if len(data) == 4 * n * dim else np.float64).reshape(n, dim).astype(np.float64)
 
-def build_graphs(cls: DataFrame, shards: int) -> DataFrame:
-    """One row for each shard: its graph with the keys, weights and unit vectors of its classes."""
-    own = _shard_of(shards)
+
+HUB_SCHEMA = "dim int, vectors binary, layers array<binary>, entry int"
+
+
+def hub_graphs(cls: DataFrame, n: int, rows: int) -> DataFrame:
+    """One row for each length of vectors: the graph of its hubs.
+
+    The hubs are hash-chosen, one of ``CELL`` classes, ``LEAST_HUBS`` at least and ``rows`` at most or so.  A length
+    without hubs has few vectors, which are compared with each other.
+    """
+    hi = max(_PARTS // CELL, -(-_PARTS * LEAST_HUBS // max(1, n)))
+    hi = max(1, min(_PARTS, hi, _PARTS * rows // max(1, n)))
+    hubs = cls.where(F.pmod(F.xxhash64("key", F.lit(4)), F.lit(_PARTS)) < hi).select("dim", "key", "vec")
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
+        g = build(_unit(f.sort_values("key")["vec"]).astype(np.float32))
+        return pd.DataFrame({"dim": [g.vectors.shape[1]], "vectors": [g.vectors.tobytes()],
+                             "layers": [[x.tobytes() for x in g.layers]], "entry": [g.entry]})
+
+    ship_package(cls.sparkSession)
+    return hubs.groupBy("dim").applyInPandas(run, HUB_SCHEMA)
+
+
+def _hubs(rows: pd.DataFrame) -> Graph | None:
+    """Graph of the hubs."""
+    if not len(rows):
+        return None
+    row = rows.iloc[0]
+    v = np.frombuffer(row["vectors"], dtype=np.float32).reshape(-1, int(row["dim"]))
+    return Graph(v, [np.frombuffer(x, dtype=np.int32).reshape(len(v), -1) for x in row["layers"]], int(row["entry"]))
+
+
+#: layers: the hubs on which the vectors hang; the hubs, numbers of hubs and far queries of their Routes.
+GRAPH_SCHEMA = "dim int, shard int, chunk int, keys binary, weights binary, vectors binary, layers array<binary>"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _none(schema: str) -> pd.DataFrame:
+    return pd.DataFrame(columns=_names(schema), dtype=object)
+
+
+def _dealt(df: DataFrame, groups: int, *by: str) -> DataFrame:
+    """``df`` dealt out by ``by`` to several times as many partitions as there are groups, so that few meet in a task."""
+    return df.repartition(min(1 << 14, 4 * groups), *by)
+
+
+def build_graphs(cls: DataFrame, shards: int, hubs: DataFrame, threshold: float, beam: int) -> DataFrame:
+    """The lowest layer of each shard, a row for each ``CHUNK`` of its classes: keys, weights, vectors and their routes as queries.
+
+    Every class is searched once in the graph of the hubs, whatever the number of shards.
+    """
+    def run(hub: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        if not len(f):
+            return _none(GRAPH_SCHEMA)
         f = f.sort_values("key", ignore_index=True)
-        v = _unit(f["vec"])
-        g = build(v.astype(np.float32))
-        return pd.DataFrame({
-            "dim": [v.shape[1]], "shard": [int(f["shard"].iloc[0])], "keys": [f["key"].to_numpy().tobytes()],
-            "weights": [f["n"].to_numpy().tobytes()], "vectors": [v.tobytes()],
-            "layers": [[x.tobytes() for x in g.layers]], "entry": [g.entry]})
+        v = np.array(f["vec"].to_list(), dtype=np.float64)
+        found = routes(_hubs(hub), _units(v), threshold, beam, LIMIT)
+        cells, ends = homes(found), np.concatenate(([0], np.cumsum(found.sizes)))
+        step, out = _bounded(CHUNK, v.shape[1]), []
+        for lo in range(0, len(v), step):
+            hi = min(len(v), lo + step)
+            layers = (cells[lo:hi], found.hubs[ends[lo]:ends[hi]], found.sizes[lo:hi], found.far[lo:hi].astype(np.int8))
+            out.append((v.shape[1], int(f["shard"].iloc[0]), lo // step * ROUTERS + int(f["part"].iloc[0]), f["key"].to_numpy()[lo:hi].tobytes(),
+                        f["n"].to_numpy()[lo:hi].tobytes(), _packed(v[lo:hi]), [x.tobytes() for x in layers]))
+        return pd.DataFrame(out, columns=_names(GRAPH_SCHEMA))
 
     ship_package(cls.sparkSession)
-    rows = cls.select("dim", own.alias("shard"), "key", "n", "vec")
-    return rows.groupBy("dim", "shard").applyInPandas(run, GRAPH_SCHEMA)
+    by = ["dim", "shard", "part"]
+    part = F.pmod(F.xxhash64("key", F.lit(5)), F.lit(ROUTERS)).cast("int")
+    rows = cls.select("dim", _shard_of(shards).alias("shard"), part.alias("part"), "key", "n", "vec")
+    every = (hubs.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(ROUTERS - 1)))))
+    rows, every = (_dealt(t, shards * ROUTERS, *by) for t in (rows, every))
+    return every.groupBy(*by).cogroup(rows.groupBy(*by)).applyInPandas(run, GRAPH_SCHEMA)
 
 
 LINK_SCHEMA = "dim int, shard int, key long, n_links long, other long, wide boolean"
 
 
-def _shard(graph: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _keys(chunks: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(chunks["keys"]), dtype=np.int64)
+
+
+def _vectors(chunks: pd.DataFrame) -> np.ndarray:
+    """Unit vectors of a shard's rows."""
+    return _units(np.concatenate([_unpacked(v, len(k) // 8, int(d)) for v, k, d in
+                                  zip(chunks["vectors"], chunks["keys"], chunks["dim"])]))
+
+
+def _shard(chunks: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, weights and unit vectors of a shard."""
-    keys, weights = np.frombuffer(graph["keys"], dtype=np.int64), np.frombuffer(graph["weights"], dtype=np.int64)
-    return keys, weights, np.frombuffer(graph["vectors"], dtype=np.float64).reshape(len(keys), -1)
+    return _keys(chunks), np.frombuffer(b"".join(chunks["weights"]), dtype=np.int64), _vectors(chunks)
 
 
-def _graph(graph: pd.Series, exact: np.ndarray) -> Graph:
-    return Graph(exact.astype(np.float32), [np.frombuffer(x, dtype=np.int32).reshape(len(exact), -1) for x in graph["layers"]],
-                 int(graph["entry"]))
+def _cells(chunks: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(x[0] for x in chunks["layers"]), dtype=np.int32).reshape(-1, HOMES)
+
+
+def _routes(chunks: pd.DataFrame) -> Routes:
+    """Routes of a shard's classes as queries, from the last three of its layers."""
+    hubs, sizes, far = (b"".join(x[k] for x in chunks["layers"]) for k in (-3, -2, -1))
+    return Routes(np.frombuffer(hubs, dtype=np.int32), np.frombuffer(sizes, dtype=np.int32),
+                  np.frombuffer(far, dtype=np.int8) == 1)
 
 
 def _by_block(graphs: DataFrame, asked: DataFrame, blocks: int, run, schema: str) -> DataFrame:
@@ -417,12 +641,12 @@ def _by_block(graphs: DataFrame, asked: DataFrame, blocks: int, run, schema: str
     by = ["dim", "shard", "block"]
     every = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(blocks)).cast("int"))
-    names = [c.split()[0] for c in schema.split(", ")]
+    names = _names(schema)
 
     def task(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(graph) or not len(queries):
-            return pd.DataFrame({c: [] for c in names})
-        out = run(graph.iloc[0], queries.sort_values("key", ignore_index=True))
+            return _none(schema)
+        out = run(graph.sort_values("chunk"), queries.sort_values("key", ignore_index=True))
         return out.assign(dim=int(graph["dim"].iloc[0]), shard=int(graph["shard"].iloc[0]))[names]
 
     return every.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(task, schema)
@@ -443,7 +667,7 @@ class Audit(NamedTuple):
 
 def true_links(asked: DataFrame, graphs: DataFrame, blocks: int, threshold: float) -> DataFrame:
     """(dim, shard, key, truth): number of linked classes of each query (dim, shard, key, vec) that has any in the shard."""
-    def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
+    def run(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         keys, _, exact = _shard(graph)
         ask = queries["key"].to_numpy()
         truth = np.zeros(len(ask), dtype=np.int64)
@@ -454,17 +678,44 @@ def true_links(asked: DataFrame, graphs: DataFrame, blocks: int, threshold: floa
     return _by_block(graphs.drop("layers"), asked, blocks, run, "dim int, shard int, key long, truth long")
 
 
-def found_links(seen: DataFrame, graphs: DataFrame, blocks: int, threshold: float, beam: int) -> DataFrame:
+ROUTE_SCHEMA = "dim int, key long, route array<int>"
+
+
+def routed(asked: DataFrame, hubs: DataFrame, blocks: int, threshold: float, beam: int) -> DataFrame:
+    """(dim, key, route) of queries (dim, key, vec): what ``beam`` finds in the graph of the hubs."""
+    by = ["dim", "block"]
+    every = hubs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(blocks)).cast("int"))
+
+    def task(hub: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries):
+            return _none(ROUTE_SCHEMA)
+        queries = queries.sort_values("key", ignore_index=True)
+        found = routes(_hubs(hub), _unit(queries["vec"]), threshold, beam, LIMIT)
+        route = [x.tolist() for x in np.split(found.hubs, np.cumsum(found.sizes)[:-1])]
+        return pd.DataFrame({"dim": queries["dim"], "key": queries["key"],
+                             "route": [None if f else r for f, r in zip(found.far, route)]})
+
+    return every.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(task, ROUTE_SCHEMA)
+
+
+def found_links(seen: DataFrame, graphs: DataFrame, hubs: DataFrame, blocks: int, threshold: float, beam: int) -> DataFrame:
     """(dim, shard, key, truth, found) of queries (dim, shard, key, vec, truth) searched with a beam."""
-    def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
+    ways = routed(seen.select("dim", "key", "vec").dropDuplicates(["dim", "key"]), hubs, blocks, threshold, beam)
+
+    def run(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         keys, _, exact = _shard(graph)
-        ask, found = queries["key"].to_numpy(), queries["truth"].to_numpy().copy()  # what is compared later is found
-        for i, h in _verified(_graph(graph, exact), exact, _unit(queries["vec"]), threshold, beam, LIMIT):
-            if h is not None:
-                found[i] = min(found[i], (keys[h] != ask[i]).sum())
-        return pd.DataFrame({"key": ask, "truth": queries["truth"], "found": found})
+        ask, truth, route = queries["key"].to_numpy(), queries["truth"].to_numpy(), queries["route"].to_list()
+        far = np.array([r is None for r in route])
+        sizes = np.array([0 if r is None else len(r) for r in route])
+        hub = np.concatenate([np.zeros(0, dtype=np.int32), *(r for r in route if r is not None)]).astype(np.int32)
+        found = np.zeros(len(ask), dtype=np.int64)
+        for i, h in _met(exact, _cells(graph), _unit(queries["vec"]), Routes(hub, sizes, far), threshold, LIMIT):
+            found[i] = truth[i] if h is None else min(truth[i], (keys[h] != ask[i]).sum())  # what is compared later is found
+        return pd.DataFrame({"key": ask, "truth": truth, "found": found})
 
-    return _by_block(graphs, seen, blocks, run, "dim int, shard int, key long, truth long, found long")
+    return _by_block(graphs, seen.join(ways, ["dim", "key"]), blocks, run,
+                     "dim int, shard int, key long, truth long, found long")
 
 
 def planted(some: DataFrame, shards: int, threshold: float) -> DataFrame:
@@ -490,7 +741,8 @@ def planted(some: DataFrame, shards: int, threshold: float) -> DataFrame:
     return turned.withColumn("key", F.xxhash64(F.lit("planted"), "key"))
 
 
-def audited(cls: DataFrame, graphs: DataFrame, shards: int, threshold: float, recall: float, n: int, rows: int) -> Audit:
+def audited(cls: DataFrame, graphs: DataFrame, hubs: DataFrame, shards: int, threshold: float, recall: float, n: int,
+            rows: int) -> Audit:
     """The beam that finds ``recall`` of the true links of the audit, pooled over all shards.
 
     About ``AUDIT`` classes, chosen by hash, are compared with every vector; as near copies may be rare,
@@ -512,7 +764,7 @@ def audited(cls: DataFrame, graphs: DataFrame, shards: int, threshold: float, re
     most = seen.groupBy("dim", "shard").count().agg(F.max("count")).first()[0]
     beam, least = BEAM, 1.0
     while beam <= LIMIT:
-        got = found_links(seen, graphs, -(-most // rows), threshold, beam)
+        got = found_links(seen, graphs, hubs, -(-most // rows), threshold, beam)
         least = min(r[1] / r[2] for r in got.groupBy(few).agg(F.sum("found"), F.sum("truth")).collect())
         if least >= recall:
             break
@@ -524,25 +776,45 @@ def audited(cls: DataFrame, graphs: DataFrame, shards: int, threshold: float, re
     return Audit(least, beam, links, made, hi / _PARTS)
 
 
-def graph_links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float,
-                beam: int) -> DataFrame:
+def graph_links(graphs: DataFrame, shards: int, parts: int, threshold: float) -> DataFrame:
     """Rows of LINK_SCHEMA: for each class and shard with hits the vectors linked, and links between classes.
 
-    Each shard's graph meets each block of queries in one task, so a task holds
-    one shard and one block.  ``wide``: only says that the class has more links
-    in the shard than the widest beam holds.
+    Each shard meets the classes of all shards as queries, in ``parts`` tasks.  ``wide``: only says that the class
+    has as many links in the shard as the widest beam or more.
     """
-    def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
+    by = ["dim", "shard", "part"]
+
+    def run(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if not len(graph) or not len(queries):
+            return _none(LINK_SCHEMA)
+        graph = graph.sort_values("chunk")
         keys, weights, exact = _shard(graph)
-        found = _verified(_graph(graph, exact), exact, _unit(queries["vec"]), threshold, beam, LIMIT)
-        return _reduced(keys, weights, queries["key"].to_numpy(), found)
+        cells = _cells(graph)
+        blocks = [b.sort_values("chunk") for _, b in queries.groupby("block")]
+        ask = [_keys(b) for b in blocks]
+
+        def every() -> Iterator[tuple[int, np.ndarray | None]]:
+            first = 0
+            for b, k in zip(blocks, ask):
+                for i, h in _met(exact, cells, _vectors(b), _routes(b), threshold, LIMIT):
+                    yield first + i, h
+                first += len(k)
+
+        out = _reduced(keys, weights, np.concatenate(ask), every())
+        return out.assign(dim=int(graph["dim"].iloc[0]), shard=int(graph["shard"].iloc[0]))[_names(LINK_SCHEMA)]
 
-    return _by_block(graphs, _asked(cls, shards), blocks, run, LINK_SCHEMA)
+    stored = graphs.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "chunk", "keys",
+                           "weights", "vectors", F.slice("layers", 1, 1).alias("layers"))
+    asking = graphs.select("dim", F.col("shard").alias("block"), F.pmod("shard", F.lit(parts)).alias("part"), "chunk", "keys",
+                           "vectors", F.slice("layers", 2, 3).alias("layers"))
+    asking = asking.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    stored, asking = (_dealt(t, shards * parts, *by) for t in (stored, asking))
+    return stored.groupBy(*by).cogroup(asking.groupBy(*by)).applyInPandas(run, LINK_SCHEMA)
 
 
 def compared_links(asked: DataFrame, graphs: DataFrame, blocks: int, threshold: float) -> DataFrame:
     """Rows of LINK_SCHEMA for queries (dim, shard, key, vec) that are compared with every vector of the shard."""
-    def run(graph: pd.Series, queries: pd.DataFrame) -> pd.DataFrame:
+    def run(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         keys, weights, exact = _shard(graph)
         found = _compared(exact, _unit(queries["vec"]), threshold)
         return _reduced(keys, weights, queries["key"].to_numpy(), found)
@@ -550,19 +822,23 @@ def compared_links(asked: DataFrame, graphs: DataFrame, blocks: int, threshold:
     return _by_block(graphs.drop("layers"), asked, blocks, run, LINK_SCHEMA)
 
 
-def links(cls: DataFrame, graphs: DataFrame, shards: int, blocks: int, threshold: float, beam: int, n: int,
+def links(cls: DataFrame, graphs: DataFrame, hubs: DataFrame, shards: int, threshold: float, beam: int, n: int,
           wide_rows: int) -> DataFrame:
     """(key, n_links, other) of all ``n`` classes; beam 0: every vector is compared, ``wide_rows`` queries in a task."""
     if not beam:
         every = compared_links(_asked(cls, shards), graphs, -(-n // wide_rows), threshold)
         return scratch(every.select("key", "n_links", "other"), "vector-links")
-    found = scratch(graph_links(cls, graphs, shards, blocks, threshold, beam), "vector-links")
+    if beam > BEAM:
+        graphs = scratch(build_graphs(cls, shards, hubs, threshold, beam), "graphs")
+    found = scratch(graph_links(graphs, shards, -(-shards // SHARDS_A_TASK), threshold), "vector-links")
     wide = found.where("wide").select("dim", "shard", "key")
     most = wide.groupBy("dim", "shard").count().agg(F.max("count")).first()[0]
     if most:
         asked = wide.join(cls.select("key", "vec"), "key")
         more = scratch(compared_links(asked, graphs, -(-most // wide_rows), threshold), "wide-links")
         found = found.where("not wide").unionByName(more)
+    if beam > BEAM:
+        drop_scratch(graphs)
     return found.select("key", "n_links", "other")
 
 
@@ -572,15 +848,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
     The audit of the search is logged and kept as ``audit`` of the result.
     """
-    cls, clashes = keyed(classes(vectors, id_col, vec_col))
-    cls = scratch(cls.withColumn("dim", F.size("vec")), "vectors")
+    written, clashes = keyed(classes(vectors, id_col, vec_col))
+    cls = written.withColumn("dim", F.size("vec"))
     n, longest = cls.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(0))).first()
     rows = _bounded(ROWS_PER_SHARD, longest)
     shards = max(SHARDS, -(-n // rows))
-    graphs = scratch(build_graphs(cls, shards), "graphs")
-    audit = audited(cls, graphs, shards, threshold, recall, n, rows)
+    hubs = scratch(hub_graphs(cls, n, rows), "hubs")
+    graphs = scratch(build_graphs(cls, shards, hubs, threshold, BEAM), "graphs")
+    audit = audited(cls, graphs, hubs, shards, threshold, recall, n, rows)
     LOG.info("%s", audit)
-    found = links(cls, graphs, shards, max(BLOCKS, shards), threshold, audit.beam, n, _bounded(WIDE_ROWS, longest))
+    found = links(cls, graphs, hubs, shards, threshold, audit.beam, n, _bounded(WIDE_ROWS, longest))
     counted = found.groupBy("key").agg(F.sum("n_links").alias("links"))
     roots = components(found.select(F.col("key").alias("a"), F.col("other").alias("b")))
     named = (cls.select("key", "n", "first").join(counted, "key", "left")
@@ -589,7 +866,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     named = with_best(narrow, "key", F.struct(F.col("first").isNull().alias("none"), F.col("first")))
     of_class = scratch(named.select("key", (F.coalesce("links", F.lit(0)) + F.col("n")).alias("links"),
                                     F.col("best.first").alias("component")), "vector-classes")
-    for t in (narrow, graphs, cls):  # the result reads none of these
+    for t in (narrow, graphs, hubs, written):  # the result reads none of these
         drop_scratch(t)
     v = F.col(f"`{vec_col}`").cast("array<double>")
     same = F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))

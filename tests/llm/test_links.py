@@ -274,6 +274,62 @@ def test_audit_compares_if_no_beam_finds_the_links(spark, monkeypatch):
     assert [(r["n_links"], r["component"]) for r in out.orderBy("id").collect()] == list(zip(links.tolist(), roots))
 
 
+def test_queries_search_one_graph_of_hubs_whatever_the_shards(spark, monkeypatch):
+    """The graph holds a few of the vectors, each shard holds its vectors once, and the links stay whole."""
+    vectors = _vectors(3, clusters=8, lone=2200)
+    links, roots = _truth(vectors)
+    monkeypatch.setattr(hnsw, "CELL", 16)
+    tables, hub_graphs, build = {}, hnsw.hub_graphs, hnsw.build_graphs
+    monkeypatch.setattr(hnsw, "hub_graphs", lambda *a: tables.setdefault("hubs", hub_graphs(*a).cache()))
+    monkeypatch.setattr(hnsw, "build_graphs", lambda *a: tables.setdefault("shards", build(*a).cache()))
+    out = hnsw.near_duplicates(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>"))
+    assert [(r["n_links"], r["component"]) for r in out.orderBy("id").collect()] == list(zip(links.tolist(), roots))
+    hubs, rows, dim = tables["hubs"].collect(), tables["shards"].collect(), len(vectors[0])
+    assert len(hubs) == 1 and hnsw.BEAM < len(hubs[0]["vectors"]) // (4 * dim) < len(vectors) // 10
+    assert sum(len(r["keys"]) for r in rows) == 8 * len(vectors) and {r["shard"] for r in rows} == set(range(hnsw.SHARDS))
+    assert sum(len(r["vectors"]) for r in rows) == 4 * dim * len(vectors)  # single precision holds them
+    for t in tables.values():
+        t.unpersist()
+
+
+def test_cells_meet_the_queries_of_their_hubs():
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(300, 6))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    cells = np.argsort(rng.random((300, 9)), axis=1)[:, :hnsw.HOMES].astype(np.int32)
+    cells[250:, 2:] = -1
+    asked = [np.flatnonzero(rng.random(9) < 0.3).astype(np.int32) for _ in range(300)]
+    found = hnsw.Routes(np.concatenate(asked), np.array([len(a) for a in asked]), np.arange(300) == 7)
+    want = {i: [j for j in range(300) if v[i] @ v[j] >= 0.6 and set(asked[i]) & set(cells[j].tolist())] for i in range(300)}
+    got = dict(hnsw._met(v, cells, v, found, 0.6, 1000))
+    assert got.pop(7) is None and {i: h.tolist() for i, h in got.items()} == {i: w for i, w in want.items() if w and i != 7}
+    few = dict(hnsw._met(v, cells, v, found, 0.6, 12))
+    assert all(few[i] is None or few[i].tolist() == w for i, w in want.items() if w and i != 7)
+    assert all(few[i] is None for i, w in want.items() if len(w) >= 12) and any(h is not None for h in few.values())
+
+
+def test_beams_of_hubs_widen_in_dense_regions():
+    """Beams that end within twice the threshold's angle are widened; those of a region with too many hubs are far."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(2, 24))
+    some = [c + rng.normal(size=(n, 24)) * 0.04 for c, n in zip(centres, (60, 200))]
+    v = hnsw._units(np.concatenate([*some, rng.normal(size=(400, 24))]))
+    found = hnsw.routes(hnsw.build(v.astype(np.float32)), v, 0.95, 32, 128)
+    assert not found.far[:60].any() and (found.sizes[:60] == 64).all()
+    assert found.far[60:260].all() and (found.sizes[60:260] == hnsw.HOMES).all()
+    assert not found.far[260:].any() and (found.sizes[260:] == 32).all()
+    own = hnsw.homes(found)[:, 0] == np.arange(660)  # others link with far vectors too, so these hang on hubs as well
+    assert own[:260].mean() > 0.9 and own[260:].mean() > 0.9
+    alone = hnsw.routes(None, v, 0.95, 32, 128)
+    assert alone.far.all() and not len(alone.hubs)
+
+
+def test_packed_vectors_keep_their_values():
+    for v in (np.array([[1.5, -0.25]]), np.array([[0.1, 1e300]]), np.array([[1e-310, 3.0]])):
+        assert (hnsw._unpacked(hnsw._packed(v), 1, 2) == v).all()
+    assert len(hnsw._packed(np.array([[1.5, -0.25]]))) == 8 and len(hnsw._packed(np.array([[0.1, 1.0]]))) == 16
+
+
 # ---- pipeline ----
 
 def test_pipeline_stages(spark, edge_docs):
