@@ -1,11 +1,12 @@
-"""Embedding near-duplicates by navigable small-world graphs, one per shard.
+"""Embedding near-duplicates by a navigable small-world graph over hubs, with a lowest layer in shards.
 
-Equal vectors are one class.  The classes are dealt into shards by hash; every
-shard gets a hierarchical navigable small-world graph (built in batches with
-array operations), and every class is a query against every shard: a greedy
-descent through the upper layers, then a beam search in the lowest one.  A beam
-whose results are all within the threshold may have missed some, so it is
-widened, twice as wide each time, until it ends outside the threshold.
+Equal vectors are one class.  One class of ``CELL``, chosen by hash, is a hub; the hubs get a hierarchical
+navigable small-world graph (built in batches with array operations).  Every class is searched in it once: a
+greedy descent through the upper layers, then a beam search in the lowest one.  A class hangs on the ``HOMES``
+nearest hubs of its beam.  The classes are dealt into shards by hash, and every class is a query against every
+shard: there it is compared with the vectors that hang on the hubs of its beam, in tiles of the matrix product.  A
+beam that ends within twice the threshold's angle may have missed hubs of vectors within that angle, so it is
+widened, twice as wide each time, until it ends outside.
 
 Before the search an audit compares ``AUDIT`` hash-chosen queries with every vector
 of all shards (a class is not its own link).  Where near copies are rare these
@@ -15,9 +16,8 @@ find ``RECALL`` of these links, pooled over the shards; if none is wide enough,
 every vector is compared.  The audit's work grows with the vectors once, not with
 their pairs.
 
-A query whose beam of ``LIMIT`` nodes still ends within the threshold is compared
-with the whole shard instead, in tiles of the matrix product: from there on the
-product costs less than the beam.  These comparisons are dealt over tasks of
+A query that has ``LIMIT`` links or more in a shard, or whose beam of ``LIMIT`` hubs still ends too near, is
+compared with the whole shard instead, in tiles of the matrix product.  These comparisons are dealt over tasks of
 ``WIDE_ROWS`` queries.
 
 A hit counts only if its cosine, computed in double precision, reaches the
@@ -375,13 +375,20 @@ def _sorted(hubs: np.ndarray) -> np.ndarray:
     return np.argsort(hubs, kind="stable")
 
 
+def _true(exact: np.ndarray, queries: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether query ``i`` and vector ``j`` reach the threshold in double precision, a bounded number at once."""
+    parts = (slice(at, at + (1 << 16)) for at in range(0, len(i), 1 << 16))
+    return np.concatenate([np.zeros(0, dtype=bool), *(
+        np.einsum("nd,nd->n", exact[j[p]], queries[i[p]]) >= threshold for p in parts)])
+
+
 def _met(exact: np.ndarray, cells: np.ndarray, queries: np.ndarray, found: Routes, threshold: float,
          limit: int) -> Iterator[tuple[int, np.ndarray | None]]:
     """(query, nodes) that reach the threshold among the vectors that hang (``cells``) on the hubs found; queries without any are left out.
 
     Each cell meets the queries that found its hub, in tiles of the matrix product (single precision, with a
-    margin); what is left is verified in double precision.  None instead of the nodes: ``limit`` or more of a cell
-    and those before it, or a far query.
+    margin); what is left is verified in double precision.  None instead of the nodes: ``limit`` or more, or a far
+    query.  A vector may be met in several cells, so a query goes on until it has met ``limit`` for certain.
     """
     low, single, asking = threshold - _margin(exact), exact.astype(np.float32), queries.astype(np.float32)
     who = np.repeat(np.arange(len(queries)), found.sizes)
@@ -393,7 +400,8 @@ def _met(exact: np.ndarray, cells: np.ndarray, queries: np.ndarray, found: Route
     of, member = of[order], member[order] // cells.shape[1]
     hubs = np.unique(asked)
     some = zip(*(np.searchsorted(x, hubs, side=side).tolist() for x in (asked, of) for side in ("left", "right")))
-    count, pairs = np.where(found.far, limit, 0), [np.zeros((2, 0), dtype=np.int64)]
+    most, held = limit * cells.shape[1], 0
+    count, pairs = np.where(found.far, most, 0), [np.zeros(0, dtype=np.int64)]
     for lo, hi, first, last in some:
         if first == last:
             continue
@@ -402,21 +410,28 @@ def _met(exact: np.ndarray, cells: np.ndarray, queries: np.ndarray, found: Route
         step = max(1, TILE // len(nodes))
         for at in range(lo, hi, step):
             q = who[at:min(hi, at + step)]
-            q = q[count[q] < limit]
+            q = q[count[q] < most]
             sims = asking.take(q, axis=0) @ near
             hot = np.flatnonzero(sims.max(axis=1) >= low)
             if not len(hot):
                 continue
             q, hit = q[hot], sims[hot] >= low
-            count[q] += hit.sum(axis=1)  # a vector may hang on several hubs of a beam: the limit is met a little earlier
-            hit[count[q] >= limit] = False
+            n = hit.sum(axis=1)
+            count[q] += np.where(n < limit, n, most)
+            hit[count[q] >= most] = False
             i, j = np.nonzero(hit)
             i, j = q[i], nodes[j]
-            pairs.append(np.array((i, j))[:, np.einsum("nd,nd->n", exact[j], queries[i]) >= threshold])
-    for i in np.flatnonzero(count >= limit).tolist():
-        yield i, None
-    i, j = np.concatenate(pairs, axis=1)
-    i, j = np.divmod(np.unique((i * len(exact) + j)[count[i] < limit]), max(1, len(exact)))
+            true = _true(exact, queries, i, j, threshold)
+            pairs.append(i[true] * len(exact) + j[true])
+            held += len(pairs[-1])
+            if held > TILE:
+                pairs, held = [np.unique(np.concatenate(pairs))], 0
+    i, j = np.divmod(np.unique(np.concatenate(pairs)), max(1, len(exact)))
+    count[np.bincount(i, minlength=len(count)) >= limit] = most
+    for k in np.flatnonzero(count >= most).tolist():
+        yield k, None
+    few = count[i] < most
+    i, j = i[few], j[few]
     query, first = np.unique(i, return_index=True)
     for k, nodes in zip(query.tolist(), np.split(j, first[1:])):
         yield k, nodes
